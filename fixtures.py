@@ -130,7 +130,9 @@ def lightcurves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide curves: one row per object and band, epochs in parallel arrays in time order."""
     fields = ("hmjd", "event_id", "mag", "magerr", "clrcoeff", "catflags")
     keys = ("objectid", "filterid", "fieldid", "rcid", "objra", "objdec")
-    packed = epochs(spark, sf_dir).groupBy("objectid").agg(
+    # A curve costs far more work than bytes, so the number of partitions is kept.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = epochs(spark, sf_dir).repartition(parts, "objectid").groupBy("objectid").agg(
         *[F.first(k).alias(k) for k in keys[1:]], F.sort_array(F.collect_list(F.struct(*fields))).alias("epoch")
     )
     arrays = [F.col(f"epoch.{f}").alias(f) for f in fields if f != "event_id"]

@@ -67,16 +67,20 @@ def with_random_walk(
     log_rate: tuple[float, float, int] = LOG_RATE,
     rounds: int = 2,
 ) -> DataFrame:
-    """Damped random walk: ``GP_DRW_sigma`` (process variance) and ``GP_DRW_tau`` (days)."""
+    """Damped random walk: ``GP_DRW_sigma`` (process variance) and ``GP_DRW_tau`` (days).
 
-    @F.pandas_udf(_struct(RANDOM_WALK))
+    The log-likelihood at the answer is in the work column ``_walk_score``.
+    """
+    names = (*RANDOM_WALK, "_walk_score")
+
+    @F.pandas_udf(_struct(names))
     def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
         rows = [
             kernels.walk_fit(t, m, e, log_amplitude, log_rate, rounds) for t, m, e in zip(times, mags, errors)
         ]
-        return pd.DataFrame(rows, columns=list(RANDOM_WALK), dtype=float)
+        return pd.DataFrame(rows, columns=list(names), dtype=float)
 
-    return _unpack(with_curve(df).withColumn("_walk", fit("_t", "_m", "_e")), "_walk", RANDOM_WALK)
+    return _unpack(with_curve(df).withColumn("_walk", fit("_t", "_m", "_e")), "_walk", names)
 
 
 def two_scale_family() -> FeatureFamily:

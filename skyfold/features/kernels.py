@@ -148,25 +148,26 @@ def walk_likelihood(t, y, variance, amplitude, rate):
 
 
 def zoom(score, axes, rounds):
-    """Largest score on the grid of ``axes``, then on finer grids around the best point."""
+    """The best point on the grid of ``axes``, then on finer grids around it, with its score last."""
     best = None
     for _ in range(rounds + 1):
         mesh = np.meshgrid(*axes, indexing="ij")
         trials = [axis.ravel() for axis in mesh]
         values = score(*trials)
-        at = int(np.nanargmax(values)) if np.any(np.isfinite(values)) else None
-        if at is None:
+        if not np.any(np.isfinite(values)):
             return best
-        best = [float(axis[at]) for axis in trials]
+        at = int(np.nanargmax(values))
+        if best is None or values[at] > best[-1]:
+            best = [*(float(axis[at]) for axis in trials), float(values[at])]
         steps = [(axis[1] - axis[0]) if axis.size > 1 else 0.0 for axis in axes]
         axes = [b + s * np.linspace(-1.0, 1.0, 9) if s else np.array([b]) for b, s in zip(best, steps)]
     return best
 
 
 def walk_fit(t, m, e, log_amplitude, log_rate, rounds):
-    """Amplitude and time scale of the damped random walk with the highest likelihood."""
+    """Amplitude and time scale of the likeliest damped random walk, and its log-likelihood."""
     if t.size < 2:
-        return None, None
+        return None, None, None
     y, variance = m - m.mean(), e**2.0
     with np.errstate(all="ignore"):
         best = zoom(
@@ -174,13 +175,13 @@ def walk_fit(t, m, e, log_amplitude, log_rate, rounds):
             [np.linspace(*log_amplitude), np.linspace(*log_rate)],
             rounds,
         )
-    return (None, None) if best is None else (float(np.exp(best[0])), float(np.exp(-best[1])))
+    return (None, None, None) if best is None else (float(np.exp(best[0])), float(np.exp(-best[1])), best[2])
 
 
 def autoregression_fit(t, m, e, phis, rounds):
-    """Irregular autoregression: correlation after one day, with the highest likelihood."""
+    """Irregular autoregression: likeliest correlation after one day, and its log-likelihood."""
     if t.size < 2 or np.ptp(m) == 0:
-        return None
+        return None, None
     scale = m.std(ddof=1)
     y, variance = (m - m.mean()) / scale, (e / scale) ** 2.0
 
@@ -192,7 +193,7 @@ def autoregression_fit(t, m, e, phis, rounds):
 
     with np.errstate(all="ignore"):
         best = zoom(score, [np.linspace(*phis)], rounds)
-    return None if best is None else best[0]
+    return (None, None) if best is None else tuple(best)
 
 
 # --------------------------------------------------------- variance at two scales

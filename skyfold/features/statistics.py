@@ -163,7 +163,7 @@ def with_ordered(df: DataFrame) -> DataFrame:
     df = df.withColumn("_pair", F.zip_with(curves.after(_col("_side")), curves.before(_col("_side")), same))
     df = df.withColumns(
         {
-            "_run": F.zip_with(curves.after(_col("_pair")), curves.tail(curves.before(_col("_side")), n - 2), same),
+            "_run": F.zip_with(curves.after(_col("_pair")), curves.head(_col("_side"), n - 2), same),
             # Epochs at the same time have no slope: null, left out of what follows.
             "_slope": F.filter(
                 F.zip_with("_step", "_gap", lambda m, t: F.try_divide(m, t)), lambda x: x.isNotNull()
@@ -251,14 +251,20 @@ def with_structure_function(
 def with_autoregression(
     df: DataFrame, grid: tuple[float, float, int] = (0.01, 0.99, 50), rounds: int = 2
 ) -> DataFrame:
-    """IAR_phi: correlation after one day (Eyheramendy et al. 2018), by a refined grid."""
+    """IAR_phi: correlation after one day (Eyheramendy et al. 2018), by a refined grid.
 
-    @F.pandas_udf("double")
-    def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.Series:
-        found = [kernels.autoregression_fit(t, m, e, grid, rounds) for t, m, e in zip(times, mags, errors)]
-        return pd.Series(found, dtype=float)
+    The log-likelihood at the answer is in the work column ``_iar_score``.
+    """
+
+    @F.pandas_udf("phi double, score double")
+    def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
+        rows = [kernels.autoregression_fit(t, m, e, grid, rounds) for t, m, e in zip(times, mags, errors)]
+        return pd.DataFrame(rows, columns=["phi", "score"], dtype=float)
 
-    return with_curve(df).withColumn("IAR_phi", curves.known(fit("_t", "_m", "_e")))
+    df = with_curve(df).withColumn("_iar", fit("_t", "_m", "_e"))
+    return df.withColumns(
+        {"IAR_phi": curves.known(_col("_iar.phi")), "_iar_score": curves.known(_col("_iar.score"))}
+    ).drop("_iar")
 
 
 # Names and order of the statistics in the feature table.
@@ -293,7 +299,7 @@ STATISTICS = (
 
 _WORK = (
     "_cube _fourth _noise _tmean _tdev _sorted _median _p3 _p97 _edge _tenth _away _lowest _highest _bottom _top "
-    "_weight _wmean _wdev _wstd _scaled _side _step _gap _pair _run _slope _last _chi _z _below _above _sf "
+    "_weight _wmean _wdev _wstd _scaled _side _step _gap _pair _run _slope _last _chi _z _below _above _sf _iar_score "
     "_mean _dev _ss _var _std"
 ).split()
 
