@@ -13,7 +13,8 @@ def pending_by_name(files: DataFrame, done: DataFrame, path: str = "path") -> Da
     """Files whose name, without folders, is not among those done."""
     require_columns(files, (path,))
     require_columns(done, (path,))
-    names = done.select(text.basename(F.col(path)).alias("_name"))
+    # Names repeat across folders; each is needed once.
+    names = done.select(text.basename(F.col(path)).alias("_name")).distinct()
     return files.withColumn("_name", text.basename(F.col(path))).join(names, "_name", "left_anti").drop("_name")
 
 

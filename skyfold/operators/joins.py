@@ -31,10 +31,18 @@ def join_labels(labels: DataFrame, curves: DataFrame, keys: tuple[str, ...] = KE
 
 
 def join_outer(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Full outer join; rows of either side keep their keys."""
+    """Full outer join; rows of either side keep their keys.
+
+    Written as a left join plus the right rows without a partner.  Adaptive
+    execution can split a crowded key of the left side in these two joins, which
+    it cannot do in a full join.  The second one reads only the keys of the left
+    side, so that side should be a stored table rather than a long computation.
+    """
     require_columns(left, keys)
     require_columns(right, keys)
-    return left.join(right, list(keys), "full")
+    partnered = left.join(right, list(keys), "left")
+    alone = right.join(left.select(*keys), list(keys), "left_anti")
+    return partnered.unionByName(alone, allowMissingColumns=True)
 
 
 def matched_payload(matches: DataFrame, position: tuple[str, ...] = ("ra", "dec")) -> DataFrame:
@@ -47,8 +55,9 @@ def training_set(features: DataFrame, first: DataFrame, second: DataFrame) -> Da
     """Features with the nearest rows of two match tables, all three outer-joined.
 
     The ranks depend on the match tables alone, so the nearest rows are taken
-    before the joins, and the two small results are joined first: the wide feature
-    table is then shuffled once instead of four times.
+    before the joins, and the two small results are joined first, on the
+    partitioning that the ranks left behind.  The wide feature table is then
+    shuffled once instead of four times.
     """
-    matches = join_outer(matched_payload(first), matched_payload(second))
+    matches = matched_payload(first).join(matched_payload(second), list(KEYS), "full")
     return join_outer(features, matches)

@@ -132,5 +132,12 @@ def xmatch_nearest(
     keys: tuple[str, ...] = ("objectid", "filterid"),
     cell: float | None = None,
 ) -> DataFrame:
-    """``xmatch``, then the nearest catalogue row of each key."""
+    """``xmatch``, then the nearest catalogue row of each key.
+
+    Of catalogue rows at one and the same position only the first by the tiebreak
+    can be an answer, so the others are dropped before the match: a crowd of
+    copies, such as rows with a default position, makes no crowd of pairs.
+    """
+    place = Window.partitionBy("ra", "dec").orderBy(tiebreak)
+    catalogue = catalogue.withColumn("_copy", F.row_number().over(place)).filter("_copy = 1").drop("_copy")
     return nearest_one(xmatch(objects, catalogue, radius, cell), keys, (f"{tiebreak}_2",))

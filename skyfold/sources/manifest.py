@@ -78,18 +78,21 @@ def read_checksums(spark: SparkSession, path: str, largest: int = 1 << 30) -> Da
 
 
 def verify(manifest: DataFrame, found: DataFrame, path: str = "path") -> DataFrame:
-    """``ok``, ``mismatch`` or ``missing`` for each file of the manifest, matched by name."""
+    """``ok``, ``mismatch`` or ``missing`` for each file of the manifest, matched by name.
+
+    A file found in several places is ``ok`` when one of the copies is.  Copies are
+    reduced before the joins, so a name with many of them costs no more than one.
+    """
     require_columns(manifest, ("checksum", "file"))
     require_columns(found, (path, "found"))
-    present = found.select(text.basename(F.col(path)).alias("_name"), "found")
-    status = (
-        F.when(F.col("found").isNull(), "missing")
-        .when(F.col("found") == F.col("checksum"), "ok")
-        .otherwise("mismatch")
-    )
+    copies = found.select(text.basename(F.col(path)).alias("_name"), F.col("found").alias("checksum")).distinct()
+    right = copies.withColumn("_right", F.lit(True))
+    there = copies.select("_name").distinct().withColumn("_there", F.lit(True))
+    status = F.when(F.col("_right"), "ok").when(F.col("_there"), "mismatch").otherwise("missing")
     return (
         manifest.withColumn("_name", text.basename(F.col("file")))
-        .join(present, "_name", "left")
+        .join(right, ["_name", "checksum"], "left")
+        .join(there, "_name", "left")
         .withColumn("status", status)
-        .drop("_name", "found")
+        .select(*manifest.columns, "status")
     )
