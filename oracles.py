@@ -33,7 +33,7 @@ def kept_sql(limit: int | dict[int, int], good: str = GOOD, recount: bool = True
 epochs as ({EPOCHS}),
 counted as (select *, count(*) over (partition by objectid) as stored from epochs),
 good as (select *, count(*) over (partition by objectid) as n from counted where {first} and {good}),
-kept as (select *, row_number() over (partition by objectid order by hmjd, mag, magerr) - 1 as i
+kept as (select *, row_number() over (partition by objectid order by hmjd, event_id) - 1 as i
          from good where {second})"""
 
 
@@ -427,10 +427,10 @@ TRIAL = "((objectid % 97)/50e0 + 0.5e0)"
 def folded_sql() -> str:
     return f"""
 with {kept_sql(LIMIT)},
-p as (select objectid, n*1e0 as n, hmjd, mag, (hmjd - floor(hmjd/(2*{TRIAL}))*2*{TRIAL})/(2*{TRIAL}) as phase,
+p as (select objectid, n*1e0 as n, hmjd, event_id, mag, (hmjd - floor(hmjd/(2*{TRIAL}))*2*{TRIAL})/(2*{TRIAL}) as phase,
         avg(mag) over w as am, stddev_pop(mag) over w as sd from kept window w as (partition by objectid)),
 s as (select objectid, n, sd, sum(mag - am) over w as run, mag - lag(mag) over w as dm
-      from p window w as (partition by objectid order by phase, hmjd, mag))
+      from p window w as (partition by objectid order by phase, hmjd, event_id))
 select objectid, {r('(max(run) - min(run))/(max(n)*max(sd))')} as "Psi_CS",
   {r('sum(dm*dm)/((max(n) - 1)*pow(max(sd), 2))')} as "Psi_eta" from s group by objectid"""
 

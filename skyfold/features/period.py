@@ -150,16 +150,14 @@ def with_power_rates(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> Data
 def with_folded(df: DataFrame, period: str = "Multiband_period", time: str = "hmjd") -> DataFrame:
     """``Psi_CS`` and ``Psi_eta``: order the curve by phase over two periods.
 
-    Equal phases are ordered by time, then magnitude.
+    Equal phases are ordered by time, then by place in the curve.
     """
     df = with_curve(df, time=time)
     by_phase = F.sort_array(
-        F.zip_with(
-            "_t",
-            "_m",
-            lambda t, m: F.struct(
-                curves.phase(t, F.col(period)).alias("phase"), t.alias("time"), m.alias("mag")
-            ),
+        F.arrays_zip(
+            F.transform("_t", lambda t: curves.phase(t, F.col(period))).alias("phase"),
+            F.transform("_t", lambda _, i: i).alias("place"),
+            F.col("_m").alias("mag"),
         )
     )
     df = df.withColumn("_folded", by_phase)

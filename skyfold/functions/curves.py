@@ -16,9 +16,8 @@ _LARGEST = 1.7976931348623157e308
 def with_curve(df: DataFrame, time: str = "hmjd", mag: str = "mag", err: str = "magerr") -> DataFrame:
     """Add ``_t``, ``_m``, ``_e`` (double arrays in time order) and ``_n`` (epochs).
 
-    Equal times are ordered by magnitude, then error, so that the result does not
-    depend on the order in which the epochs arrived.  A curve that already has
-    these columns is returned as it is.
+    Epochs at the same time stay in the order of the arrays.  A curve that already
+    has these columns is returned as it is.
     """
     if all(c in df.columns for c in ("_t", "_m", "_e", "_n")):
         return df
@@ -27,6 +26,7 @@ def with_curve(df: DataFrame, time: str = "hmjd", mag: str = "mag", err: str = "
     errors = F.col(err) if err in df.columns else F.transform(mag, lambda _: F.lit(None))
     zipped = F.arrays_zip(
         F.col(time).cast(doubles).alias("t"),
+        F.transform(time, lambda _, i: i).alias("i"),
         F.col(mag).cast(doubles).alias("m"),
         errors.cast(doubles).alias("e"),
     )
