@@ -50,7 +50,8 @@ def manifest_by_field(manifest: DataFrame) -> DataFrame:
 def list_files(spark: SparkSession, path: str, skip: str = "tmp") -> DataFrame:
     """``path`` and ``length`` of the files under a folder, without those with ``skip`` in them.
 
-    Only names and sizes are asked for, so no content is read.
+    Only names and sizes are asked for, so no content is read.  Files of no bytes
+    are left out by Spark; no data file is empty.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return without(files.select("path", "length"), skip)
