@@ -12,12 +12,19 @@ from pyspark.sql import functions as F
 SPARK_HMJD = "unix_micros(cast(ts as timestamp))/86400000000e0 + 40587e0"
 DUCKDB_HMJD = "epoch_us(ts)/86400000000e0 + 40587e0"
 
-# One curve holds the epochs of one user and band within a block of 65,536 event
-# numbers.  Event numbers are unique, so a curve has at most 65,536 epochs even if
-# one user made a third of all events.
-BLOCK = "cast(floor(event_id/65536e0) as bigint)"
 BAND = "case event_type when 'click' then 1 when 'view' then 2 else 3 end"
-OBJECT = f"{BLOCK}*1000000000000 + user_id*10 + ({BAND})"
+
+# One curve holds the epochs of one user and band.  A user with more than 32,768 of
+# them gets several curves, by event number, so no curve grows with the table even
+# if one user made a third of all events.  Counts are sums taken before a shuffle;
+# only such users are joined back.
+OBSERVED = f"""(
+select e.event_id, e.ts, e.user_id, e.value, e.band, coalesce(e.event_id % h.parts, 0) as part
+from (select *, {BAND} as band from events) e
+left join (select user_id, band, cast(ceil(count(*)/32768e0) as bigint) as parts
+           from (select user_id, {BAND} as band from events) c group by user_id, band having count(*) > 32768) h
+on h.user_id = e.user_id and h.band = e.band) o"""
+OBJECT = "part*1000000000000 + user_id*10 + band"
 
 # Positions: objects of one user share a place; places are spread over the sphere
 # and include both poles and right ascension zero.
@@ -42,18 +49,18 @@ def epochs_sql(hmjd: str) -> str:
     """One row per epoch."""
     ra, dec = place("user_id")
     return f"""
-select {OBJECT} as objectid, {BAND} as filterid, {BLOCK} % 2048 as fieldid, user_id % 64 as rcid,
+select {OBJECT} as objectid, band as filterid, part % 2048 as fieldid, user_id % 64 as rcid,
        {ra} as objra, {dec} as objdec, event_id,
        {hmjd} as hmjd, 15e0 + value/97e0 as mag, (event_id*7 % 150 + 1)/100e0 as magerr,
        (event_id*3 % 11)/10e0 as clrcoeff, case when event_id % 10 = 0 then 32768 else 0 end as catflags
-from events"""
+from {OBSERVED}"""
 
 
 def sky_sql() -> str:
     """One position per object."""
     ra, dec = place("user_id")
     return f"""
-select distinct {OBJECT} as objectid, {BAND} as filterid, {ra} as ra, {dec} as dec from events"""
+select distinct {OBJECT} as objectid, band as filterid, {ra} as ra, {dec} as dec from {OBSERVED}"""
 
 
 def infrared_sql() -> str:

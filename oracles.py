@@ -333,7 +333,7 @@ h as (select *, {shape} as shape from x),
 u as (select objectid, peak, plateau, slope, rise, fall, max(n) as n, sum(w*y*y) as yy, sum(w*shape) as s1,
         sum(w*shape*shape) as s2, sum(w*shape*y) as sy, max(sw) as sw from h group by all),
 v as (select *, s2 - s1*s1/sw as d from u),
-a as (select *, case when d > 1e-12*s2 then greatest(sy/d, 0) else 0 end as amp from v)
+a as (select *, case when d > 1e-6*s2 then greatest(sy/d, 0) else 0 end as amp from v)
 select objectid, {r('min((yy - 2*amp*sy + amp*amp*d)/n)')} as "SPM_chi" from a group by objectid"""
 
 

@@ -75,10 +75,8 @@ def with_random_walk(
 
     @F.pandas_udf(_struct(names))
     def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
-        rows = [
-            kernels.walk_fit(t, m, e, log_amplitude, log_rate, rounds) for t, m, e in zip(times, mags, errors)
-        ]
-        return pd.DataFrame(rows, columns=list(names), dtype=float)
+        rows = kernels.walk_fits(list(zip(times, mags, errors)), log_amplitude, log_rate, rounds)
+        return pd.DataFrame(rows, columns=list(names))
 
     return _unpack(with_curve(df).withColumn("_walk", fit("_t", "_m", "_e")), "_walk", names)
 

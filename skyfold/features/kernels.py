@@ -27,30 +27,44 @@ def blocks(size: int, step: int = BLOCK):
 # ------------------------------------------------------------------ periodogram
 
 
-def grid_sums(t, weight, target, start, step, count):
-    """Sums of w*exp(i*p), w*y*exp(i*p) and w*exp(2i*p), p = 2*pi*f*t, on an even grid.
+def grid_power(t, weight, target, start, step, count):
+    """The statistic at every frequency of an even grid.
 
     A frequency is a coarse step plus a fine step, so its phase factor is a
     product of two, and the sum over epochs is one matrix product: trigonometry
-    is needed for about 2*sqrt(count) frequencies instead of all of them.
+    is needed for about 2*sqrt(count) frequencies instead of all of them.  The
+    grid is walked in stretches that fit the processor's cache.
     """
     wide = int(np.ceil(np.sqrt(count)))
-    tall = -(-count // wide)
-    coarse = 2j * np.pi * (start + step * wide * np.arange(tall))
-    fine = 2j * np.pi * step * np.arange(wide)
-    sums = np.zeros((3, tall, wide), dtype=complex)
-    for part in blocks(t.size):
-        low = np.exp(np.multiply.outer(coarse, t[part]))
-        high = np.exp(np.multiply.outer(t[part], fine))
-        w, y = weight[part], target[part]
-        sums[0] += (low * w) @ high
-        sums[1] += (low * (w * y)) @ high
-        sums[2] += (low * low * w) @ (high * high)
-    return sums.reshape(3, -1)[:, :count]
+    tall = max(1, 4096 // wide)
+    parts = list(blocks(t.size))
+
+    def waves(freqs, part):
+        return np.exp(np.multiply.outer(2j * np.pi * freqs, t[part]))
+
+    fine = step * np.arange(wide)
+    def fine_waves(part):
+        high = waves(fine, part).T
+        return high, high * high
+
+    shared = fine_waves(parts[0]) if len(parts) == 1 else None
+    power = np.empty(count)
+    for first in range(0, count, tall * wide):
+        coarse = start + step * (first + wide * np.arange(tall))
+        sums = np.zeros((3, tall, wide), dtype=complex)
+        for part in parts:
+            low, (high, squared) = waves(coarse, part), shared or fine_waves(part)
+            w, y = weight[part], target[part]
+            sums[0] += (low * w) @ high
+            sums[1] += (low * (w * y)) @ high
+            sums[2] += (low * low * w) @ squared
+        stretch = power[first : first + tall * wide]
+        stretch[:] = aov(sums.reshape(3, -1)[:, : stretch.size], weight, target)
+    return power
 
 
 def direct_sums(t, weight, target, freqs):
-    """The same sums at listed frequencies."""
+    """Sums of w*exp(i*p), w*y*exp(i*p) and w*exp(2i*p), p = 2*pi*f*t, at listed frequencies."""
     sums = np.zeros((3, freqs.size), dtype=complex)
     for part in blocks(t.size):
         wave = np.exp(2j * np.pi * np.multiply.outer(freqs, t[part]))
@@ -91,7 +105,7 @@ def prepared(t, m, e):
 def spectrum(t, m, e, start, step, count):
     """The power at every grid frequency, or None when it is not defined."""
     curve = prepared(t, m, e)
-    return None if curve is None else aov(grid_sums(*curve, start, step, count), curve[1], curve[2])
+    return None if curve is None else grid_power(*curve, start, step, count)
 
 
 def power_at(t, m, e, freqs):
@@ -104,13 +118,16 @@ def best_period(t, m, e, start, step, count, top, optima, fine_step):
     curve = prepared(t, m, e)
     if curve is None:
         return None, None, None
-    power = aov(grid_sums(*curve, start, step, count), curve[1], curve[2])
+    power = grid_power(*curve, start, step, count)
     largest = np.sort(np.partition(power, -min(top, count))[-min(top, count) :])[::-1]
     best = int(power.argmax())
     freq, value = start + step * best, power[best]
     if optima and count > 2:
         inner = power[1:-1]
         peaks = np.flatnonzero((inner >= power[:-2]) & (inner >= power[2:])) + 1
+        if peaks.size > optima:
+            floor = np.partition(power[peaks], -optima)[-optima]
+            peaks = peaks[power[peaks] >= floor]
         peaks = peaks[np.argsort(-power[peaks], kind="stable")[:optima]]
         reach = int(round(step / fine_step))
         near = start + step * peaks[:, None] + fine_step * np.arange(-reach, reach + 1)
@@ -124,76 +141,117 @@ def best_period(t, m, e, start, step, count, top, optima, fine_step):
 
 # ------------------------------------------------------- damped random walk, IAR
 
+TOGETHER = 64
+
 
-def walk_likelihood(t, y, variance, amplitude, rate):
-    """Log-likelihood of an Ornstein-Uhlenbeck process, for all trials at once.
+def walk_likelihood(gaps, y, variance, there, amplitude, rate):
+    """Log-likelihood of an Ornstein-Uhlenbeck process, for many curves and trials at once.
 
-    One Kalman step per epoch (Kelly et al. 2009).  ``amplitude`` is the variance
-    of the process and ``rate`` its decay per day; both are arrays of trials.
+    One Kalman step per epoch (Kelly et al. 2009).  ``gaps``, ``y``, ``variance``
+    and ``there`` have curves by rows and epochs by columns; ``there`` is 0 past
+    the end of a curve.  ``amplitude`` is the variance of the process and ``rate``
+    its decay per day, both with curves by rows and trials by columns.
     """
-    state, doubt = np.zeros_like(rate), amplitude.copy()
+    state, doubt = np.zeros_like(rate), amplitude + 0.0
     score = np.zeros_like(rate)
-    gaps = np.diff(t, prepend=t[:1])
-    for gap, value, noise in zip(gaps, y, variance):
-        decay = np.exp(-rate * gap)
-        state = state * decay
+    for k in range(gaps.shape[1]):
+        column = slice(k, k + 1)
+        decay = np.exp(-rate * gaps[:, column])
+        state *= decay
         doubt = amplitude + (doubt - amplitude) * decay * decay
-        expected = doubt + noise
-        surprise = value - state
-        score -= 0.5 * (np.log(2.0 * np.pi * expected) + surprise * surprise / expected)
+        expected = doubt + variance[:, column]
+        surprise = y[:, column] - state
         gain = doubt / expected
-        state = state + gain * surprise
-        doubt = doubt * (1.0 - gain)
-    return score
+        score += there[:, column] * (np.log(expected) + surprise * surprise / expected)
+        state += gain * surprise
+        doubt *= 1.0 - gain
+    return -0.5 * (score + np.log(2.0 * np.pi) * there.sum(axis=1)[:, None])
 
 
-def zoom(score, axes, rounds):
-    """The best point on the grid of ``axes``, then on finer grids around it, with its score last."""
-    best = None
+def zoom(score, axes, count, rounds):
+    """For each of ``count`` curves the best point on a grid, refined around it; its score last.
+
+    ``score`` takes one array per axis, curves by rows and trials by columns.
+    """
+    axes = [np.tile(axis, (count, 1)) for axis in axes]
+    best = np.full((count, len(axes) + 1), np.nan)
+    best[:, -1] = -np.inf
+    rows = np.arange(count)
     for _ in range(rounds + 1):
-        mesh = np.meshgrid(*axes, indexing="ij")
-        trials = [axis.ravel() for axis in mesh]
-        values = score(*trials)
-        if not np.any(np.isfinite(values)):
-            return best
-        at = int(np.nanargmax(values))
-        if best is None or values[at] > best[-1]:
-            best = [*(float(axis[at]) for axis in trials), float(values[at])]
-        steps = [(axis[1] - axis[0]) if axis.size > 1 else 0.0 for axis in axes]
-        axes = [b + s * np.linspace(-1.0, 1.0, 9) if s else np.array([b]) for b, s in zip(best, steps)]
+        size = [axis.shape[1] for axis in axes]
+        trials = [
+            np.broadcast_to(
+                axis.reshape(count, *(n if j == i else 1 for j, n in enumerate(size))), (count, *size)
+            ).reshape(count, -1)
+            for i, axis in enumerate(axes)
+        ]
+        values = np.nan_to_num(score(*trials), nan=-np.inf, posinf=-np.inf)
+        at = values.argmax(axis=1)
+        better = values[rows, at] > best[:, -1]
+        for i, axis in enumerate(trials):
+            best[better, i] = axis[rows, at][better]
+        best[better, -1] = values[rows, at][better]
+        steps = [axis[:, 1] - axis[:, 0] for axis in axes]
+        axes = [best[:, i, None] + step[:, None] * np.linspace(-1.0, 1.0, 9) for i, step in enumerate(steps)]
     return best
 
 
-def walk_fit(t, m, e, log_amplitude, log_rate, rounds):
+def padded(curves):
+    """Gaps, centred magnitudes, squared errors and a mark, padded to the longest curve."""
+    length = max(t.size for t, _, _ in curves)
+    gaps, y, variance, there = np.zeros((4, len(curves), length))
+    variance += 1.0
+    for row, (t, m, e) in enumerate(curves):
+        gaps[row, 1 : t.size] = np.diff(t)
+        y[row, : t.size] = m - m.mean()
+        variance[row, : t.size] = e**2.0
+        there[row, : t.size] = 1.0
+    return gaps, y, variance, there
+
+
+def in_groups(curves, usable, fit, width):
+    """Apply ``fit`` to groups of curves of similar length; NaN where ``usable`` says no."""
+    rows = np.full((len(curves), width), np.nan)
+    order = sorted((i for i, curve in enumerate(curves) if usable(curve)), key=lambda i: curves[i][0].size)
+    for start in range(0, len(order), TOGETHER):
+        group = order[start : start + TOGETHER]
+        with np.errstate(all="ignore"):
+            rows[group] = fit([curves[i] for i in group])
+    return rows
+
+
+def walk_fits(curves, log_amplitude, log_rate, rounds):
     """Amplitude and time scale of the likeliest damped random walk, and its log-likelihood."""
-    if t.size < 2:
-        return None, None, None
-    y, variance = m - m.mean(), e**2.0
-    with np.errstate(all="ignore"):
+
+    def fit(group):
+        data = padded(group)
         best = zoom(
-            lambda a, c: walk_likelihood(t, y, variance, np.exp(a), np.exp(c)),
+            lambda a, c: walk_likelihood(*data, np.exp(a), np.exp(c)),
             [np.linspace(*log_amplitude), np.linspace(*log_rate)],
+            len(group),
             rounds,
         )
-    return (None, None, None) if best is None else (float(np.exp(best[0])), float(np.exp(-best[1])), best[2])
+        return np.stack([np.exp(best[:, 0]), np.exp(-best[:, 1]), best[:, 2]], axis=1)
+
+    return in_groups(curves, lambda c: c[0].size > 1, fit, 3)
 
 
-def autoregression_fit(t, m, e, phis, rounds):
+def autoregression_fits(curves, phis, rounds):
     """Irregular autoregression: likeliest correlation after one day, and its log-likelihood."""
-    if t.size < 2 or np.ptp(m) == 0:
-        return None, None
-    scale = m.std(ddof=1)
-    y, variance = (m - m.mean()) / scale, (e / scale) ** 2.0
 
-    def score(phi):
-        inside = (phi > 0.0) & (phi < 1.0)
-        rate = -np.log(np.where(inside, phi, 0.5))
-        value = walk_likelihood(t, y, variance, np.ones_like(phi), rate)
-        return np.where(inside, value, -np.inf)
+    def fit(group):
+        gaps, y, variance, there = padded(group)
+        scale = np.array([m.std(ddof=1) for _, m, _ in group])[:, None]
+        data = gaps, y / scale, variance / scale**2, there
 
-    with np.errstate(all="ignore"):
-        best = zoom(score, [np.linspace(*phis)], rounds)
-    return (None, None) if best is None else tuple(best)
+        def score(phi):
+            inside = (phi > 0.0) & (phi < 1.0)
+            rate = -np.log(np.where(inside, phi, 0.5))
+            return np.where(inside, walk_likelihood(*data, np.ones_like(rate), rate), -np.inf)
+
+        return zoom(score, [np.linspace(*phis)], len(group), rounds)
+
+    return in_groups(curves, lambda c: c[0].size > 1 and np.ptp(c[1]) > 0, fit, 2)
 
 
 # --------------------------------------------------------- variance at two scales
@@ -310,34 +368,39 @@ def harmonic_fit(t, m, e, period, count, floor):
 
 
 def template_shape(t, peak, plateau, slope, rise, fall):
-    """Supernova-like shape of unit amplitude, trials by rows and epochs by columns.
+    """Supernova-like shape of unit amplitude on a grid: one dimension per parameter, epochs last.
 
     Rise on a logistic curve, a plateau that declines linearly and an exponential
-    tail, joined smoothly (Villar et al. 2019; Sanchez-Saez et al. 2021).
+    tail, joined smoothly (Villar et al. 2019; Sanchez-Saez et al. 2021).  Each
+    factor is worked out on the parameters it depends on and no others.
     """
-    since = t[None, :] - peak[:, None]
-    late = since - plateau[:, None]
-    growth = 1.0 / (1.0 + np.exp(-since / rise[:, None]))
+    peak, plateau, slope, rise, fall = (axis[..., None] for axis in np.ix_(peak, plateau, slope, rise, fall))
+    since = t - peak
+    late = since - plateau
+    growth = 1.0 / (1.0 + np.exp(-since / rise))
     switch = 1.0 / (1.0 + np.exp(-late / 3.0))
-    flat = 1.0 - slope[:, None] * since / plateau[:, None]
-    tail = (1.0 - slope[:, None]) * np.exp(-np.maximum(late, -50.0) / fall[:, None])
-    return growth * (flat * (1.0 - switch) + tail * switch)
+    flat = (1.0 - slope * since / plateau) * (1.0 - switch)
+    tail = np.exp(-np.maximum(late, -50.0) / fall) * switch
+    return (flat + (1.0 - slope) * tail) * growth
 
 
-def template_scores(t, flux, weight, shapes):
-    """For each trial shape: best amplitude (not negative), offset and chi^2 / N."""
+def template_scores(t, flux, weight, axes):
+    """For each point of the grid: best amplitude (not negative), offset and chi^2 / N."""
     share = weight.sum()
     centre = (weight @ flux) / share
     y = flux - centre
-    s = np.zeros(shapes[0].size)
-    ss, sy = s.copy(), s.copy()
-    for part in blocks(t.size, 512):
-        shape = template_shape(t[part], *shapes)
-        s += shape @ weight[part]
-        ss += (shape * shape) @ weight[part]
-        sy += shape @ (weight[part] * y[part])
+    trials = int(np.prod([axis.size for axis in axes]))
+    s, ss, sy = np.zeros((3, trials))
+    for part in blocks(t.size, max(1, 500_000 // trials)):
+        shape = template_shape(t[part], *axes).reshape(trials, -1)
+        w = weight[part]
+        s += shape @ w
+        sy += shape @ (w * y[part])
+        ss += (shape * shape) @ w
     spread = ss - s * s / share
-    amplitude = np.where(spread > 1e-12 * ss, np.maximum(sy / np.where(spread == 0, 1.0, spread), 0.0), 0.0)
+    # A shape that is flat over the curve cannot be told from the offset.
+    varied = spread > 1e-6 * ss
+    amplitude = np.where(varied, np.maximum(sy / np.where(varied, spread, 1.0), 0.0), 0.0)
     offset = centre - amplitude * s / share
     chi = (weight @ (y * y) - 2.0 * amplitude * sy + amplitude**2 * spread) / t.size
     return amplitude, offset, chi
@@ -357,14 +420,14 @@ def template_fit(t, m, e, zero_point, grid, rounds):
     axes = [np.linspace(-50.0, high[0], grid[0])] + [np.asarray(axis, dtype=float) for axis in grid[1:]]
     best = None
     for turn in range(rounds + 1):
-        shapes = [axis.ravel() for axis in np.meshgrid(*axes, indexing="ij")]
         with np.errstate(all="ignore"):
-            amplitude, offset, chi = template_scores(t, flux, weight, shapes)
+            amplitude, offset, chi = template_scores(t, flux, weight, axes)
         if not np.any(np.isfinite(chi)):
             return nothing
         at = int(np.nanargmin(chi))
         if best is None or chi[at] <= best[6]:
-            point = [float(axis[at]) for axis in shapes]
+            place = np.unravel_index(at, [axis.size for axis in axes])
+            point = [float(axis[k]) for axis, k in zip(axes, place)]
             best = (float(amplitude[at]), *point, float(chi[at]), float(offset[at]))
         # The next grid has the best point in its middle and half the spacing.
         widths = [np.diff(axis).max() / 2.0 if axis.size > 1 else 0.0 for axis in axes]

@@ -258,8 +258,8 @@ def with_autoregression(
 
     @F.pandas_udf("phi double, score double")
     def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
-        rows = [kernels.autoregression_fit(t, m, e, grid, rounds) for t, m, e in zip(times, mags, errors)]
-        return pd.DataFrame(rows, columns=["phi", "score"], dtype=float)
+        rows = kernels.autoregression_fits(list(zip(times, mags, errors)), grid, rounds)
+        return pd.DataFrame(rows, columns=["phi", "score"])
 
     df = with_curve(df).withColumn("_iar", fit("_t", "_m", "_e"))
     return df.withColumns(

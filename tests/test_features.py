@@ -286,12 +286,12 @@ def test_a_planted_period_is_found(spark, true_period):
     assert 0.0 < found.PPE < 1.0 and found["Power_rate_1/2"] < 0.5 and found.Power_rate_3 < 0.5
 
 
-def test_grid_and_direct_sums_agree():
-    t, m, e = noise(9000, 5)
-    curve = kernels.prepared(t, m, e)
-    grid = kernels.grid_sums(*curve, 0.001, 0.001, 700)
-    direct = kernels.direct_sums(*curve, 0.001 + 0.001 * np.arange(700))
-    assert np.abs(grid - direct).max() < 1e-9
+@pytest.mark.parametrize("epochs,count", [(30, 700), (30, 1), (30, 19_999), (9000, 700)])
+def test_grid_and_listed_frequencies_agree(epochs, count):
+    curve = kernels.prepared(*noise(epochs, 5))
+    grid = kernels.grid_power(*curve, 0.001, 0.001, count)
+    listed = kernels.direct_sums(*curve, 0.001 + 0.001 * np.arange(count))
+    np.testing.assert_allclose(grid, kernels.aov(listed, curve[1], curve[2]), rtol=1e-6, atol=1e-8)
 
 
 def test_power_is_the_share_of_variance_a_sinusoid_explains():
@@ -346,26 +346,42 @@ def test_harmonics_of_a_short_curve_have_the_smallest_norm():
 # ------------------------------------------------------------------- other fits
 
 
+def likelihoods(t, m, e, amplitude, rate):
+    # A longer second curve, so that the first one is padded.
+    return kernels.walk_likelihood(
+        *kernels.padded([(t, m, e), noise(len(t) + 9, 20)]), np.tile(amplitude, (2, 1)), np.tile(rate, (2, 1))
+    )[0]
+
+
 def test_walk_likelihood_equals_a_dense_gaussian():
     t, m, e = noise(18, 9, span=30)
     t[7] = t[6]
     y = m - m.mean()
     a, c = np.array([0.3, 0.05]), np.array([0.2, 3.0])
-    found = kernels.walk_likelihood(t, y, e**2, a, c)
+    found = likelihoods(t, m, e, a, c)
     for i in range(2):
         cov = a[i] * np.exp(-c[i] * np.abs(t[:, None] - t[None, :])) + np.diag(e**2)
         dense = -0.5 * (y @ np.linalg.solve(cov, y) + np.linalg.slogdet(cov)[1] + 18 * math.log(2 * math.pi))
         assert found[i] == pytest.approx(dense, abs=1e-9)
 
 
+def test_curves_fitted_together_are_fitted_alone():
+    together = [noise(n, n) for n in (2, 90, 1, 17, 17, 40)]
+    for fit, args in (
+        (kernels.walk_fits, (fits.LOG_AMPLITUDE, fits.LOG_RATE, 1)),
+        (kernels.autoregression_fits, ((0.01, 0.99, 50), 1)),
+    ):
+        rows = fit(together, *args)
+        assert np.isnan(rows[2]).all()
+        for i, curve in enumerate(together):
+            np.testing.assert_allclose(rows[i], fit([curve], *args)[0], rtol=1e-9)
+
+
 def test_random_walk_beats_its_neighbours():
     t, m, e = noise(40, 10)
-    y = m - m.mean()
-    sigma, tau, score = kernels.walk_fit(t, m, e, fits.LOG_AMPLITUDE, fits.LOG_RATE, 4)
+    sigma, tau, score = kernels.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, 4)[0]
     around = [(sigma * f, tau * g) for f in (0.9, 1.0, 1.1) for g in (0.8, 1.0, 1.25)]
-    scores = kernels.walk_likelihood(
-        t, y, e**2, np.array([a for a, _ in around]), np.array([1 / b for _, b in around])
-    )
+    scores = likelihoods(t, m, e, np.array([a for a, _ in around]), np.array([1 / b for _, b in around]))
     assert score >= scores.max() - 1e-3
 
 
@@ -376,7 +392,7 @@ def test_autoregression_finds_a_planted_correlation():
     for i in range(1, 3000):
         phi = 0.8 ** (t[i] - t[i - 1])
         x[i] = phi * x[i - 1] + rng.normal(0, math.sqrt(1 - phi * phi))
-    found, _ = kernels.autoregression_fit(t, x, np.full(3000, 0.01), (0.01, 0.99, 50), 2)
+    found, _ = kernels.autoregression_fits([(t, x, np.full(3000, 0.01))], (0.01, 0.99, 50), 2)[0]
     assert found == pytest.approx(0.8, abs=0.05)
 
 
@@ -427,7 +443,7 @@ def test_slow_variation_has_more_slow_power():
 def test_template_recovers_a_planted_shape():
     t = np.linspace(0, 200, 150)
     args = [np.array([v]) for v in (40.0, 20.0, 0.4, 5.0, 20.0)]
-    flux = 50.0 * kernels.template_shape(t, *args)[0] + 3.0
+    flux = 50.0 * kernels.template_shape(t, *args).ravel() + 3.0
     m = 16.4 - 2.5 * np.log10(flux)
     found = kernels.template_fit(t, m, np.full(150, 0.02), 16.4, fits.TEMPLATE_GRID, 4)
     assert found[0] == pytest.approx(50.0, rel=0.15) and found[1] == pytest.approx(40.0, abs=8.0)
@@ -440,7 +456,7 @@ def test_template_chi_is_that_of_its_parameters():
     flux = 10 ** (-0.4 * (m - 16.4))
     error = 10 ** (-0.4 * (m - e - 16.4)) - flux
     flux = flux - np.percentile(flux, 5)
-    model = a * kernels.template_shape(t - t[0], *[np.array([v]) for v in shape])[0] + c
+    model = a * kernels.template_shape(t - t[0], *[np.array([v]) for v in shape]).ravel() + c
     assert chi == pytest.approx((((flux - model) / error) ** 2).mean(), rel=1e-6)
 
 
@@ -448,5 +464,5 @@ def test_refinement_never_loses():
     t, m, e = noise(30, 17, span=100)
     chis = [kernels.template_fit(t, m, e, 16.4, fits.TEMPLATE_GRID, r)[6] for r in (0, 1, 3)]
     assert chis == sorted(chis, reverse=True)
-    scores = [kernels.walk_fit(t, m, e, fits.LOG_AMPLITUDE, fits.LOG_RATE, r)[2] for r in (0, 1, 3)]
+    scores = [kernels.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, r)[0, 2] for r in (0, 1, 3)]
     assert scores == sorted(scores)
