@@ -152,7 +152,7 @@ def split_by_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mag_sum() -> Column:
-    return r6(curves.total(F.col("mag").cast("array<double>"))).alias("mag_sum")
+    return r6(F.expr(curves.total("cast(mag as array<double>)"))).alias("mag_sum")
 
 
 @query
@@ -160,9 +160,8 @@ def publish_lightcurves(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "documents")
     publish.append_new(publish.lightcurve_documents(fx.lightcurves(spark, sf_dir), binary=True), path)
     stored = spark.read.parquet(path)
-    sums = [
-        r6(curves.total(publish.from_binary(c, "<f8"))).alias(f"{c}_sum") for c in publish.SERIES
-    ]
+    stored = stored.withColumns({c: publish.from_binary(c, "<f8") for c in publish.SERIES})
+    sums = [r6(F.expr(curves.total(c))).alias(f"{c}_sum") for c in publish.SERIES]
     return stored.select(
         "_id",
         F.col("filterid").cast("long").alias("filterid"),
@@ -244,7 +243,7 @@ def arrays_to_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select(
         "objectid",
         F.octet_length("blob").cast("long").alias("bytes"),
-        r6(curves.total(F.col("back"))).alias("mag_sum"),
+        r6(F.expr(curves.total("back"))).alias("mag_sum"),
     )
 
 
@@ -447,7 +446,8 @@ def mag_to_flux(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def phase_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = fx.lightcurves(spark, sf_dir).withColumn("phase", curves.phase_fold(F.col("hmjd"), trial_period()))
+    table = fx.lightcurves(spark, sf_dir).withColumn("trial", trial_period())
+    table = table.withColumn("phase", curves.phase_fold("hmjd", "trial"))
     pairs = F.explode(F.arrays_zip("hmjd", "phase")).alias("_row")
     return rounded(table.select("objectid", pairs).select("objectid", "_row.*"), ("objectid",), ("hmjd", "phase"))
 
@@ -455,7 +455,7 @@ def phase_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lc_center(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = fx.lightcurves(spark, sf_dir).withColumns(
-        {f"by_{how}": curves.center(F.col("mag"), how) for how in ("min", "mean", "p5")}
+        {f"by_{how}": curves.center("mag", how) for how in ("min", "mean", "p5")}
     )
     parts = F.explode(F.arrays_zip("hmjd", "by_min", "by_mean", "by_p5")).alias("_row")
     rows = table.select("objectid", parts).select("objectid", "_row.*")
@@ -465,17 +465,13 @@ def lc_center(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lc_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = curves.with_curve(fx.lightcurves(spark, sf_dir))
-    ordered = F.sort_array("_m")
-    center = curves.mean(F.col("_m"))
-    table = table.withColumns({"mean": center, "_ordered": ordered})
-    spread = curves.total(F.col("_m"), lambda x: (x - F.col("mean")) * (x - F.col("mean")))
-    table = table.withColumns(
-        {
-            "std": F.sqrt(spread / F.col("_n")),
-            "low": F.array_min("_m"),
-            "high": F.array_max("_m"),
-            "p5": curves.percentile(F.col("_ordered"), 0.05),
-        }
+    table = curves.with_expressions(table, mean=curves.mean("_m"), _sorted="sort_array(_m)")
+    table = curves.with_expressions(
+        table,
+        std=f"sqrt({curves.total('_m', '(x - mean)*(x - mean)')}/_n)",
+        low=curves.first("_sorted"),
+        high=curves.last("_sorted"),
+        p5=curves.percentile("_sorted", 0.05),
     )
     return rounded(table, ("objectid",), ("mean", "std", "low", "high", "p5"))
 
@@ -577,7 +573,7 @@ def periodogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def topk_power(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = period.with_periodogram(kept(spark, sf_dir, FEATURE_LIMIT), COARSE_GRID)
-    top = F.posexplode(period.top_powers(F.col("_per"))).alias("place", "power")
+    top = F.posexplode(period.top_powers("_per")).alias("place", "power")
     rows = table.select("objectid", top)
     return rows.select("objectid", F.col("place").cast("long").alias("place"), r6("power").alias("power"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skyfold.features import kernels
 from skyfold.features.registry import FeatureFamily
-from skyfold.functions.curves import known, with_curve
+from skyfold.functions.curves import known, with_curve, with_expressions
 
 CURVE_INPUTS = ("hmjd", "mag", "magerr")
 
@@ -26,7 +26,7 @@ LOG_RATE = (-8.0, 5.0, 14)
 
 
 def _unpack(df: DataFrame, packed: str, names: tuple[str, ...]) -> DataFrame:
-    return df.withColumns({name: known(F.col(f"{packed}.{name}")) for name in names}).drop(packed)
+    return with_expressions(df, **{name: known(f"{packed}.{name}") for name in names}).drop(packed)
 
 
 def _struct(names: tuple[str, ...]) -> str:

@@ -12,8 +12,17 @@ from pyspark.sql import functions as F
 
 from skyfold.features import kernels
 from skyfold.features.registry import FeatureFamily
-from skyfold.functions import curves
-from skyfold.functions.curves import known, total, with_curve
+from skyfold.functions.curves import (
+    differences,
+    known,
+    mean,
+    phase,
+    ratio,
+    running_range,
+    total,
+    with_curve,
+    with_expressions,
+)
 
 CURVE_INPUTS = ("hmjd", "mag", "magerr")
 
@@ -30,11 +39,10 @@ class FrequencyGrid:
     def count(self) -> int:
         return max(int(math.ceil((self.stop - self.start) / self.step - 1e-9)), 1)
 
-    def nearest(self, frequency: Column) -> Column:
-        """The grid frequency closest to a frequency; outside the grid, its end."""
-        place = F.round((frequency - self.start) / self.step)
-        inside = F.greatest(F.least(place, F.lit(float(self.count - 1))), F.lit(0.0))
-        return F.lit(self.start) + inside * self.step
+    def nearest(self, frequency: str) -> str:
+        """SQL text for the grid frequency closest to a frequency; outside the grid, its end."""
+        place = f"round(({frequency} - {self.start!r}D)/{self.step!r}D)"
+        return f"({self.start!r}D + greatest(least({place}, {self.count - 1}), 0)*{self.step!r}D)"
 
 
 # The grid of the feature table: 0.001 to 20 per day in steps of 0.001, ten peaks
@@ -69,16 +77,19 @@ def periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> DataFrame
     return table.select("objectid", rows.alias("_row")).select("objectid", "_row.freq", "_row.power")
 
 
-def top_powers(powers: Column, count: int = TOP) -> Column:
-    """The largest powers, in falling order."""
-    return F.slice(F.sort_array(powers, asc=False), 1, count)
+def top_powers(powers: str, count: int = TOP) -> Column:
+    """The largest values of the array column ``powers``, in falling order."""
+    return F.expr(f"slice(sort_array({powers}, false), 1, {count})")
 
 
-def peak_entropy(top: Column, count: int = TOP) -> Column:
-    """PPE: 1 minus the entropy of the largest powers over its maximum."""
-    lifted = F.transform(top, lambda v: v + 0.01)
-    share = F.transform(lifted, lambda v: F.try_divide(v, total(lifted)))
-    return F.lit(1.0) + total(share, lambda v: v * F.log(v)) / math.log(count)
+def peak_entropy(top: str, count: int = TOP) -> str:
+    """PPE as SQL text: 1 minus the entropy of the largest powers over its maximum.
+
+    With v = power + 0.01 and s their sum, the entropy is ln(s) - sum(v ln v)/s.
+    """
+    lifted = f"transform({top}, v -> v + 0.01D)"
+    entropy = f"ln({total(lifted)}) - {ratio(total(lifted, 'x*ln(x)'), total(lifted))}"
+    return f"1 - ({entropy})/{math.log(count)!r}D"
 
 
 def with_period(
@@ -104,13 +115,12 @@ def with_period(
         return pd.DataFrame(rows, columns=["freq", "power", "top"])
 
     found = with_curve(df).withColumn("_best", best("_t", "_m", "_e"))
-    return found.withColumns(
-        {
-            "_best_freq": known(F.col("_best.freq")),
-            "_best_power": known(F.col("_best.power")),
-            "Multiband_period": F.try_divide(F.lit(1.0), known(F.col("_best.freq"))),
-            "PPE": peak_entropy(F.col("_best.top"), top),
-        }
+    return with_expressions(
+        found,
+        _best_freq=known("_best.freq"),
+        _best_power=known("_best.power"),
+        Multiband_period=ratio("1D", known("_best.freq")),
+        PPE=peak_entropy("_best.top", top),
     ).drop("_best")
 
 
@@ -136,15 +146,11 @@ def with_power_rates(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> Data
         ]
         return pd.Series(rows)
 
-    asked = F.array(*[grid.nearest(F.col("_best_freq") / factor) for factor in POWER_RATES.values()])
-    table = with_curve(df).withColumn("_asked", asked)
+    asked = ", ".join(grid.nearest(f"_best_freq/{factor!r}D") for factor in POWER_RATES.values())
+    table = with_expressions(with_curve(df), _asked=f"array({asked})")
     table = table.withColumn("_rates", power("_t", "_m", "_e", "_asked"))
-    return table.withColumns(
-        {
-            name: F.try_divide(F.get("_rates", F.lit(i)), F.col("_best_power"))
-            for i, name in enumerate(POWER_RATES)
-        }
-    ).drop("_asked", "_rates")
+    rates = {name: ratio(f"get(_rates, {i})", "_best_power") for i, name in enumerate(POWER_RATES)}
+    return with_expressions(table, **rates).drop("_asked", "_rates")
 
 
 def with_folded(df: DataFrame, period: str = "Multiband_period", time: str = "hmjd") -> DataFrame:
@@ -153,27 +159,18 @@ def with_folded(df: DataFrame, period: str = "Multiband_period", time: str = "hm
     Equal phases are ordered by time, then by place in the curve.
     """
     df = with_curve(df, time=time)
-    by_phase = F.sort_array(
-        F.arrays_zip(
-            F.transform("_t", lambda t: curves.phase(t, F.col(period))).alias("phase"),
-            F.transform("_t", lambda _, i: i).alias("place"),
-            F.col("_m").alias("mag"),
-        )
-    )
-    df = df.withColumn("_folded", by_phase)
-    df = df.withColumn("_fm", F.col("_folded.mag")).withColumn("_fmean", curves.mean(F.col("_fm")))
-    df = df.withColumn("_fdev", F.transform("_fm", lambda m: m - F.col("_fmean")))
-    df = df.withColumn("_fss", total(F.col("_fdev"), lambda d: d * d))
-    n = F.col("_n")
-    spread = F.sqrt(n * F.col("_fss"))
-    steps = total(curves.differences(F.col("_fm")), lambda d: d * d)
-    usable = F.col(period).isNotNull() & (n > 1)
-    return df.withColumns(
-        {
-            "Psi_CS": F.when(usable, F.try_divide(curves.running_range(F.col("_fdev")), spread)),
-            "Psi_eta": F.when(usable, F.try_divide(steps * n, (n - 1.0) * F.col("_fss"))),
-        }
-    ).drop("_folded", "_fm", "_fmean", "_fdev", "_fss")
+    placed = f"struct({phase('__x._t', period)} as phase, __i as place, __x._m as mag)"
+    df = with_expressions(df, _folded=f"sort_array(transform(arrays_zip(_t, _m), (__x, __i) -> {placed}))")
+    df = with_expressions(df, _fm="_folded.mag")
+    df = with_expressions(df, _fmean=mean("_fm"))
+    df = with_expressions(df, _fdev="transform(_fm, x -> x - _fmean)")
+    df = with_expressions(df, _fss=total("_fdev", "x*x"), _fsteps=total(differences("_fm"), "x*x"))
+    usable = f"{period} is not null and _n > 1"
+    return with_expressions(
+        df,
+        Psi_CS=f"if({usable}, {ratio(running_range('_fdev'), 'sqrt(_n*_fss)')}, null)",
+        Psi_eta=f"if({usable}, {ratio('_fsteps*_n', '(_n - 1)*_fss')}, null)",
+    ).drop("_folded", "_fm", "_fmean", "_fdev", "_fss", "_fsteps")
 
 
 def harmonic_names(count: int = 7) -> tuple[str, ...]:
@@ -193,8 +190,8 @@ def with_harmonics(
         return pd.Series([kernels.harmonic_fit(t, m, e, p, count, floor) for t, m, e, p in rows])
 
     table = with_curve(df).withColumn("_series", fit("_t", "_m", "_e", period))
-    names = harmonic_names(count)
-    return table.withColumns({name: F.get("_series", F.lit(i)) for i, name in enumerate(names)}).drop("_series")
+    values = {name: f"get(_series, {i})" for i, name in enumerate(harmonic_names(count))}
+    return with_expressions(table, **values).drop("_series")
 
 
 def period_family(grid: FrequencyGrid = STANDARD_GRID) -> FeatureFamily:

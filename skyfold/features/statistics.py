@@ -2,7 +2,7 @@
 
 Definitions follow Nun et al. 2015 (arXiv:1506.00010) and Sanchez-Saez et al. 2021
 (arXiv:2008.03311).  m is the magnitude, e its error, t the time, n the number of
-epochs, s the sample standard deviation.  All but three are column expressions;
+epochs, s the sample standard deviation.  All but three are SQL expressions;
 a ratio with a zero denominator is null.
 """
 
@@ -11,208 +11,165 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.features import kernels
 from skyfold.features.registry import FeatureFamily
-from skyfold.functions import curves, special
-from skyfold.functions.curves import total, total2, with_curve
+from skyfold.functions import special
+from skyfold.functions.curves import (
+    after,
+    before,
+    differences,
+    first,
+    head,
+    known,
+    last,
+    mean,
+    median,
+    percentile,
+    ratio,
+    running_range,
+    tail,
+    total,
+    with_curve,
+    with_expressions,
+)
 
 CURVE_INPUTS = ("hmjd", "mag", "magerr")
 
 
-def _col(name: str) -> Column:
-    return F.col(name)
-
-
-def _ratio(top: Column, bottom: Column) -> Column:
-    return F.try_divide(top, bottom)
-
-
 def with_spread(df: DataFrame) -> DataFrame:
     """Work columns that several statistics share: mean, deviations, variance."""
     df = with_curve(df)
     if "_dev" in df.columns:
         return df
-    df = df.withColumn("_mean", curves.mean(_col("_m")))
-    df = df.withColumn("_dev", F.transform("_m", lambda x: x - _col("_mean")))
-    df = df.withColumn("_ss", total(_col("_dev"), lambda d: d * d))
-    df = df.withColumn("_var", _ratio(_col("_ss"), _col("_n") - 1.0))
-    return df.withColumn("_std", F.sqrt("_var"))
+    df = with_expressions(df, _mean=mean("_m"))
+    df = with_expressions(df, _dev="transform(_m, x -> x - _mean)")
+    df = with_expressions(df, _ss=total("_dev", "x*x"))
+    return with_expressions(df, _var=ratio("_ss", "_n - 1"), _std=f"sqrt({ratio('_ss', '_n - 1')})")
 
 
 def with_moments(df: DataFrame) -> DataFrame:
     """Mean, Std, Meanvariance, Skew, SmallKurtosis, ExcessVar, LinearTrend."""
-    df = with_spread(df)
-    n, std = _col("_n"), _col("_std")
-    df = df.withColumns(
-        {
-            "_cube": total(_col("_dev"), lambda d: d * d * d),
-            "_fourth": total(_col("_dev"), lambda d: d * d * d * d),
-            "_noise": total(_col("_e"), lambda e: e * e),
-            "_tmean": curves.mean(_col("_t")),
-        }
+    df = with_expressions(with_spread(df), _tmean=mean("_t"))
+    df = with_expressions(
+        df,
+        _cube=total("_dev", "x*x*x"),
+        _fourth=total("_dev", "x*x*x*x"),
+        _noise=total("_e", "x*x"),
+        _tdev="transform(_t, x -> x - _tmean)",
     )
-    from_start = F.transform("_t", lambda t: t - _col("_tmean"))
-    df = df.withColumn("_tdev", from_start)
-    lifted = _ratio(n * (n + 1.0), (n - 1.0) * (n - 2.0) * (n - 3.0))
-    lowered = _ratio(F.lit(3.0) * (n - 1.0) * (n - 1.0), (n - 2.0) * (n - 3.0))
-    kurtosis = lifted * _ratio(_col("_fourth"), _col("_var") * _col("_var")) - lowered
-    return df.withColumns(
-        {
-            "Mean": _col("_mean"),
-            "Std": std,
-            "Meanvariance": _ratio(std, _col("_mean")),
-            "Skew": _ratio(_col("_cube") / n, F.pow(_col("_ss") / n, F.lit(1.5))),
-            "SmallKurtosis": F.when(n >= 4, kurtosis),
-            "ExcessVar": _ratio(_col("_ss") - _col("_noise"), n * _col("_mean") * _col("_mean")),
-            "LinearTrend": _ratio(
-                total2(_col("_tdev"), _col("_dev"), lambda t, d: t * d),
-                total(_col("_tdev"), lambda t: t * t),
-            ),
-        }
+    lifted = ratio("_n*(_n + 1)", "(_n - 1)*(_n - 2)*(_n - 3)")
+    lowered = ratio("3*(_n - 1)*(_n - 1)", "(_n - 2)*(_n - 3)")
+    return with_expressions(
+        df,
+        Mean="_mean",
+        Std="_std",
+        Meanvariance=ratio("_std", "_mean"),
+        Skew=ratio("_cube/_n", "pow(_ss/_n, 1.5D)"),
+        SmallKurtosis=f"if(_n >= 4, {lifted}*{ratio('_fourth', '_var*_var')} - {lowered}, null)",
+        ExcessVar=ratio("_ss - _noise", "_n*_mean*_mean"),
+        LinearTrend=ratio(total("zip_with(_tdev, _dev, (t, d) -> t*d)"), total("_tdev", "x*x")),
     )
 
 
 def with_quantiles(df: DataFrame) -> DataFrame:
     """Amplitude, Q31, MedianAbsDev, MedianBRP, PercentAmplitude, Gskew."""
-    df = with_curve(df)
-    df = df.withColumn("_sorted", F.sort_array("_m"))
-    ordered, n = _col("_sorted"), _col("_n")
-    df = df.withColumns(
-        {
-            "_median": curves.median(ordered),
-            "_p3": curves.percentile(ordered, 0.03),
-            "_p97": curves.percentile(ordered, 0.97),
-            "_edge": F.ceil(n * 0.05),
-            "_tenth": (F.get(ordered, F.size(ordered) - 1) - F.get(ordered, F.lit(0))) / 10.0,
-        }
+    df = with_expressions(with_curve(df), _sorted="sort_array(_m)")
+    df = with_expressions(
+        df,
+        _median=median("_sorted"),
+        _p3=percentile("_sorted", 0.03),
+        _p97=percentile("_sorted", 0.97),
+        _edge="ceil(_n*0.05D)",
+        _tenth=f"({last('_sorted')} - {first('_sorted')})/10",
     )
-    middle = _col("_median")
-    df = df.withColumns(
-        {
-            "_away": F.sort_array(F.transform(ordered, lambda x: F.abs(x - middle))),
-            "_lowest": F.filter(ordered, lambda x: x <= _col("_p3")),
-            "_highest": F.filter(ordered, lambda x: x >= _col("_p97")),
-            "_bottom": curves.head(ordered, _col("_edge")),
-            "_top": curves.tail(ordered, _col("_edge")),
-        }
+    df = with_expressions(
+        df,
+        _away="sort_array(transform(_sorted, x -> abs(x - _median)))",
+        _lowest="filter(_sorted, x -> x <= _p3)",
+        _highest="filter(_sorted, x -> x >= _p97)",
+        _bottom=head("_sorted", "_edge"),
+        _top=tail("_sorted", "_edge"),
     )
-    near = F.size(F.filter("_away", lambda x: x < _col("_tenth"))).cast("double")
-    return df.withColumns(
-        {
-            "Amplitude": (curves.median(_col("_top")) - curves.median(_col("_bottom"))) / 2.0,
-            "Q31": curves.percentile(ordered, 0.75) - curves.percentile(ordered, 0.25),
-            "MedianAbsDev": curves.median(_col("_away")),
-            "MedianBRP": _ratio(near, n),
-            "PercentAmplitude": _ratio(F.get("_away", F.size("_away") - 1), middle),
-            "Gskew": curves.median(_col("_lowest")) + curves.median(_col("_highest")) - middle * 2.0,
-        }
+    return with_expressions(
+        df,
+        Amplitude=f"({median('_top')} - {median('_bottom')})/2",
+        Q31=f"{percentile('_sorted', 0.75)} - {percentile('_sorted', 0.25)}",
+        MedianAbsDev=median("_away"),
+        MedianBRP=ratio("size(filter(_away, x -> x < _tenth))", "_n"),
+        PercentAmplitude=ratio(last("_away"), "_median"),
+        Gskew=f"{median('_lowest')} + {median('_highest')} - 2*_median",
     )
 
 
 def with_weighted(df: DataFrame) -> DataFrame:
     """Beyond1Std and StetsonK, about the mean weighted by 1/e^2."""
-    df = with_curve(df)
-    n = _col("_n")
-    df = df.withColumn("_weight", F.transform("_e", lambda e: F.try_divide(F.lit(1.0), e * e)))
-    weighted = total2(_col("_weight"), _col("_m"), lambda w, m: w * m)
-    df = df.withColumn("_wmean", _ratio(weighted, total(_col("_weight"))))
-    df = df.withColumn("_wdev", F.transform("_m", lambda m: m - _col("_wmean")))
-    df = df.withColumns(
-        {
-            "_wstd": F.sqrt(_ratio(total(_col("_wdev"), lambda d: d * d), n - 1.0)),
-            "_scaled": F.transform(
-                F.zip_with("_wdev", "_e", lambda d, e: F.try_divide(d, e)),
-                lambda d: d * F.sqrt(_ratio(n, n - 1.0)),
-            ),
-        }
+    df = with_expressions(with_curve(df), _weight=f"transform(_e, x -> {ratio('1D', 'x*x')})")
+    df = with_expressions(df, _wmean=ratio(total("zip_with(_weight, _m, (w, m) -> w*m)"), total("_weight")))
+    df = with_expressions(df, _wdev="transform(_m, x -> x - _wmean)")
+    df = with_expressions(
+        df,
+        _wstd=f"sqrt({ratio(total('_wdev', 'x*x'), '_n - 1')})",
+        _scaled=f"zip_with(_wdev, _e, (d, e) -> {ratio('d', 'e')}*sqrt({ratio('_n', '_n - 1')}))",
     )
-    beyond = F.size(F.filter("_wdev", lambda d: F.abs(d) > _col("_wstd"))).cast("double")
-    return df.withColumns(
-        {
-            "Beyond1Std": F.when(_col("_wstd").isNotNull(), _ratio(beyond, n)),
-            "StetsonK": _ratio(
-                total(_col("_scaled"), F.abs), F.sqrt(n * total(_col("_scaled"), lambda d: d * d))
-            ),
-        }
+    return with_expressions(
+        df,
+        Beyond1Std=f"if(_wstd is null, null, {ratio('size(filter(_wdev, x -> abs(x) > _wstd))', '_n')})",
+        StetsonK=ratio(total("_scaled", "abs(x)"), f"sqrt(_n*{total('_scaled', 'x*x')})"),
     )
 
 
 def with_ordered(df: DataFrame) -> DataFrame:
     """Con, Eta_e, MaxSlope, PairSlopeTrend, Rcs: statistics of the time order."""
-    df = with_spread(df)
-    n, std = _col("_n"), _col("_std")
-    limit = std * 2.0
-    side = F.transform(
-        "_dev",
-        lambda d: F.when(d > limit, F.lit(1)).when(d < -limit, F.lit(-1)).otherwise(F.lit(0)),
+    df = with_expressions(
+        with_spread(df),
+        _side="transform(_dev, x -> case when x > 2*_std then 1 when x < -2*_std then -1 else 0 end)",
+        _step=differences("_m"),
+        _gap=differences("_t"),
+        _last=differences(tail("_m", "30")),
     )
-    df = df.withColumns(
-        {
-            "_side": side,
-            "_step": curves.differences(_col("_m")),
-            "_gap": curves.differences(_col("_t")),
-        }
-    )
-
-    def same(a: Column, b: Column) -> Column:
-        return F.when(a == b, a).otherwise(F.lit(0))
-
-    df = df.withColumn("_pair", F.zip_with(curves.after(_col("_side")), curves.before(_col("_side")), same))
-    df = df.withColumns(
-        {
-            "_run": F.zip_with(curves.after(_col("_pair")), curves.head(_col("_side"), n - 2), same),
-            # Epochs at the same time have no slope: null, left out of what follows.
-            "_slope": F.filter(
-                F.zip_with("_step", "_gap", lambda m, t: F.try_divide(m, t)), lambda x: x.isNotNull()
-            ),
-            "_last": curves.differences(curves.tail(_col("_m"), F.lit(30))),
-        }
+    same = "(b, a) -> if(a = b, a, 0)"
+    df = with_expressions(
+        df,
+        _pair=f"zip_with({after('_side')}, {before('_side')}, {same})",
+        # Epochs at the same time have no slope: null, left out of what follows.
+        _slope=f"filter(zip_with(_step, _gap, (m, t) -> {ratio('m', 't')}), x -> x is not null)",
     )
-    span = F.get("_t", F.size("_t") - 1) - F.get("_t", F.lit(0))
-    ups = F.size(F.filter("_last", lambda d: d > 0)).cast("double")
-    downs = F.size("_last").cast("double") - ups
-    squares = total(_col("_slope"), lambda x: x * x)
-    # mean(w) * sum(w*dm^2) / sum(w) is the mean of dm^2/dt^2 over the pairs.
-    mean_square = _ratio(squares, F.size("_slope").cast("double"))
-    return df.withColumns(
-        {
-            "Con": _ratio(F.size(F.filter("_run", lambda x: x != 0)).cast("double"), n - 2.0),
-            "Eta_e": _ratio(mean_square * span * span, _col("_ss") * n),
-            "MaxSlope": F.array_max(F.transform("_slope", F.abs)),
-            "PairSlopeTrend": (ups - downs) / 30.0,
-            "Rcs": _ratio(curves.running_range(_col("_dev")), n * std),
-        }
+    df = with_expressions(df, _run=f"zip_with({after('_pair')}, {head('_side', '_n - 2')}, {same})")
+    # mean(w) * sum(w*dm^2) / sum(w) with w = 1/dt^2 is the mean of dm^2/dt^2 over the pairs.
+    mean_square = ratio(total("_slope", "x*x"), "size(_slope)")
+    span = f"({last('_t')} - {first('_t')})"
+    return with_expressions(
+        df,
+        Con=ratio("size(filter(_run, x -> x != 0))", "_n - 2"),
+        Eta_e=ratio(f"{mean_square}*{span}*{span}", "_ss*_n"),
+        MaxSlope="array_max(transform(_slope, x -> abs(x)))",
+        PairSlopeTrend="(2*size(filter(_last, x -> x > 0)) - size(_last))/30",
+        Rcs=ratio(running_range("_dev"), "_n*_std"),
     )
 
 
 def with_pvar(df: DataFrame) -> DataFrame:
     """Pvar: probability that a constant source would vary less than this one."""
     df = with_spread(df)
-    df = df.withColumn("_chi", total2(_col("_dev"), _col("_e"), lambda d, e: F.try_divide(d * d, e * e)))
-    return df.withColumn(
-        "Pvar", F.when(_col("_n") > 1, curves.known(special.chi_square_cdf(_col("_chi"), _col("_n") - 1.0)))
-    )
+    df = with_expressions(df, _chi=total(f"zip_with(_dev, _e, (d, e) -> {ratio('d*d', 'e*e')})"))
+    return with_expressions(df, Pvar=f"if(_n > 1, {known(special.chi_square_cdf('_chi', '(_n - 1)'))}, null)")
 
 
 def with_anderson_darling(df: DataFrame) -> DataFrame:
     """AndersonDarling: normality statistic A^2, squashed to 0..1 (Kim et al. 2009)."""
     df = with_spread(df)
-    df = df.withColumn("_z", F.sort_array(F.transform("_dev", lambda d: F.try_divide(d, _col("_std")))))
-    n = _col("_n")
-    df = df.withColumns(
-        {
-            "_below": F.transform("_z", special.log_normal_cdf),
-            "_above": F.transform(F.reverse("_z"), lambda z: special.log_normal_cdf(-z)),
-        }
+    df = with_expressions(df, _z=f"sort_array(transform(_dev, x -> {ratio('x', '_std')}))")
+    df = with_expressions(
+        df,
+        _below=f"transform(_z, x -> {special.log_normal_cdf('x')})",
+        _above=f"transform(reverse(_z), x -> {special.log_normal_cdf('(-x)')})",
     )
-    both = F.zip_with("_below", "_above", lambda a, b: a + b)
-    weighted = F.transform(both, lambda x, i: x * (i * 2 + 1))
-    squared = -n - _ratio(total(weighted), n)
-    squash = F.lit(1.0) / (F.lit(1.0) + F.exp((squared - 0.3) * -10.0))
-    return df.withColumn("AndersonDarling", F.when(_col("_std") > 0, squash))
+    both = "zip_with(_below, _above, (a, b) -> a + b)"
+    df = with_expressions(df, _a2=f"-_n - {ratio(total(f'transform({both}, (x, i) -> x*(2*i + 1))'), '_n')}")
+    return with_expressions(df, AndersonDarling="if(_std > 0, 1/(1 + exp(-10*(_a2 - 0.3D))), null)")
 
 
 def with_autocorrelation(df: DataFrame, level: float = math.exp(-1.0)) -> DataFrame:
@@ -222,8 +179,8 @@ def with_autocorrelation(df: DataFrame, level: float = math.exp(-1.0)) -> DataFr
     def length(mags: pd.Series) -> pd.Series:
         return pd.Series([kernels.correlation_length(m, level) for m in mags], dtype=float)
 
-    df = with_curve(df)
-    return df.withColumn("Autocor_length", curves.known(length("_m")))
+    df = with_curve(df).withColumn("_lag", length("_m"))
+    return with_expressions(df, Autocor_length=known("_lag"))
 
 
 # Lag bins in days: a tenth of a decade each, from 0.1 day to 11 years.
@@ -243,9 +200,7 @@ def with_structure_function(
         return pd.DataFrame(rows, columns=["a", "g"], dtype=float)
 
     df = with_curve(df).withColumn("_sf", fit("_t", "_m", "_e"))
-    return df.withColumns(
-        {"SF_ML_amplitude": curves.known(_col("_sf.a")), "SF_ML_gamma": curves.known(_col("_sf.g"))}
-    )
+    return with_expressions(df, SF_ML_amplitude=known("_sf.a"), SF_ML_gamma=known("_sf.g"))
 
 
 def with_autoregression(
@@ -262,9 +217,7 @@ def with_autoregression(
         return pd.DataFrame(rows, columns=["phi", "score"])
 
     df = with_curve(df).withColumn("_iar", fit("_t", "_m", "_e"))
-    return df.withColumns(
-        {"IAR_phi": curves.known(_col("_iar.phi")), "_iar_score": curves.known(_col("_iar.score"))}
-    ).drop("_iar")
+    return with_expressions(df, IAR_phi=known("_iar.phi"), _iar_score=known("_iar.score"))
 
 
 # Names and order of the statistics in the feature table.
@@ -299,7 +252,7 @@ STATISTICS = (
 
 _WORK = (
     "_cube _fourth _noise _tmean _tdev _sorted _median _p3 _p97 _edge _tenth _away _lowest _highest _bottom _top "
-    "_weight _wmean _wdev _wstd _scaled _side _step _gap _pair _run _slope _last _chi _z _below _above _sf _iar_score "
+    "_weight _wmean _wdev _wstd _scaled _side _step _gap _pair _run _slope _last _chi _z _below _above _a2 _lag _sf _iar _iar_score "
     "_mean _dev _ss _var _std"
 ).split()
 

@@ -5,8 +5,6 @@ All of them are row-local, so a plan that uses them has no exchange.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,110 +39,113 @@ def with_curve(df: DataFrame, time: str = "hmjd", mag: str = "mag", err: str = "
     ).drop("_curve")
 
 
-def total(values: Column, of: Callable[[Column], Column] = lambda x: x) -> Column:
-    """Sum of ``of(x)`` over an array."""
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + of(x))
+def with_expressions(df: DataFrame, **columns: str) -> DataFrame:
+    """Add columns from SQL text, all in one projection."""
+    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
+
+
+# The functions below build SQL text from SQL text.  An element is called x, so a
+# term must not name a column x.
 
 
-def total2(left: Column, right: Column, of: Callable[[Column, Column], Column]) -> Column:
-    """Sum of ``of(x, y)`` over two parallel arrays."""
-    return total(F.zip_with(left, right, of))
+def total(array: str, term: str = "x") -> str:
+    """Sum of a term over an array."""
+    return f"aggregate({array}, 0D, (acc, x) -> acc + ({term}))"
 
 
-def mean(values: Column) -> Column:
-    return F.try_divide(total(values), F.size(values).cast("double"))
+def ratio(top: str, bottom: str) -> str:
+    """A quotient that is null when the denominator is zero."""
+    return f"try_divide({top}, {bottom})"
 
 
-def head(values: Column, count: Column) -> Column:
-    return F.slice(values, F.lit(1), F.greatest(count.cast("int"), F.lit(0)))
+def mean(array: str) -> str:
+    return ratio(total(array), f"size({array})")
 
 
-def tail(values: Column, count: Column) -> Column:
+def head(array: str, count: str) -> str:
+    return f"slice({array}, 1, greatest(int({count}), 0))"
+
+
+def tail(array: str, count: str) -> str:
     """The last ``count`` elements, or all of them when there are fewer."""
-    wanted = F.least(F.greatest(count.cast("int"), F.lit(0)), F.size(values))
-    return F.slice(values, F.size(values) - wanted + 1, wanted)
+    wanted = f"least(greatest(int({count}), 0), size({array}))"
+    return f"slice({array}, size({array}) - {wanted} + 1, {wanted})"
 
 
-def before(values: Column) -> Column:
+def before(array: str) -> str:
     """All elements but the last: the left end of each successive pair."""
-    return head(values, F.size(values) - 1)
+    return head(array, f"size({array}) - 1")
 
 
-def after(values: Column) -> Column:
+def after(array: str) -> str:
     """All elements but the first: the right end of each successive pair."""
-    return tail(values, F.size(values) - 1)
+    return tail(array, f"size({array}) - 1")
 
 
-def differences(values: Column) -> Column:
+def differences(array: str) -> str:
     """``x[i+1] - x[i]``."""
-    return F.zip_with(after(values), before(values), lambda b, a: b - a)
+    return f"zip_with({after(array)}, {before(array)}, (b, a) -> b - a)"
 
 
-def percentile(ordered: Column, fraction: float) -> Column:
-    """Exact percentile with linear interpolation over an ascending array."""
-    place = (F.size(ordered) - 1).cast("double") * F.lit(fraction)
-    low = F.floor(place).cast("int")
-    high = F.ceil(place).cast("int")
-    left, right = F.get(ordered, low), F.get(ordered, high)
-    return left + (right - left) * (place - low)
+def first(array: str) -> str:
+    return f"get({array}, 0)"
 
 
-def median(ordered: Column) -> Column:
-    count = F.size(ordered)
-    left = F.get(ordered, F.floor((count - 1) / 2).cast("int"))
-    right = F.get(ordered, F.floor(count / 2).cast("int"))
-    return (left + right) / 2.0
+def last(array: str) -> str:
+    return f"get({array}, size({array}) - 1)"
 
 
-def running_range(steps: Column) -> Column:
-    """Largest minus smallest value of the running sum, in one fold."""
-    start = F.struct(
-        F.lit(0.0).alias("at"), F.lit(_LARGEST).alias("low"), F.lit(-_LARGEST).alias("high")
-    )
+def percentile(ordered: str, fraction: float) -> str:
+    """Exact percentile with linear interpolation over an ascending array."""
+    place = f"((size({ordered}) - 1)*{fraction!r}D)"
+    low, high = f"get({ordered}, int(floor({place})))", f"get({ordered}, int(ceil({place})))"
+    return f"({low} + ({high} - {low})*({place} - floor({place})))"
 
-    def move(state: Column, step: Column) -> Column:
-        at = state["at"] + step
-        return F.struct(
-            at.alias("at"),
-            F.least(state["low"], at).alias("low"),
-            F.greatest(state["high"], at).alias("high"),
-        )
 
-    spread = F.aggregate(steps, start, move, lambda state: state["high"] - state["low"])
-    return F.when(F.size(steps) > 0, spread)
+def median(ordered: str) -> str:
+    low, high = f"get({ordered}, (size({ordered}) - 1) div 2)", f"get({ordered}, size({ordered}) div 2)"
+    return f"(({low} + {high})/2D)"
+
+
+def running_range(steps: str) -> str:
+    """Largest minus smallest value of the running sum, in one fold."""
+    start = f"struct(0D as at, {_LARGEST!r}D as low, {-_LARGEST!r}D as high)"
+    move = "struct(s.at + x as at, least(s.low, s.at + x) as low, greatest(s.high, s.at + x) as high)"
+    fold = f"aggregate({steps}, {start}, (s, x) -> {move}, s -> s.high - s.low)"
+    return f"if(size({steps}) > 0, {fold}, null)"
 
 
-def known(value: Column) -> Column:
+def known(value: str) -> str:
     """Null in place of NaN: missing values are null everywhere in this package."""
-    return F.when(~F.isnan(value), value)
+    return f"nullif({value}, double('NaN'))"
 
 
 # ---------------------------------------------------------------- public helpers
 
 
-def center(values: Column, by: str = "mean") -> Column:
-    """Shift an array by its ``min``, ``mean`` or 5th percentile (``p5``)."""
-    doubles = values.cast("array<double>")
-    if by == "min":
-        origin = F.array_min(doubles)
-    elif by == "mean":
-        origin = mean(doubles)
-    elif by == "p5":
-        origin = percentile(F.sort_array(doubles), 0.05)
-    else:
+def center(values: str, by: str = "mean") -> Column:
+    """Shift the array column ``values`` by its ``min``, ``mean`` or 5th percentile (``p5``)."""
+    doubles = f"cast({values} as array<double>)"
+    origins = {
+        "min": f"array_min({doubles})",
+        "mean": mean(doubles),
+        "p5": percentile(f"sort_array({doubles})", 0.05),
+    }
+    if by not in origins:
         raise ValueError(f"cannot centre by {by!r}; use min, mean or p5")
-    return F.transform(doubles, lambda x: x - origin)
+    # The origin is worked out once per curve, not once per element.
+    return F.expr(f"transform(array({origins[by]}), __o -> transform({doubles}, __x -> __x - __o))[0]")
 
 
-def phase(time: Column, period: Column, cycles: int = 2) -> Column:
-    """Fold one time: position within ``cycles`` periods, from 0 up to 1."""
-    span = period * F.lit(float(cycles))
-    return F.try_divide(F.pmod(time, span), span)
+def phase(time: str, period: str, cycles: int = 2) -> str:
+    """SQL text that folds one time: position within ``cycles`` periods, from 0 up to 1."""
+    span = f"({period}*{float(cycles)!r}D)"
+    return ratio(f"pmod({time}, {span})", span)
 
 
-def phase_fold(times: Column, period: Column, cycles: int = 2) -> Column:
-    """Fold an array of times."""
-    return F.transform(times.cast("array<double>"), lambda t: phase(t, period, cycles))
+def phase_fold(times: str, period: str, cycles: int = 2) -> Column:
+    """Fold the array column ``times`` by the column ``period``."""
+    return F.expr(f"transform(cast({times} as array<double>), __x -> {phase('__x', period, cycles)})")
 
 
 def mag_to_flux(mag: Column, zero_point: float = 16.4) -> Column:

@@ -1,12 +1,12 @@
-"""Distribution functions that Spark does not have, as column expressions."""
+"""Distribution functions that Spark does not have, as SQL text built from SQL text.
+
+Arguments must not name columns k or s, which the folds use.
+"""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Numerator and denominator of Hart's rational form of the normal
 # tail, highest power first (Hart 1968, as given by West 2005).
 NORMAL_TOP = (
@@ -31,29 +31,34 @@ NORMAL_BOTTOM = (
 NORMAL_SWITCH = 7.07106781186547
 
 
-def _horner(x: Column, coefficients: tuple[float, ...]) -> Column:
-    value = F.lit(coefficients[0])
+def number(value: float) -> str:
+    """A double literal."""
+    return f"{value!r}D"
+
+
+def _horner(x: str, coefficients: tuple[float, ...]) -> str:
+    value = number(coefficients[0])
     for c in coefficients[1:]:
-        value = value * x + F.lit(c)
+        value = f"({value}*{x} + {number(c)})"
     return value
 
 
-def normal_tail(x: Column) -> Column:
+def normal_tail(x: str) -> str:
     """P(Z > x) for x >= 0, to about 1e-15."""
-    density = F.exp(-x * x / 2.0)
-    near = density * _horner(x, NORMAL_TOP) / _horner(x, NORMAL_BOTTOM)
+    density = f"exp(-{x}*{x}/2D)"
+    near = f"{density}*{_horner(x, NORMAL_TOP)}/{_horner(x, NORMAL_BOTTOM)}"
     # Beyond the switch a continued fraction converges in a few terms.
-    fraction = x + F.lit(0.65)
-    for k in (4.0, 3.0, 2.0, 1.0):
-        fraction = x + F.lit(k) / fraction
-    far = density / fraction / F.lit(math.sqrt(2.0 * math.pi))
-    return F.when(x < NORMAL_SWITCH, near).otherwise(far)
+    fraction = f"({x} + 0.65D)"
+    for k in (4, 3, 2, 1):
+        fraction = f"({x} + {k}D/{fraction})"
+    far = f"{density}/{fraction}/{number(math.sqrt(2.0 * math.pi))}"
+    return f"if({x} < {number(NORMAL_SWITCH)}, {near}, {far})"
 
 
-def log_normal_cdf(x: Column) -> Column:
+def log_normal_cdf(x: str) -> str:
     """ln P(Z <= x), kept accurate in both tails."""
-    tail = normal_tail(F.abs(x))
-    return F.when(x < 0, F.log(tail)).otherwise(F.log1p(-tail))
+    tail = normal_tail(f"abs({x})")
+    return f"if({x} < 0, ln({tail}), log1p(-({tail})))"
 
 
 # Lanczos coefficients for g = 7, nine terms.
@@ -70,47 +75,38 @@ LANCZOS = (
 )
 
 
-def log_gamma(a: Column) -> Column:
+def log_gamma(a: str) -> str:
     """ln Gamma(a) for a >= 0.5."""
-    z = a - 1.0
-    series = F.lit(LANCZOS[0])
-    for i, c in enumerate(LANCZOS[1:], start=1):
-        series = series + F.lit(c) / (z + float(i))
-    base = z + 7.5
-    return F.lit(0.5 * math.log(2.0 * math.pi)) + (z + 0.5) * F.log(base) - base + F.log(series)
+    series = " + ".join(
+        [number(LANCZOS[0]), *(f"({number(c)})/({a} + {i}D)" for i, c in enumerate(LANCZOS[1:]))]
+    )
+    base = f"({a} + 6.5D)"
+    return f"({number(0.5 * math.log(2.0 * math.pi))} + ({a} - 0.5D)*ln{base} - {base} + ln({series}))"
 
 
-def regularized_gamma(a: Column, x: Column) -> Column:
+def regularized_gamma(a: str, x: str) -> str:
     """P(a, x), the lower regularized incomplete gamma function.
 
     Below a + 1 the power series is folded, above it the continued fraction of
-    the upper tail.  Both need about 10*sqrt(a) + 60 terms, so the number of terms
-    follows the number of epochs and no curve is cut short.
+    the upper tail, from the innermost level outwards.  Both take 10*sqrt(a) + 60
+    terms, so the number of terms follows the number of epochs and no curve is
+    cut short.
     """
-    terms = F.sequence(F.lit(1), (F.sqrt(a) * 10.0 + 60.0).cast("int"))
-    front = F.exp(a * F.log(x) - x - log_gamma(a))
-
-    def add(state: Column, k: Column) -> Column:
-        term = state["term"] * x / (a + k)
-        return F.struct(term.alias("term"), (state["sum"] + term).alias("sum"))
-
-    first = 1.0 / a
-    series = F.aggregate(
-        terms, F.struct(first.alias("term"), first.alias("sum")), add, lambda state: state["sum"]
+    terms = f"sequence(1, int(sqrt({a})*10) + 60)"
+    front = f"exp({a}*ln({x}) - {x} - {log_gamma(a)})"
+    series = (
+        f"aggregate({terms}, struct(1D/{a} as term, 1D/{a} as sum), "
+        f"(s, k) -> struct(s.term*{x}/({a} + k) as term, s.sum + s.term*{x}/({a} + k) as sum), s -> s.sum)"
+    )
+    fraction = (
+        f"aggregate(reverse({terms}), {x} + 2*(int(sqrt({a})*10) + 60) + 1 - {a}, "
+        f"(s, k) -> {x} + (2*k - 1) - {a} + k*({a} - k)/s)"
+    )
+    return (
+        f"case when {x} <= 0 then 0D when {x} < {a} + 1 then {front}*{series} "
+        f"else 1D - {front}/{fraction} end"
     )
-
-    # Evaluated from the innermost level outwards, so no guard against zero is needed.
-    def outward(state: Column, k: Column) -> Column:
-        # state holds b_k + ..., with b_k = x + 2k + 1 - a
-        return x + (k * 2.0 - 1.0) - a + k * (a - k) / state
-
-    steps = F.transform(F.reverse(terms), lambda k: k.cast("double"))
-    count = F.size(terms).cast("double")
-    fraction = F.aggregate(steps, x + count * 2.0 + 1.0 - a, outward)
-    lower = front * series
-    upper = front / fraction
-    return F.when(x <= 0, F.lit(0.0)).when(x < a + 1.0, lower).otherwise(1.0 - upper)
 
 
-def chi_square_cdf(x: Column, degrees: Column) -> Column:
-    return regularized_gamma(degrees / 2.0, x / 2.0)
+def chi_square_cdf(x: str, degrees: str) -> str:
+    return regularized_gamma(f"({degrees}/2D)", f"({x}/2D)")
