@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.functions import text
@@ -48,17 +50,19 @@ def manifest_by_field(manifest: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, skip: str = "tmp") -> DataFrame:
-    """``path`` and ``length`` of the files under a folder, without those with ``skip`` in them.
+    """``path`` and ``length`` of the files under a folder, without those with ``skip`` below it.
 
     Only names and sizes are asked for, so no content is read.  Files of no bytes
     are left out by Spark; no data file is empty.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return without(files.select("path", "length"), skip)
+    folder = re.sub(r"^[A-Za-z0-9+.-]+:/*", "", path).strip("/")
+    return without(files.select("path", "length"), skip, F.substring_index(F.col("path"), folder, -1))
 
 
-def without(files: DataFrame, skip: str = "tmp", path: str = "path") -> DataFrame:
-    return files.filter(~F.col(path).contains(skip))
+def without(files: DataFrame, skip: str, text: Column | None = None) -> DataFrame:
+    """Files whose path, or the given part of it, does not contain ``skip``."""
+    return files.filter(~(F.col("path") if text is None else text).contains(skip))
 
 
 def with_checksum(files: DataFrame, content: str = "content") -> DataFrame:
