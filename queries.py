@@ -468,7 +468,7 @@ def lc_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = curves.with_expressions(table, mean=curves.mean("_m"), _sorted="sort_array(_m)")
     table = curves.with_expressions(
         table,
-        std=f"sqrt({curves.total('_m', '(x - mean)*(x - mean)')}/_n)",
+        std=f"sqrt({curves.bound('o', 'mean', curves.total('_m', '(x - o)*(x - o)'))}/_n)",
         low=curves.first("_sorted"),
         high=curves.last("_sorted"),
         p5=curves.percentile("_sorted", 0.05),

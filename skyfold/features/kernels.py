@@ -257,28 +257,65 @@ def autoregression_fits(curves, phis, rounds):
 # --------------------------------------------------------- variance at two scales
 
 
+LONG = 1500
+TERMS = 24
+
+
+def gauss_sums(t, width, *values):
+    """Sums of v_j * exp(-(t_i - t_j)^2 / (2 width^2)) at every epoch, in linear time.
+
+    Epochs fall into boxes of sqrt(2) widths, each summed up in the powers of the
+    distance from its middle; a box acts through the Hermite expansion of the
+    Gaussian (Greengard & Strain 1991).  24 terms and 7 boxes to each side leave
+    nothing out in double precision.
+    """
+    u = (t - t[0]) / (np.sqrt(2.0) * width)
+    box = np.floor(u).astype(np.int64)
+    used, at = np.unique(box, return_inverse=True)
+    offset = u - (box + 0.5)
+    powers = np.ones(t.size)
+    moments = np.empty((len(values), TERMS, used.size))
+    for n in range(TERMS):
+        for row, v in enumerate(values):
+            moments[row, n] = np.bincount(at, weights=v * powers, minlength=used.size)
+        powers = powers * offset / (n + 1)
+    sums = np.zeros((len(values), t.size))
+    for shift in range(-7, 8):
+        place = np.minimum(np.searchsorted(used, box + shift), used.size - 1)
+        rows = np.flatnonzero(used[place] == box + shift)
+        if not rows.size:
+            continue
+        x = offset[rows] - shift
+        before, hermite = np.zeros(rows.size), np.exp(-x * x)
+        for n in range(TERMS):
+            sums[:, rows] += moments[:, n, place[rows]] * hermite
+            before, hermite = hermite, 2.0 * (x * hermite - n * before)
+    return sums
+
+
 def band_pass(t, m, e, scale, epsilon=0.01):
     """Mexican-hat filtered power and its noise at one time scale (Arevalo et al. 2012).
 
     The filter is the difference of two Gaussian means whose widths differ by the
-    factor 1 + epsilon.  Epochs further apart than nine widths add nothing in
-    double precision and are left out of the sums.
+    factor 1 + epsilon.
     """
     sigma = scale / np.sqrt(2.0 * np.pi**2)
     narrow, broad = sigma / np.sqrt(1.0 + epsilon), sigma * np.sqrt(1.0 + epsilon)
-    first = np.searchsorted(t, t - 9.0 * broad, side="left")
-    last = np.searchsorted(t, t + 9.0 * broad, side="right")
-    filtered = np.empty(t.size)
-    noise = np.empty(t.size)
-    for part in blocks(t.size, 256):
-        window = slice(first[part.start], last[part.stop - 1])
-        gap = np.subtract.outer(t[part], t[window]) ** 2
+    if t.size <= LONG:
+        gap = np.subtract.outer(t, t) ** 2
         inner = np.exp(-gap / (2.0 * narrow**2))
         outer = np.exp(-gap / (2.0 * broad**2))
         hat = inner / inner.sum(axis=1)[:, None] - outer / outer.sum(axis=1)[:, None]
-        filtered[part] = hat @ m[window]
-        noise[part] = (hat * hat) @ e[window] ** 2
-    return filtered, noise
+        return hat @ m, (hat * hat) @ e**2
+    one, square = np.ones(t.size), e * e
+    inner, inner_m = gauss_sums(t, narrow, one, m)
+    outer, outer_m = gauss_sums(t, broad, one, m)
+    # The square of the filter is a sum of three Gaussians of other widths.
+    both = 1.0 / np.hypot(1.0 / narrow, 1.0 / broad)
+    noise = gauss_sums(t, narrow / np.sqrt(2.0), square)[0] / inner**2
+    noise += gauss_sums(t, broad / np.sqrt(2.0), square)[0] / outer**2
+    noise -= 2.0 * gauss_sums(t, both, square)[0] / (inner * outer)
+    return inner_m / inner - outer_m / outer, noise
 
 
 def two_scale_power(t, m, e, slow, fast):

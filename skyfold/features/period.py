@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from skyfold.features import kernels
 from skyfold.features.registry import FeatureFamily
 from skyfold.functions.curves import (
+    bound,
     differences,
     known,
     mean,
@@ -159,11 +160,12 @@ def with_folded(df: DataFrame, period: str = "Multiband_period", time: str = "hm
     Equal phases are ordered by time, then by place in the curve.
     """
     df = with_curve(df, time=time)
-    placed = f"struct({phase('__x._t', period)} as phase, __i as place, __x._m as mag)"
-    df = with_expressions(df, _folded=f"sort_array(transform(arrays_zip(_t, _m), (__x, __i) -> {placed}))")
+    placed = f"struct({phase('__x._t', '__p')} as phase, __i as place, __x._m as mag)"
+    by_place = f"transform(arrays_zip(_t, _m), (__x, __i) -> {placed})"
+    df = with_expressions(df, _folded=f"sort_array({bound('__p', f'cast({period} as double)', by_place)})")
     df = with_expressions(df, _fm="_folded.mag")
     df = with_expressions(df, _fmean=mean("_fm"))
-    df = with_expressions(df, _fdev="transform(_fm, x -> x - _fmean)")
+    df = with_expressions(df, _fdev=bound("o", "_fmean", "transform(_fm, x -> x - o)"))
     df = with_expressions(df, _fss=total("_fdev", "x*x"), _fsteps=total(differences("_fm"), "x*x"))
     usable = f"{period} is not null and _n > 1"
     return with_expressions(

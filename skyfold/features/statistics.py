@@ -20,6 +20,7 @@ from skyfold.functions import special
 from skyfold.functions.curves import (
     after,
     before,
+    bound,
     differences,
     first,
     head,
@@ -45,7 +46,7 @@ def with_spread(df: DataFrame) -> DataFrame:
     if "_dev" in df.columns:
         return df
     df = with_expressions(df, _mean=mean("_m"))
-    df = with_expressions(df, _dev="transform(_m, x -> x - _mean)")
+    df = with_expressions(df, _dev=bound("o", "_mean", "transform(_m, x -> x - o)"))
     df = with_expressions(df, _ss=total("_dev", "x*x"))
     return with_expressions(df, _var=ratio("_ss", "_n - 1"), _std=f"sqrt({ratio('_ss', '_n - 1')})")
 
@@ -58,7 +59,7 @@ def with_moments(df: DataFrame) -> DataFrame:
         _cube=total("_dev", "x*x*x"),
         _fourth=total("_dev", "x*x*x*x"),
         _noise=total("_e", "x*x"),
-        _tdev="transform(_t, x -> x - _tmean)",
+        _tdev=bound("o", "_tmean", "transform(_t, x -> x - o)"),
     )
     lifted = ratio("_n*(_n + 1)", "(_n - 1)*(_n - 2)*(_n - 3)")
     lowered = ratio("3*(_n - 1)*(_n - 1)", "(_n - 2)*(_n - 3)")
@@ -87,9 +88,9 @@ def with_quantiles(df: DataFrame) -> DataFrame:
     )
     df = with_expressions(
         df,
-        _away="sort_array(transform(_sorted, x -> abs(x - _median)))",
-        _lowest="filter(_sorted, x -> x <= _p3)",
-        _highest="filter(_sorted, x -> x >= _p97)",
+        _away=f"sort_array({bound('o', '_median', 'transform(_sorted, x -> abs(x - o))')})",
+        _lowest=bound("p", "_p3", "filter(_sorted, x -> x <= p)"),
+        _highest=bound("p", "_p97", "filter(_sorted, x -> x >= p)"),
         _bottom=head("_sorted", "_edge"),
         _top=tail("_sorted", "_edge"),
     )
@@ -98,7 +99,7 @@ def with_quantiles(df: DataFrame) -> DataFrame:
         Amplitude=f"({median('_top')} - {median('_bottom')})/2",
         Q31=f"{percentile('_sorted', 0.75)} - {percentile('_sorted', 0.25)}",
         MedianAbsDev=median("_away"),
-        MedianBRP=ratio("size(filter(_away, x -> x < _tenth))", "_n"),
+        MedianBRP=ratio(f"size({bound('w', '_tenth', 'filter(_away, x -> x < w)')})", "_n"),
         PercentAmplitude=ratio(last("_away"), "_median"),
         Gskew=f"{median('_lowest')} + {median('_highest')} - 2*_median",
     )
@@ -108,15 +109,18 @@ def with_weighted(df: DataFrame) -> DataFrame:
     """Beyond1Std and StetsonK, about the mean weighted by 1/e^2."""
     df = with_expressions(with_curve(df), _weight=f"transform(_e, x -> {ratio('1D', 'x*x')})")
     df = with_expressions(df, _wmean=ratio(total("zip_with(_weight, _m, (w, m) -> w*m)"), total("_weight")))
-    df = with_expressions(df, _wdev="transform(_m, x -> x - _wmean)")
+    df = with_expressions(df, _wdev=bound("o", "_wmean", "transform(_m, x -> x - o)"))
     df = with_expressions(
         df,
         _wstd=f"sqrt({ratio(total('_wdev', 'x*x'), '_n - 1')})",
-        _scaled=f"zip_with(_wdev, _e, (d, e) -> {ratio('d', 'e')}*sqrt({ratio('_n', '_n - 1')}))",
+        _scaled=bound(
+            "f", f"sqrt({ratio('_n', '_n - 1')})", f"zip_with(_wdev, _e, (d, e) -> {ratio('d', 'e')}*f)"
+        ),
     )
+    beyond = bound("w", "_wstd", "filter(_wdev, x -> abs(x) > w)")
     return with_expressions(
         df,
-        Beyond1Std=f"if(_wstd is null, null, {ratio('size(filter(_wdev, x -> abs(x) > _wstd))', '_n')})",
+        Beyond1Std=f"if(_wstd is null, null, {ratio(f'size({beyond})', '_n')})",
         StetsonK=ratio(total("_scaled", "abs(x)"), f"sqrt(_n*{total('_scaled', 'x*x')})"),
     )
 
@@ -125,7 +129,7 @@ def with_ordered(df: DataFrame) -> DataFrame:
     """Con, Eta_e, MaxSlope, PairSlopeTrend, Rcs: statistics of the time order."""
     df = with_expressions(
         with_spread(df),
-        _side="transform(_dev, x -> case when x > 2*_std then 1 when x < -2*_std then -1 else 0 end)",
+        _side=bound("w", "2*_std", "transform(_dev, x -> case when x > w then 1 when x < -w then -1 else 0 end)"),
         _step=differences("_m"),
         _gap=differences("_t"),
         _last=differences(tail("_m", "30")),
@@ -160,8 +164,9 @@ def with_pvar(df: DataFrame) -> DataFrame:
 
 def with_anderson_darling(df: DataFrame) -> DataFrame:
     """AndersonDarling: normality statistic A^2, squashed to 0..1 (Kim et al. 2009)."""
+    scaled = f"transform(_dev, x -> {ratio('x', 'w')})"
     df = with_spread(df)
-    df = with_expressions(df, _z=f"sort_array(transform(_dev, x -> {ratio('x', '_std')}))")
+    df = with_expressions(df, _z=f"sort_array({bound('w', '_std', scaled)})")
     df = with_expressions(
         df,
         _below=f"transform(_z, x -> {special.log_normal_cdf('x')})",

@@ -48,6 +48,15 @@ def with_expressions(df: DataFrame, **columns: str) -> DataFrame:
 # term must not name a column x.
 
 
+def bound(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is worked out once per row.
+
+    A lambda that names a column is not enough: when that column is used once, the
+    optimizer puts its expression into the lambda, and it runs for every element.
+    """
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def total(array: str, term: str = "x") -> str:
     """Sum of a term over an array."""
     return f"aggregate({array}, 0D, (acc, x) -> acc + ({term}))"
@@ -125,16 +134,15 @@ def known(value: str) -> str:
 
 def center(values: str, by: str = "mean") -> Column:
     """Shift the array column ``values`` by its ``min``, ``mean`` or 5th percentile (``p5``)."""
-    doubles = f"cast({values} as array<double>)"
     origins = {
-        "min": f"array_min({doubles})",
-        "mean": mean(doubles),
-        "p5": percentile(f"sort_array({doubles})", 0.05),
+        "min": "array_min(__v)",
+        "mean": mean("__v"),
+        "p5": bound("__s", "sort_array(__v)", percentile("__s", 0.05)),
     }
     if by not in origins:
         raise ValueError(f"cannot centre by {by!r}; use min, mean or p5")
-    # The origin is worked out once per curve, not once per element.
-    return F.expr(f"transform(array({origins[by]}), __o -> transform({doubles}, __x -> __x - __o))[0]")
+    shifted = bound("__o", origins[by], "transform(__v, __x -> __x - __o)")
+    return F.expr(bound("__v", f"cast({values} as array<double>)", shifted))
 
 
 def phase(time: str, period: str, cycles: int = 2) -> str:
@@ -145,7 +153,8 @@ def phase(time: str, period: str, cycles: int = 2) -> str:
 
 def phase_fold(times: str, period: str, cycles: int = 2) -> Column:
     """Fold the array column ``times`` by the column ``period``."""
-    return F.expr(f"transform(cast({times} as array<double>), __x -> {phase('__x', period, cycles)})")
+    folded = f"transform(cast({times} as array<double>), __x -> {phase('__x', '__p', cycles)})"
+    return F.expr(bound("__p", f"cast({period} as double)", folded))
 
 
 def mag_to_flux(mag: Column, zero_point: float = 16.4) -> Column:

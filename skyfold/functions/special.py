@@ -1,12 +1,11 @@
-"""Distribution functions that Spark does not have, as SQL text built from SQL text.
-
-Arguments must not name columns k or s, which the folds use.
-"""
+"""Distribution functions that Spark does not have, as SQL text built from SQL text."""
 
 from __future__ import annotations
 
 import math
 
+from skyfold.functions.curves import bound
+
 # Numerator and denominator of Hart's rational form of the normal
 # tail, highest power first (Hart 1968, as given by West 2005).
 NORMAL_TOP = (
@@ -92,20 +91,18 @@ def regularized_gamma(a: str, x: str) -> str:
     terms, so the number of terms follows the number of epochs and no curve is
     cut short.
     """
-    terms = f"sequence(1, int(sqrt({a})*10) + 60)"
-    front = f"exp({a}*ln({x}) - {x} - {log_gamma(a)})"
+    terms = "sequence(1, int(sqrt(ga)*10) + 60)"
+    front = f"exp(ga*ln(gx) - gx - {log_gamma('ga')})"
     series = (
-        f"aggregate({terms}, struct(1D/{a} as term, 1D/{a} as sum), "
-        f"(s, k) -> struct(s.term*{x}/({a} + k) as term, s.sum + s.term*{x}/({a} + k) as sum), s -> s.sum)"
+        f"aggregate({terms}, struct(1/ga as term, 1/ga as sum), "
+        "(s, k) -> struct(s.term*gx/(ga + k) as term, s.sum + s.term*gx/(ga + k) as sum), s -> s.sum)"
     )
     fraction = (
-        f"aggregate(reverse({terms}), {x} + 2*(int(sqrt({a})*10) + 60) + 1 - {a}, "
-        f"(s, k) -> {x} + (2*k - 1) - {a} + k*({a} - k)/s)"
-    )
-    return (
-        f"case when {x} <= 0 then 0D when {x} < {a} + 1 then {front}*{series} "
-        f"else 1D - {front}/{fraction} end"
+        f"aggregate(reverse({terms}), gx + 2*(int(sqrt(ga)*10) + 60) + 1 - ga, "
+        "(s, k) -> gx + (2*k - 1) - ga + k*(ga - k)/s)"
     )
+    value = f"case when gx <= 0 then 0D when gx < ga + 1 then {front}*{series} else 1 - {front}/{fraction} end"
+    return bound("ga", a, bound("gx", x, value))
 
 
 def chi_square_cdf(x: str, degrees: str) -> str:
