@@ -20,7 +20,7 @@ from skyfold.schema import LIGHTCURVE_SCHEMA, conform
 from skyfold.sources import listing, manifest
 from skyfold.sources.lightcurves import explode_epochs, objects, read_lightcurves
 from skyfold.streaming.incremental import conform_new_files, preprocess_new_files
-from skyfold.workspace import shared_folder
+from skyfold.workspace import checkpointed, shared_folder
 
 BASE_URL = "https://data.example.org/release/"
 LIMIT = 5
@@ -333,16 +333,17 @@ def join_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _metadata_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A feature table that every curve has, with the types that files would have."""
+    """A stored feature table, as the join needs it."""
     table = statistics.with_moments(kept(spark, sf_dir))
-    return table.select("objectid", F.col("filterid").cast("long").alias("filterid"), "nepochs", "Mean", "Std")
+    named = table.select("objectid", F.col("filterid").cast("long").alias("filterid"), "nepochs", "Mean", "Std")
+    return checkpointed(named, "features")
 
 
 def _match_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     sky = fx.sky(spark, sf_dir).withColumn("filterid", F.col("filterid").cast("long"))
     return (
-        jobs.match_optical(sky, fx.optical(spark, sf_dir), "obj_id"),
-        jobs.match_infrared(sky, fx.infrared(spark, sf_dir)),
+        checkpointed(jobs.match_optical(sky, fx.optical(spark, sf_dir), "obj_id"), "optical"),
+        checkpointed(jobs.match_infrared(sky, fx.infrared(spark, sf_dir)), "infrared"),
     )
 
 

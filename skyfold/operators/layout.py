@@ -31,7 +31,8 @@ def split_by_epochs(
 
     Readers of such files get even work.  The length is the sort key of a range
     partitioning with the object as second key, so that one length shared by a
-    third of all curves is spread over many tasks instead of filling one.
+    third of all curves is spread over many tasks instead of filling one.  Finding
+    the ranges takes a first pass, so give it a stored table.
     """
     require_columns(df, ("objectid", "filterid", "nepochs"))
     keys = ("nepochs", "objectid")
@@ -57,7 +58,8 @@ def write_for_lookup(
 
     Each file covers a short range of nested HEALPix pixels, so the Parquet
     minimum and maximum let a reader skip nearly all files.  The object is the
-    last range key: a crowded pixel is split.
+    last range key: a crowded pixel is split.  Finding the ranges takes a first
+    pass, so give it a stored table.
     """
     require_columns(df, ("objectid", "fieldid", "filterid", ra, dec))
     pixelled = df.withColumn("ipix", sphere.healpix(F.col(ra), F.col(dec), level))
