@@ -96,7 +96,7 @@ def aov(sums, weight, target):
 
 def prepared(t, m, e):
     """Times from the first epoch, normalised weights, centred magnitudes."""
-    if t.size < 4 or not np.all(e > 0) or np.ptp(m) == 0:
+    if t.size < 4 or not (np.all(e > 0) and np.isfinite(t + m).all()) or np.ptp(m) == 0:
         return None
     weight = e**-2.0
     return t - t[0], weight / weight.sum(), m - m.mean()
@@ -320,7 +320,7 @@ def band_pass(t, m, e, scale, epsilon=0.01):
 
 def two_scale_power(t, m, e, slow, fast):
     """Ratio, low, high, count of non-zero filtered points, and the noise flag."""
-    if t.size < 2:
+    if t.size < 2 or not np.isfinite(t + m + e).all():
         return None, None, None, None, None
     y = m - m.mean()
     low, low_noise = band_pass(t, y, e, slow)
@@ -366,7 +366,7 @@ def structure_function(t, m, e, edges, fewest):
 
 def correlation_length(m, level):
     """First lag, in epochs, at which the autocorrelation falls below ``level``."""
-    if m.size < 2 or np.ptp(m) == 0:
+    if m.size < 2 or not np.isfinite(m).all() or np.ptp(m) == 0:
         return None
     y = m - m.mean()
     size = 1 << int(2 * y.size - 1).bit_length()

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.functions.curves import with_curve
+from skyfold.functions.curves import known, with_curve
 from skyfold.schema import require_columns
 
 BASE_COLUMNS = ("filterid", "objra", "objdec", "nepochs")
@@ -84,4 +84,9 @@ def compute_features(df: DataFrame, families: Sequence[FeatureFamily] | None = N
         table = family.build(table)
     names = feature_names(chosen)
     require_columns(table, names)
-    return table.select("objectid", *BASE_COLUMNS, *[F.col(f"`{name}`") for name in names])
+    values = [F.expr(known(f"`{name}`")).alias(name) if _is_double(table, name) else F.col(f"`{name}`") for name in names]
+    return table.select("objectid", *BASE_COLUMNS, *values)
+
+
+def _is_double(df: DataFrame, name: str) -> bool:
+    return df.schema[name].dataType.simpleString() in ("float", "double")

@@ -68,7 +68,7 @@ def with_moments(df: DataFrame) -> DataFrame:
         Mean="_mean",
         Std="_std",
         Meanvariance=ratio("_std", "_mean"),
-        Skew=ratio("_cube/_n", "pow(_ss/_n, 1.5D)"),
+        Skew=ratio("_cube*sqrt(_n)", "pow(_ss, 1.5D)"),
         SmallKurtosis=f"if(_n >= 4, {lifted}*{ratio('_fourth', '_var*_var')} - {lowered}, null)",
         ExcessVar=ratio("_ss - _noise", "_n*_mean*_mean"),
         LinearTrend=ratio(total("zip_with(_tdev, _dev, (t, d) -> t*d)"), total("_tdev", "x*x")),

@@ -147,8 +147,8 @@ def center(values: str, by: str = "mean") -> Column:
 
 def phase(time: str, period: str, cycles: int = 2) -> str:
     """SQL text that folds one time: position within ``cycles`` periods, from 0 up to 1."""
-    span = f"({period}*{float(cycles)!r}D)"
-    return ratio(f"pmod({time}, {span})", span)
+    span = f"nullif({period}*{float(cycles)!r}D, 0D)"
+    return f"pmod({time}, {span})/{span}"
 
 
 def phase_fold(times: str, period: str, cycles: int = 2) -> Column:

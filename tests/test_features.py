@@ -79,6 +79,23 @@ def test_missing_values_are_null_not_nan(spark):
     assert found["Mean"] is not None and found["gal_b"] is not None
 
 
+def test_curves_with_missing_or_no_values(spark):
+    t, m, e = noise(30)
+    holed = m.copy()
+    holed[5] = np.nan
+    rows = table(spark, (t, holed, e), ([], [], []), (t, m * 0 + 17.0, e))
+    no_error = rows.filter("objectid = 2").withColumns(
+        {"magerr": F.transform("magerr", lambda x, i: F.when(i > 0, x)), "objectid": F.lit(3)}
+    )
+    found = {r.objectid: r.asDict() for r in compute_features(rows.unionByName(no_error)).collect()}
+    for row in found.values():
+        assert not any(isinstance(v, float) and math.isnan(v) for v in row.values())
+        assert row["Multiband_period"] is None and row["PPE"] is None and row["Power_rate_2"] is None
+        assert row["Psi_CS"] is None and row["Harmonics_mse"] is None and row["gal_b"] is not None
+    assert found[0]["Mean"] is None and found[0]["Std"] is None and found[1]["Mean"] is None
+    assert found[2]["Std"] == 0.0 and found[2]["Amplitude"] == 0.0 and found[2]["Skew"] is None
+
+
 def test_the_job_has_no_shuffle(spark):
     plan = compute_features(Preprocessor().run(_with_flags(table(spark, noise(30)))))
     text = plan._jdf.queryExecution().executedPlan().toString()
