@@ -429,7 +429,7 @@ def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def uri_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = fx.derived(spark, sf_dir, fx.files_sql(), "pages")
-    uri = F.concat(F.lit("s3://release-"), (F.col("page_id") % 7).cast("string"), F.substring("path", 2, 1000))
+    uri = F.concat(F.lit("s3://release-"), (F.col("page_id") % 7).cast("string"), F.expr("substring(path, 2)"))
     return files.select("page_id", text.uri_bucket(uri).alias("bucket"), text.uri_path(uri).alias("path"))
 
 

@@ -408,7 +408,7 @@ def template_shape(t, peak, plateau, slope, rise, fall):
     """Supernova-like shape of unit amplitude on a grid: one dimension per parameter, epochs last.
 
     Rise on a logistic curve, a plateau that declines linearly and an exponential
-    tail, joined smoothly (Villar et al. 2019; Sanchez-Saez et al. 2021).  Each
+    tail, joined smoothly (Villar et al. 2019; arXiv:2008.03311).  Each
     factor is worked out on the parameters it depends on and no others.
     """
     peak, plateau, slope, rise, fall = (axis[..., None] for axis in np.ix_(peak, plateau, slope, rise, fall))

@@ -1,7 +1,6 @@
 """Twenty-six statistics of one curve.
 
-Definitions follow Nun et al. 2015 (arXiv:1506.00010) and Sanchez-Saez et al. 2021
-(arXiv:2008.03311).  m is the magnitude, e its error, t the time, n the number of
+Definitions follow Nun et al. 2015 (arXiv:1506.00010) and arXiv:2008.03311.  m is the magnitude, e its error, t the time, n the number of
 epochs, s the sample standard deviation.  All but three are SQL expressions;
 a ratio with a zero denominator is null.
 """

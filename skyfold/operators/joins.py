@@ -54,10 +54,10 @@ def matched_payload(matches: DataFrame, position: tuple[str, ...] = ("ra", "dec"
 def training_set(features: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
     """Features with the nearest rows of two match tables, all three outer-joined.
 
-    The ranks depend on the match tables alone, so the nearest rows are taken
-    before the joins, and the two small results are joined first, on the
-    partitioning that the ranks left behind.  The wide feature table is then
-    shuffled once instead of four times.
+    The nearest rows depend on the match tables alone, so they are taken before
+    the joins, and the two small results are joined first, on the partitioning
+    that this left behind.  The wide feature table is then shuffled once instead
+    of four times.
     """
     matches = matched_payload(first).join(matched_payload(second), list(KEYS), "full")
     return join_outer(features, matches)

@@ -118,10 +118,15 @@ def nearest_one(
 def nearest_with_ties(
     matches: DataFrame, keys: tuple[str, ...] = ("filterid", "objectid"), by: str = "distance"
 ) -> DataFrame:
-    """Every row at the smallest distance of its key."""
+    """Every row at the smallest distance of its key.
+
+    The minima are summed up before their shuffle and joined back.  A ranking
+    window would put all copies of a key into one task; this join can be split.
+    """
     require_columns(matches, (*keys, by))
-    order = Window.partitionBy(*keys).orderBy(by)
-    return matches.withColumn("_rank", F.rank().over(order)).filter("_rank = 1").drop("_rank")
+    best = matches.groupBy(*keys).agg(F.min(by).alias("_best"))
+    closest = matches.join(best, list(keys)).filter(F.col(by).eqNullSafe(F.col("_best")))
+    return closest.select(*matches.columns)
 
 
 def xmatch_nearest(
