@@ -10,12 +10,14 @@ splits a cell that holds too many rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions import sphere
 from skyfold.schema import require_columns
+from skyfold.workspace import checkpointed
 
 _WORK = ("_zone", "_cell")
 
@@ -136,13 +138,31 @@ def xmatch_nearest(
     tiebreak: str,
     keys: tuple[str, ...] = ("objectid", "filterid"),
     cell: float | None = None,
+    first_radii: tuple[float, ...] = (),
 ) -> DataFrame:
     """``xmatch``, then the nearest catalogue row of each key.
 
     Of catalogue rows at one and the same position only the first by the tiebreak
     can be an answer, so the others are dropped before the match: a crowd of
     copies, such as rows with a default position, makes no crowd of pairs.
+
+    ``first_radii`` are smaller radii to search first, for fields so crowded that
+    many sources lie within ``radius`` of an object.  A key answered at a smaller
+    radius has its answer and takes no part in the wider searches, so pairs are
+    only made where sources are sparse on that scale.  The result is the same.
     """
     place = Window.partitionBy("ra", "dec").orderBy(tiebreak)
-    catalogue = catalogue.withColumn("_copy", F.row_number().over(place)).filter("_copy = 1").drop("_copy")
-    return nearest_one(xmatch(objects, catalogue, radius, cell), keys, (f"{tiebreak}_2",))
+    single = catalogue.withColumn("_copy", F.row_number().over(place)).filter("_copy = 1").drop("_copy")
+    order = (f"{tiebreak}_2",)
+    if not first_radii:
+        return nearest_one(xmatch(objects, single, radius, cell), keys, order)
+    if list(first_radii) != sorted(set(first_radii)) or first_radii[-1] >= radius:
+        raise ValueError("the first radii must rise and stay below the radius")
+    single = checkpointed(single, "catalogue")
+    waiting, answers = objects, []
+    for reach in first_radii:
+        found = checkpointed(nearest_one(xmatch(waiting, single, reach), keys, order), "nearest")
+        answers.append(found)
+        waiting = waiting.join(found.select(*keys), list(keys), "left_anti")
+    answers.append(nearest_one(xmatch(waiting, single, radius, cell), keys, order))
+    return reduce(DataFrame.unionByName, answers)

@@ -130,6 +130,22 @@ def test_copies_in_the_catalogue_do_not_change_the_nearest(spark):
     assert answers[0] == answers[1] and len(answers[0]) == 20
 
 
+def test_searching_small_radii_first_changes_nothing(spark):
+    rng = np.random.default_rng(2)
+    disc = 1.0 / 3600 * np.sqrt(rng.uniform(size=(2, 400, 1))) * rng.normal(size=(2, 400, 2))
+    sets = []
+    for i, key in enumerate(("objectid", "source_id")):
+        near = np.hstack([np.arange(400)[:, None], np.array([[40.0, 5.0]]) + disc[i]])
+        spread = np.column_stack([np.arange(400, 500), np.full(100, 60.0) + np.arange(100) / 1000, rng.normal(0, 1e-4, 100)])
+        sets.append(places(spark, np.vstack([near, spread]), key))
+    objects = sets[0].withColumn("filterid", F.lit(1))
+    plain = xmatch_nearest(objects, sets[1], 2 / 3600, "source_id")
+    stepwise = xmatch_nearest(objects, sets[1], 2 / 3600, "source_id", first_radii=(0.05 / 3600, 0.4 / 3600))
+    assert matched_ids(stepwise) == matched_ids(plain) and plain.count() > 400
+    with pytest.raises(ValueError):
+        xmatch_nearest(objects, sets[1], 2 / 3600, "source_id", first_radii=(3 / 3600,))
+
+
 def test_distance_and_galactic_of_known_points(spark):
     row = (
         spark.range(1)
