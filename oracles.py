@@ -464,7 +464,7 @@ select split_part(value, '  ', 1) as checksum, '{BASE_URL}' || substr(split_part
 
 SUMS = f"""
 with epochs as ({EPOCHS})
-select objectid, filterid as fid, count(*) as nepochs, {r('sum(mag)')} as mag_sum from epochs group by objectid, filterid"""
+select objectid, cast(filterid as bigint) as fid, count(*) as nepochs, {r('sum(mag)')} as mag_sum from epochs group by objectid, filterid"""
 
 
 def counts_sql(limit: int | dict[int, int]) -> str:

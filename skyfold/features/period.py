@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,9 +59,16 @@ def with_periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> Data
     """Add ``_freq`` and ``_per``: the whole periodogram of each curve, as two arrays."""
     start, step, count = grid.start, grid.step, grid.count
 
+    # A batch of ten thousand periodograms would be gigabytes; hand them on in small lots.
+    lot = max(1, 2_000_000 // count)
+
     @F.pandas_udf("array<double>")
-    def power(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.Series:
-        return pd.Series([kernels.spectrum(t, m, e, start, step, count) for t, m, e in zip(times, mags, errors)])
+    def power(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for times, mags, errors in batches:
+            for first in range(0, len(times), lot):
+                part = slice(first, first + lot)
+                rows = zip(times[part], mags[part], errors[part])
+                yield pd.Series([kernels.spectrum(t, m, e, start, step, count) for t, m, e in rows], dtype=object)
 
     places = F.sequence(F.lit(0), F.lit(count - 1))
     return with_curve(df).withColumns(

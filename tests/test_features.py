@@ -332,6 +332,18 @@ def test_long_and_wide_periodograms_agree(spark):
     assert top == sorted(wide["_per"], reverse=True)[:5]
 
 
+def test_periodograms_pass_in_small_lots(spark):
+    rows = table(spark, *[sinusoid(30, 0.9, seed) for seed in range(130)], noise(2)).coalesce(1)
+    grid = period.FrequencyGrid(0.001, 60.0, 0.001)
+    found = period.with_periodogram(rows, grid).selectExpr("objectid", "size(_per) as n", "get(_per, 7) as p").collect()
+    assert [r.n for r in found] == [grid.count] * 130 + [None]
+    curves_ = {r.objectid: r for r in rows.collect()}
+    for r in found[:130:43]:
+        c = curves_[r.objectid]
+        alone = kernels.power_at(*(np.array(v) for v in (c.hmjd, c.mag, c.magerr)), np.array([0.008]))
+        assert r.p == pytest.approx(alone[0], rel=1e-6)
+
+
 def test_entropy_of_equal_powers_is_zero(spark):
     row = spark.range(1).select(F.expr(period.peak_entropy("array_repeat(3D, 100)")).alias("ppe")).first()
     assert row.ppe == pytest.approx(0.0, abs=1e-12)
