@@ -11,7 +11,7 @@ import fixtures as fx
 from skyfold.features import fits, period, statistics
 from skyfold.features.registry import compute_features
 from skyfold.features.sky import galactic_family, with_galactic
-from skyfold.functions import curves, sphere, text
+from skyfold.functions import curves, text
 from skyfold.operators import incremental, joins, layout, publish
 from skyfold.operators.preprocess import Preprocessor
 from skyfold.operators.xmatch import nearest_one, nearest_with_ties, with_healpix, xmatch, xmatch_nearest
@@ -466,9 +466,10 @@ def lc_center(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lc_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = curves.with_curve(fx.lightcurves(spark, sf_dir))
-    table = curves.with_expressions(table, mean=curves.mean("_m"), _sorted="sort_array(_m)")
     table = curves.with_expressions(
         table,
+        mean=curves.mean("_m"),
+        _sorted="sort_array(_m)",
         std=f"sqrt({curves.bound('o', 'mean', curves.total('_m', '(x - o)*(x - o)'))}/_n)",
         low=curves.first("_sorted"),
         high=curves.last("_sorted"),

@@ -170,14 +170,15 @@ def with_folded(df: DataFrame, period: str = "Multiband_period", time: str = "hm
     df = with_curve(df, time=time)
     placed = f"struct({phase('__x._t', '__p')} as phase, __i as place, __x._m as mag)"
     by_place = f"transform(arrays_zip(_t, _m), (__x, __i) -> {placed})"
-    df = with_expressions(df, _folded=f"sort_array({bound('__p', f'cast({period} as double)', by_place)})")
-    df = with_expressions(df, _fm="_folded.mag")
-    df = with_expressions(df, _fmean=mean("_fm"))
-    df = with_expressions(df, _fdev=bound("o", "_fmean", "transform(_fm, x -> x - o)"))
-    df = with_expressions(df, _fss=total("_fdev", "x*x"), _fsteps=total(differences("_fm"), "x*x"))
-    usable = f"{period} is not null and _n > 1"
+    usable = f"`{period}` is not null and _n > 1"
     return with_expressions(
         df,
+        _folded=f"sort_array({bound('__p', f'cast(`{period}` as double)', by_place)})",
+        _fm="_folded.mag",
+        _fmean=mean("_fm"),
+        _fdev=bound("o", "_fmean", "transform(_fm, x -> x - o)"),
+        _fss=total("_fdev", "x*x"),
+        _fsteps=total(differences("_fm"), "x*x"),
         Psi_CS=f"if({usable}, {ratio(running_range('_fdev'), 'sqrt(_n*_fss)')}, null)",
         Psi_eta=f"if({usable}, {ratio('_fsteps*_n', '(_n - 1)*_fss')}, null)",
     ).drop("_folded", "_fm", "_fmean", "_fdev", "_fss", "_fsteps")

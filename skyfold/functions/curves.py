@@ -40,8 +40,13 @@ def with_curve(df: DataFrame, time: str = "hmjd", mag: str = "mag", err: str = "
 
 
 def with_expressions(df: DataFrame, **columns: str) -> DataFrame:
-    """Add columns from SQL text, all in one projection."""
-    return df.withColumns({name: F.expr(text) for name, text in columns.items()})
+    """Add columns from SQL text in one select; a text may name columns before it.
+
+    Spark resolves such names as lateral aliases and stacks as few projections as
+    they need.  Columns already there are replaced.
+    """
+    old = [name for name in columns if name in df.columns]
+    return df.drop(*old).selectExpr("*", *[f"{text} as `{name}`" for name, text in columns.items()])
 
 
 # The functions below build SQL text from SQL text.  An element is called x, so a
