@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import token_files, trie_bpe
+from skyfold.llm import packing, token_files, trie_bpe
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,9 +30,16 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    cut = packing.pieces(_table(spark, sf_dir, "documents"), WORD_BPE)
+    return packing.place(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_trie_bpe": op2_trie_bpe,
     "op3_token_files": op3_token_files,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
