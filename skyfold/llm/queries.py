@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import packing, token_files, trie_bpe
+from skyfold.llm import histogram_topk, packing, rotated_bits, simhash, token_files, trie_bpe, vectors
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,16 +30,67 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_rotated_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth."""
+    found = vectors.single(vectors.usable(_table(spark, sf_dir, "embeddings"), zero=False))
+    return rotated_bits.nearest(found, found.where("id % 100 = 0"), 10)
+
+
+def op8_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty highest integer inner products of every twentieth vector."""
+    found = vectors.single(vectors.usable(_table(spark, sf_dir, "embeddings")))
+    whole = found.withColumn("v", F.transform("v", lambda x: F.floor(x * 64).cast("double")))
+    return histogram_topk.top(whole, whole.where("id % 20 = 0"), 20)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     cut = packing.pieces(_table(spark, sf_dir, "documents"), WORD_BPE)
     return packing.place(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.groups(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_trie_bpe": op2_trie_bpe,
     "op3_token_files": op3_token_files,
+    "op6_rotated_bits": op6_rotated_bits,
+    "op8_histogram_topk": op8_histogram_topk,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_simhash": op9_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+#: Vectors that take part, one for each id.
+_VECTORS = """
+    SELECT vec_id, min(embedding) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    GROUP BY vec_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_rotated_bits": f"""
+        WITH vectors AS ({_VECTORS}),
+        kept AS (SELECT vec_id, v::DOUBLE[] AS v FROM vectors WHERE len(list_filter(v, lambda x: x <> 0)) > 0),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+            FROM kept q JOIN kept c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+        ),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS nth FROM pairs)
+        SELECT query_id, nth::INT AS rank, vec_id, score FROM ranked WHERE nth <= 10
+    """,
+    "op8_histogram_topk": f"""
+        WITH vectors AS ({_VECTORS}),
+        whole AS (SELECT vec_id, list_transform(v, lambda x: floor(64 * x::DOUBLE)) AS v FROM vectors),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+        ),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM pairs)
+        SELECT query_id, nth::INT AS rank, vec_id, score FROM ranked WHERE nth <= 20
+    """,
+}
