@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import histogram_topk, packing, rotated_bits, simhash, token_files, trie_bpe, vectors
+from skyfold.llm import histogram_topk, packing, pii, rotated_bits, simhash, token_files, trie_bpe, vectors
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("_base", pii.is_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listed("_base"), 256).alias("base_sha256"), pii.listed("_spans").alias("spans"))
+
+
 def op6_rotated_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest vectors of every hundredth."""
     found = vectors.single(vectors.usable(_table(spark, sf_dir, "embeddings"), zero=False))
@@ -58,6 +65,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_trie_bpe": op2_trie_bpe,
     "op3_token_files": op3_token_files,
+    "op5_pii_votes": op5_pii_votes,
     "op6_rotated_bits": op6_rotated_bits,
     "op8_histogram_topk": op8_histogram_topk,
     "op7_best_fit_packing": op7_best_fit_packing,

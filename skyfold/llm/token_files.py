@@ -5,9 +5,9 @@ take one byte.  A block holds whole documents: two bits per id in a stream of
 control bytes say how many bytes the id takes in the stream of data bytes, and a
 table with a row for each control byte decodes four ids at a time.
 
-A file is one Parquet file per range of document ids with a row for each block, so that
-it can be written to and read from any store that Spark reaches.  Beside the blocks
-stands a folder ``ids`` with the id of each rank.
+The format is Parquet with a row for each block, so that it can be written to and read
+from any store that Spark reaches; a block names its range of documents (``file``) and
+its place in it.  Beside the blocks stands a folder ``ids`` with the id of each rank.
 """
 
 from __future__ import annotations
@@ -16,22 +16,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm import wordpieces as wp
-from skyfold.workspace import checkpointed, shared_folder
+from skyfold.llm.common import stored
+from skyfold.workspace import shared_folder
 
 #: Ids after which a block ends with the document at hand, and texts encoded together.
 BLOCK_IDS = 1 << 18
 ROWS = 128
-#: Bytes of text in a range of documents, for the number of files.
-FILE_BYTES = 32 << 20
 
 #: Fixed by the format: for each control byte, the bytes of its four ids, first id in the lowest two bits.
 SIZES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 _STARTS = np.cumsum(SIZES, axis=1) - SIZES
 _SPENT = SIZES.sum(axis=1)
+_BLOCK = "file int, first long, docs array<long>, sizes array<long>, control binary, data binary"
+_KINDS = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
@@ -60,20 +62,39 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return words & _MASKS[size]
 
 
-def encoded(docs: DataFrame, path: str, end: int, text: str, id_column: str) -> DataFrame:
-    """``doc_id``, ``ids`` (unsigned 32-bit little-endian bytes, with ``end`` behind them)."""
+def _gathered(docs: DataFrame, path: str, end: int, text: str, id_column: str) -> DataFrame:
+    """Blocks of whole documents in ascending order: ``file``, ``first`` (ids of the file before), ``docs``, ``sizes`` and ``ids`` (32-bit little-endian bytes).
+
+    Texts are dealt by ranges of their id, and rows with one id by the hash of their
+    text, so that even an id that all rows share is spread.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, first, size, names, own = TaskContext.get().partitionId(), 0, 0, [], []
+
+        def block() -> pa.RecordBatch:
+            cells = [[file], [first], [names], [[len(x) for x in own]], [np.concatenate(own).tobytes()]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, _KINDS, strict=True)], ["file", "first", "docs", "sizes", "ids"])
+
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                ids = [x.tobytes() for x in wp.encode(path, part.column(1).to_pylist(), end)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-
-    return docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(run, "doc_id long, ids binary")
-
-
-def by_frequency(tokens: DataFrame) -> np.ndarray:
+                for doc, ids in zip(part.column(0).to_pylist(), wp.encode(path, part.column(1).to_pylist(), end), strict=True):
+                    names.append(doc)
+                    own.append(ids)
+                    size += len(ids)
+                    if size >= BLOCK_IDS:
+                        yield block()
+                        first, size, names, own = first + size, 0, [], []
+        if own:
+            yield block()
+
+    source = docs.select(docs[id_column].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text")).withColumn("mixed", F.xxhash64("text"))
+    ordered = source.repartitionByRange("doc_id", "mixed").sortWithinPartitions("doc_id", "mixed", "text").select("doc_id", "text")
+    return ordered.mapInArrow(run, "file int, first long, docs array<long>, sizes array<long>, ids binary")
+
+
+def by_frequency(blocks: DataFrame) -> np.ndarray:
     """The ids from the most frequent to the rarest, ties to the smaller: as many as the vocabulary has at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +108,7 @@ def by_frequency(tokens: DataFrame) -> np.ndarray:
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
-    counts = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = blocks.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     return counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.uint32)
 
 
@@ -95,47 +116,28 @@ def write(docs: DataFrame, path: str, folder: str, end: int = 2, text: str = "te
     """Encode whole texts with a tokenizer file, ``end`` behind each, and write them to ``folder`` in ascending order of ids.
 
     Null texts count as empty, so that their documents hold the end id alone; null
-    document ids come first; rows with one id follow each other in the order of their
-    token bytes.  An empty table gives files without blocks.
+    document ids come first; rows with one id follow each other in the order of the hashes of
+    their texts.  An empty table gives files without blocks.
     """
-    spark = docs.sparkSession
-    tokens = checkpointed(encoded(docs, path, end, text, id_column), "tokens")
-    order = by_frequency(tokens)
+    blocks = stored(_gathered(docs, path, end, text, id_column), "token-blocks")
+    order = by_frequency(blocks)
     rank = np.zeros(int(order.max()) + 1 if len(order) else 1, np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    spark.createDataFrame([(k, int(i)) for k, i in enumerate(order)], "rank int, id long").coalesce(1).write.parquet(f"{folder}/ids")
+    docs.sparkSession.createDataFrame([(k, int(i)) for k, i in enumerate(order)], "rank int, id long").coalesce(1).write.parquet(f"{folder}/ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, first = [], 0, 0
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.frombuffer(ids.as_buffer(), "<u4")
-                held.append((doc, own))
-                size += len(own)
-                if size >= BLOCK_IDS:
-                    yield _block(held, first)
-                    first += size
-                    held, size = [], 0
-        if held:
-            yield _block(held, first)
-
-    def _block(held: list, first: int) -> pa.RecordBatch:
-        control, data = pack(rank[np.concatenate([x for _, x in held])])
-        columns = [[first], [[d for d, _ in held]], [[len(x) for _, x in held]], [control], [data]]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
-
-    names = ["first", "docs", "sizes", "control", "data"]
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-    size = tokens.agg(F.sum(F.length("ids"))).first()[0] or 0
-    ordered = tokens.repartitionByRange(1 + size // FILE_BYTES, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
-    blocks = ordered.mapInArrow(run, "first long, docs array<long>, sizes array<long>, control binary, data binary")
-    blocks.withColumn("file", F.spark_partition_id()).write.parquet(f"{folder}/blocks")
+            for k in range(batch.num_rows):
+                control, data = pack(rank[np.frombuffer(batch.column(4)[k].as_buffer(), "<u4")])
+                yield pa.RecordBatch.from_arrays([*(batch.slice(k, 1).column(c) for c in range(4)), pa.array([control], pa.binary()), pa.array([data], pa.binary())], ["file", "first", "docs", "sizes", "control", "data"])
+
+    blocks.mapInArrow(run, _BLOCK).write.option("compression", "zstd").parquet(f"{folder}/blocks")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (unsigned 32-bit little-endian bytes) from the files."""
     order = spark.read.schema("rank int, id long").parquet(f"{folder}/ids").toPandas().sort_values("rank")["id"].to_numpy("<u4")
-    blocks = spark.read.schema("first long, docs array<long>, sizes array<long>, control binary, data binary, file int").parquet(f"{folder}/blocks")
+    blocks = spark.read.schema(_BLOCK).parquet(f"{folder}/blocks")
     # One row per file: the window runs over the list of files, not over documents.
     files = blocks.groupBy("file").agg(F.max(F.col("first") + F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
