@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +40,22 @@ def components(links: DataFrame) -> DataFrame:
         roots = moved.select("node", "root")
         if moved.where("root <> old").isEmpty():
             return roots.withColumnRenamed("root", "component")
+
+
+class Sieve:
+    """Which 64-bit numbers may be in a column: a bitmap of a fixed size, whatever the number of rows.
+
+    It says no only where the answer is no; the fuller it gets, the less it keeps back.
+    """
+
+    def __init__(self, column: DataFrame, bits: int = 1 << 25):
+        name = column.columns[0]
+        place = F.pmod(F.col(name), F.lit(bits))
+        words = column.where(F.col(name).isNotNull()).select((place / 64).cast("long").alias("w"), F.expr(f"shiftleft(1L, cast(pmod({name}, 64) as int))").alias("b"))
+        found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+        self.words = np.zeros(bits // 64, np.int64)
+        self.words[found["w"].to_numpy()] = found["b"].to_numpy()
+
+    def may_hold(self, values: np.ndarray) -> np.ndarray:
+        place = np.mod(values, len(self.words) * 64)
+        return (self.words[place >> 6] >> (place & 63)) & 1 == 1

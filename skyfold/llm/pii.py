@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyfold.llm import weak
 from skyfold.llm.common import stored
 
 #: Fixed by the definition of the base, in the order in which kinds are listed.  Lookbehinds and possessive
@@ -45,7 +46,6 @@ GAZETTEER = {
 }
 #: Letters of context on either side that a proposal keeps.
 CONTEXT = 24
-ROUNDS = 50
 
 _SPAN = "array<struct<s:int,e:int,kind:int>>"
 _PROPOSAL = "array<struct<s:int,e:int,kind:int,votes:string,features:array<string>>>"
@@ -125,7 +125,7 @@ def _judged(match: Column, kind: Column, base: bool) -> Column:
     check = by_kind(lambda k: F.when(F.lit(k == "card"), F.when(_luhn(value), "+").otherwise("-")).otherwise("0"))
     left, right = _class(F.right(before, F.lit(1))), _class(after)
     votes = F.concat(
-        F.lit("+" if base else "0"),
+        F.lit("+" if base else "-"),
         F.when(own, "+").when(other, "-").otherwise("0"),
         F.when(form, "+").otherwise("-"),
         check,
@@ -168,33 +168,6 @@ def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.select(*docs.columns, "_base", "_proposed")
 
 
-def reliabilities(counts: dict[tuple[int, str], int]) -> tuple[dict[tuple[int, str], float], dict]:
-    """Posterior of each vote pattern by expectation maximisation, and for each kind the share of true spans and the labelers' vote rates.
-
-    ``counts`` has a number for each kind and pattern.  It starts from the majority of
-    the votes; each rate is smoothed by one vote of each sort.
-    """
-    posterior = {p: 1 / (1 + math.exp(-(p[1].count("+") - p[1].count("-")))) for p in counts}
-    rates: dict = {}
-    for _ in range(ROUNDS):
-        for kind in {k for k, _ in counts}:
-            own = [(v, n, posterior[kind, v]) for (k, v), n in counts.items() if k == kind]
-            share = (sum(n * p for _, n, p in own) + 1) / (sum(n for _, n, _ in own) + 2)
-            tables = []
-            for at in range(len(own[0][0])):
-                table = {}
-                for true in (True, False):
-                    weight = {c: 1 + sum(n * (p if true else 1 - p) for v, n, p in own if v[at] == c) for c in "+-0"}
-                    table[true] = {c: w / sum(weight.values()) for c, w in weight.items()}
-                tables.append(table)
-            rates[kind] = (share, tables)
-        for kind, votes in posterior:
-            share, tables = rates[kind]
-            odds = math.log(share / (1 - share)) + sum(math.log(t[True][c] / t[False][c]) for t, c in zip(tables, votes, strict=True))
-            posterior[kind, votes] = 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
-    return posterior, rates
-
-
 def fit(found: DataFrame) -> dict[str, float]:
     """Weights of the classifier's features, by kind and name, from all proposals.
 
@@ -205,8 +178,12 @@ def fit(found: DataFrame) -> dict[str, float]:
     counts = {(r["kind"], r["votes"]): r["n"] for r in each.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return {}
-    posterior, _ = reliabilities(counts)
-    chance = F.create_map(*(x for (k, v), p in sorted(posterior.items()) for x in (F.lit(f"{k} {v}"), F.lit(p))))
+    posterior = {}
+    for kind in range(len(KINDS)):
+        own = {v: n for (k, v), n in counts.items() if k == kind}
+        majority = {v: 1 / (1 + math.exp(v.count("-") - v.count("+"))) for v in own}
+        posterior |= {f"{kind} {v}": p for v, p in weak.posteriors(own, majority)[0].items()}
+    chance = F.create_map(*(x for v, p in sorted(posterior.items()) for x in (F.lit(v), F.lit(p))))
     weighed = each.select("kind", F.element_at(chance, F.concat_ws(" ", F.col("kind").cast("string"), "votes")).alias("p"), F.explode(F.concat(F.array(F.lit("all")), "features")).alias("feature"))
     sums = weighed.groupBy("kind", "feature").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect()
     total = {r["kind"]: (r["yes"] + 1, r["no"] + 1) for r in sums if r["feature"] == "all"}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import histogram_topk, packing, pii, rotated_bits, simhash, token_files, trie_bpe, vectors
+from skyfold.llm import histogram_topk, packing, paragraphs, pii, quality, rotated_bits, simhash, token_files, trie_bpe, vectors
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,21 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less the paragraphs and sentences that stand in the corpus before."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Taken along, the length of the whole text needs no second join.
+    found = paragraphs.cleaned(docs.withColumn("n_before", F.coalesce(F.length("text"), F.lit(0))))
+    return found.select("doc_id", F.col("n_before").cast("long").alias("n_before"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_after"), "text")
+
+
+def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, and whether it is kept."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.scored(docs, quality.fit(docs))
+    return found.select("doc_id", F.col("_score").alias("score"), (F.col("_score") >= quality.KEEP).alias("keep"))
+
+
 def op5_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     found = pii.spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -65,11 +80,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_trie_bpe": op2_trie_bpe,
     "op3_token_files": op3_token_files,
+    "op4_paragraph_minhash": op4_paragraph_minhash,
     "op5_pii_votes": op5_pii_votes,
     "op6_rotated_bits": op6_rotated_bits,
     "op8_histogram_topk": op8_histogram_topk,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_simhash": op9_simhash,
+    "op10_weak_quality": op10_weak_quality,
 }
 
 #: Vectors that take part, one for each id.
