@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import histogram_topk, packing, paragraphs, pii, quality, rotated_bits, simhash, token_files, trie_bpe, vectors
+from skyfold.llm import histogram_topk, packing, paragraphs, pii, quality, rotated_bits, simhash, suffixes, token_files, trie_bpe, vectors
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,6 +17,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document less all strings of 200 bytes that occur more than once."""
+    found = suffixes.cleaned(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, by a trie of words."""
     coded = trie_bpe.encode_documents(_table(spark, sf_dir, "documents"), WORD_BPE)
@@ -78,6 +86,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array": op1_suffix_array,
     "op2_trie_bpe": op2_trie_bpe,
     "op3_token_files": op3_token_files,
     "op4_paragraph_minhash": op4_paragraph_minhash,
