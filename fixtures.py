@@ -14,16 +14,11 @@ DUCKDB_HMJD = "epoch_us(ts)/86400000000e0 + 40587e0"
 
 BAND = "case event_type when 'click' then 1 when 'view' then 2 else 3 end"
 
-# One curve holds the epochs of one user and band.  A user with more than 32,768 of
-# them gets several curves, by event number, so no curve grows with the table even
-# if one user made a third of all events.  Counts are sums taken before a shuffle;
-# only such users are joined back.
+# One curve holds the epochs of one user, band and calendar month, counted from the
+# month in which the events begin.  What a curve holds depends on its own events alone.
+FIRST_MONTH = "(2024*12 + 1)"
 OBSERVED = f"""(
-select e.event_id, e.ts, e.user_id, e.value, e.band, coalesce(e.event_id % h.parts, 0) as part
-from (select *, {BAND} as band from events) e
-left join (select user_id, band, cast(ceil(count(*)/32768e0) as bigint) as parts
-           from (select user_id, {BAND} as band from events) c group by user_id, band having count(*) > 32768) h
-on h.user_id = e.user_id and h.band = e.band) o"""
+select event_id, ts, user_id, value, {BAND} as band, cast(year(ts)*12 + month(ts) - {FIRST_MONTH} as bigint) as part from events) o"""
 OBJECT = "part*1000000000000 + user_id*10 + band"
 
 # Positions: objects of one user share a place; places are spread over the sphere

@@ -226,18 +226,12 @@ select objectid, {r('1/(1 + exp(-10*((-n - s/n) - 0.3e0)))')} as "AndersonDarlin
 
 
 def structure_sql() -> str:
-    edges = statistics.LAG_EDGES
-    bins = ", ".join(
-        f"({edges[k]!r}::double, {edges[k + 1]!r}::double, "
-        f"{float(0.5 * (np.log10(edges[k]) + np.log10(edges[k + 1])) - np.log10(365.25))!r}::double)"
-        for k in range(len(edges) - 1)
-    )
     return f"""
 with {kept_sql(LIMIT)},
-bins(lo, hi, x) as (values {bins}),
 pairs as (select a.objectid, b.hmjd - a.hmjd as lag, pow(a.mag - b.mag, 2) - pow(a.magerr, 2) - pow(b.magerr, 2) as d
           from kept a join kept b on a.objectid = b.objectid and b.i > a.i),
-sf as (select objectid, x, avg(d) as v from pairs join bins on lag >= lo and lag < hi group by objectid, x having count(*) >= 6),
+sf as (select objectid, (floor(10*log10(lag)) + 0.5e0)/10 - log10(365.25e0) as x, avg(d) as v from pairs
+       where lag > 0 group by objectid, x having count(*) >= 6),
 line as (select objectid, regr_slope(0.5e0*log10(v), x) as g, regr_intercept(0.5e0*log10(v), x) as a
          from sf where v > 0 group by objectid having count(*) >= 2)
 select o.objectid, {r('a')} as log_amplitude, {r('g')} as "SF_ML_gamma"

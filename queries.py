@@ -124,7 +124,7 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return listing.listing_entries(pages, pattern='<a href="([^"]*)">', columns=("file",)).select(
+    return listing.page_links(pages).select(
         "page_id", "file", "folder"
     )
 

@@ -20,7 +20,7 @@ RANDOM_WALK = ("GP_DRW_sigma", "GP_DRW_tau")
 # plateau decline, rise time and fall time in days.
 TEMPLATE_GRID = (12, (5.0, 20.0, 60.0, 120.0), (0.0, 0.4, 0.8), (1.0, 5.0, 20.0), (5.0, 20.0, 60.0, 150.0))
 
-# Trial values for the random walk: low, high and count of ln(variance) and ln(rate).
+# First trial values for the random walk; the search goes on from there and beyond: low, high and count of ln(variance) and ln(rate).
 LOG_AMPLITUDE = (-14.0, 2.0, 17)
 LOG_RATE = (-8.0, 5.0, 14)
 
@@ -45,7 +45,7 @@ def with_two_scale_power(df: DataFrame, slow: float = 100.0, fast: float = 10.0)
 
 
 def with_template_fit(
-    df: DataFrame, zero_point: float = 16.4, grid: tuple = TEMPLATE_GRID, rounds: int = 3
+    df: DataFrame, zero_point: float = 16.4, grid: tuple = TEMPLATE_GRID, rounds: int | None = None
 ) -> DataFrame:
     """Supernova-like template: amplitude and offset in closed form, the rest on a grid.
 
@@ -65,7 +65,7 @@ def with_random_walk(
     df: DataFrame,
     log_amplitude: tuple[float, float, int] = LOG_AMPLITUDE,
     log_rate: tuple[float, float, int] = LOG_RATE,
-    rounds: int = 2,
+    rounds: int | None = None,
 ) -> DataFrame:
     """Damped random walk: ``GP_DRW_sigma`` (process variance) and ``GP_DRW_tau`` (days).
 

@@ -168,32 +168,45 @@ def walk_likelihood(gaps, y, variance, there, amplitude, rate):
     return -0.5 * (score + np.log(2.0 * np.pi) * there.sum(axis=1)[:, None])
 
 
-def zoom(score, axes, count, rounds):
+#: Steps at which a search ends, the logarithms between which numbers have a double, and an end for likelihoods that never turn.
+FINE, WIDEST, TURNS = 1e-4, 300.0, 200
+
+
+def zoom(score, axes, count, rounds=None):
     """For each of ``count`` curves the best point on a grid, refined around it; its score last.
 
-    ``score`` takes one array per axis, curves by rows and trials by columns.
+    ``score`` takes one array per axis, curves by rows and trials by columns.  Around
+    the best point so far the next grid has nine values per axis.  Where the best lies
+    on its edge the grid grows by half again and moves on, so the first axes bound
+    nothing; elsewhere it shrinks to two thirds, until all steps are below
+    ``FINE``.  ``rounds`` ends the search earlier.
     """
-    axes = [np.tile(axis, (count, 1)) for axis in axes]
     best = np.full((count, len(axes) + 1), np.nan)
     best[:, -1] = -np.inf
     rows = np.arange(count)
-    for _ in range(rounds + 1):
-        size = [axis.shape[1] for axis in axes]
-        trials = [
-            np.broadcast_to(
-                axis.reshape(count, *(n if j == i else 1 for j, n in enumerate(size))), (count, *size)
-            ).reshape(count, -1)
-            for i, axis in enumerate(axes)
-        ]
+    grids = [np.tile(np.asarray(axis, dtype=float), (count, 1)) for axis in axes]
+    half = np.array([[(axis[-1] - axis[0]) / 2.0 for axis in axes]] * count)
+    turn = 0
+    while True:
+        size = [axis.shape[1] for axis in grids]
+        places = np.unravel_index(np.arange(int(np.prod(size))), size)
+        trials = [axis[:, place] for axis, place in zip(grids, places)]
         values = np.nan_to_num(score(*trials), nan=-np.inf, posinf=-np.inf)
         at = values.argmax(axis=1)
         better = values[rows, at] > best[:, -1]
         for i, axis in enumerate(trials):
             best[better, i] = axis[rows, at][better]
+            n = size[i] - 1
+            edge = better & ((places[i][at] == 0) | (places[i][at] == n))
+            # The first grid is finer than nine values; what follows starts from its steps.
+            inside = 4.0 * 2.0 * half[:, i] / n if turn == 0 else half[:, i] * 2.0 / 3.0
+            half[:, i] = np.where(edge, np.minimum(half[:, i] * 1.5, WIDEST), inside)
         best[better, -1] = values[rows, at][better]
-        steps = [axis[:, 1] - axis[:, 0] for axis in axes]
-        axes = [best[:, i, None] + step[:, None] * np.linspace(-1.0, 1.0, 9) for i, step in enumerate(steps)]
-    return best
+        if turn == rounds or turn >= TURNS or (half < 4.0 * FINE).all() or not np.isfinite(best[:, -1]).any():
+            return best
+        turn += 1
+        offsets = np.linspace(-1.0, 1.0, 9)
+        grids = [np.clip(best[:, i, None] + half[:, i, None] * offsets, -WIDEST, WIDEST) for i in range(len(axes))]
 
 
 def padded(curves):
@@ -257,65 +270,28 @@ def autoregression_fits(curves, phis, rounds):
 # --------------------------------------------------------- variance at two scales
 
 
-LONG = 1500
-TERMS = 24
-
-
-def gauss_sums(t, width, *values):
-    """Sums of v_j * exp(-(t_i - t_j)^2 / (2 width^2)) at every epoch, in linear time.
-
-    Epochs fall into boxes of sqrt(2) widths, each summed up in the powers of the
-    distance from its middle; a box acts through the Hermite expansion of the
-    Gaussian (Greengard & Strain 1991).  24 terms and 7 boxes to each side leave
-    nothing out in double precision.
-    """
-    u = (t - t[0]) / (np.sqrt(2.0) * width)
-    box = np.floor(u).astype(np.int64)
-    used, at = np.unique(box, return_inverse=True)
-    offset = u - (box + 0.5)
-    powers = np.ones(t.size)
-    moments = np.empty((len(values), TERMS, used.size))
-    for n in range(TERMS):
-        for row, v in enumerate(values):
-            moments[row, n] = np.bincount(at, weights=v * powers, minlength=used.size)
-        powers = powers * offset / (n + 1)
-    sums = np.zeros((len(values), t.size))
-    for shift in range(-7, 8):
-        place = np.minimum(np.searchsorted(used, box + shift), used.size - 1)
-        rows = np.flatnonzero(used[place] == box + shift)
-        if not rows.size:
-            continue
-        x = offset[rows] - shift
-        before, hermite = np.zeros(rows.size), np.exp(-x * x)
-        for n in range(TERMS):
-            sums[:, rows] += moments[:, n, place[rows]] * hermite
-            before, hermite = hermite, 2.0 * (x * hermite - n * before)
-    return sums
+#: Widths from which exp(-x^2 / 2) is zero.
+REACH = 39.0
 
 
 def band_pass(t, m, e, scale, epsilon=0.01):
     """Mexican-hat filtered power and its noise at one time scale (Arevalo et al. 2012).
 
     The filter is the difference of two Gaussian means whose widths differ by the
-    factor 1 + epsilon.
+    factor 1 + epsilon.  An epoch meets those within ``REACH`` widths; beyond, the
+    weight of a Gaussian is zero in double precision.
     """
     sigma = scale / np.sqrt(2.0 * np.pi**2)
     narrow, broad = sigma / np.sqrt(1.0 + epsilon), sigma * np.sqrt(1.0 + epsilon)
-    if t.size <= LONG:
-        gap = np.subtract.outer(t, t) ** 2
+    filtered, noise = np.empty(t.size), np.empty(t.size)
+    for part in blocks(t.size, 256):
+        near = slice(*np.searchsorted(t, [t[part][0] - REACH * broad, t[part][-1] + REACH * broad]))
+        gap = np.subtract.outer(t[part], t[near]) ** 2
         inner = np.exp(-gap / (2.0 * narrow**2))
         outer = np.exp(-gap / (2.0 * broad**2))
         hat = inner / inner.sum(axis=1)[:, None] - outer / outer.sum(axis=1)[:, None]
-        return hat @ m, (hat * hat) @ e**2
-    one, square = np.ones(t.size), e * e
-    inner, inner_m = gauss_sums(t, narrow, one, m)
-    outer, outer_m = gauss_sums(t, broad, one, m)
-    # The square of the filter is a sum of three Gaussians of other widths.
-    both = 1.0 / np.hypot(1.0 / narrow, 1.0 / broad)
-    noise = gauss_sums(t, narrow / np.sqrt(2.0), square)[0] / inner**2
-    noise += gauss_sums(t, broad / np.sqrt(2.0), square)[0] / outer**2
-    noise -= 2.0 * gauss_sums(t, both, square)[0] / (inner * outer)
-    return inner_m / inner - outer_m / outer, noise
+        filtered[part], noise[part] = hat @ m[near], (hat * hat) @ e[near] ** 2
+    return filtered, noise
 
 
 def two_scale_power(t, m, e, slow, fast):
@@ -334,13 +310,20 @@ def two_scale_power(t, m, e, slow, fast):
 # ------------------------------------------------------------ structure function
 
 
-def structure_function(t, m, e, edges, fewest):
+def structure_function(t, m, e, per_decade, fewest):
     """Amplitude at one year and slope of the structure function, on a log-log line.
 
+    Lag bins are ``per_decade`` to a decade and cover all lags that the curve has.
     For a lag bin the mean of (m_i - m_j)^2 - e_i^2 - e_j^2 over its pairs follows
     from running sums of m, m^2 and e^2, so the cost is linear in epochs and no
     pair is ever formed.
     """
+    gaps = np.diff(t)
+    gaps = gaps[gaps > 0]
+    if not gaps.size:
+        return None, None
+    first, last = np.floor(per_decade * np.log10([gaps.min(), t[-1] - t[0]]))
+    edges = 10.0 ** (np.arange(first, last + 2) / per_decade)
     y = m - m.mean() if m.size else m
     runs = [np.concatenate(([0.0], np.cumsum(v))) for v in (y, y * y, e * e)]
     reach = [np.searchsorted(t, t + edge, side="left") for edge in edges]
@@ -443,8 +426,17 @@ def template_scores(t, flux, weight, axes):
     return amplitude, offset, chi
 
 
-def template_fit(t, m, e, zero_point, grid, rounds):
-    """Parameters of the best template: A, t0, gamma, beta, rise, fall, chi, C."""
+#: Start times at which all shapes of the grid are tried.
+SHORTLIST = 100
+
+
+def template_fit(t, m, e, zero_point, grid, rounds=None):
+    """Parameters of the best template: A, t0, gamma, beta, rise, fall, chi, C.
+
+    Without ``rounds`` the start times tried lie no farther apart than the shortest
+    rise wherever there are epochs, and the search ends when all steps are below ``FINE``.
+    With it they are ``grid[0]`` even ones, and the search ends after so many rounds.
+    """
     nothing = (None,) * 8
     if t.size < 2 or not np.all(e > 0):
         return nothing
@@ -454,9 +446,12 @@ def template_fit(t, m, e, zero_point, grid, rounds):
     t, weight = t - t[0], error**-2.0
     low = np.array([-50.0, 1.0, 0.0, 1.0, 1.0])
     high = np.array([max(t[-1], 1.0), 120.0, 1.0, 100.0, 180.0])
-    axes = [np.linspace(-50.0, high[0], grid[0])] + [np.asarray(axis, dtype=float) for axis in grid[1:]]
-    best = None
-    for turn in range(rounds + 1):
+    shapes = [np.asarray(axis, dtype=float) for axis in grid[1:]]
+    axes = [np.linspace(-50.0, high[0], grid[0]), *shapes]
+    if rounds is None:
+        axes[0] = _likely_starts(t, flux, weight, shapes, axes[0], high[0])
+    best, turn = None, 0
+    while True:
         with np.errstate(all="ignore"):
             amplitude, offset, chi = template_scores(t, flux, weight, axes)
         if not np.any(np.isfinite(chi)):
@@ -468,8 +463,31 @@ def template_fit(t, m, e, zero_point, grid, rounds):
             best = (float(amplitude[at]), *point, float(chi[at]), float(offset[at]))
         # The next grid has the best point in its middle and half the spacing.
         widths = [np.diff(axis).max() / 2.0 if axis.size > 1 else 0.0 for axis in axes]
+        if turn == rounds or max(widths) < FINE:
+            return best
+        turn += 1
         axes = [
             np.unique(np.clip([b - w, b, b + w], lo, hi))
             for b, w, lo, hi in zip(best[1:6], widths, low, high)
         ]
-    return best
+
+
+def _likely_starts(t, flux, weight, shapes, even, latest):
+    """Start times around the one at which the best of all shapes fits, as far apart as the shortest rise.
+
+    A few plain shapes are tried at every start time, all shapes at the ``SHORTLIST`` best.
+    """
+    step = float(shapes[2].min())
+    ahead = np.concatenate([np.zeros(1), shapes[2], shapes[0]])
+    near = np.unique(np.round(np.subtract.outer(t, ahead).ravel() / step)) * step
+    starts = np.union1d(near[(near >= -50.0) & (near <= latest)], even)
+
+    def least(starts, axes):
+        chi = [template_scores(t, flux, weight, [starts[part], *axes])[2].reshape(starts[part].size, -1) for part in blocks(starts.size, 64)]
+        return np.nan_to_num(np.concatenate(chi), nan=np.inf).min(axis=1)
+
+    with np.errstate(all="ignore"):
+        plain = [shapes[0][[0, -1]], shapes[1][:2], shapes[2][[0, -1]], shapes[3][[0, -1]]]
+        short = starts[np.argsort(least(starts, plain), kind="stable")[:SHORTLIST]]
+        best = short[int(np.argmin(least(short, shapes)))]
+    return np.unique(np.clip(best + step * np.arange(-5, 6), -50.0, latest))

@@ -188,19 +188,19 @@ def with_autocorrelation(df: DataFrame, level: float = math.exp(-1.0)) -> DataFr
     return with_expressions(df, Autocor_length=known("_lag"))
 
 
-# Lag bins in days: a tenth of a decade each, from 0.1 day to 11 years.
-LAG_EDGES = tuple(10.0 ** (k / 10.0) for k in range(-10, 37))
+# Lag bins: ten to a decade, over all lags of a curve.
+LAG_BINS = 10
 
 
 def with_structure_function(
-    df: DataFrame, edges: tuple[float, ...] = LAG_EDGES, fewest_pairs: int = 6
+    df: DataFrame, per_decade: int = LAG_BINS, fewest_pairs: int = 6
 ) -> DataFrame:
     """SF_ML_amplitude and SF_ML_gamma: variability at one year and its slope with lag."""
 
     @F.pandas_udf("a double, g double")
     def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
         rows = [
-            kernels.structure_function(t, m, e, edges, fewest_pairs) for t, m, e in zip(times, mags, errors)
+            kernels.structure_function(t, m, e, per_decade, fewest_pairs) for t, m, e in zip(times, mags, errors)
         ]
         return pd.DataFrame(rows, columns=["a", "g"], dtype=float)
 
@@ -209,7 +209,7 @@ def with_structure_function(
 
 
 def with_autoregression(
-    df: DataFrame, grid: tuple[float, float, int] = (0.01, 0.99, 50), rounds: int = 2
+    df: DataFrame, grid: tuple[float, float, int] = (0.01, 0.99, 50), rounds: int | None = None
 ) -> DataFrame:
     """IAR_phi: correlation after one day (Eyheramendy et al. 2018), by a refined grid.
 

@@ -41,8 +41,11 @@ def split_by_epochs(
 
 
 def write_files(df: DataFrame, path: str, files: int = 50) -> None:
-    """Replace ``path`` by at most ``files`` files."""
-    df.coalesce(files).write.mode("overwrite").parquet(path)
+    """Replace ``path`` by at most ``files`` files.
+
+    Rows are dealt out anew, so that the work that makes them runs in as many tasks as it needs.
+    """
+    df.repartition(files).write.mode("overwrite").parquet(path)
 
 
 def write_for_lookup(

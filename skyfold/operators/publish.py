@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from skyfold.operators.incremental import new_rows
 from skyfold.operators.preprocess import Preprocessor
+from skyfold.workspace import read_if_there
 
 # Least number of epochs per band for a published curve.
 PUBLISH_LIMITS = {1: 5, 2: 5, 3: 1}
@@ -76,27 +77,19 @@ def feature_documents(features: DataFrame) -> DataFrame:
 def append_new(documents: DataFrame, path: str, drop: bool = False, order: tuple[str, ...] = ()) -> int:
     """Append documents that the Parquet store at ``path`` does not hold; returns how many.
 
-    ``drop`` replaces the store.  The count is taken while the rows are written.
+    Of several documents with one ``_id`` the first stays: by ``order``, else by all its
+    columns, so that a run again stores the same.  ``drop`` replaces the store.  The
+    count is taken while the rows are written.
     """
-    spark = documents.sparkSession
-    if drop:
-        empty = spark.createDataFrame([], documents.select("_id").schema)
-        fresh, mode = new_rows(documents, empty, order=order), "overwrite"
-    else:
-        stored = spark.read.schema(documents.select("_id").schema).parquet(path) if _exists(documents, path) else None
-        stored = spark.createDataFrame([], documents.select("_id").schema) if stored is None else stored
-        fresh, mode = new_rows(documents, stored, order=order), "append"
+    spark, schema = documents.sparkSession, documents.select("_id").schema
+    order = order or tuple(f.name for f in documents.schema if not isinstance(f.dataType, T.MapType))
+    known = spark.createDataFrame([], schema) if drop else read_if_there(spark, path, schema)
     written = Observation("written")
-    fresh.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    fresh = new_rows(documents, known, order=order).observe(written, F.count(F.lit(1)).alias("rows"))
+    fresh.write.mode("overwrite" if drop else "append").parquet(path)
     return int(written.get["rows"])
 
 
-def _exists(df: DataFrame, path: str) -> bool:
-    context = df.sparkSession.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def insert_batches(
     documents: DataFrame, connect: Callable[[], Callable[[list[dict]], None]], batch_size: int = 10_000
 ) -> int:

@@ -28,6 +28,16 @@ def with_healpix(df: DataFrame, level: int, ra: str = "ra", dec: str = "dec", na
     return df.withColumn(name, sphere.healpix(F.col(ra), F.col(dec), level))
 
 
+def usable(df: DataFrame, ra: str, dec: str) -> DataFrame:
+    """Rows with a position on the sphere: neither null nor NaN or infinite, declination from -90 to 90.
+
+    Default positions such as -999 would otherwise touch cells without end.
+    """
+    east, north = F.col(ra).cast("double"), F.col(dec).cast("double")
+    finite = ~F.isnan(east) & (F.abs(east) < float("inf")) & ~F.isnan(north)
+    return df.filter(east.isNotNull() & north.isNotNull() & finite & north.between(-90.0, 90.0))
+
+
 def _with_own_cell(df: DataFrame, ra: str, dec: str, height: float) -> DataFrame:
     zoned = df.withColumn("_zone", sphere.zone(F.col(dec), height))
     return zoned.withColumn("_cell", sphere.cell_in_zone(F.col(ra), sphere.cells_in_zone(F.col("_zone"), height)))
@@ -78,9 +88,13 @@ def xmatch(
     ra: str = "ra",
     dec: str = "dec",
     suffix: str = "_2",
+    spread: str = "catalogue",
 ) -> DataFrame:
     """All pairs within ``radius`` degrees.
 
+    ``spread`` names the side whose rows are copied to every cell they touch, best the
+    smaller one: ``catalogue`` or ``objects``.
+
     Both inputs have ``ra`` and ``dec``.  The result has the columns of
     ``objects``, those of ``catalogue`` with ``suffix``, and ``distance`` in
     degrees.
@@ -94,9 +108,13 @@ def xmatch(
         raise ValueError("a cell must not be smaller than the radius")
     renamed = catalogue.toDF(*[f"{c}{suffix}" for c in catalogue.columns])
     ra2, dec2 = f"{ra}{suffix}", f"{dec}{suffix}"
-    left = _with_own_cell(objects.filter(F.col(ra).isNotNull() & F.col(dec).isNotNull()), ra, dec, height)
-    known = renamed.filter(F.col(ra2).isNotNull() & F.col(dec2).isNotNull())
-    right = _with_touched_cells(known, ra2, dec2, radius, height)
+    if spread not in ("catalogue", "objects"):
+        raise ValueError("spread is catalogue or objects")
+    left, right = usable(objects, ra, dec), usable(renamed, ra2, dec2)
+    if spread == "catalogue":
+        left, right = _with_own_cell(left, ra, dec, height), _with_touched_cells(right, ra2, dec2, radius, height)
+    else:
+        left, right = _with_touched_cells(left, ra, dec, radius, height), _with_own_cell(right, ra2, dec2, height)
     pairs = left.join(right, list(_WORK))
     # The cheap comparison goes first and spares most of the trigonometry.
     band = F.abs(F.col(dec).cast("double") - F.col(dec2).cast("double")) <= radius * (1.0 + 1e-9) + 1e-12
@@ -122,13 +140,11 @@ def nearest_with_ties(
 ) -> DataFrame:
     """Every row at the smallest distance of its key.
 
-    The minima are summed up before their shuffle and joined back.  A ranking
-    window would put all copies of a key into one task; this join can be split.
+    Rows behind the first rank are dropped before the shuffle as well as after it.
     """
     require_columns(matches, (*keys, by))
-    best = matches.groupBy(*keys).agg(F.min(by).alias("_best"))
-    closest = matches.join(best, list(keys)).filter(F.col(by).eqNullSafe(F.col("_best")))
-    return closest.select(*matches.columns)
+    order = Window.partitionBy(*keys).orderBy(F.col(by).asc_nulls_last())
+    return matches.withColumn("_rank", F.rank().over(order)).filter("_rank = 1").drop("_rank")
 
 
 def xmatch_nearest(
@@ -152,7 +168,7 @@ def xmatch_nearest(
     only made where sources are sparse on that scale.  The result is the same.
     """
     place = Window.partitionBy("ra", "dec").orderBy(tiebreak)
-    single = catalogue.withColumn("_copy", F.row_number().over(place)).filter("_copy = 1").drop("_copy")
+    single = usable(catalogue, "ra", "dec").withColumn("_copy", F.row_number().over(place)).filter("_copy = 1").drop("_copy")
     order = (f"{tiebreak}_2",)
     if not first_radii:
         return nearest_one(xmatch(objects, single, radius, cell), keys, order)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.features.registry import compute_features
+from skyfold.features.registry import FeatureFamily, compute_features
 from skyfold.operators.joins import join_labels, strip_suffix, training_set
 from skyfold.operators.layout import split_by, write_files
 from skyfold.operators.preprocess import Preprocessor
@@ -13,24 +13,33 @@ from skyfold.operators.publish import append_new, feature_documents, lightcurve_
 from skyfold.operators.xmatch import xmatch, xmatch_nearest
 from skyfold.sources.lightcurves import read_lightcurves
 from skyfold.schema import EPOCH_COLUMNS
+from skyfold.workspace import read_if_there
 
 ARCSEC = 1.0 / 3600.0
 
 
 def feature_job(
-    spark: SparkSession, source: str, target: str, preprocess: bool = True, parts: int | None = None
+    spark: SparkSession,
+    source: str,
+    target: str,
+    preprocess: bool = True,
+    parts: int | None = None,
+    families: list[FeatureFamily] | None = None,
 ) -> None:
-    """Curves to features.
+    """Curves to features, for curves that ``target`` does not hold yet: a run again, or after a loss, adds the rest.
 
     ``parts`` spreads the curves over that many tasks first; without it the file
-    splits decide, and there is no shuffle.  A failed write fails the job.
+    splits decide.  A failed write fails the job.
     """
     curves = read_lightcurves(spark, source)
+    keys = curves.select("objectid", "filterid")
+    done = read_if_there(spark, target, keys.schema).distinct()
+    curves = curves.join(done, keys.columns, "left_anti")
     if preprocess:
         curves = Preprocessor(limit_epochs=20, mag_error_tolerance=1.0, catflags_filter=0).run(curves)
     if parts:
         curves = curves.repartition(parts)
-    compute_features(curves).write.mode("append").parquet(target)
+    compute_features(curves, families).write.mode("append").parquet(target)
 
 
 def positions(curves: DataFrame, *extra: str) -> DataFrame:
@@ -62,7 +71,7 @@ def write_matches(matches: DataFrame, target: str, files: int = 50) -> None:
 
 
 def labelled_curves_job(
-    spark: SparkSession, labels: DataFrame, source: str, target: str, ignore_corrupt: bool = True
+    spark: SparkSession, labels: DataFrame, source: str, target: str, ignore_corrupt: bool = False
 ) -> None:
     """Epochs of labelled objects, one folder per band."""
     curves = read_lightcurves(spark, source, ignore_corrupt=ignore_corrupt)

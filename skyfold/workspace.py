@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -41,6 +43,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table, empty where nothing has been written to ``path`` yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def checkpointed(df: DataFrame, purpose: str) -> DataFrame:
     """Cut the lineage by writing a table to the shared folder and reading it back."""
     spark = df.sparkSession

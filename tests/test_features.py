@@ -408,7 +408,7 @@ def test_curves_fitted_together_are_fitted_alone():
 
 def test_random_walk_beats_its_neighbours():
     t, m, e = noise(40, 10)
-    sigma, tau, score = kernels.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, 4)[0]
+    sigma, tau, score = kernels.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
     around = [(sigma * f, tau * g) for f in (0.9, 1.0, 1.1) for g in (0.8, 1.0, 1.25)]
     scores = likelihoods(t, m, e, np.array([a for a, _ in around]), np.array([1 / b for _, b in around]))
     assert score >= scores.max() - 1e-3
@@ -427,8 +427,8 @@ def test_autoregression_finds_a_planted_correlation():
 
 def test_structure_function_equals_its_pairs():
     t, m, e = noise(70, 12)
-    edges = statistics.LAG_EDGES
-    found = kernels.structure_function(t, m, e, edges, 6)
+    found = kernels.structure_function(t, m, e, statistics.LAG_BINS, 6)
+    edges = 10.0 ** (np.arange(-80, 60) / 10)
     i, j = np.triu_indices(70, 1)
     lag, square = t[j] - t[i], (m[i] - m[j]) ** 2 - e[i] ** 2 - e[j] ** 2
     x, z = [], []
@@ -445,8 +445,8 @@ def test_structure_function_of_a_random_walk_has_slope_one_half():
     rng = np.random.default_rng(13)
     t = np.arange(4000.0)
     m = np.cumsum(rng.normal(0, 0.05, 4000))
-    _, slope = kernels.structure_function(t, m, np.full(4000, 1e-4), statistics.LAG_EDGES[:35], 6)
-    assert slope == pytest.approx(0.5, abs=0.08)
+    _, slope = kernels.structure_function(t, m, np.full(4000, 1e-4), statistics.LAG_BINS, 6)
+    assert slope == pytest.approx(0.5, abs=0.15)
 
 
 @pytest.mark.parametrize("n,span", [(600, 900.0), (3000, 900.0), (3000, 5.0), (1600, 40000.0)])
@@ -510,3 +510,28 @@ def test_refinement_never_loses():
     assert chis == sorted(chis, reverse=True)
     scores = [kernels.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, r)[0, 2] for r in (0, 1, 3)]
     assert scores == sorted(scores)
+
+
+def test_no_box_bounds_the_random_walk():
+    t = np.sort(np.random.default_rng(18).uniform(0, 3000, 300))
+    trend = t / 3000 + np.random.default_rng(19).normal(0, 0.01, 300)
+    _, tau, score = kernels.walk_fits([(t, trend, np.full(300, 0.01))], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
+    assert tau > 2 * math.exp(-fits.LOG_RATE[0])
+    loud = 8.0 * np.random.default_rng(20).normal(size=300)
+    sigma, _, _ = kernels.walk_fits([(t, loud, np.full(300, 0.01))], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
+    assert sigma == pytest.approx(loud.var(), rel=0.05)
+
+
+def test_a_short_event_in_a_long_curve_is_found():
+    t = np.linspace(0, 2000, 801)
+    args = [np.array([v]) for v in (740.0, 20.0, 0.4, 5.0, 20.0)]
+    flux = 400.0 * kernels.template_shape(t, *args).ravel() + 3.0
+    found = kernels.template_fit(t, 16.4 - 2.5 * np.log10(flux), np.full(801, 0.02), 16.4, fits.TEMPLATE_GRID)
+    assert found[0] == pytest.approx(400.0, rel=0.1) and found[1] == pytest.approx(740.0, abs=3.0) and found[6] < 1.0
+
+
+def test_lags_of_one_night_count():
+    t = np.sort(np.random.default_rng(23).uniform(0, 0.3, 400))
+    m = np.cumsum(np.random.default_rng(24).normal(0, 0.05, 400))
+    amplitude, slope = kernels.structure_function(t, m, np.full(400, 1e-4), statistics.LAG_BINS, 6)
+    assert amplitude > 0 and 0.2 < slope < 0.8

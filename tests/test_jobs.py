@@ -34,7 +34,7 @@ def test_labelled_curves_job(spark, curves, tmp_path):
         [(1550215200000003, 2, "variable"), (1, 2, "other")], "objectid long, filterid byte, kind string"
     )
     target = str(tmp_path / "labelled")
-    jobs.labelled_curves_job(spark, labels, curves, target)
+    jobs.labelled_curves_job(spark, labels, curves, target, ignore_corrupt=True)
     row = spark.read.parquet(target).first()
     assert row.kind == "variable" and row.fid == 2 and len(row.mag) == 25
 
@@ -67,3 +67,10 @@ def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x").startswith(root) and shared_folder(spark, "x") != shared_folder(spark, "x")
     assert checkpointed(spark.range(3), "numbers").count() == 3
+
+
+def test_feature_job_run_again_adds_nothing(spark, curves, tmp_path):
+    target = str(tmp_path / "again")
+    for _ in range(2):
+        jobs.feature_job(spark, curves, target)
+    assert spark.read.parquet(target).count() == 1

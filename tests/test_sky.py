@@ -207,3 +207,23 @@ def test_neighbours_in_a_pixel_are_close(spark, uniform):
         .first()
     )
     assert spread.height < 1.4
+
+
+BAD = [float("nan"), float("inf"), float("-inf"), -999.0, 999.0]
+
+
+@pytest.mark.parametrize("spread", ["catalogue", "objects"])
+def test_default_positions_make_no_rows(spark, spread):
+    rows = [(i, 10.0, bad) for i, bad in enumerate(BAD)] + [(10 + i, bad, 5.0) for i, bad in enumerate(BAD[:3])] + [(20, 10.0, 5.0)]
+    here = spark.createDataFrame(rows, "id long, ra double, dec double")
+    found = xmatch(here, here, 2.0 / 3600.0, spread=spread)
+    assert [(r.id, r.id_2) for r in found.collect()] == [(20, 20)]
+    nearest = xmatch_nearest(here, here, 2.0 / 3600.0, "id", keys=("id",))
+    assert [(r.id, r.id_2) for r in nearest.collect()] == [(20, 20)]
+
+
+def test_either_side_may_be_spread(spark):
+    rng = np.random.default_rng(31)
+    a = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform((0, -90), (360, 90), (300, 2)))], "id long, ra double, dec double")
+    pairs = [sorted((r.id, r.id_2) for r in xmatch(a, a, 5.0, spread=side).collect()) for side in ("catalogue", "objects")]
+    assert pairs[0] == pairs[1] and len(pairs[0]) > 300

@@ -2,7 +2,7 @@ import hashlib
 
 import pytest
 from pyspark.sql import functions as F
-from tests_data import LISTED_SIZES, LISTING_PAGE
+from tests_data import LISTED, LISTED_SIZES, listing_page
 
 from skyfold.functions import text
 from skyfold.operators.incremental import new_rows, pending_by_name, pending_by_path
@@ -39,23 +39,18 @@ def test_addresses(spark):
 
 
 def test_listing_page(spark):
-    pages = spark.createDataFrame([("https://data.example.org/release/0/field0202/", LISTING_PAGE)], "url string, html string")
-    rows = listing.listing_entries(pages).orderBy("file").collect()
-    start = "https://data.example.org/release/0/field0202/"
-    assert [r.file for r in rows] == [start + "a_000202_c10.parquet", start + "a_000202_c14.parquet", start + "older/"]
-    assert [r["size"].strip() for r in rows] == ["313K", "476K", "-"]
-    assert [r.folder for r in rows] == [False, False, True]
-    assert rows[0].date == "2021-03-12 15:05"
+    address = "https://data.example.org/release/0/field0031/"
+    pages = spark.createDataFrame([(address, listing_page()), (address, "<p>nothing</p>")], "url string, html string")
+    rows = listing.listing_entries(pages).orderBy("date").collect()
+    assert [(r.file, r.date, r["size"], r.folder) for r in rows] == [(address + n, d, x, n.endswith("/")) for n, d, x in sorted(LISTED, key=lambda e: e[1])]
+    assert listing.page_links(pages).count() == len(LISTED) + 3
 
 
 def test_size_by_field(spark):
     rows = [(f"https://x/release/0/{field}/{i}.parquet", size) for i, (field, size) in enumerate(LISTED_SIZES)]
-    rows += [("https://x/release/0/field0202/", "-"), ("https://x/release/0/field0202/readme.txt", "9T")]
+    rows += [("https://x/release/0/field0031/", "-"), ("https://x/release/0/field0031/readme.txt", "9T")]
     found = listing.size_by_field(spark.createDataFrame(rows, "file string, size string")).collect()
-    assert {r.field: (r.files, round(r.total_size, 12)) for r in found} == {
-        "field0202": (3, round(1.1987686157226562, 12)),
-        "field0245": (10, round(20.40863037109375, 12)),
-    }
+    assert {r.field: (r.files, r.total_size) for r in found} == {"field0031": (3, 1_200_000 / 2**20), "field0044": (3, 3_002_500_500 / 2**20)}
 
 
 def test_manifest(spark, tmp_path):
