@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.workspace import shared_folder
@@ -16,6 +16,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tucked(docs: DataFrame) -> Column:
+    """All columns as one struct, ``row``, so that no name of theirs meets a name of an operator's own."""
+    return F.struct(*(docs[f"`{c}`"].alias(c) for c in docs.columns)).alias("row")
+
+
+def untucked(found: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns out of ``row`` again, some of them made anew."""
+    return found.select(*((new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in columns))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (smallest node reachable) of every node on a link ``a``, ``b``.
 

@@ -66,27 +66,31 @@ def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     if not all(map(math.isfinite, longest)) or longest[0] * longest[1] >= 2**62:
         raise OverflowError("scores do not fit 64 bits")
     bound = math.ceil(longest[0] * longest[1] * (1 + 1e-9)) + 1
-    low, width = -bound, 2 * bound
+    # A power of the number of bins, so that the bins of each interval fill it exactly.
+    low, width = -bound, 1
+    while width < 2 * bound:
+        width *= BINS
     state = queries.select("id", F.lit(low).cast("long").alias("low"), F.lit(0).cast("long").alias("above"))
     while width > 1:
-        step = -(-width // BINS)
+        step, bins = width // BINS, BINS
 
-        def count(row: dict, query: dict, step: int = step, top_bin: int = -(-width // step) - 1) -> pa.RecordBatch | None:
+        def count(row: dict, query: dict, step: int = step, width: int = width, bins: int = bins) -> pa.RecordBatch | None:
             query_ids, _, score = _scores(row, query)
             low = np.frombuffer(query["low"], np.int64)
             least = np.maximum(_floor(score, k), low)
             least = low + (least - low) // step * step
             at, member = np.nonzero(score >= least[:, None])
-            bins = (score[at, member] - low[at]) // step
-            inside = bins <= top_bin
-            cells, n = np.unique(at[inside] * (top_bin + 1) + bins[inside], return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(query_ids[cells // (top_bin + 1)]), pa.array(cells % (top_bin + 1)), pa.array(n)], ["id", "bin", "n"])
+            # What lies above the interval has been counted in an earlier round.
+            over = score[at, member] - low[at]
+            inside = over < width
+            cells, n = np.unique(at[inside] * bins + over[inside] // step, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(query_ids[cells // bins]), pa.array(cells % bins), pa.array(n)], ["id", "bin", "n"])
 
         asked = vec.blocks(queries.join(state, "id"), vec.QUERIES, ["low"])
         counts = vec.meet(rows, asked, count, "id long, bin long, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("id").orderBy(F.col("bin").desc())
-        reached = counts.join(state, "id").withColumn("to", F.col("above") + F.sum("n").over(down))
-        # The first bin from the top at which the count reaches k, else the lowest of all.
+        reached = state.join(counts, "id", "left").withColumn("to", F.col("above") + F.sum("n").over(down))
+        # The first bin from the top at which the count reaches k, else the lowest: there are fewer candidates.
         found = reached.groupBy("id").agg(
             F.first("low").alias("low"),
             F.coalesce(F.max(F.when(F.col("to") >= k, F.col("bin"))), F.lit(0).cast("long")).alias("bin"),

@@ -21,8 +21,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skyfold.llm.common import Sieve, components, stored
+from skyfold.llm.common import Sieve, components, stored, tucked, untucked
 
 WORDS = 5
 LIKE = 0.8
@@ -250,26 +251,23 @@ def cleaned(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     sentence inside a paragraph that goes as a near copy counts as an occurrence.  An
     empty table stays empty.  Documents that lose nothing are not shuffled.
     """
-    lost = stored(repeats(docs, text, id_column), "repeats").withColumnsRenamed({"doc": "_lost_doc", "lost": "_lost"})
-    sieve = Sieve(lost.select("_lost_doc"))
+    lost = stored(repeats(docs, text, id_column), "repeats").withColumnRenamed("doc", "met")
+    sieve = Sieve(lost.select("met"))
 
     @F.pandas_udf("boolean")
     def may_lose(doc: pd.Series) -> pd.Series:
         return pd.Series(sieve.may_hold(doc.to_numpy(np.int64)))
 
-    key = F.col(id_column).cast("long")
-    asked = docs.withColumn("_asked", key.isNull() | may_lose(F.coalesce(key, F.lit(0).cast("long"))))
-    names, place = docs.columns, docs.columns.index(text)
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = batch.column(place).to_pylist()
-            for k, found in enumerate(batch.column(len(names)).to_pylist()):
+            bodies = batch.column(1).to_pylist()
+            for k, found in enumerate(batch.column(2).to_pylist()):
                 if found and bodies[k]:
                     bodies[k] = without(bodies[k], {(x["at"], x["unit"]) for x in found})
-            columns = list(batch.columns[: len(names)])
-            columns[place] = pa.array(bodies, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.string())], ["row", "body"])
 
-    met = asked.where("_asked").drop("_asked").join(lost, key.eqNullSafe(F.col("_lost_doc")), "left").drop("_lost_doc")
-    return met.mapInArrow(cut, docs.schema).unionByName(asked.where("NOT _asked").drop("_asked"))
+    whole = docs.select(tucked(docs), docs[id_column].cast("long").alias("doc"), docs[text].alias("body"))
+    whole = whole.withColumn("asked", F.col("doc").isNull() | may_lose(F.coalesce("doc", F.lit(0).cast("long"))))
+    met = whole.where("asked").join(lost, F.col("doc").eqNullSafe(F.col("met")), "left").select("row", "body", "lost")
+    done = met.mapInArrow(cut, T.StructType([whole.schema["row"], whole.schema["body"]]))
+    return untucked(done.unionByName(whole.where("NOT asked").select("row", "body")), docs.columns, **{text: F.col("body")})

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm import weak
-from skyfold.llm.common import stored
+from skyfold.llm.common import stored, tucked, untucked
 
 #: Fixed by the definition of the base, in the order in which kinds are listed.  Lookbehinds and possessive
 #: quantifiers change no match: they keep a long run of letters or digits from being tried from each of its places.
@@ -145,11 +145,10 @@ def _judged(match: Column, kind: Column, base: bool) -> Column:
     return F.struct(match["s"].alias("s"), match["e"].alias("e"), kind.cast("int").alias("kind"), votes.alias("votes"), features.alias("features"))
 
 
-def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns, the spans of the base (``_base``) and all proposals (``_proposed``), in the order of kinds; null texts count as empty."""
-    body = F.coalesce(F.col(text), F.lit(""))
+def proposals(docs: DataFrame) -> DataFrame:
+    """``row``, the spans of the base (``_base``) and all proposals (``_proposed``), in the order of kinds, of ``row`` and ``_text``."""
     none = F.array().cast("array<struct<s:int,e:int,value:string,before:string,after:string>>")
-    found = docs.withColumn("_text", body)
+    found = docs
     for kind in KINDS:
         hits = F.filter(_matches(F.col("_text"), BASE[kind]), _keeps(kind))
         found = found.withColumn(f"_{kind}", F.coalesce(F.when(F.contains("_text", F.lit(NEEDS[kind])), hits), none))
@@ -165,7 +164,7 @@ def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
     judged.append(F.transform(F.filter("_spelled", apart), lambda m: _judged(m, F.lit(0), False)))
     judged.append(F.transform(F.filter("_number", apart), lambda m: _judged(m, guess(m), False)))
     found = found.withColumn("_proposed", F.concat(*(j.cast(_PROPOSAL) for j in judged)))
-    return found.select(*docs.columns, "_base", "_proposed")
+    return found.select("row", "_base", "_proposed")
 
 
 def fit(found: DataFrame) -> dict[str, float]:
@@ -194,15 +193,16 @@ def fit(found: DataFrame) -> dict[str, float]:
     return weights
 
 
-def spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns, ``_base`` and ``_spans``: arrays of start, end (code points, end exclusive) and the number of the kind, in order.
+def spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``row`` (the columns in ``keep``, else all), ``base`` and ``spans``: arrays of start, end (code points, end exclusive) and the number of the kind, in order.
 
-    ``_spans`` holds the base and the proposals that the classifier takes.  The table with
+    ``spans`` holds the base and the proposals that the classifier takes.  The table with
     the proposals is stored, so the texts are searched once; nothing is shuffled but
     counts.  Null texts count as empty; ids, repeated rows and other columns are not
     looked at; an empty table gives no rows.
     """
-    found = stored(proposals(docs, text), "proposals")
+    whole = docs.select(tucked(docs.select(*(keep or docs.columns))), F.coalesce(docs[text], F.lit("")).alias("_text"))
+    found = stored(proposals(whole), "proposals")
     weights = fit(found)
     taken = F.array().cast(_SPAN)
     if weights:
@@ -212,7 +212,7 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
         extra = F.filter("_proposed", lambda p: ~p["votes"].startswith("+") & (score(p) > 0))
         taken = F.transform(extra, lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e"), p["kind"].alias("kind"))).cast(_SPAN)
     order = lambda spans: F.transform(F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["kind"].alias("kind"), x["e"].alias("e")))), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))
-    return found.select(*docs.columns, order(F.col("_base")).alias("_base"), order(F.concat("_base", taken)).alias("_spans"))
+    return found.select("row", order(F.col("_base")).alias("base"), order(F.concat("_base", taken)).alias("spans"))
 
 
 def listed(column: str) -> Column:
@@ -224,11 +224,11 @@ def listed(column: str) -> Column:
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with each span replaced by its kind in angle brackets; where spans overlap, the first stands for all."""
     found = spans(docs, text)
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(F.col(f"row.`{text}`"), F.lit(""))
     names = F.array(*map(F.lit, KINDS))
     kind = "struct<at:int,out:array<string>>"
     walked = F.aggregate(
-        "_spans",
+        "spans",
         F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")).cast(kind),
         lambda acc, x: F.when(
             x["s"] >= acc["at"],
@@ -236,4 +236,4 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
         ).otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))).cast(kind),
         lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(body, acc["at"] + 1, F.length(body))),
     )
-    return found.withColumn(text, F.when(F.size("_spans") > 0, walked).otherwise(F.col(text))).drop("_base", "_spans")
+    return untucked(found, docs.columns, **{text: F.when(F.size("spans") > 0, walked).otherwise(F.col(f"row.`{text}`"))})

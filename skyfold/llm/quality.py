@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyfold.llm import weak
-from skyfold.llm.common import stored
+from skyfold.llm.common import stored, tucked, untucked
 
 #: Labelers: the share each looks at, from which it votes against, and below which it votes for.
 LABELERS = (
@@ -154,7 +155,7 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]:
             found = [votes(shares(t, _shape(t))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["key", "votes"])
 
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(docs[text], F.lit(""))
     keyed = docs.select(F.xxhash64(body).alias("key"), body.alias("text"))
     voted = stored(keyed.mapInArrow(vote, "key long, votes string"), "votes")
     counts = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -178,19 +179,19 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]:
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text") -> DataFrame:
-    """All columns and ``_score``, from 0 (junk) to 1."""
+    """``row`` (all columns) and ``score``, from 0 (junk) to 1."""
     weight, offset = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for t in batch.column(batch.num_columns - 1).to_pylist():
+            for t in batch.column(1).to_pylist():
                 slots, values, _ = features(t)
                 out.append(1 / (1 + np.exp(-np.clip(float(weight[slots] @ values) + offset, -30, 30))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], [*batch.schema.names[:-1], "_score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["row", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.withColumn("_seen", F.col(text)).mapInArrow(run, f"{schema}, _score double")
+    whole = docs.select(tucked(docs), docs[text].alias("text"))
+    return whole.mapInArrow(run, T.StructType([whole.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def kept(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -199,4 +200,4 @@ def kept(docs: DataFrame, text: str = "text") -> DataFrame:
     Null and empty texts have no share against them and are judged like any other;
     repeated rows get the same score; an empty table stays empty.
     """
-    return scored(docs, fit(docs, text), text).where(F.col("_score") >= KEEP).drop("_score")
+    return untucked(scored(docs, fit(docs, text), text).where(F.col("score") >= KEEP), docs.columns)

@@ -50,14 +50,14 @@ def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document, and whether it is kept."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality.scored(docs, quality.fit(docs))
-    return found.select("doc_id", F.col("_score").alias("score"), (F.col("_score") >= quality.KEEP).alias("keep"))
+    return found.select("row.doc_id", "score", (F.col("score") >= quality.KEEP).alias("keep"))
 
 
 def op5_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
-    found = pii.spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("_base", pii.is_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
-    return found.select("doc_id", *counts, F.sha2(pii.listed("_base"), 256).alias("base_sha256"), pii.listed("_spans").alias("spans"))
+    found = pii.spans(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    counts = [F.size(F.filter("base", pii.is_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("row.doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
 
 
 def op6_rotated_bits(spark: SparkSession, sf_dir: str) -> DataFrame:

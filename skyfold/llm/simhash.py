@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import components, stored
+from skyfold.llm.common import components, stored, tucked, untucked
 
 #: Fingerprints of a posting that one task holds twice at most; longer postings are cut into blocks.
 BLOCK = 2048
@@ -158,6 +158,7 @@ def first_of_each_group(docs: DataFrame, words: int = 3) -> DataFrame:
     """
     known = docs.where("doc_id IS NOT NULL")
     member = groups(known, words).where("doc_id = component_id").select("doc_id").distinct()
+    whole = known.select(tucked(known), "doc_id", "text")
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = known.join(member, "doc_id", "left_semi").withColumn("_nth", nth).where("_nth = 1").drop("_nth")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    first = whole.join(member, "doc_id", "left_semi").withColumn("nth", nth).where("nth = 1")
+    return untucked(first, docs.columns).unionByName(docs.where("doc_id IS NULL"))
