@@ -11,7 +11,6 @@ clusters: of each the first unit in the corpus stays, the others go.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 
@@ -30,12 +29,14 @@ LIKE = 0.8
 ROWS, BANDS = 2, 5
 #: Paragraphs of a bucket that one task compares at most; larger buckets are cut into blocks of half as many.
 BLOCK = 1024
+#: Words whose hashes a worker keeps.
+KEPT_WORDS = 1 << 18
 #: Rows of output held at once.
 OUT = 1 << 15
 
 _MULTIPLIERS = np.random.default_rng(4).integers(1, 2**62, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: After a mark that ends a sentence, or at a line break.
-_BREAK = re.compile(r"\s*\n\s*|(?<=[.!?])\s+")
+#: A mark that ends a sentence, and the white space behind it.
+_END = re.compile(r"[.!?]\s+")
 
 
 class Unit:
@@ -49,54 +50,72 @@ class Unit:
 
 def units(text: str) -> tuple[list[Unit], list[list[Unit]]]:
     """The paragraphs, and the sentences of each, those that have words."""
-    lines: list[list[Unit]] = [[]]
-    at = 0
-    for gap in [*_BREAK.finditer(text), None]:
-        end = gap.start() if gap else len(text)
-        if words := text[at:end].lower().split():
-            lines[-1].append(Unit(at, end, len(lines) - 1, words))
-        if gap:
-            at = gap.end()
-            if "\n" in gap[0] and lines[-1]:
-                lines.append([])
-    sentences = [x for x in lines if x]
-    return [Unit(x[0].start, x[-1].end, k, [w for s in x for w in s.words]) for k, x in enumerate(sentences)], sentences
+    lines, sentences, at = [], [], 0
+    for raw in text.split("\n"):
+        own, start = [], 0
+        for end in [*(m.end() for m in _END.finditer(raw)), len(raw)]:
+            piece = raw[start:end]
+            if words := piece.lower().split():
+                begin = at + end - len(piece.lstrip())
+                own.append(Unit(begin, at + start + len(piece.rstrip()), len(lines), words))
+            start = end
+        if own:
+            lines.append(Unit(own[0].start, own[-1].end, len(lines), [w for s in own for w in s.words] if len(own) > 1 else own[0].words))
+            sentences.append(own)
+        at += len(raw) + 1
+    return lines, sentences
 
 
-@functools.lru_cache(1 << 17)
-def _word(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+class _Words(dict):
+    """Word to its hash; as many as a worker keeps before it starts anew."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return found
+
+
+_WORDS = _Words()
+
+
+def _numbers(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+
+
+def _unit(numbers: np.ndarray) -> int:
+    """The hash of a unit from those of its words, as a signed long."""
+    return xxhash.xxh64_intdigest(numbers.tobytes(), 1) - (1 << 63)
 
 
 def _hash(words: list[str]) -> int:
-    """Of a unit, as a signed long."""
-    return xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"), 1) - (1 << 63)
+    return _unit(_numbers(words))
 
 
-def _rolled(words: list[str]) -> np.ndarray:
-    """Hashes of the shingles of five words, repeats included; fewer words are one shingle."""
-    own = np.fromiter(map(_word, words), np.uint64, len(words))
-    if len(own) < WORDS:
-        return np.array([_hash(words) % (1 << 64)], np.uint64)
-    total = own[: len(own) - WORDS + 1].copy()
+def _rolled(numbers: np.ndarray) -> np.ndarray:
+    """Hashes of every five words in a row."""
+    total = numbers[: len(numbers) - WORDS + 1].copy()
     for k in range(1, WORDS):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + own[k : len(own) - WORDS + 1 + k]
+        total = total * np.uint64(0x9E3779B97F4A7C15) + numbers[k : len(numbers) - WORDS + 1 + k]
     return total ^ total >> np.uint64(29)
 
 
 def shingles(words: list[str]) -> np.ndarray:
-    """The set of hashes of the shingles, in order."""
-    return np.unique(_rolled(words))
+    """The set of hashes of the shingles of a paragraph of five words or more, in order."""
+    return np.unique(_rolled(_numbers(words)))
 
 
-def bands(found: np.ndarray) -> np.ndarray:
-    """A key for each band of minima."""
-    mixed = found[:, None] * _MULTIPLIERS
-    least = (mixed ^ mixed >> np.uint64(32)).min(axis=0).reshape(BANDS, ROWS)
-    key = least[:, 0].copy()
-    for k in range(1, ROWS):
-        key = key * np.uint64(0xD6E8FEB86659FD93) + least[:, k]
-    return (key ^ np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def bands(found: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each stretch of shingles a key for each band of minima."""
+    edges = np.stack([starts, ends], axis=1).ravel()
+    padded = np.append(found, np.uint64(0))
+    keys = np.zeros((len(starts), BANDS), np.uint64)
+    for k in range(BANDS):
+        for j in range(ROWS):
+            mixed = padded * _MULTIPLIERS[k * ROWS + j]
+            mixed ^= mixed >> np.uint64(32)
+            keys[:, k] = keys[:, k] * np.uint64(0xD6E8FEB86659FD93) + np.minimum.reduceat(mixed, edges)[::2]
+    return (keys ^ np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def _out(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
@@ -113,14 +132,20 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names, kinds, rows = ["unit", "doc", "at", "keys"], [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], []
     for doc, text in _bodies(batches):
         lines, sentences = units(text)
-        for line, own in zip(lines, sentences, strict=True):
-            if len(line.words) < WORDS:
-                # Fewer words than a shingle: equal ones only, and only whole paragraphs.
-                rows.append((_hash(line.words), doc, 2 * line.start, []))
-                continue
-            rows.append((_hash(line.words), doc, 2 * line.start, bands(_rolled(line.words)).tolist()))
-            if len(own) > 1:
-                rows += [(_hash(s.words), doc, 2 * s.start + 1, []) for s in own if len(s.words) >= WORDS]
+        numbers = _numbers([w for line in lines for w in line.words])
+        ends = np.cumsum([len(line.words) for line in lines], dtype=np.int64)
+        starts = np.append(0, ends)[:-1] if len(lines) else ends
+        long = ends - starts >= WORDS
+        keys = iter(bands(_rolled(numbers), starts[long], ends[long] - WORDS + 1).tolist() if long.any() else ())
+        for line, own, first, last, whole in zip(lines, sentences, starts.tolist(), ends.tolist(), long.tolist(), strict=True):
+            # Fewer words than a shingle: only equal ones count, and only as whole paragraphs.
+            rows.append((_unit(numbers[first:last]), doc, 2 * line.start, next(keys) if whole else []))
+            if whole and len(own) > 1:
+                for s in own:
+                    n = len(s.words)
+                    if n >= WORDS:
+                        rows.append((_unit(numbers[first : first + n]), doc, 2 * s.start + 1, []))
+                    first += n
         if len(rows) >= OUT:
             yield _out(rows, names, kinds)
             rows = []
