@@ -515,6 +515,16 @@ def build() -> dict[str, str]:
             with {kept_sql(LIMIT)}
             select objectid as "_id", count(*) as nepochs, {r(f'max({at[0]})')} as gal_b, {r(f'max({at[1]})')} as gal_l
             from kept group by objectid""",
+        "publish_again": f"""
+            with epochs as ({EPOCHS}), c as (select objectid as "_id", count(*) as nepochs from epochs group by objectid)
+            select "_id", nepochs, count(*) filter ("_id" % 3 = 0) over () as part, count(*) filter ("_id" % 3 <> 0) over () as rest,
+              cast(0 as bigint) as again, count(*) over () as anew from c""",
+        "features_incremental": f"""
+            with {kept_sql(20)} select objectid, count(*) as nepochs from kept group by objectid""",
+        "fixed_file_count": f"select objectid, cast(filterid as bigint) as filterid, {r('ra')} as ra, {r('dec')} as dec from ({sky}) s",
+        "lookup_layout": f"""
+            select objectid, cast(filterid as bigint) as filterid, count(*) as nepochs, {r('sum(mag)')} as mag_sum
+            from ({EPOCHS}) e group by objectid, filterid""",
         "nepochs_min": counts_sql(20),
         "nepochs_by_band": counts_sql(BAND_LIMITS),
         "epoch_filter": epoch_rows(0),

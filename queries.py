@@ -181,6 +181,51 @@ def publish_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(path), ("_id", "nepochs"), ("gal_b", "gal_l"))
 
 
+@query
+def publish_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a store holds after a part, the whole and the whole anew have been published to it, and the counts returned."""
+    path = shared_folder(spark, "store")
+    table = checkpointed(publish.feature_documents(_kept_counts(fx.lightcurves(spark, sf_dir))), "documents")
+    first = publish.append_new(table.where("_id % 3 = 0"), path)
+    second = publish.append_new(table, path)
+    third = publish.append_new(table, path)
+    fourth = publish.append_new(table, path, drop=True)
+    counts = [F.lit(n).cast("long").alias(c) for n, c in ((first, "part"), (second, "rest"), (third, "again"), (fourth, "anew"))]
+    return spark.read.parquet(path).select("_id", "nepochs", *counts)
+
+
+@query
+def features_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature job over a part of the curves, then twice over all of them."""
+    root = shared_folder(spark, "feature-job")
+    curves_ = checkpointed(fx.lightcurves(spark, sf_dir), "curves")
+    conform(curves_.where("objectid % 2 = 0")).write.parquet(f"{root}/curves")
+    jobs.feature_job(spark, f"{root}/curves", f"{root}/features", families=[galactic_family()])
+    conform(curves_.where("objectid % 2 <> 0")).write.mode("append").parquet(f"{root}/curves")
+    for _ in range(2):
+        jobs.feature_job(spark, f"{root}/curves", f"{root}/features", families=[galactic_family()])
+    return spark.read.parquet(f"{root}/features").select("objectid", "nepochs")
+
+
+@query
+def fixed_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions written to seven files and read back."""
+    path = shared_folder(spark, "files")
+    layout.write_files(fx.sky(spark, sf_dir), path, 7)
+    return spark.read.parquet(path).select("objectid", F.col("filterid").cast("long").alias("filterid"), r6("ra").alias("ra"), r6("dec").alias("dec"))
+
+
+@query
+def lookup_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curves laid out by sky pixel and read back by a range of pixels: both halves make the whole."""
+    path = shared_folder(spark, "lookup")
+    layout.write_for_lookup(checkpointed(fx.lightcurves(spark, sf_dir), "curves"), path)
+    stored = spark.read.parquet(path)
+    half = 6 * 4**6
+    halves = stored.where(F.col("ipix") < half).unionByName(stored.where(F.col("ipix") >= half))
+    return halves.select("objectid", F.col("filterid").cast("long").alias("filterid"), "nepochs", mag_sum())
+
+
 # ------------------------------------------------------ projections and filters
 
 
@@ -339,24 +384,28 @@ def _metadata_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpointed(named, "features")
 
 
-def _match_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    sky = fx.sky(spark, sf_dir).withColumn("filterid", F.col("filterid").cast("long"))
-    return (
-        checkpointed(jobs.match_optical(sky, fx.optical(spark, sf_dir), "obj_id"), "optical"),
-        checkpointed(jobs.match_infrared(sky, fx.infrared(spark, sf_dir)), "infrared"),
-    )
+def _keyed_sky(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.sky(spark, sf_dir).withColumn("filterid", F.col("filterid").cast("long"))
+
+
+def _optical_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checkpointed(jobs.match_optical(_keyed_sky(spark, sf_dir), fx.optical(spark, sf_dir), "obj_id"), "optical")
+
+
+def _infrared_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checkpointed(jobs.match_infrared(_keyed_sky(spark, sf_dir), fx.infrared(spark, sf_dir)), "infrared")
 
 
 @query
 def join_features_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    optical, _ = _match_tables(spark, sf_dir)
+    optical = _optical_matches(spark, sf_dir)
     joined = joins.join_outer(_metadata_features(spark, sf_dir), joins.strip_suffix(optical.drop("ra", "dec")))
     return joined.select("objectid", "filterid", "nepochs", r6("Mean").alias("Mean"), "obj_id", "brand")
 
 
 @query
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    optical, infrared = _match_tables(spark, sf_dir)
+    optical, infrared = _optical_matches(spark, sf_dir), _infrared_matches(spark, sf_dir)
     table = joins.training_set(_metadata_features(spark, sf_dir), optical, infrared)
     return table.select(
         "objectid",
