@@ -498,6 +498,8 @@ def build() -> dict[str, str]:
             from ({MANIFEST_SQL}) m left join (select path, md5(content) as found from ({fx.files_sql()}) f
               where page_id not in (select doc_id from labels where toxic = 1)) s
             on regexp_extract(s.path, '[^/]*$') = regexp_extract(m.file, '[^/]*$')""",
+        "list_files": f"select cast(filterid as bigint) as filterid, count(*) as objects, true as listed from ({sky}) s group by 1",
+        "file_checksums": f"select page_id, md5(content || chr(10)) as found from ({fx.files_sql()}) f",
         "listing_links": f"""
             select page_id, regexp_replace(url, '/+$', '') || '/' || regexp_replace(link, '^/+', '') as file,
                    link like '%/' as folder from (select page_id, url, {links} as link from pages) l""",

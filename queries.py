@@ -117,8 +117,25 @@ def verify_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = manifest.list_files(spark, sf_dir)
-    return found.select(text.basename(F.col("path")).alias("file"), "length")
+    """Positions written to a folder per band; bands with their rows and whether files of theirs are listed."""
+    path = shared_folder(spark, "listed")
+    layout.split_by(fx.sky(spark, sf_dir).withColumn("fid", F.col("filterid")), path, "fid")
+    found = manifest.list_files(spark, path).filter("length > 0")
+    fid = F.regexp_extract("path", "fid=([0-9]+)/", 1).cast("long").alias("filterid")
+    listed = found.select(fid).distinct().withColumn("listed", F.lit(True))
+    rows = spark.read.parquet(path).groupBy(F.col("filterid").cast("long").alias("filterid")).agg(F.count("*").alias("objects"))
+    return rows.join(listed, "filterid", "left").select("filterid", "objects", F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
+@query
+def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to files of their own and checked by reading them back, half of them in chunks."""
+    path = shared_folder(spark, "pages")
+    stored = fx.derived(spark, sf_dir, fx.files_sql(), "pages").select("page_id", "content")
+    # Text files by page: the line break at the end of each is part of the file.
+    stored.write.partitionBy("page_id").option("lineSep", "\n").text(path)
+    found = manifest.read_checksums(spark, path, largest=3000, chunk=1000)
+    return found.select(F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long").alias("page_id"), "found")
 
 
 @query

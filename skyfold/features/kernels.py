@@ -9,13 +9,7 @@ its memory does not follow the product of epochs and trials.
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
-from pyspark import cloudpickle
-
-# The functions travel with the plan, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 4096
 

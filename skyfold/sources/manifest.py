@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ def read_manifest(spark: SparkSession, path: str, base_url: str) -> DataFrame:
 
 
 def manifest_by_field(manifest: DataFrame) -> DataFrame:
-    """Per field: number of files and how many distinct names and checksums they have.
+    """Per field: number of files, and the first and last of their names.
 
     Files without a field fall out.  Sums are taken before the shuffle, and the
     files of a field are never gathered; ``layout.split_by`` writes them apart.
@@ -70,16 +72,31 @@ def with_checksum(files: DataFrame, content: str = "content") -> DataFrame:
     return files.withColumn("found", F.md5(F.col(content))).drop(content)
 
 
-def read_checksums(spark: SparkSession, path: str, largest: int = 1 << 30) -> DataFrame:
-    """MD5 checksum of each file under a folder.
+def read_checksums(spark: SparkSession, path: str, largest: int = 1 << 28, chunk: int = 1 << 24) -> DataFrame:
+    """MD5 checksum of each file under a folder, files of any size.
 
-    A file is one value in memory, so a file over ``largest`` bytes fails the job
-    with its name instead of taking the executor down.
+    Spark's reader holds a file as one value, so files over ``largest`` bytes are read
+    in chunks instead, each by one task, with the file system that their address names.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    too_large = F.raise_error(F.concat(F.lit("too large to check in one piece: "), F.col("path"))).cast("binary")
-    content = F.when(F.col("length") <= largest, F.col("content")).otherwise(too_large)
-    return with_checksum(files.select("path", content.alias("content")))
+    small = with_checksum(files.filter(F.col("length") <= largest).select("path", "content"))
+
+    @F.pandas_udf("string")
+    def in_chunks(paths: pd.Series) -> pd.Series:
+        from pyarrow import fs
+
+        def checksum(address: str) -> str:
+            system, place = fs.FileSystem.from_uri(address)
+            found = hashlib.md5()
+            with system.open_input_stream(place) as stream:
+                while part := stream.read(chunk):
+                    found.update(part)
+            return found.hexdigest()
+
+        return paths.map(checksum)
+
+    large = files.filter(F.col("length") > largest).select("path").repartition("path")
+    return small.unionByName(large.withColumn("found", in_chunks("path")))
 
 
 def verify(manifest: DataFrame, found: DataFrame, path: str = "path") -> DataFrame:

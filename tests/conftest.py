@@ -10,10 +10,12 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    from skyfold.shipping import ship
     from skyfold.workspace import local_session
 
     shared = tmp_path_factory.mktemp("shared")
     session = local_session(8, 8, **{"spark.checkpoint.dir": str(shared)})
+    ship(session)
     yield session
     session.stop()
 
