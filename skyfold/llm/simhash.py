@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import batched, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +45,13 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     own = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not own:
         return 0
-    shingles = list(map(b" ".join, zip(*(own[k:] for k in range(words)), strict=False))) or [b" ".join(own)]
+    shingles = map(b" ".join, zip(*(own[k:] for k in range(words)), strict=False)) if len(own) >= words else [b" ".join(own)]
     total = np.zeros(64, np.int64)
     digest = functools.partial(xxhash.xxh64_intdigest, seed=SEED)
-    for at in range(0, len(shingles), LOT):
-        lot = shingles[at : at + LOT]
+    for lot in batched(shingles, LOT):
         hashes = np.fromiter(map(digest, lot), np.uint64, len(lot))
         total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(total * 2 > len(shingles)).view(np.int64)[0])
+    return int(np.packbits(total * 2 > max(1, len(own) - words + 1)).view(np.int64)[0])
 
 
 def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", id_column: str = "doc_id") -> DataFrame:
