@@ -6,11 +6,26 @@ import numpy as np
 
 import fixtures as fx
 from queries import BAND_LIMITS, BASE_URL, COARSE_GRID, FEATURE_LIMIT, LIMIT
-from skyfold.features import fits, period, statistics
+
+from skyfold.features import period
 from skyfold.functions import special
-from skyfold.operators.publish import PUBLISH_LIMITS
 
 ARCSEC = 1.0 / 3600.0
+# Fixed values, written from the definitions: least epochs per band of a published curve, the factors of a period at
+# which power is compared, the first grids of the template (start times, plateau, decline, rise, fall) and of the
+# random walk (logarithms: low, high, count).
+PUBLISH_LIMITS = {1: 5, 2: 5, 3: 1}
+POWER_FACTORS = {
+    "Power_rate_1/4": 0.25,
+    "Power_rate_1/3": 1.0 / 3.0,
+    "Power_rate_1/2": 0.5,
+    "Power_rate_2": 2.0,
+    "Power_rate_3": 3.0,
+    "Power_rate_4": 4.0,
+}
+TEMPLATE_GRID = (12, (5.0, 20.0, 60.0, 120.0), (0.0, 0.4, 0.8), (1.0, 5.0, 20.0), (5.0, 20.0, 60.0, 150.0))
+LOG_AMPLITUDE = (-14.0, 2.0, 17)
+LOG_RATE = (-8.0, 5.0, 14)
 EPOCHS = fx.epochs_sql(fx.DUCKDB_HMJD)
 GOOD = "magerr <= 1e0 and catflags = 0"
 
@@ -278,7 +293,7 @@ def drw_sql() -> str:
 with recursive {kept_sql(FEATURE_LIMIT)},
 data as (select objectid, i, hmjd - lag(hmjd) over (partition by objectid order by i) as gap,
            mag - avg(mag) over (partition by objectid) as y, magerr*magerr as noise from kept)"""
-    a, c = grid_values(*fits.LOG_AMPLITUDE), grid_values(*fits.LOG_RATE)
+    a, c = grid_values(*LOG_AMPLITUDE), grid_values(*LOG_RATE)
     return walk_sql(data, f"select exp(la) as a, exp(lc) as c from (values {a}) t(la) cross join (values {c}) u(lc)")
 
 
@@ -303,7 +318,7 @@ select l.objectid, {r('l.v', 12)} as "MHPS_low", {r('h.v', 12)} as "MHPS_high",
 
 
 def template_sql() -> str:
-    count, plateaus, slopes, rises, falls = fits.TEMPLATE_GRID
+    count, plateaus, slopes, rises, falls = TEMPLATE_GRID
 
     def values(name: str, items: tuple[float, ...]) -> str:
         return f"(values {', '.join(f'({v!r}::double)' for v in items)}) {name}({name})"
@@ -398,14 +413,14 @@ select b.objectid, {r('1/f')} as "Multiband_period", {r('ppe')} as "PPE" from be
 
 def power_rate_sql() -> str:
     grid = period.STANDARD_GRID
-    places = ", ".join(f"('{name}', {factor!r}::double)" for name, factor in period.POWER_RATES.items())
+    places = ", ".join(f"('{name}', {factor!r}::double)" for name, factor in POWER_FACTORS.items())
     nearest = (
         f"{grid.start!r}::double + greatest(0, least({grid.count - 1}, "
         f"round((best.f/factor - {grid.start!r}::double)/{grid.step!r}::double)))*{grid.step!r}::double"
     )
     columns = ", ".join(
         f'{r(f"max(case when name = {chr(39)}{name}{chr(39)} then a.power/best.power end)")} as "{name}"'
-        for name in period.POWER_RATES
+        for name in POWER_FACTORS
     )
     return f"""{best_sql()},
 rates(name, factor) as (values {places}),
