@@ -111,7 +111,7 @@ ORACLES: dict[str, str] = {
         WITH vectors AS ({_VECTORS}),
         kept AS (SELECT vec_id, v::DOUBLE[] AS v FROM vectors WHERE len(list_filter(v, lambda x: x <> 0)) > 0),
         pairs AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+            SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
             FROM kept q JOIN kept c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
         ),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS nth FROM pairs)

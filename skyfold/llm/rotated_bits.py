@@ -71,8 +71,13 @@ def index(vectors: DataFrame) -> DataFrame:
 
 def _measure(q: np.ndarray, x: np.ndarray, at: np.ndarray, member: np.ndarray) -> np.ndarray:
     # Component by component, so that a distance does not depend on what it is measured with.
-    parts = [np.sqrt(np.ascontiguousarray((q[at[k : k + LOT]] - x[member[k : k + LOT]]).T ** 2).sum(axis=0)) for k in range(0, len(at), LOT)]
-    return np.concatenate([np.zeros(0), *parts])
+    parts = [np.zeros(0)]
+    for k in range(0, len(at), LOT):
+        total = np.zeros(len(at[k : k + LOT]))
+        for one in ((q[at[k : k + LOT]] - x[member[k : k + LOT]]) ** 2).T:
+            total += one
+        parts.append(np.sqrt(total))
+    return np.concatenate(parts)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, width: float = WIDTH) -> DataFrame:
