@@ -28,7 +28,7 @@ WORDS = 5
 LIKE = 0.8
 ROWS, BANDS = 2, 5
 #: Paragraphs of a bucket that one task compares at most; larger buckets are cut into blocks of half as many.
-BLOCK = 1024
+BLOCK = 512
 #: Words whose hashes a worker keeps.
 KEPT_WORDS = 1 << 18
 #: Rows of output held at once.
