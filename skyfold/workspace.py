@@ -32,6 +32,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 
+    All folders of an application are in one that bears its id: lazy results read them
+    as long as it runs, and whoever ran it can delete that one folder afterwards.
     Only a local session may do without the setting: it then gets a temporary
     folder of this machine.
     """
@@ -40,7 +42,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="skyfold-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/skyfold-{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
