@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lots(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time, so that a task holds few texts as Python strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def tucked(docs: DataFrame) -> Column:
     """All columns as one struct, ``row``, so that no name of theirs meets a name of an operator's own."""
     return F.struct(*(docs[f"`{c}`"].alias(c) for c in docs.columns)).alias("row")

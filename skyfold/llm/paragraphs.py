@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyfold.llm.common import Sieve, components, stored, tucked, untucked
+from skyfold.llm.common import Sieve, components, lots, stored, tucked, untucked
 
 WORDS = 5
 LIKE = 0.8
@@ -284,7 +284,7 @@ def cleaned(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
         return pd.Series(sieve.may_hold(doc.to_numpy(np.int64)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lots(batches):
             bodies = batch.column(1).to_pylist()
             for k, found in enumerate(batch.column(2).to_pylist()):
                 if found and bodies[k]:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyfold.llm import weak
-from skyfold.llm.common import stored, tucked, untucked
+from skyfold.llm.common import lots, stored, tucked, untucked
 
 #: Labelers: the share each looks at, from which it votes against, and below which it votes for.
 LABELERS = (
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]:
     """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lots(batches):
             found = [votes(shares(t, _shape(t))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["key", "votes"])
 
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]:
     posterior = weak.posteriors(counts, start)[0]
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lots(batches):
             rows = [features(t) for t in batch.column(1).to_pylist()]
             columns = [batch.column(0), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32())), pa.array([r[2] for r in rows], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "slots", "worth", "votes"])
@@ -183,7 +183,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text")
     weight, offset = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lots(batches):
             out = []
             for t in batch.column(1).to_pylist():
                 slots, values, _ = features(t)
