@@ -59,13 +59,14 @@ def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     lengths are no candidates.  A query with fewer candidates gets them all; without
     queries or vectors there are no rows.  Scores must fit 64 bits.
     """
-    rows = stored(vec.blocks(vectors, vec.ROWS), "vectors")
     queries = stored(queries, "queries")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    longest = [df.agg(F.max(norm)).first()[0] or 0.0 for df in (vectors, queries)]
+    sizes = [df.agg(F.max(norm).alias("norm"), F.count(F.lit(1)).alias("n")).first() for df in (vectors, queries)]
+    longest = [r["norm"] or 0.0 for r in sizes]
     if not all(map(math.isfinite, longest)) or longest[0] * longest[1] >= 2**62:
         raise OverflowError("scores do not fit 64 bits")
     bound = math.ceil(longest[0] * longest[1] * (1 + 1e-9)) + 1
+    rows = stored(vec.blocks(vectors, vec.ROWS, sizes[0]["n"]), "vectors")
     # A power of the number of bins, so that the bins of each interval fill it exactly.
     low, width = -bound, 1
     while width < 2 * bound:
@@ -86,7 +87,7 @@ def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             cells, n = np.unique(at[inside] * bins + over[inside] // step, return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(query_ids[cells // bins]), pa.array(cells % bins), pa.array(n)], ["id", "bin", "n"])
 
-        asked = vec.blocks(queries.join(state, "id"), vec.QUERIES, ["low"])
+        asked = vec.blocks(queries.join(state, "id"), vec.QUERIES, sizes[1]["n"], ["low"])
         counts = vec.meet(rows, asked, count, "id long, bin long, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("id").orderBy(F.col("bin").desc())
         reached = state.join(counts, "id", "left").withColumn("to", F.col("above") + F.sum("n").over(down))
@@ -110,7 +111,7 @@ def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         few = nth < k
         return pa.RecordBatch.from_arrays([pa.array(query_ids[at[few]]), pa.array(ids[few]), pa.array(value[few])], ["query_id", "vec_id", "score"])
 
-    asked = vec.blocks(queries.join(state, "id"), vec.QUERIES, ["low"])
+    asked = vec.blocks(queries.join(state, "id"), vec.QUERIES, sizes[1]["n"], ["low"])
     near = vec.meet(rows, asked, keep, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -66,7 +66,7 @@ def index(vectors: DataFrame) -> DataFrame:
                 cells = [np.packbits(turned > 0, axis=1).tobytes(), norm.tobytes(), np.where(scale > 0, scale, 1).tobytes()]
                 yield pa.RecordBatch.from_arrays([*(batch.slice(k, 1).column(c) for c in range(3)), *(pa.array([c], pa.binary()) for c in cells)], ["dim", "ids", "data", "codes", "norms", "scale"])
 
-    return vec.blocks(vectors, vec.ROWS).mapInArrow(code, "dim int, ids binary, data binary, codes binary, norms binary, scale binary")
+    return vec.blocks(vectors, vec.ROWS, vectors.count()).mapInArrow(code, "dim int, ids binary, data binary, codes binary, norms binary, scale binary")
 
 
 def _measure(q: np.ndarray, x: np.ndarray, at: np.ndarray, member: np.ndarray) -> np.ndarray:
@@ -125,6 +125,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, width: float = WIDTH
         few = np.arange(len(at)) - np.searchsorted(at, at) < k
         return pa.RecordBatch.from_arrays([pa.array(query_ids[at[few]]), pa.array(ids[few]), pa.array(distance[few])], ["query_id", "vec_id", "score"])
 
-    near = vec.meet(stored(index(vectors), "codes"), vec.blocks(queries, vec.QUERIES), search, "query_id long, vec_id long, score double")
+    near = vec.meet(stored(index(vectors), "codes"), vec.blocks(queries, vec.QUERIES, queries.count()), search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

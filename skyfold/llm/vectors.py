@@ -25,8 +25,12 @@ def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embeddi
     return found if zero else found.where(F.exists("v", lambda x: x != 0))
 
 
-def blocks(vectors: DataFrame, size: int, extra: list[str] | None = None) -> DataFrame:
-    """``dim``, ``ids`` (signed 64-bit bytes), ``data`` (doubles, row by row) and each column of longs in ``extra`` as bytes, at most ``size`` vectors a row."""
+def blocks(vectors: DataFrame, size: int, n: int, extra: list[str] | None = None) -> DataFrame:
+    """``dim``, ``ids`` (signed 64-bit bytes), ``data`` (doubles, row by row) and each column of longs in ``extra`` as bytes, at most ``size`` vectors a row.
+
+    The ``n`` vectors are dealt out to as few tasks as have full blocks, so that the number of
+    blocks does not follow the number of partitions they come in.
+    """
     names = extra or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,7 +50,8 @@ def blocks(vectors: DataFrame, size: int, extra: list[str] | None = None) -> Dat
         for dim, rows in held.items():
             yield out(dim, rows)
 
-    return vectors.select("id", "v", *names).mapInArrow(run, "dim int, ids binary, data binary" + "".join(f", {c} binary" for c in names))
+    dealt = vectors.select("id", "v", *names).repartition(max(1, -(-n // size)))
+    return dealt.mapInArrow(run, "dim int, ids binary, data binary" + "".join(f", {c} binary" for c in names))
 
 
 def unblocked(row: dict) -> Blocks:
