@@ -71,7 +71,7 @@ def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     low, width = -bound, 1
     while width < 2 * bound:
         width *= BINS
-    state = queries.select("id", F.lit(low).cast("long").alias("low"), F.lit(0).cast("long").alias("above"))
+    state = queries.select("id", F.lit(low).cast("long").alias("low"), F.lit(0).cast("long").alias("above"), F.lit(False).alias("all"))
     while width > 1:
         step, bins = width // BINS, BINS
 
@@ -87,17 +87,19 @@ def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             cells, n = np.unique(at[inside] * bins + over[inside] // step, return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(query_ids[cells // bins]), pa.array(cells % bins), pa.array(n)], ["id", "bin", "n"])
 
-        asked = vec.blocks(queries.join(state, "id"), vec.QUERIES, sizes[1]["n"], ["low"])
+        asked = vec.blocks(queries.join(state.where("NOT all"), "id"), vec.QUERIES, sizes[1]["n"], ["low"])
         counts = vec.meet(rows, asked, count, "id long, bin long, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("id").orderBy(F.col("bin").desc())
         reached = state.join(counts, "id", "left").withColumn("to", F.col("above") + F.sum("n").over(down))
-        # The first bin from the top at which the count reaches k, else the lowest: there are fewer candidates.
+        # The first bin from the top at which the count reaches k, and the count over it.  Where it never does, in the
+        # first round, there are fewer candidates: the interval stays as it is and nothing is counted any more.
         found = reached.groupBy("id").agg(
             F.first("low").alias("low"),
-            F.coalesce(F.max(F.when(F.col("to") >= k, F.col("bin"))), F.lit(0).cast("long")).alias("bin"),
+            F.max(F.when(F.col("to") >= k, F.col("bin"))).alias("bin"),
             F.coalesce(F.max(F.when(F.col("to") < k, F.col("to"))), F.first("above")).alias("above"),
         )
-        state = stored(found.select("id", (F.col("low") + F.col("bin") * step).alias("low"), "above"), "intervals")
+        moved = F.col("low") + F.coalesce("bin", F.lit(0).cast("long")) * step
+        state = stored(found.select("id", moved.alias("low"), "above", F.col("bin").isNull().alias("all")), "intervals")
         width = step
 
     def keep(row: dict, query: dict) -> pa.RecordBatch | None:

@@ -71,6 +71,18 @@ def test_scores_beyond_doubles_are_exact(spark):
         histogram_topk.top(spark.createDataFrame([(1, [1e300]), (2, [1e300])], "id long, v array<double>"), df.limit(0), 1)
 
 
+@pytest.mark.parametrize("scores", [[-1.0 + 0.0157 * n for n in range(15)], [-300.0 + 40 * n for n in range(15)]])
+def test_fewer_candidates_than_k_are_all_found(spark, scores):
+    """Negative scores over a range that is narrow or wide for the first bins, and a second query with enough candidates."""
+    rows = [(0, [64.0])] + [(n + 1, [float(math.floor(64 * s))]) for n, s in enumerate(scores)]
+    rows += [(100 + n, [float(n - 20), 1.0]) for n in range(40)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = sorted(map(tuple, histogram_topk.top(df, df.where("id IN (0, 100)"), 20).collect()))
+    whole = {i: list(map(int, v)) for i, v in rows}
+    want = _best(whole, [0, 100], lambda a, b: -sum(x * y for x, y in zip(a, b, strict=True)), 20)
+    assert got == [(q, n, i, -s) for q, n, i, s in want] and sum(q == 0 for q, *_ in got) == 15
+
+
 def test_recall_over_blocks(spark, monkeypatch):
     """Many blocks, and a third of all rows one and the same vector."""
     monkeypatch.setattr(vec, "ROWS", 128)
