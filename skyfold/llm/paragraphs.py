@@ -12,7 +12,7 @@ clusters: of each the first unit in the corpus stays, the others go.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,8 @@ from skyfold.llm.common import Sieve, components, lots, stored, tucked, untucked
 WORDS = 5
 LIKE = 0.8
 ROWS, BANDS = 2, 5
+#: Bands that there are multipliers for.
+MOST_BANDS = 10
 #: Paragraphs of a bucket that one task compares at most; larger buckets are cut into blocks of half as many.
 BLOCK = 512
 #: Words whose hashes a worker keeps.
@@ -34,7 +36,7 @@ KEPT_WORDS = 1 << 18
 #: Rows of output held at once.
 OUT = 1 << 15
 
-_MULTIPLIERS = np.random.default_rng(4).integers(1, 2**62, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MULTIPLIERS = np.random.default_rng(4).integers(1, 2**62, ROWS * MOST_BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: A mark that ends a sentence, and the white space behind it.
 _END = re.compile(r"[.!?]\s+")
 
@@ -105,17 +107,17 @@ def shingles(words: list[str]) -> np.ndarray:
     return np.unique(_rolled(_numbers(words)))
 
 
-def bands(found: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def bands(found: np.ndarray, starts: np.ndarray, ends: np.ndarray, count: int = BANDS) -> np.ndarray:
     """For each stretch of shingles a key for each band of minima."""
     edges = np.stack([starts, ends], axis=1).ravel()
     padded = np.append(found, np.uint64(0))
-    keys = np.zeros((len(starts), BANDS), np.uint64)
-    for k in range(BANDS):
+    keys = np.zeros((len(starts), count), np.uint64)
+    for k in range(count):
         for j in range(ROWS):
             mixed = padded * _MULTIPLIERS[k * ROWS + j]
             mixed ^= mixed >> np.uint64(32)
             keys[:, k] = keys[:, k] * np.uint64(0xD6E8FEB86659FD93) + np.minimum.reduceat(mixed, edges)[::2]
-    return (keys ^ np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    return (keys ^ np.arange(count, dtype=np.uint64)).view(np.int64)
 
 
 def _out(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
@@ -194,8 +196,13 @@ def _forest(members: dict[int, np.ndarray]) -> list[tuple[int, int]]:
     return links
 
 
-def _near(found: DataFrame, source: DataFrame) -> DataFrame:
-    """Links between distinct paragraphs that are alike."""
+def _paragraphs(text: str) -> list[list[str]]:
+    """The words of each paragraph that has a shingle."""
+    return [x.words for x in units(text)[0] if len(x.words) >= WORDS]
+
+
+def near(found: DataFrame, source: DataFrame, parts: Callable[[str], list[list[str]]] = _paragraphs) -> DataFrame:
+    """Links between distinct units that are alike; ``parts`` gives the words of those of a text."""
     keyed = found.select("unit", F.explode("keys").alias("key")).distinct()
     sizes = keyed.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / (BLOCK // 2)).cast("int").alias("blocks"))
     met = stored(keyed.join(sizes, "key"), "buckets")
@@ -204,10 +211,10 @@ def _near(found: DataFrame, source: DataFrame) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for _, text in _bodies(batches):
-            lines = [x for x in units(text)[0] if len(x.words) >= WORDS]
-            hashes = np.array([_hash(x.words) for x in lines], np.int64)
-            for k in np.flatnonzero(sieve.may_hold(hashes)) if len(lines) else ():
-                rows.append((int(hashes[k]), shingles(lines[k].words).tobytes()))
+            own = parts(text)
+            hashes = np.array([_hash(words) for words in own], np.int64)
+            for k in np.flatnonzero(sieve.may_hold(hashes)) if len(own) else ():
+                rows.append((int(hashes[k]), shingles(own[k]).tobytes()))
             if len(rows) >= 1024:
                 yield _out(rows, ["unit", "found"], [pa.int64(), pa.binary()])
                 rows = []
@@ -231,7 +238,7 @@ def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     """
     source = docs.select(docs[id_column].cast("long").alias("doc"), docs[text].alias("text"))
     found = stored(source.mapInArrow(_occurrences, "unit long, doc long, at int, keys array<long>"), "units")
-    linked = components(_near(found, source))
+    linked = components(near(found, source))
     first = found.groupBy("unit").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
     placed = first.join(linked.withColumnRenamed("node", "unit"), "unit", "left").withColumn("cluster", F.coalesce("component", "unit"))
     # Only a unit that is linked or occurs again can lose an occurrence.

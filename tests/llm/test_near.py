@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from llm.conftest import CLASHES, LONG, ODD, PROSE
-from skyfold.llm import paragraphs, simhash, suffixes
+from skyfold.llm import copies, paragraphs, simhash, suffixes
 from skyfold.llm.common import Sieve, components
 from skyfold.llm.lyndon import suffix_array
 
@@ -91,6 +91,37 @@ def test_first_of_each_group(clashing):
     assert own.count(None) == 1
 
 
+def test_near_copies_of_documents_go(spark, clashing, none):
+    """Copies with edited words, more than three bits apart; rows that share an id or have none are judged by their texts."""
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(200)]
+    edit = lambda *places: " ".join("x" + w if k in places else w for k, w in enumerate(words))
+    rows = [(5, " ".join(words)), (7, edit(20, 90)), (8, edit(34, 45, 82, 139)), (9, edit(*range(5, 200, 16))), (10, "few words"), (11, "few  Words"), (12, "few"), (None, edit(30)), (None, "alone here"), (None, "alone here"), (9, "another text")]
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    sets = {k: {tuple(t.split()[i : i + 5]) for i in range(196)} for k, (_, t) in enumerate(rows[:4])}
+    assert jaccard(sets[0], sets[1]) >= 0.8 and jaccard(sets[0], sets[2]) >= 0.8 > jaccard(sets[0], sets[3])
+    assert (simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[2][1])).bit_count() > 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.keep_first_copies(spark, docs, "").collect())
+    assert kept == sorted([(5, rows[0][1]), (9, rows[3][1]), (10, "few words"), (12, "few"), (0, "alone here"), (9, "another text")])
+    odd = copies.first_of_alike(clashing)
+    assert odd.columns == clashing.columns
+    assert sorted(r.doc_id or 0 for r in odd.collect()) == [0, 1, 4, 5, 8, 9, 10, 11]
+    assert copies.first_of_alike(none).count() == 0
+
+
+def test_near_copies_against_brute_force(documents):
+    rows = [(r.doc_id, r.text.lower().split()) for r in documents.collect()]
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} or {tuple(t)} for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    roots, least = _roots(range(len(rows)), links), {}
+    for k, r in roots.items():
+        least[r] = min(rows[k][0], least.get(r, rows[k][0]))
+    found = {r.doc_id for r in copies.first_of_alike(documents).collect()}
+    assert found >= set(least.values()) and len(found) <= 1.01 * len(least)
+
+
 def _without_repeats(rows):
     """Paragraph removal by brute force: all pairs of paragraphs."""
     occur, sets = defaultdict(list), {}
