@@ -152,7 +152,8 @@ def proposals(docs: DataFrame) -> DataFrame:
     for kind in KINDS:
         hits = F.filter(_matches(F.col("_text"), BASE[kind]), _keeps(kind))
         found = found.withColumn(f"_{kind}", F.coalesce(F.when(F.contains("_text", F.lit(NEEDS[kind])), hits), none))
-    spelled = F.col("_text").contains("at") & F.col("_text").contains("dot")
+    low = F.lower("_text")
+    spelled = low.contains("at") & low.contains("dot")
     found = found.withColumn("_spelled", F.coalesce(F.when(spelled, _matches(F.col("_text"), WIDE["email"])), none))
     numbers = F.filter(_matches(F.col("_text"), WIDE["number"]), lambda m: F.length(_digits(m["value"])).between(7, 19))
     found = found.withColumn("_number", F.coalesce(numbers, none))

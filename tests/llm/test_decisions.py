@@ -72,6 +72,16 @@ def test_redaction(clashing, personal):
     assert text[2] == TEXTS[2] and "@mail" not in text[10] and text[10].count("<phone>") == 40 and text[3] is None
 
 
+def test_spelled_addresses_in_capitals(spark):
+    """Texts with no lower-case mark."""
+    known = ["call 030 123 4567 or mail joe (at) example (dot) com", "mail ann (at) mail (dot) org"] * 20
+    texts = [*known, "WRITE TO JOE (AT) EXAMPLE (DOT) COM", "Joe At Example Dot Com"]
+    found = {r.row.doc_id: r.spans for r in pii.spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    own = lambda k: [(texts[k][x.s : x.e], x.kind) for x in found[k]]
+    assert ("joe (at) example (dot) com", 0) in own(0)
+    assert own(40) == [("JOE (AT) EXAMPLE (DOT) COM", 0)] and own(41) == [("Joe At Example Dot Com", 0)]
+
+
 def test_posteriors_find_the_better_labelers():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.7
