@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import histogram_topk, packing, paragraphs, pii, quality, rotated_bits, simhash, suffixes, token_files, trie_bpe, vectors
+from skyfold.llm import histogram_topk, packing, paragraphs, pii, quality, rotated_bits, simhash, suffixes, sum_of_squares, token_files, trie_bpe, va_file, vectors, whitening
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +86,22 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op11_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens or a power of two."""
+    found = sum_of_squares.packed(_table(spark, sf_dir, "documents"), BYTE_BPE)
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector."""
+    return va_file.clustered(_table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array": op1_suffix_array,
     "op2_trie_bpe": op2_trie_bpe,
@@ -96,6 +113,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_simhash": op9_simhash,
     "op10_weak_quality": op10_weak_quality,
+    "op11_sum_of_squares": op11_sum_of_squares,
+    "op12_whitening": op12_whitening,
+    "op13_va_file": op13_va_file,
 }
 
 #: Vectors that take part, one for each id.

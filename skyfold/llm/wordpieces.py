@@ -71,6 +71,7 @@ def _byte_alphabet() -> dict[int, str]:
 
 
 _LETTER_OF_BYTE = _byte_alphabet()
+BYTE_OF_LETTER = {letter: byte for byte, letter in _LETTER_OF_BYTE.items()}
 
 
 def byte_letters(word: str) -> str:
