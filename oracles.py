@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 import fixtures as fx
-from queries import BAND_LIMITS, BASE_URL, COARSE_GRID, FEATURE_LIMIT, LIMIT
+from queries import BAND_LIMITS, BASE_URL, FEATURE_LIMIT, LIMIT
 
 from skyfold.features import period
 from skyfold.functions import special
@@ -297,23 +299,92 @@ data as (select objectid, i, hmjd - lag(hmjd) over (partition by objectid order
     return walk_sql(data, f"select exp(la) as a, exp(lc) as c from (values {a}) t(la) cross join (values {c}) u(lc)")
 
 
+def search_sql(data: str, axes: list[tuple[float, float, int]], variance: str, rate: str) -> str:
+    """The search of a best point to its end, as a recursive query: data(objectid, epochs), an axis for each trial value x0, x1.
+
+    ``epochs`` is a list of structs with gap, y and noise, and room for state, doubt and value of the filter.
+    """
+    n = range(len(axes))
+    expected = "(a + (z.doubt - a)*exp(-c*e.gap)*exp(-c*e.gap) + e.noise)"
+    surprise = "(e.y - z.state*exp(-c*e.gap))"
+    step = f"""{{'gap': e.gap, 'y': e.y, 'noise': e.noise,
+      'state': z.state*exp(-c*e.gap) + (1 - e.noise/{expected})*{surprise}, 'doubt': ({expected} - e.noise)*e.noise/{expected},
+      'value': z.value - 0.5e0*(ln(2*pi()*{expected}) + {surprise}*{surprise}/{expected})}}"""
+    scored = f"""select *, case when isfinite(v) then v else '-inf'::double end as value
+      from (select *, list_reduce(epochs, lambda z, e: {step}, {{'gap': 0e0, 'y': 0e0, 'noise': 0e0, 'state': 0e0, 'doubt': 0e0, 'value': 0e0}}).value as v
+            from (select *, {variance} as a, {rate} as c from trials) t) t"""
+
+    def chosen(trials: str) -> str:
+        # The first of all trials within rounding of the best.
+        return f"""select * from (select *, min(k) over (partition by objectid) as first from (
+          select *, max(value) over (partition by objectid) as top from (with trials as ({trials}) {scored}) q) q
+          where value >= top - 1e-9*(1 + abs(top))) q where k = first"""
+
+    grid = " cross join ".join(f"(select {low!r}::double + i{j}*{(high - low) / (count - 1)!r}::double as x{j}, i{j} from range(0, {count}) g(i{j})) y{j}" for j, (low, high, count) in enumerate(axes))
+    place = {1: "i0", 2: f"i0*{axes[-1][2]} + i1"}[len(axes)]
+    halves = ", ".join(
+        f"case when i{j} in (0, {count - 1}) then {(high - low) / 2 * 1.5!r}::double else {4 * (high - low) / (count - 1)!r}::double end as h{j}" for j, (low, high, count) in enumerate(axes)
+    )
+    near = ", ".join(f"greatest(-300e0, least(300e0, x{j} + h{j}*(i{j}*0.25e0 - 1))) as t{j}" for j in n)
+    later = " cross join ".join(f"range(0, 9) g{j}(i{j})" for j in n)
+    better = "(isfinite(value) and not (value <= score + 1e-9*(1 + abs(value))))"
+    moved = ", ".join(f"case when {better} then t{j} else x{j} end as x{j}" for j in n)
+    shrunk = ", ".join(f"case when {better} and i{j} in (0, 8) then least(h{j}*1.5e0, 300e0) else h{j}/2 end as h{j}" for j in n)
+    names = ", ".join(f"x{j}, h{j}" for j in n)
+    wide = " or ".join(f"h{j} >= 4e-4" for j in n)
+    rest = [re.sub(r"\bx(\d)", r"t\1", text) for text in (variance, rate)]
+    again = chosen(
+        f"select objectid, epochs, turn, score, {names}, {near}, {', '.join(f'i{j}' for j in n)}, {'i0' if len(axes) == 1 else 'i0*9 + i1'} as k "
+        f"from search join data using (objectid) cross join {later} where isfinite(score) and turn < 201 and ({wide})"
+    ).replace(f"{variance} as a, {rate} as c", f"{rest[0]} as a, {rest[1]} as c")
+    return f"""
+{data},
+search as (
+  select objectid, 1 as turn, value as score, {', '.join(f'x{j}' for j in n)}, {halves}
+  from ({chosen(f"select objectid, epochs, {', '.join(f'x{j}, i{j}' for j in n)}, {place} as k from data cross join {grid}")}) f
+  union all
+  select objectid, turn + 1, case when {better} then value else score end, {moved}, {shrunk} from ({again}) l),
+ended as (select objectid, arg_max(score, turn) as score, {', '.join(f'arg_max(x{j}, turn) as x{j}' for j in n)} from search group by objectid)"""
+
+
+def epoch_lists(y: str, noise: str) -> str:
+    return f"""
+with recursive {kept_sql(FEATURE_LIMIT)},
+data as (select objectid, list({{'gap': gap, 'y': y, 'noise': noise, 'state': 0e0, 'doubt': 0e0, 'value': 0e0}} order by i) as epochs
+  from (select objectid, i, coalesce(hmjd - lag(hmjd) over (partition by objectid order by i), 'inf'::double) as gap,
+          {y} as y, {noise} as noise from kept window w as (partition by objectid)) q group by objectid)"""
+
+
+def iar_full_sql() -> str:
+    data = epoch_lists("(mag - avg(mag) over w)/stddev_samp(mag) over w", "pow(magerr/stddev_samp(mag) over w, 2)")
+    found = search_sql(data, [(0.01, 0.99, 50)], "case when x0 > 0 and x0 < 1 then 1e0 else 'nan'::double end", "-ln(case when x0 > 0 and x0 < 1 then x0 else 0.5e0 end)")
+    return f"""{found} select objectid, {r('x0')} as "IAR_phi", {r('score')} as score from ended"""
+
+
+def drw_full_sql() -> str:
+    found = search_sql(epoch_lists("mag - avg(mag) over w", "magerr*magerr"), [LOG_AMPLITUDE, LOG_RATE], "exp(x0)", "exp(x1)")
+    return f"""{found} select objectid, {r('x0', 3)} as log_sigma, {r('-x1', 3)} as log_tau, {r('score', 5)} as score from ended"""
+
+
 def mhps_sql() -> str:
     def scale(name: str, days: float) -> str:
         sigma = days / np.sqrt(2.0 * np.pi**2)
         narrow, broad = float(2 * sigma**2 / 1.01), float(2 * sigma**2 * 1.01)
         return f"""
-{name}_w as (select a.objectid, a.i, b.mag - m.am as m, b.magerr as e, exp(-pow(b.hmjd - a.hmjd, 2)/{narrow!r}) as g1,
+{name}_w as (select a.objectid, a.i, b.mag - m.am as m, b.magerr as e, m.far, exp(-pow(b.hmjd - a.hmjd, 2)/{narrow!r}) as g1,
     exp(-pow(b.hmjd - a.hmjd, 2)/{broad!r}) as g2
   from kept a join kept b on a.objectid = b.objectid join m on m.objectid = a.objectid),
-{name}_h as (select objectid, i, m, e, g1/sum(g1) over w - g2/sum(g2) over w as h from {name}_w
+{name}_h as (select objectid, i, m, e, far, g1/sum(g1) over w - g2/sum(g2) over w as h from {name}_w
   window w as (partition by objectid, i)),
-{name}_f as (select objectid, i, sum(h*m) as f, sum(h*h*e*e) as noise from {name}_h group by objectid, i),
-{name} as (select objectid, avg(f*f) - avg(noise) as v from {name}_f group by objectid)"""
+{name}_f as (select objectid, i, max(far) as far, sum(h*m) as f, sum(h*h*e*e) as noise from {name}_h group by objectid, i),
+{name} as (select objectid, avg(f*f) - avg(noise) as v, cast(count(*) filter (abs(f) > 1e-12*far) as double) as filled
+  from {name}_f group by objectid)"""
 
     return f"""
 with {kept_sql(LIMIT)},
-m as (select objectid, avg(mag) as am from kept group by objectid),{scale('low', 100.0)},{scale('high', 10.0)}
-select l.objectid, {r('l.v', 12)} as "MHPS_low", {r('h.v', 12)} as "MHPS_high",
+c as (select objectid, avg(mag) as am from kept group by objectid),
+m as (select c.objectid, any_value(am) as am, max(abs(mag - am)) as far from kept join c on c.objectid = kept.objectid group by c.objectid),{scale('low', 100.0)},{scale('high', 10.0)}
+select l.objectid, {r('l.v/h.v', 4)} as "MHPS_ratio", {r('l.v', 12)} as "MHPS_low", {r('h.v', 12)} as "MHPS_high", h.filled as "MHPS_non_zero",
   case when h.v < 0 then 1e0 else 0e0 end as "MHPS_PN_flag" from low l join high h on h.objectid = l.objectid"""
 
 
@@ -375,13 +446,13 @@ def grid_sql(grid: period.FrequencyGrid) -> str:
 
 def periodogram_sql() -> str:
     return f"""
-with {kept_sql(FEATURE_LIMIT)},{CURVE},{power_sql('per', grid_sql(COARSE_GRID))}
-select objectid, {r('f')} as freq, {r('power')} as power from per"""
+with {kept_sql(FEATURE_LIMIT)},{CURVE},{power_sql('per', grid_sql(period.STANDARD_GRID))}
+select objectid, {r('f', 4)} as freq, {r('power', 4)} as power from per"""
 
 
 def topk_sql() -> str:
     return f"""
-with {kept_sql(FEATURE_LIMIT)},{CURVE},{power_sql('per', grid_sql(COARSE_GRID))},
+with {kept_sql(FEATURE_LIMIT)},{CURVE},{power_sql('per', grid_sql(period.STANDARD_GRID))},
 ranked as (select objectid, power, row_number() over (partition by objectid order by power desc) - 1 as place from per)
 select objectid, place, {r('power')} as power from ranked where place < {period.TOP}"""
 
@@ -490,6 +561,20 @@ optical as ({nearest_sql(pairs_sql(fx.sky_sql(), OPTICAL_TABLE, 1.5 * ARCSEC, OP
 infrared as ({nearest_sql(infrared_pairs(2.0), 'source_id_2')})"""
 
 
+def published_sql(at: tuple[str, str]) -> str:
+    """The features of the standard table that have a query of their own, side by side."""
+    parts = [
+        moments_sql(), quantiles_sql(), weighted_sql(), ordered_sql(), pvar_sql(), autocor_sql(), anderson_sql(), structure_sql(), mhps_sql(),
+        iar_full_sql(), drw_full_sql(), period_sql(), power_rate_sql(),
+    ]
+    joins = " ".join(f"join ({part}) p{k} on p{k}.objectid = b.objectid" for k, part in enumerate(parts))
+    columns = ", ".join(f"p{k}.* exclude (objectid)" if "as score" not in part else f"p{k}.* exclude (objectid, score)" for k, part in enumerate(parts))
+    return f"""
+with {kept_sql(FEATURE_LIMIT)},
+base as (select objectid as "_id", objectid, count(*) as nepochs, {r(f'max({at[0]})')} as gal_b, {r(f'max({at[1]})')} as gal_l from kept group by objectid)
+select b.* exclude (objectid), {columns} from base b {joins}"""
+
+
 def build() -> dict[str, str]:
     sky, gal = fx.sky_sql(), galactic_sql("ra", "dec")
     at = galactic_sql("objra", "objdec")
@@ -528,16 +613,16 @@ def build() -> dict[str, str]:
             select objectid as "_id", cast(filterid as bigint) as filterid, count(*) as nepochs, 'Point' as loc_type,
               {r('max(objra) - 180')} as lon, {r('max(objdec)')} as lat, {r('sum(hmjd)')} as hmjd_sum,
               {r('sum(mag)')} as mag_sum, {r('sum(magerr)')} as magerr_sum from kept group by objectid, filterid""",
-        "publish_features": f"""
-            with {kept_sql(LIMIT)}
-            select objectid as "_id", count(*) as nepochs, {r(f'max({at[0]})')} as gal_b, {r(f'max({at[1]})')} as gal_l
-            from kept group by objectid""",
+        "publish_features": published_sql(at),
         "publish_again": f"""
             with epochs as ({EPOCHS}), c as (select objectid as "_id", count(*) as nepochs from epochs group by objectid)
             select "_id", nepochs, count(*) filter ("_id" % 3 = 0) over () as part, count(*) filter ("_id" % 3 <> 0) over () as rest,
               cast(0 as bigint) as again, count(*) over () as anew from c""",
         "features_incremental": f"""
-            with {kept_sql(20)} select objectid, count(*) as nepochs from kept group by objectid""",
+            with {kept_sql(20)}, base as (select objectid, count(*) as nepochs, {r(f'max({at[0]})', 1)} as gal_b, {r(f'max({at[1]})', 1)} as gal_l
+              from kept group by objectid)
+            select b.*, {r('"Mean"', 1)} as "Mean", {r('"Std"', 1)} as "Std", {r('"Amplitude"', 1)} as "Amplitude"
+            from base b join ({moments_sql()}) m on m.objectid = b.objectid join ({quantiles_sql()}) q on q.objectid = b.objectid""",
         "fixed_file_count": f"select objectid, cast(filterid as bigint) as filterid, {r('ra')} as ra, {r('dec')} as dec from ({sky}) s",
         "lookup_layout": f"""
             select objectid, cast(filterid as bigint) as filterid, count(*) as nepochs, {r('sum(mag)')} as mag_sum
@@ -631,6 +716,8 @@ def build() -> dict[str, str]:
         "structure_function": structure_sql(),
         "iar_grid": iar_sql(),
         "drw_grid": drw_sql(),
+        "iar": iar_full_sql(),
+        "drw": drw_full_sql(),
         "mhps": mhps_sql(),
         "template_fit": template_sql(),
         "periodogram": periodogram_sql(),

@@ -26,7 +26,6 @@ BASE_URL = "https://data.example.org/release/"
 LIMIT = 5
 FEATURE_LIMIT = 20
 BAND_LIMITS = {1: 5, 2: 10, 3: 20}
-COARSE_GRID = period.FrequencyGrid(0.05, 20.0, 0.05)
 ARCSEC = 1.0 / 3600.0
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,12 +189,24 @@ def publish_lightcurves(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _comparable(features: DataFrame, key: str) -> DataFrame:
+    """Features of the standard table, each rounded as in the query of its own."""
+    groups = ("gal_b", "gal_l", *(c for g in STAT_GROUPS.values() for c in g), "Pvar", "Autocor_length", "AndersonDarling", "SF_ML_gamma")
+    fitted = ("IAR_phi", "Multiband_period", "PPE", *period.POWER_RATES)
+    return features.select(
+        key, "nepochs", *(r6(c).alias(c) for c in (*groups, *fitted)), r6("MHPS_ratio", 4).alias("MHPS_ratio"),
+        *(r6(c, 12).alias(c) for c in ("MHPS_low", "MHPS_high")), "MHPS_non_zero", "MHPS_PN_flag",
+        r6(F.log10("SF_ML_amplitude")).alias("log_amplitude"), r6(F.ln("GP_DRW_sigma"), 3).alias("log_sigma"), r6(F.ln("GP_DRW_tau"), 3).alias("log_tau"),
+    )
+
+
 @query
 def publish_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All features of every curve, published and read back."""
     path = shared_folder(spark, "feature-documents")
-    table = compute_features(kept(spark, sf_dir), [galactic_family()])
+    table = compute_features(kept(spark, sf_dir, FEATURE_LIMIT))
     publish.append_new(publish.feature_documents(table), path)
-    return rounded(spark.read.parquet(path), ("_id", "nepochs"), ("gal_b", "gal_l"))
+    return _comparable(spark.read.parquet(path), "_id")
 
 
 @query
@@ -217,11 +228,13 @@ def features_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "feature-job")
     curves_ = checkpointed(fx.lightcurves(spark, sf_dir), "curves")
     conform(curves_.where("objectid % 2 = 0")).write.parquet(f"{root}/curves")
-    jobs.feature_job(spark, f"{root}/curves", f"{root}/features", families=[galactic_family()])
+    jobs.feature_job(spark, f"{root}/curves", f"{root}/features")
     conform(curves_.where("objectid % 2 <> 0")).write.mode("append").parquet(f"{root}/curves")
     for _ in range(2):
-        jobs.feature_job(spark, f"{root}/curves", f"{root}/features", families=[galactic_family()])
-    return spark.read.parquet(f"{root}/features").select("objectid", "nepochs")
+        jobs.feature_job(spark, f"{root}/curves", f"{root}/features")
+    # Stored curves and features have single precision.
+    found = spark.read.parquet(f"{root}/features")
+    return found.select("objectid", "nepochs", *(r6(c, 1).alias(c) for c in ("gal_b", "gal_l", "Mean", "Std", "Amplitude")))
 
 
 @query
@@ -615,13 +628,30 @@ def drw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("objectid", r6("_walk_score").alias("score"))
 
 
+@query
+def iar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The likeliest correlation of each curve, searched to the end."""
+    return rounded(statistics.with_autoregression(kept(spark, sf_dir, FEATURE_LIMIT)), ("objectid",), ("IAR_phi", "_iar_score")).withColumnRenamed("_iar_score", "score")
+
+
+@query
+def drw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The likeliest damped random walk of each curve, searched to the end."""
+    table = fits.with_random_walk(kept(spark, sf_dir, FEATURE_LIMIT))
+    return table.select(
+        "objectid", r6(F.ln("GP_DRW_sigma"), 3).alias("log_sigma"), r6(F.ln("GP_DRW_tau"), 3).alias("log_tau"), r6("_walk_score", 5).alias("score")
+    )
+
+
 @query
 def mhps(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = fits.with_two_scale_power(kept(spark, sf_dir))
     return table.select(
         "objectid",
+        r6("MHPS_ratio", 4).alias("MHPS_ratio"),
         r6("MHPS_low", 12).alias("MHPS_low"),
         r6("MHPS_high", 12).alias("MHPS_high"),
+        "MHPS_non_zero",
         "MHPS_PN_flag",
     )
 
@@ -634,13 +664,13 @@ def template_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def periodogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = period.periodogram(kept(spark, sf_dir, FEATURE_LIMIT), COARSE_GRID)
-    return rounded(table, ("objectid",), ("freq", "power"))
+    table = period.periodogram(kept(spark, sf_dir, FEATURE_LIMIT))
+    return rounded(table, ("objectid",), ("freq", "power"), 4)
 
 
 @query
 def topk_power(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = period.with_periodogram(kept(spark, sf_dir, FEATURE_LIMIT), COARSE_GRID)
+    table = period.with_periodogram(kept(spark, sf_dir, FEATURE_LIMIT))
     top = F.posexplode(period.top_powers("_per")).alias("place", "power")
     rows = table.select("objectid", top)
     return rows.select("objectid", F.col("place").cast("long").alias("place"), r6("power").alias("power"))

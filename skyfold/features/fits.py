@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.features import kernels
+from skyfold.features import kernels, long_curves, two_scale, walk
 from skyfold.features.registry import FeatureFamily
 from skyfold.functions.curves import known, with_curve, with_expressions
 
@@ -38,8 +38,7 @@ def with_two_scale_power(df: DataFrame, slow: float = 100.0, fast: float = 10.0)
 
     @F.pandas_udf(_struct(TWO_SCALE))
     def power(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
-        rows = [kernels.two_scale_power(t, m, e, slow, fast) for t, m, e in zip(times, mags, errors)]
-        return pd.DataFrame(rows, columns=list(TWO_SCALE), dtype=float)
+        return pd.DataFrame(two_scale.two_scale_power(list(zip(times, mags, errors)), slow, fast), columns=list(TWO_SCALE))
 
     return _unpack(with_curve(df).withColumn("_power", power("_t", "_m", "_e")), "_power", TWO_SCALE)
 
@@ -69,13 +68,16 @@ def with_random_walk(
 ) -> DataFrame:
     """Damped random walk: ``GP_DRW_sigma`` (process variance) and ``GP_DRW_tau`` (days).
 
-    The log-likelihood at the answer is in the work column ``_walk_score``.
+    The log-likelihood at the answer is in the work column ``_walk_score``.  Keyed
+    curves (``long_curves.keyed``) are searched by rounds over their stretches.
     """
     names = (*RANDOM_WALK, "_walk_score")
+    if "_key" in df.columns:
+        return long_curves.with_random_walk(df, log_amplitude, log_rate, rounds)
 
     @F.pandas_udf(_struct(names))
     def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
-        rows = kernels.walk_fits(list(zip(times, mags, errors)), log_amplitude, log_rate, rounds)
+        rows = walk.walk_fits(list(zip(times, mags, errors)), log_amplitude, log_rate, rounds)
         return pd.DataFrame(rows, columns=list(names))
 
     return _unpack(with_curve(df).withColumn("_walk", fit("_t", "_m", "_e")), "_walk", names)

@@ -21,13 +21,13 @@ def blocks(size: int, step: int = BLOCK):
 # ------------------------------------------------------------------ periodogram
 
 
-def grid_power(t, weight, target, start, step, count):
-    """The statistic at every frequency of an even grid.
+def grid_sums(t, weight, target, start, step, count):
+    """Sums of w*exp(i*p), w*y*exp(i*p) and w*exp(2i*p), p = 2*pi*f*t, at every frequency of an even grid.
 
     A frequency is a coarse step plus a fine step, so its phase factor is a
     product of two, and the sum over epochs is one matrix product: trigonometry
     is needed for about 2*sqrt(count) frequencies instead of all of them.  The
-    grid is walked in stretches that fit the processor's cache.
+    grid is walked in stretches that fit the processor's cache.  Sums over parts of a curve add up.
     """
     wide = int(np.ceil(np.sqrt(count)))
     tall = max(1, 4096 // wide)
@@ -42,7 +42,7 @@ def grid_power(t, weight, target, start, step, count):
         return high, high * high
 
     shared = fine_waves(parts[0]) if len(parts) == 1 else None
-    power = np.empty(count)
+    out = np.zeros((3, count), dtype=complex)
     for first in range(0, count, tall * wide):
         coarse = start + step * (first + wide * np.arange(tall))
         sums = np.zeros((3, tall, wide), dtype=complex)
@@ -52,9 +52,14 @@ def grid_power(t, weight, target, start, step, count):
             sums[0] += (low * w) @ high
             sums[1] += (low * (w * y)) @ high
             sums[2] += (low * low * w) @ squared
-        stretch = power[first : first + tall * wide]
-        stretch[:] = aov(sums.reshape(3, -1)[:, : stretch.size], weight, target)
-    return power
+        stretch = out[:, first : first + tall * wide]
+        stretch[:] = sums.reshape(3, -1)[:, : stretch.shape[1]]
+    return out
+
+
+def grid_power(t, weight, target, start, step, count):
+    """The statistic at every frequency of an even grid."""
+    return aov(grid_sums(t, weight, target, start, step, count), weight, target)
 
 
 def direct_sums(t, weight, target, freqs):
@@ -107,15 +112,12 @@ def power_at(t, m, e, freqs):
     return None if curve is None else aov(direct_sums(*curve, freqs), curve[1], curve[2])
 
 
-def best_period(t, m, e, start, step, count, top, optima, fine_step):
-    """Best frequency and its power after refinement, and the top grid powers."""
-    curve = prepared(t, m, e)
-    if curve is None:
-        return None, None, None
-    power = grid_power(*curve, start, step, count)
+def picks(power, start, step, top, optima, fine_step):
+    """From the powers of a grid: the best frequency and its power, the largest powers, and the frequencies around the best peaks."""
+    count = power.size
     largest = np.sort(np.partition(power, -min(top, count))[-min(top, count) :])[::-1]
     best = int(power.argmax())
-    freq, value = start + step * best, power[best]
+    near = np.empty(0)
     if optima and count > 2:
         inner = power[1:-1]
         peaks = np.flatnonzero((inner >= power[:-2]) & (inner >= power[2:])) + 1
@@ -126,179 +128,20 @@ def best_period(t, m, e, start, step, count, top, optima, fine_step):
         reach = int(round(step / fine_step))
         near = start + step * peaks[:, None] + fine_step * np.arange(-reach, reach + 1)
         near = np.unique(near[near > 0])
-        if near.size:
-            refined = aov(direct_sums(*curve, near), curve[1], curve[2])
-            if refined.max() > value:
-                freq, value = near[refined.argmax()], refined.max()
-    return float(freq), float(value), largest
-
-
-# ------------------------------------------------------- damped random walk, IAR
-
-TOGETHER = 64
-
-
-def walk_likelihood(gaps, y, variance, there, amplitude, rate):
-    """Log-likelihood of an Ornstein-Uhlenbeck process, for many curves and trials at once.
-
-    One Kalman step per epoch (Kelly et al. 2009).  ``gaps``, ``y``, ``variance``
-    and ``there`` have curves by rows and epochs by columns; ``there`` is 0 past
-    the end of a curve.  ``amplitude`` is the variance of the process and ``rate``
-    its decay per day, both with curves by rows and trials by columns.
-    """
-    state, doubt = np.zeros_like(rate), amplitude + 0.0
-    score = np.zeros_like(rate)
-    for k in range(gaps.shape[1]):
-        column = slice(k, k + 1)
-        decay = np.exp(-rate * gaps[:, column])
-        state *= decay
-        doubt = amplitude + (doubt - amplitude) * decay * decay
-        expected = doubt + variance[:, column]
-        surprise = y[:, column] - state
-        gain = doubt / expected
-        score += there[:, column] * (np.log(expected) + surprise * surprise / expected)
-        state += gain * surprise
-        doubt *= 1.0 - gain
-    return -0.5 * (score + np.log(2.0 * np.pi) * there.sum(axis=1)[:, None])
-
-
-#: Steps at which a search ends, the logarithms between which numbers have a double, and an end for likelihoods that never turn.
-FINE, WIDEST, TURNS = 1e-4, 300.0, 200
-
-
-def zoom(score, axes, count, rounds=None):
-    """For each of ``count`` curves the best point on a grid, refined around it; its score last.
-
-    ``score`` takes one array per axis, curves by rows and trials by columns.  Around
-    the best point so far the next grid has nine values per axis.  Where the best lies
-    on its edge the grid grows by half again and moves on, so the first axes bound
-    nothing; elsewhere it shrinks to two thirds, until all steps are below
-    ``FINE``.  ``rounds`` ends the search earlier.
-    """
-    best = np.full((count, len(axes) + 1), np.nan)
-    best[:, -1] = -np.inf
-    rows = np.arange(count)
-    grids = [np.tile(np.asarray(axis, dtype=float), (count, 1)) for axis in axes]
-    half = np.array([[(axis[-1] - axis[0]) / 2.0 for axis in axes]] * count)
-    turn = 0
-    while True:
-        size = [axis.shape[1] for axis in grids]
-        places = np.unravel_index(np.arange(int(np.prod(size))), size)
-        trials = [axis[:, place] for axis, place in zip(grids, places)]
-        values = np.nan_to_num(score(*trials), nan=-np.inf, posinf=-np.inf)
-        at = values.argmax(axis=1)
-        better = values[rows, at] > best[:, -1]
-        for i, axis in enumerate(trials):
-            best[better, i] = axis[rows, at][better]
-            n = size[i] - 1
-            edge = better & ((places[i][at] == 0) | (places[i][at] == n))
-            # The first grid is finer than nine values; what follows starts from its steps.
-            inside = 4.0 * 2.0 * half[:, i] / n if turn == 0 else half[:, i] * 2.0 / 3.0
-            half[:, i] = np.where(edge, np.minimum(half[:, i] * 1.5, WIDEST), inside)
-        best[better, -1] = values[rows, at][better]
-        if turn == rounds or turn >= TURNS or (half < 4.0 * FINE).all() or not np.isfinite(best[:, -1]).any():
-            return best
-        turn += 1
-        offsets = np.linspace(-1.0, 1.0, 9)
-        grids = [np.clip(best[:, i, None] + half[:, i, None] * offsets, -WIDEST, WIDEST) for i in range(len(axes))]
-
-
-def padded(curves):
-    """Gaps, centred magnitudes, squared errors and a mark, padded to the longest curve."""
-    length = max(t.size for t, _, _ in curves)
-    gaps, y, variance, there = np.zeros((4, len(curves), length))
-    variance += 1.0
-    for row, (t, m, e) in enumerate(curves):
-        gaps[row, 1 : t.size] = np.diff(t)
-        y[row, : t.size] = m - m.mean()
-        variance[row, : t.size] = e**2.0
-        there[row, : t.size] = 1.0
-    return gaps, y, variance, there
-
-
-def in_groups(curves, usable, fit, width):
-    """Apply ``fit`` to groups of curves of similar length; NaN where ``usable`` says no."""
-    rows = np.full((len(curves), width), np.nan)
-    order = sorted((i for i, curve in enumerate(curves) if usable(curve)), key=lambda i: curves[i][0].size)
-    for start in range(0, len(order), TOGETHER):
-        group = order[start : start + TOGETHER]
-        with np.errstate(all="ignore"):
-            rows[group] = fit([curves[i] for i in group])
-    return rows
-
-
-def walk_fits(curves, log_amplitude, log_rate, rounds):
-    """Amplitude and time scale of the likeliest damped random walk, and its log-likelihood."""
-
-    def fit(group):
-        data = padded(group)
-        best = zoom(
-            lambda a, c: walk_likelihood(*data, np.exp(a), np.exp(c)),
-            [np.linspace(*log_amplitude), np.linspace(*log_rate)],
-            len(group),
-            rounds,
-        )
-        return np.stack([np.exp(best[:, 0]), np.exp(-best[:, 1]), best[:, 2]], axis=1)
-
-    return in_groups(curves, lambda c: c[0].size > 1, fit, 3)
-
+    return float(start + step * best), float(power[best]), largest, near
 
-def autoregression_fits(curves, phis, rounds):
-    """Irregular autoregression: likeliest correlation after one day, and its log-likelihood."""
 
-    def fit(group):
-        gaps, y, variance, there = padded(group)
-        scale = np.array([m.std(ddof=1) for _, m, _ in group])[:, None]
-        data = gaps, y / scale, variance / scale**2, there
-
-        def score(phi):
-            inside = (phi > 0.0) & (phi < 1.0)
-            rate = -np.log(np.where(inside, phi, 0.5))
-            return np.where(inside, walk_likelihood(*data, np.ones_like(rate), rate), -np.inf)
-
-        return zoom(score, [np.linspace(*phis)], len(group), rounds)
-
-    return in_groups(curves, lambda c: c[0].size > 1 and np.ptp(c[1]) > 0, fit, 2)
-
-
-# --------------------------------------------------------- variance at two scales
-
-
-#: Widths from which exp(-x^2 / 2) is zero.
-REACH = 39.0
-
-
-def band_pass(t, m, e, scale, epsilon=0.01):
-    """Mexican-hat filtered power and its noise at one time scale (Arevalo et al. 2012).
-
-    The filter is the difference of two Gaussian means whose widths differ by the
-    factor 1 + epsilon.  An epoch meets those within ``REACH`` widths; beyond, the
-    weight of a Gaussian is zero in double precision.
-    """
-    sigma = scale / np.sqrt(2.0 * np.pi**2)
-    narrow, broad = sigma / np.sqrt(1.0 + epsilon), sigma * np.sqrt(1.0 + epsilon)
-    filtered, noise = np.empty(t.size), np.empty(t.size)
-    for part in blocks(t.size, 256):
-        near = slice(*np.searchsorted(t, [t[part][0] - REACH * broad, t[part][-1] + REACH * broad]))
-        gap = np.subtract.outer(t[part], t[near]) ** 2
-        inner = np.exp(-gap / (2.0 * narrow**2))
-        outer = np.exp(-gap / (2.0 * broad**2))
-        hat = inner / inner.sum(axis=1)[:, None] - outer / outer.sum(axis=1)[:, None]
-        filtered[part], noise[part] = hat @ m[near], (hat * hat) @ e[near] ** 2
-    return filtered, noise
-
-
-def two_scale_power(t, m, e, slow, fast):
-    """Ratio, low, high, count of non-zero filtered points, and the noise flag."""
-    if t.size < 2 or not np.isfinite(t + m + e).all():
-        return None, None, None, None, None
-    y = m - m.mean()
-    low, low_noise = band_pass(t, y, e, slow)
-    high, high_noise = band_pass(t, y, e, fast)
-    low_power = float(np.mean(low**2) - low_noise.mean())
-    high_power = float(np.mean(high**2) - high_noise.mean())
-    ratio = low_power / high_power if high_power else None
-    return ratio, low_power, high_power, float(np.count_nonzero(high)), float(high_power < 0)
+def best_period(t, m, e, start, step, count, top, optima, fine_step):
+    """Best frequency and its power after refinement, and the top grid powers."""
+    curve = prepared(t, m, e)
+    if curve is None:
+        return None, None, None
+    freq, value, largest, near = picks(grid_power(*curve, start, step, count), start, step, top, optima, fine_step)
+    if near.size:
+        refined = aov(direct_sums(*curve, near), curve[1], curve[2])
+        if refined.max() > value:
+            freq, value = float(near[refined.argmax()]), float(refined.max())
+    return freq, value, largest
 
 
 # ------------------------------------------------------------ structure function
@@ -353,31 +196,6 @@ def correlation_length(m, level):
     return float(below[0]) if below.size else None
 
 
-# ------------------------------------------------------------------- harmonics
-
-
-def harmonic_fit(t, m, e, period, count, floor):
-    """Amplitudes, phases relative to the first, and the mean squared residual.
-
-    Least squares of a constant and ``count`` harmonics with weights 1/(e + floor);
-    a curve with fewer epochs than terms gets the solution of smallest norm.
-    """
-    if period is None or not np.isfinite(period) or period <= 0 or t.size == 0:
-        return None
-    turns = 2.0 * np.pi * np.multiply.outer(t / period, np.arange(1, count + 1))
-    design = np.hstack([np.ones((t.size, 1)), np.cos(turns), np.sin(turns)])
-    weight = 1.0 / (e + floor)
-    try:
-        solution = np.linalg.lstsq(design * weight[:, None], m * weight, rcond=1e-15 * max(design.shape))[0]
-    except np.linalg.LinAlgError:
-        return None
-    cosine, sine = solution[1 : count + 1], solution[count + 1 :]
-    angle = np.arctan2(sine, cosine)
-    relative = np.mod(angle - angle[0] * np.arange(1, count + 1), 2.0 * np.pi)
-    residual = design @ solution - m
-    return np.concatenate([np.hypot(cosine, sine), relative[1:], [np.mean(residual**2)]])
-
-
 # -------------------------------------------------------------------- template
 
 
@@ -420,6 +238,8 @@ def template_scores(t, flux, weight, axes):
     return amplitude, offset, chi
 
 
+#: Steps at which the search of the template ends.
+FINE = 1e-4
 #: Start times at which all shapes of the grid are tried.
 SHORTLIST = 100
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.features import kernels
+from skyfold.features import harmonics, kernels, long_curves
 from skyfold.features.registry import FeatureFamily
 from skyfold.functions.curves import (
     bound,
@@ -111,7 +111,7 @@ def with_period(
     """Add ``Multiband_period``, ``PPE`` and the work columns ``_best_freq``, ``_best_power``.
 
     The whole grid is scored, but only the best frequency and the largest powers
-    leave the task.
+    leave the task.  Keyed curves (``long_curves.keyed``) are scored a stretch of epochs at a time.
     """
     start, step, count = grid.start, grid.step, grid.count
 
@@ -123,7 +123,10 @@ def with_period(
         ]
         return pd.DataFrame(rows, columns=["freq", "power", "top"])
 
-    found = with_curve(df).withColumn("_best", best("_t", "_m", "_e"))
+    if "_key" in df.columns:
+        found = long_curves.with_period(df, start, step, count, top, optima, fine_step)
+    else:
+        found = with_curve(df).withColumn("_best", best("_t", "_m", "_e"))
     return with_expressions(
         found,
         _best_freq=known("_best.freq"),
@@ -197,11 +200,10 @@ def with_harmonics(
 
     @F.pandas_udf("array<double>")
     def fit(times: pd.Series, mags: pd.Series, errors: pd.Series, periods: pd.Series) -> pd.Series:
-        rows = zip(times, mags, errors, periods)
-        return pd.Series([kernels.harmonic_fit(t, m, e, p, count, floor) for t, m, e, p in rows])
+        return pd.Series(list(harmonics.series(list(zip(times, mags, errors)), periods, count, floor)))
 
     table = with_curve(df).withColumn("_series", fit("_t", "_m", "_e", period))
-    values = {name: f"get(_series, {i})" for i, name in enumerate(harmonic_names(count))}
+    values = {name: known(f"get(_series, {i})") for i, name in enumerate(harmonic_names(count))}
     return with_expressions(table, **values).drop("_series")
 
 

@@ -1,8 +1,9 @@
 """Feature families, their order and the feature table.
 
-A family adds columns to a table of curves.  Every built-in family is row-local,
-so the whole feature job is one scan with no exchange; skew in any key cannot
-slow it down, and a lost executor costs only the partitions it was working on.
+A family adds columns to a table of curves.  Every built-in family is row-local for
+ordinary curves, so their part of the job is one scan with no exchange; skew in any key cannot
+slow it down, and a lost executor costs only the partitions it was working on.  Curves
+with more than ``long_curves.LONG`` epochs are stored, and their fits are spread over tasks by stretches.
 """
 
 from __future__ import annotations
@@ -72,14 +73,27 @@ def _check(df: DataFrame, families: Sequence[FeatureFamily]) -> None:
 
 
 def compute_features(df: DataFrame, families: Sequence[FeatureFamily] | None = None) -> DataFrame:
-    """One row per curve: ``objectid``, the base columns, then every feature."""
+    """One row per curve: ``objectid``, the base columns, then every feature.
+
+    Whether there are long curves is looked up first, by ``nepochs`` alone, which the scan can skip files and
+    row groups by.  A count that is off changes only where a curve is fitted.
+    """
+    from skyfold.features import long_curves
+
     chosen = default_families() if families is None else list(families)
     _check(df, chosen)
     needed = {c for family in chosen for c in family.inputs}
     kept = [c for c in df.columns if c in needed or c in ("objectid", *BASE_COLUMNS)]
     table = df.select(*kept)
-    if {"hmjd", "mag", "magerr"} <= set(kept):
-        table = with_curve(table)
+    if not {"hmjd", "mag", "magerr"} <= set(kept):
+        return _built(table, chosen)
+    long = F.coalesce(F.col("nepochs") > long_curves.LONG, F.lit(False))
+    if table.where(long).isEmpty():
+        return _built(with_curve(table), chosen)
+    return _built(with_curve(table.where(~long)), chosen).unionByName(_built(long_curves.keyed(table.where(long)), chosen))
+
+
+def _built(table: DataFrame, chosen: Sequence[FeatureFamily]) -> DataFrame:
     for family in chosen:
         table = family.build(table)
     names = feature_names(chosen)

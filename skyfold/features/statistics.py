@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.features import kernels
+from skyfold.features import kernels, long_curves, walk
 from skyfold.features.registry import FeatureFamily
 from skyfold.functions import special
 from skyfold.functions.curves import (
@@ -213,12 +213,15 @@ def with_autoregression(
 ) -> DataFrame:
     """IAR_phi: correlation after one day (Eyheramendy et al. 2018), by a refined grid.
 
-    The log-likelihood at the answer is in the work column ``_iar_score``.
+    The log-likelihood at the answer is in the work column ``_iar_score``.  Keyed
+    curves (``long_curves.keyed``) are searched by rounds over their stretches.
     """
+    if "_key" in df.columns:
+        return long_curves.with_autoregression(df, grid, rounds)
 
     @F.pandas_udf("phi double, score double")
     def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
-        rows = kernels.autoregression_fits(list(zip(times, mags, errors)), grid, rounds)
+        rows = walk.autoregression_fits(list(zip(times, mags, errors)), grid, rounds)
         return pd.DataFrame(rows, columns=["phi", "score"])
 
     df = with_curve(df).withColumn("_iar", fit("_t", "_m", "_e"))

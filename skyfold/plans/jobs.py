@@ -13,7 +13,7 @@ from skyfold.operators.publish import append_new, feature_documents, lightcurve_
 from skyfold.operators.xmatch import xmatch, xmatch_nearest
 from skyfold.sources.lightcurves import read_lightcurves
 from skyfold.schema import EPOCH_COLUMNS
-from skyfold.workspace import read_if_there
+from skyfold.workspace import checkpointed, read_if_there
 
 ARCSEC = 1.0 / 3600.0
 
@@ -28,13 +28,23 @@ def feature_job(
 ) -> None:
     """Curves to features, for curves that ``target`` does not hold yet: a run again, or after a loss, adds the rest.
 
-    ``parts`` spreads the curves over that many tasks first; without it the file
+    Keys are compared first, without the curves.  Files whose curves are all done are not read;
+    in the others only the keys already done there are left out, which after a loss are few, so
+    that Spark can send them to the curves and leave the curves where they are.
+    ``parts`` spreads the curves over that many tasks; without it the file
     splits decide.  A failed write fails the job.
     """
+    keys = ["objectid", "filterid"]
     curves = read_lightcurves(spark, source)
-    keys = curves.select("objectid", "filterid")
-    done = read_if_there(spark, target, keys.schema).distinct()
-    curves = curves.join(done, keys.columns, "left_anti")
+    listed = checkpointed(curves.select(*keys, F.col("_metadata.file_path").alias("file")), "curve-keys")
+    done = read_if_there(spark, target, curves.select(*keys).schema).distinct()
+    # As many names as there are files, which the driver lists for every scan anyway.
+    files = [r["file"] for r in listed.join(done, keys, "left_anti").select("file").distinct().collect()]
+    if not files:
+        return
+    here = listed.join(F.broadcast(spark.createDataFrame([(f,) for f in files], "file string")), "file").join(done, keys, "left_semi")
+    # A condition on the file name is met before files are opened.
+    curves = curves.where(F.col("_metadata.file_path").isin(files)).join(checkpointed(here.select(*keys).distinct(), "keys-done"), keys, "left_anti")
     if preprocess:
         curves = Preprocessor(limit_epochs=20, mag_error_tolerance=1.0, catflags_filter=0).run(curves)
     if parts:

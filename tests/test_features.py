@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from skyfold.features import fits, kernels, period, statistics
+from skyfold.features import fits, harmonics, kernels, period, statistics, two_scale, walk
 from skyfold.features.registry import FeatureFamily, compute_features, default_families, feature_names
 from skyfold.functions import curves, special
 from skyfold.operators.preprocess import Preprocessor
@@ -364,7 +364,7 @@ def test_harmonics_recover_a_planted_series(spark):
 
 def test_harmonics_of_a_short_curve_have_the_smallest_norm():
     t, m, e = noise(9, 8)
-    found = kernels.harmonic_fit(t, m, e, 0.83, 7, 0.01)
+    found = harmonics.series([(t, m, e)], [0.83], 7, 0.01)[0]
     turns = 2 * np.pi * np.outer(t / 0.83, np.arange(1, 8))
     design = np.hstack([np.ones((9, 1)), np.cos(turns), np.sin(turns)]) / (e + 0.01)[:, None]
     solution = np.linalg.pinv(design) @ (m / (e + 0.01))
@@ -372,14 +372,27 @@ def test_harmonics_of_a_short_curve_have_the_smallest_norm():
     assert found[-1] < 1e-12
 
 
+def test_harmonics_equal_least_squares_on_the_epochs():
+    # Short, exactly determined, ill-conditioned and long curves together.
+    curves_ = [noise(n, n) for n in (3, 9, 15, 16, 17, 20, 40, 300)]
+    periods = [0.83, 1.7, 0.31, 0.9, 2.2, 0.61, 0.97, 365.0]
+    found = harmonics.series(curves_, periods, 7, 0.01)
+    for (t, m, e), p, row in zip(curves_, periods, found):
+        turns = 2 * np.pi * np.outer(t / p, np.arange(1, 8))
+        design = np.hstack([np.ones((t.size, 1)), np.cos(turns), np.sin(turns)])
+        solution = np.linalg.lstsq(design / (e + 0.01)[:, None], m / (e + 0.01), rcond=1e-12)[0]
+        np.testing.assert_allclose(row[:7], np.hypot(solution[1:8], solution[8:]), rtol=1e-5, atol=1e-9)
+        np.testing.assert_allclose(row[-1], np.mean((design @ solution - m) ** 2), rtol=1e-6, atol=1e-15)
+    nothing = harmonics.series([noise(5), (np.empty(0),) * 3, noise(5)], [None, 1.0, 0.0], 7, 0.01)
+    assert np.isnan(nothing).all()
+
+
 # ------------------------------------------------------------------- other fits
 
 
 def likelihoods(t, m, e, amplitude, rate):
     # A longer second curve, so that the first one is padded.
-    return kernels.walk_likelihood(
-        *kernels.padded([(t, m, e), noise(len(t) + 9, 20)]), np.tile(amplitude, (2, 1)), np.tile(rate, (2, 1))
-    )[0]
+    return walk.likelihood(walk.padded([(t, m, e), noise(len(t) + 9, 20)]), np.tile(amplitude, (2, 1)), np.tile(rate, (2, 1)))[0]
 
 
 def test_walk_likelihood_equals_a_dense_gaussian():
@@ -397,8 +410,8 @@ def test_walk_likelihood_equals_a_dense_gaussian():
 def test_curves_fitted_together_are_fitted_alone():
     together = [noise(n, n) for n in (2, 90, 1, 17, 17, 40)]
     for fit, args in (
-        (kernels.walk_fits, (fits.LOG_AMPLITUDE, fits.LOG_RATE, 1)),
-        (kernels.autoregression_fits, ((0.01, 0.99, 50), 1)),
+        (walk.walk_fits, (fits.LOG_AMPLITUDE, fits.LOG_RATE, 1)),
+        (walk.autoregression_fits, ((0.01, 0.99, 50), 1)),
     ):
         rows = fit(together, *args)
         assert np.isnan(rows[2]).all()
@@ -408,7 +421,7 @@ def test_curves_fitted_together_are_fitted_alone():
 
 def test_random_walk_beats_its_neighbours():
     t, m, e = noise(40, 10)
-    sigma, tau, score = kernels.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
+    sigma, tau, score = walk.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
     around = [(sigma * f, tau * g) for f in (0.9, 1.0, 1.1) for g in (0.8, 1.0, 1.25)]
     scores = likelihoods(t, m, e, np.array([a for a, _ in around]), np.array([1 / b for _, b in around]))
     assert score >= scores.max() - 1e-3
@@ -421,7 +434,7 @@ def test_autoregression_finds_a_planted_correlation():
     for i in range(1, 3000):
         phi = 0.8 ** (t[i] - t[i - 1])
         x[i] = phi * x[i - 1] + rng.normal(0, math.sqrt(1 - phi * phi))
-    found, _ = kernels.autoregression_fits([(t, x, np.full(3000, 0.01))], (0.01, 0.99, 50), 2)[0]
+    found, _ = walk.autoregression_fits([(t, x, np.full(3000, 0.01))], (0.01, 0.99, 50), 2)[0]
     assert found == pytest.approx(0.8, abs=0.05)
 
 
@@ -458,9 +471,11 @@ def test_two_scale_power_equals_the_full_sums(n, span):
         gap = (t[:, None] - t[None, :]) ** 2
         inner, outer = np.exp(-gap / (2 * sigma**2 / 1.01)), np.exp(-gap / (2 * sigma**2 * 1.01))
         hat = inner / inner.sum(axis=1)[:, None] - outer / outer.sum(axis=1)[:, None]
-        filtered, spread = kernels.band_pass(t, y, e, scale)
-        np.testing.assert_allclose(filtered, hat @ y, atol=1e-11)
-        np.testing.assert_allclose(spread, (hat**2) @ e**2, atol=1e-13)
+        # Beside another curve, which it must not see.
+        both = [np.concatenate([x, x]) for x in (t - t[0], y, e)]
+        filtered, spread = (x[n:] for x in two_scale.band_pass(both[0], np.repeat([0, 1], n), *both[1:], scale))
+        np.testing.assert_allclose(filtered, hat @ y, atol=1e-12)
+        np.testing.assert_allclose(spread, (hat**2) @ e**2, atol=1e-14)
 
 
 @pytest.mark.parametrize(
@@ -477,10 +492,21 @@ def test_time_is_linear_in_epochs(spark, step):
     assert time.perf_counter() - start < 20
 
 
+def test_two_scale_power_takes_twice_the_time_for_twice_the_epochs():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        two_scale.two_scale_power([noise(n, 3, 1500.0)], 100.0, 10.0)
+        return time.process_time() - start
+
+    seconds(100)
+    assert min(seconds(80_000) for _ in range(3)) < 3 * min(seconds(40_000) for _ in range(3))
+
+
 def test_slow_variation_has_more_slow_power():
     t = np.sort(np.random.default_rng(15).uniform(0, 1000, 400))
-    slow = kernels.two_scale_power(t, np.sin(2 * np.pi * t / 150), np.full(400, 1e-3), 100.0, 10.0)
-    fast = kernels.two_scale_power(t, np.sin(2 * np.pi * t / 12), np.full(400, 1e-3), 100.0, 10.0)
+    slow, fast = two_scale.two_scale_power([(t, np.sin(2 * np.pi * t / p), np.full(400, 1e-3)) for p in (150, 12)], 100.0, 10.0)
     assert slow[0] > 1 > fast[0] and fast[3] == 400 and fast[4] == 0
 
 
@@ -508,17 +534,17 @@ def test_refinement_never_loses():
     t, m, e = noise(30, 17, span=100)
     chis = [kernels.template_fit(t, m, e, 16.4, fits.TEMPLATE_GRID, r)[6] for r in (0, 1, 3)]
     assert chis == sorted(chis, reverse=True)
-    scores = [kernels.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, r)[0, 2] for r in (0, 1, 3)]
+    scores = [walk.walk_fits([(t, m, e)], fits.LOG_AMPLITUDE, fits.LOG_RATE, r)[0, 2] for r in (0, 1, 3)]
     assert scores == sorted(scores)
 
 
 def test_no_box_bounds_the_random_walk():
     t = np.sort(np.random.default_rng(18).uniform(0, 3000, 300))
     trend = t / 3000 + np.random.default_rng(19).normal(0, 0.01, 300)
-    _, tau, score = kernels.walk_fits([(t, trend, np.full(300, 0.01))], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
+    _, tau, score = walk.walk_fits([(t, trend, np.full(300, 0.01))], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
     assert tau > 2 * math.exp(-fits.LOG_RATE[0])
     loud = 8.0 * np.random.default_rng(20).normal(size=300)
-    sigma, _, _ = kernels.walk_fits([(t, loud, np.full(300, 0.01))], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
+    sigma, _, _ = walk.walk_fits([(t, loud, np.full(300, 0.01))], fits.LOG_AMPLITUDE, fits.LOG_RATE, None)[0]
     assert sigma == pytest.approx(loud.var(), rel=0.05)
 
 

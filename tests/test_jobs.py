@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from skyfold.plans import jobs
 from skyfold.schema import LIGHTCURVE_SCHEMA, conform
@@ -74,3 +75,30 @@ def test_feature_job_run_again_adds_nothing(spark, curves, tmp_path):
     for _ in range(2):
         jobs.feature_job(spark, curves, target)
     assert spark.read.parquet(target).count() == 1
+
+
+def test_a_resumed_job_opens_only_files_with_work_left(spark, tmp_path):
+    from test_features import noise, table
+
+    from skyfold.features.sky import galactic_family
+    from skyfold.plans.jobs import feature_job
+    from skyfold.schema import conform
+
+    rows = table(spark, *[noise(30, k) for k in range(6)])
+    extra = {"fieldid": F.lit(1), "rcid": F.lit(1), "clrcoeff": F.transform("mag", lambda _: F.lit(0.0)), "catflags": F.transform("mag", lambda _: F.lit(0))}
+    curves = conform(rows.withColumns(extra))
+    source, target = str(tmp_path / "curves"), str(tmp_path / "features")
+    curves.where("objectid < 2").coalesce(1).write.parquet(source)
+    feature_job(spark, source, target, families=[galactic_family()])
+    before = set(spark.read.parquet(source).inputFiles())
+    curves.where("objectid >= 2").coalesce(1).write.mode("append").parquet(source)
+    real = spark.read.parquet(source)
+    new = set(real.inputFiles()) - before
+    pruned = spark.read.parquet(source).where(F.col("_metadata.file_path").isin(list(new)))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    opened = pruned.select("_metadata.file_path").distinct().count()
+    assert "file_path" in plan and opened == len(new) == 1
+    for _ in range(2):
+        feature_job(spark, source, target, families=[galactic_family()])
+    found = spark.read.parquet(target)
+    assert found.count() == 6 == found.select("objectid").distinct().count()
