@@ -41,6 +41,9 @@ SLOTS = 2048
 SAMPLE = 4000
 #: Score from which a document is kept.
 KEEP = 0.5
+#: What is taken for granted of a labeler, as if it had voted on ten documents of either class: against good
+#: ones it votes in one of two hundred cases, so that a rare pattern is not called good on the strength of its own few documents.
+PRIOR = {True: {"+": 9.0, "0": 0.95, "-": 0.05}, False: {"+": 6.0, "0": 1.5, "-": 2.5}}
 #: Words in a stretch whose distinct words are counted.
 STRETCH = 50
 STEPS, RATE, RIDGE = 400, 4.0, 1e-4
@@ -82,7 +85,9 @@ def shares(text: str, shape: bytes) -> list[float]:
     n = len(words)
     starts = np.flatnonzero(~blank & np.append(True, blank[:-1]))
     bare = np.add.reduceat(letter | (letters == _DIGIT), starts) == 0 if len(starts) else np.zeros(0, bool)
-    stretches = [words[k : k + STRETCH] for k in range(0, max(1, n - STRETCH // 2), STRETCH)]
+    # A last stretch of less than half the words is part of the one before.
+    edges = [*range(0, max(1, n - STRETCH // 2), STRETCH), n]
+    stretches = [words[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
     lines = [x for x in text.split("\n") if x.strip()]
     return [
         float((ends & twice).sum()) / n,
@@ -105,10 +110,15 @@ def _shape(text: str) -> bytes:
 
 
 @functools.lru_cache(1 << 16)
-def _slot(name: bytes) -> int:
+def _kept_slot(name: bytes) -> int:
     return zlib.crc32(name) % SLOTS
 
 
+def _slot(name: bytes) -> int:
+    # Long names are not remembered, so that the memory of those that are is bounded.
+    return _kept_slot(name) if len(name) <= 64 else zlib.crc32(name) % SLOTS
+
+
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray, str]:
     """Slots and values of the hashed features, and the votes; null counts as empty."""
     text = text or ""
@@ -121,9 +131,9 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray, str]:
     words = letters[np.append([True, True][: len(letters)], ~again)].tobytes().split() if len(letters) else []
     values: Counter = Counter()
     for name, n in Counter(words).items():
-        values[_slot(name[:8])] += n / len(words)
+        values[_slot(name)] += n / len(words)
     for (a, b), n in Counter(zip(words, words[1:], strict=False)).items():
-        values[_slot(a[:8] + b" " + b[:8])] += n / len(words)
+        values[_slot(a + b" " + b)] += n / len(words)
     for (name, _, _), x in zip(LABELERS, found, strict=True):
         values[_slot(f"{name} {min(9, int(10 * x))}".encode())] += 1
     return np.fromiter(values.keys(), np.int32, len(values)), np.fromiter(values.values(), np.float32, len(values)), votes(found)
@@ -162,7 +172,7 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]:
     if not counts:
         return np.zeros(SLOTS, np.float32), 1.0
     start = {v: (0.95, 0.4)[v.count("-")] if v.count("-") < 2 else 0.05 for v in counts}
-    posterior = weak.posteriors(counts, start)[0]
+    posterior = weak.posteriors(counts, start, prior=PRIOR)[0]
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lots(batches):

@@ -102,22 +102,22 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each anchor: its gram, a hash of all that its windows cover, and where they are."""
     names = ["gram", "around", "doc", "mix", "low", "left", "more"]
     for row in _rows(batches):
-        body = (row["text"].as_py() or "").encode("utf-8", "surrogatepass")
+        body = row["text"].as_py()
         view = memoryview(body)
         for gram, at, first, last in anchors(body):
             around = [xxhash.xxh3_64_intdigest(view[a : b + LENGTH], p - a) for a, b, p in zip(first.tolist(), last.tolist(), at.tolist(), strict=True)]
             n = len(gram)
-            cells = [pa.array(gram), pa.array(np.array(around, np.uint64).view(np.int64)), pa.array([row["doc"].as_py()] * n, pa.int64()), pa.array(np.full(n, row["mix"].as_py(), np.int32))]
+            cells = [pa.array(gram), pa.array(np.array(around, np.uint64).view(np.int64)), pa.array([row["doc"].as_py()] * n, pa.int64()), pa.array(np.full(n, row["mix"].as_py()))]
             yield pa.RecordBatch.from_arrays([*cells, pa.array(first), pa.array((at - first).astype(np.int16)), pa.array((last - first).astype(np.int16))], names)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each block of an anchor's windows: a hash of its core, the bytes beside the core, and where its windows are."""
     names = ["core", "left", "right", "weight", "doc", "mix", "low"]
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     rows: list[tuple] = []
     for row in _rows(batches):
-        body = (row["text"].as_py() or "").encode("utf-8", "surrogatepass")
+        body = row["text"].as_py()
         doc, mix = row["doc"].as_py(), row["mix"].as_py()
         for one in row["around"].as_py():
             at, low, high = one["low"] + one["left"], one["low"], one["low"] + one["more"]
@@ -173,7 +173,7 @@ def _by_text(found: np.ndarray, whose: np.ndarray, begin: np.ndarray) -> list[np
 
 def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows that are repeated, from rows in the order of their cores; only texts with one copy are asked about."""
-    names, kinds = ["doc", "mix", "low", "high"], [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    names, kinds = ["doc", "mix", "low", "high"], [pa.int64()] * 4
     groups: dict[int, dict[tuple[bytes, bytes], list]] = {}
     size, out = 0, []
 
@@ -236,7 +236,7 @@ def _single_windows(wide: DataFrame) -> DataFrame:
 
 def windows(source: DataFrame) -> DataFrame:
     """``doc``, ``mix``, ``low``, ``high``: runs of starts of repeated windows, for texts with these two keys."""
-    found = stored(source.mapInArrow(_occurrences, "gram long, around long, doc long, mix int, low long, left short, more short"), "anchors")
+    found = stored(source.mapInArrow(_occurrences, "gram long, around long, doc long, mix long, low long, left short, more short"), "anchors")
     grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("a"), F.max("around").alias("b"))
     again = stored(grams.where("n > 1").select("gram", (F.col("a") == F.col("b")).alias("alike")), "grams")
     met = stored(found.where(_asked("gram", Sieve(again.select("gram")))).join(again, "gram"), "repeated-anchors")
@@ -248,14 +248,14 @@ def windows(source: DataFrame) -> DataFrame:
     asked = distinct.select("p.*", "n").groupBy("doc", "mix").agg(F.collect_list(F.struct("low", "left", "more", "n")).alias("around"))
     asked = stored(asked, "asked").withColumnsRenamed({"doc": "_doc", "mix": "_mix"})
     texts = source.where(_asked("mix", Sieve(asked.select("_mix")))).dropDuplicates(["doc", "mix"])
-    texts = texts.join(asked, texts["doc"].eqNullSafe(F.col("_doc")) & (texts["mix"] == F.col("_mix"))).select("doc", "mix", "text", "around")
-    blocks = stored(texts.mapInArrow(_blocks, "core long, left binary, right binary, weight long, doc long, mix int, low long"), "blocks")
+    texts = texts.join(asked, (texts["doc"] == F.col("_doc")) & (texts["mix"] == F.col("_mix"))).select("doc", "mix", "text", "around")
+    blocks = stored(texts.mapInArrow(_blocks, "core long, left binary, right binary, weight long, doc long, mix long, low long"), "blocks")
     cores = blocks.groupBy("core").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("texts")).where("n > 1").select("core", "texts")
     cores = stored(cores, "cores")
     kept = blocks.where(_asked("core", Sieve(cores.select("core")))).join(cores, "core")
     columns = ["core", "left", "right", "weight", "doc", "mix", "low"]
     narrow = kept.where(F.col("texts") <= MANY).select(columns).repartition("core").sortWithinPartitions("core")
-    sorted_ = narrow.mapInArrow(_sorted_windows, "doc long, mix int, low long, high long")
+    sorted_ = narrow.mapInArrow(_sorted_windows, "doc long, mix long, low long, high long")
     wide = _single_windows(stored(kept.where(F.col("texts") > MANY).select(columns), "wide-cores"))
     return spans(met.where("alike")).unionByName(spans(copies)).unionByName(sorted_).unionByName(wide)
 
@@ -275,30 +275,31 @@ def _covered(found: list[dict]) -> tuple[list[int], list[int]]:
 def cleaned(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """``doc_id``, ``n_bytes``, ``spans`` (start and end of each maximal run of removed bytes) and ``kept`` (the bytes left).
 
-    Matches never cross documents; strings are judged on the input.  Null texts count as
+    Matches never cross documents; strings are judged on the input, as bytes, valid UTF-8 or not.  Null texts count as
     empty, and no string of them or of shorter texts is long enough.  Repeated rows are
     documents of their own, so that all of a long one goes; null ids are kept.  An empty
     table gives no rows.
     """
-    body = F.coalesce(docs[text], F.lit(""))
-    # Rows with one id and one text have the same repeats; the hash tells texts under one id apart.
-    source = docs.select(docs[id_column].cast("long").alias("doc"), F.hash(body).alias("mix"), body.alias("text"))
+    name, body = docs[id_column].cast("long"), F.coalesce(docs[text].cast("binary"), F.lit(b""))
+    # Rows with one id and one text have the same repeats, so these two share a key: 128 bits of hashes
+    # of both, which tell texts under one id apart however many they are.
+    source = docs.select(name.alias("doc_id"), F.xxhash64(name, body).alias("doc"), F.xxhash64(F.lit(1), body, name).alias("mix"), body.alias("text"))
     lost = windows(source).groupBy("doc", "mix").agg(F.collect_list(F.struct("low", "high")).alias("lost"))
     lost = stored(lost, "repeats").withColumnsRenamed({"doc": "_doc", "mix": "_mix"})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            whole = row["text"].as_py().encode("utf-8", "surrogatepass")
+            whole = row["text"].as_py()
             starts, ends = _covered(row["lost"].as_py() or [])
             kept = b"".join(whole[a:b] for a, b in zip([0, *ends], [*starts, len(whole)], strict=True))
-            cells = [[row["doc"].as_py()], [len(whole)], [[{"start": a, "end": b} for a, b in zip(starts, ends, strict=True)]], [kept]]
+            cells = [[row["doc_id"].as_py()], [len(whole)], [[{"start": a, "end": b} for a, b in zip(starts, ends, strict=True)]], [kept]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, kinds, strict=True)], names)
 
     names = ["doc_id", "n_bytes", "spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
     schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
     marked = source.withColumn("_met", _asked("mix", Sieve(lost.select("_mix"))))
-    met = marked.where("_met").join(lost, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mix") == F.col("_mix")), "left")
-    whole = F.col("text").cast("binary")
-    rest = marked.where("NOT _met").select(F.col("doc").alias("doc_id"), F.length(whole).cast("long").alias("n_bytes"), F.array().cast("array<struct<start:long,end:long>>").alias("spans"), whole.alias("kept"))
-    return met.select("doc", "text", "lost").mapInArrow(cut, schema).unionByName(rest)
+    met = marked.where("_met").join(lost, (F.col("doc") == F.col("_doc")) & (F.col("mix") == F.col("_mix")), "left")
+    whole = F.col("text")
+    rest = marked.where("NOT _met").select("doc_id", F.length(whole).cast("long").alias("n_bytes"), F.array().cast("array<struct<start:long,end:long>>").alias("spans"), whole.alias("kept"))
+    return met.select("doc_id", "text", "lost").mapInArrow(cut, schema).unionByName(rest)

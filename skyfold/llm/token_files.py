@@ -63,7 +63,7 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def _gathered(docs: DataFrame, path: str, end: int, text: str, id_column: str) -> DataFrame:
-    """Blocks of whole documents in ascending order: ``file``, ``first`` (ids of the file before), ``docs``, ``sizes`` and ``ids`` (32-bit little-endian bytes).
+    """Blocks of whole documents in ascending order: ``file``, ``first`` (ids of the file before), ``docs``, ``sizes``, ``ids`` (32-bit little-endian bytes), and ``seen`` and ``times``, the counts of ids.
 
     Texts are dealt by ranges of their id, and rows with one id by the hash of their
     text, so that even an id that all rows share is spread.
@@ -71,10 +71,18 @@ def _gathered(docs: DataFrame, path: str, end: int, text: str, id_column: str) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, first, size, names, own = TaskContext.get().partitionId(), 0, 0, [], []
+        total = np.zeros(0, np.int64)
 
-        def block() -> pa.RecordBatch:
-            cells = [[file], [first], [names], [[len(x) for x in own]], [np.concatenate(own).tobytes()]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, _KINDS, strict=True)], ["file", "first", "docs", "sizes", "ids"])
+        def block(last: bool = False) -> pa.RecordBatch:
+            nonlocal total
+            ids = np.concatenate(own) if own else np.zeros(0, "<u4")
+            found = np.bincount(ids, minlength=len(total))
+            found[: len(total)] += total
+            total = found
+            # The last block of a task has how often each id occurred in all of them.
+            seen = np.flatnonzero(total) if last else np.zeros(0, np.int64)
+            cells = [[file], [first], [names], [[len(x) for x in own]], [ids.tobytes()], [seen], [total[seen]]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, [*_KINDS, _KINDS[2], _KINDS[2]], strict=True)], ["file", "first", "docs", "sizes", "ids", "seen", "times"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
@@ -86,29 +94,18 @@ def _gathered(docs: DataFrame, path: str, end: int, text: str, id_column: str) -
                     if size >= BLOCK_IDS:
                         yield block()
                         first, size, names, own = first + size, 0, [], []
-        if own:
-            yield block()
+        if len(total) or own:
+            yield block(last=True)
 
     source = docs.select(docs[id_column].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text")).withColumn("mixed", F.xxhash64("text"))
     ordered = source.repartitionByRange("doc_id", "mixed").sortWithinPartitions("doc_id", "mixed", "text").select("doc_id", "text")
-    return ordered.mapInArrow(run, "file int, first long, docs array<long>, sizes array<long>, ids binary")
+    return ordered.mapInArrow(run, "file int, first long, docs array<long>, sizes array<long>, ids binary, seen array<long>, times array<long>")
 
 
 def by_frequency(blocks: DataFrame) -> np.ndarray:
     """The ids from the most frequent to the rarest, ties to the smaller: as many as the vocabulary has at most."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for one in batch.column(0):
-                found = np.bincount(np.frombuffer(one.as_buffer(), "<u4"))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
-
-    counts = blocks.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    pairs = blocks.where(F.size("seen") > 0).select(F.explode(F.arrays_zip("seen", "times")).alias("z"))
+    counts = pairs.groupBy(F.col("z.seen").alias("id")).agg(F.sum("z.times").alias("n")).toPandas()
     return counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.uint32)
 
 
@@ -131,7 +128,7 @@ def write(docs: DataFrame, path: str, folder: str, end: int = 2, text: str = "te
                 control, data = pack(rank[np.frombuffer(batch.column(4)[k].as_buffer(), "<u4")])
                 yield pa.RecordBatch.from_arrays([*(batch.slice(k, 1).column(c) for c in range(4)), pa.array([control], pa.binary()), pa.array([data], pa.binary())], ["file", "first", "docs", "sizes", "control", "data"])
 
-    blocks.mapInArrow(run, _BLOCK).write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    blocks.drop("seen", "times").mapInArrow(run, _BLOCK).write.option("compression", "zstd").parquet(f"{folder}/blocks")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,12 +5,16 @@ from __future__ import annotations
 import math
 
 
-def posteriors(counts: dict[str, int], start: dict[str, float], rounds: int = 50) -> tuple[dict[str, float], float, list[dict]]:
+#: One vote of each sort in either class.
+EVEN = {True: {"+": 1.0, "-": 1.0, "0": 1.0}, False: {"+": 1.0, "-": 1.0, "0": 1.0}}
+
+
+def posteriors(counts: dict[str, int], start: dict[str, float], rounds: int = 50, prior: dict[bool, dict[str, float]] = EVEN) -> tuple[dict[str, float], float, list[dict]]:
     """By expectation maximisation: the posterior of each vote pattern, the share of the true class, and each labeler's vote rates.
 
     ``counts`` has how often each pattern occurs: a string with ``+``, ``-`` or ``0`` of each
-    labeler.  ``start`` has the posteriors to begin with.  A labeler's rates in either
-    class are smoothed by one vote of each sort.
+    labeler.  ``start`` has the posteriors to begin with, ``prior`` the votes that a labeler is taken to
+    have cast in either class before any was seen.
     """
     posterior, share, tables = dict(start), 0.5, []
     for _ in range(rounds if counts else 0):
@@ -19,7 +23,7 @@ def posteriors(counts: dict[str, int], start: dict[str, float], rounds: int = 50
         for at in range(len(next(iter(counts)))):
             table = {}
             for true in (True, False):
-                weight = {c: 1 + sum(n * (posterior[v] if true else 1 - posterior[v]) for v, n in counts.items() if v[at] == c) for c in "+-0"}
+                weight = {c: prior[true][c] + sum(n * (posterior[v] if true else 1 - posterior[v]) for v, n in counts.items() if v[at] == c) for c in "+-0"}
                 table[true] = {c: w / sum(weight.values()) for c, w in weight.items()}
             tables.append(table)
         for votes in counts:

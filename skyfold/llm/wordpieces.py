@@ -146,22 +146,34 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@functools.cache
-def _library(path: str) -> Known:
-    model, added = load(path).model, special(path)
+class _Ids(dict):
+    """The packed ids of a chunk by the library's model, worked out when it is first met."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.path, self.model, self.added, self.words = path, load(path).model, special(path), {}
+
+    def _of_word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) >= KEPT_WORDS:
+                self.words.clear()
+            ids = self.words[word] = packed([self.added[word]] if word in self.added else [x.id for x in self.model.tokenize(byte_letters(word))])
+        return ids
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        ids = self[chunk] = b"".join(map(self._of_word, words(self.path, chunk)))
+        return ids
 
-    def of_words(new: list[str]) -> dict[str, bytes]:
-        return {w: packed([added[w]] if w in added else [x.id for x in model.tokenize(byte_letters(w))]) for w in new}
 
-    return Known(path, of_words, b"".join)
+_library = functools.cache(_Ids)
 
 
 def encode(path: str, texts: Iterable[str | None], end: int | None = None) -> Iterator[np.ndarray]:
     """The ids of each text by the library's model, with ``end`` behind them where one is given."""
     known = _library(path)
     tail = b"" if end is None else packed([end])
-    for lot in itertools.batched(texts, LOT):
-        found = [chunks(path, t) for t in lot]
-        known.add(found)
-        for own in found:
-            yield np.frombuffer(b"".join(map(known.__getitem__, own)) + tail, "<u4")
+    for text in texts:
+        yield np.frombuffer(b"".join(map(known.__getitem__, chunks(path, text))) + tail, "<u4")

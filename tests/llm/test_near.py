@@ -227,3 +227,20 @@ def test_long_texts_are_cut_into_stretches_without_loss(monkeypatch):
     body = np.random.default_rng(1).integers(97, 123, 5000, dtype=np.uint8).tobytes()
     windows = [w for _, at, first, last in suffixes.anchors(body) for p, a, b in zip(at, first, last, strict=True) for w in range(a, b + 1) if a <= p <= a + 150]
     assert windows == list(range(5000 - suffixes.LENGTH + 1))
+
+
+def test_texts_under_one_id_are_told_apart(spark):
+    # Two texts with one 32-bit hash under one id: what is repeated in the one is not cut from the other.
+    rng, seen, pair = random.Random(5), {}, None
+    while pair is None:
+        lot = ["".join(rng.choices("abcdefghij ", k=320)) for _ in range(40_000)]
+        for text, h in zip(lot, (r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(lot)], "k int, t string").orderBy("k").selectExpr("hash(t)").collect())):
+            if seen.setdefault(h, text) != text:
+                pair = seen[h], text
+    rows = [(7, pair[0]), (7, pair[1]), (8, pair[0][30:300]), (None, pair[1][:100]), (None, pair[0][:150])]
+    assert _kept(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == _removed(rows)
+
+
+def test_bytes_that_are_no_text_are_bytes(spark):
+    docs = spark.sql("select id as doc_id, cast(concat(x'61ff62', cast(repeat('abc def ', 40) as binary)) as string) as text from range(2)")
+    assert [(r.n_bytes, len(r.kept)) for r in suffixes.cleaned(docs).collect()] == [(323, 0), (323, 0)]
