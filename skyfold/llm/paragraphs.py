@@ -44,10 +44,10 @@ _END = re.compile(r"[.!?]\s+")
 class Unit:
     """A stretch of a text: a paragraph, or a sentence of one."""
 
-    __slots__ = ("start", "end", "line", "words")
+    __slots__ = ("start", "end", "line", "words", "raw")
 
-    def __init__(self, start: int, end: int, line: int, words: list[str]):
-        self.start, self.end, self.line, self.words = start, end, line, words
+    def __init__(self, start: int, end: int, line: int, words: list[str], raw: str = ""):
+        self.start, self.end, self.line, self.words, self.raw = start, end, line, words, raw
 
 
 def units(text: str) -> tuple[list[Unit], list[list[Unit]]]:
@@ -62,7 +62,7 @@ def units(text: str) -> tuple[list[Unit], list[list[Unit]]]:
                 own.append(Unit(begin, at + start + len(piece.rstrip()), len(lines), words))
             start = end
         if own:
-            lines.append(Unit(own[0].start, own[-1].end, len(lines), [w for s in own for w in s.words] if len(own) > 1 else own[0].words))
+            lines.append(Unit(own[0].start, own[-1].end, len(lines), [w for s in own for w in s.words] if len(own) > 1 else own[0].words, raw))
             sentences.append(own)
         at += len(raw) + 1
     return lines, sentences
@@ -94,6 +94,11 @@ def _hash(words: list[str]) -> int:
     return _unit(_numbers(words))
 
 
+def raw_hash(part: str) -> int:
+    """The hash of a stretch of text as it stands, which needs no words."""
+    return xxhash.xxh3_64_intdigest(part.encode("utf-8", "surrogatepass"), 2) - (1 << 63)
+
+
 def _rolled(numbers: np.ndarray) -> np.ndarray:
     """Hashes of every five words in a row."""
     total = numbers[: len(numbers) - WORDS + 1].copy()
@@ -131,7 +136,7 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names, kinds, rows = ["unit", "doc", "at", "keys"], [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], []
+    names, kinds, rows = ["unit", "raw", "doc", "at", "keys"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], []
     for doc, text in _bodies(batches):
         lines, sentences = units(text)
         numbers = _numbers([w for line in lines for w in line.words])
@@ -141,12 +146,12 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = iter(bands(_rolled(numbers), starts[long], ends[long] - WORDS + 1).tolist() if long.any() else ())
         for line, own, first, last, whole in zip(lines, sentences, starts.tolist(), ends.tolist(), long.tolist(), strict=True):
             # Fewer words than a shingle: only equal ones count, and only as whole paragraphs.
-            rows.append((_unit(numbers[first:last]), doc, 2 * line.start, next(keys) if whole else []))
+            rows.append((_unit(numbers[first:last]), raw_hash(line.raw) if whole else None, doc, 2 * line.start, next(keys) if whole else []))
             if whole and len(own) > 1:
                 for s in own:
                     n = len(s.words)
                     if n >= WORDS:
-                        rows.append((_unit(numbers[first : first + n]), doc, 2 * s.start + 1, []))
+                        rows.append((_unit(numbers[first : first + n]), None, doc, 2 * s.start + 1, []))
                     first += n
         if len(rows) >= OUT:
             yield _out(rows, names, kinds)
@@ -196,25 +201,29 @@ def _forest(members: dict[int, np.ndarray]) -> list[tuple[int, int]]:
     return links
 
 
-def _paragraphs(text: str) -> list[list[str]]:
-    """The words of each paragraph that has a shingle."""
-    return [x.words for x in units(text)[0] if len(x.words) >= WORDS]
+def _lines(text: str) -> list[str]:
+    return text.split("\n")
 
 
-def near(found: DataFrame, source: DataFrame, parts: Callable[[str], list[list[str]]] = _paragraphs) -> DataFrame:
-    """Links between distinct units that are alike; ``parts`` gives the words of those of a text."""
-    keyed = found.select("unit", F.explode("keys").alias("key")).distinct()
+def near(found: DataFrame, source: DataFrame, parts: Callable[[str], list[str]] = _lines) -> DataFrame:
+    """Links between distinct units that are alike; ``parts`` cuts a text into those that are units.
+
+    The shingles of a unit are made from one of the ways in which it is written, the one with the
+    least ``raw`` hash; texts are read again for those only, and not split into words to find them.
+    """
+    keyed = found.select("unit", "raw", F.explode("keys").alias("key")).groupBy("unit", "key").agg(F.min("raw").alias("raw"))
     sizes = keyed.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / (BLOCK // 2)).cast("int").alias("blocks"))
     met = stored(keyed.join(sizes, "key"), "buckets")
-    sieve = Sieve(met.select("unit"))
+    sieve = Sieve(met.select("raw"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for _, text in _bodies(batches):
             own = parts(text)
-            hashes = np.array([_hash(words) for words in own], np.int64)
-            for k in np.flatnonzero(sieve.may_hold(hashes)) if len(own) else ():
-                rows.append((int(hashes[k]), shingles(own[k]).tobytes()))
+            for k in np.flatnonzero(sieve.may_hold(np.array([raw_hash(part) for part in own], np.int64))):
+                words = own[k].lower().split()
+                if len(words) >= WORDS:
+                    rows.append((_hash(words), shingles(words).tobytes()))
             if len(rows) >= 1024:
                 yield _out(rows, ["unit", "found"], [pa.int64(), pa.binary()])
                 rows = []
@@ -237,7 +246,7 @@ def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     hash.  The order of the corpus is that of document ids, null first, then that of places.
     """
     source = docs.select(docs[id_column].cast("long").alias("doc"), docs[text].alias("text"))
-    found = stored(source.mapInArrow(_occurrences, "unit long, doc long, at int, keys array<long>"), "units")
+    found = stored(source.mapInArrow(_occurrences, "unit long, raw long, doc long, at int, keys array<long>"), "units")
     linked = components(near(found, source))
     first = found.groupBy("unit").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
     placed = first.join(linked.withColumnRenamed("node", "unit"), "unit", "left").withColumn("cluster", F.coalesce("component", "unit"))
