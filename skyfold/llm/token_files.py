@@ -104,8 +104,17 @@ def _gathered(docs: DataFrame, path: str, end: int, text: str, id_column: str) -
 
 def by_frequency(blocks: DataFrame) -> np.ndarray:
     """The ids from the most frequent to the rarest, ties to the smaller: as many as the vocabulary has at most."""
-    pairs = blocks.where(F.size("seen") > 0).select(F.explode(F.arrays_zip("seen", "times")).alias("z"))
-    counts = pairs.groupBy(F.col("z.seen").alias("id")).agg(F.sum("z.times").alias("n")).toPandas()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            ids, times = (batch.column(k).flatten().to_numpy() for k in range(2))
+            total = np.concatenate([total, np.zeros(max(0, int(ids.max(initial=-1)) + 1 - len(total)), np.int64)])
+            np.add.at(total, ids, times)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
+
+    counts = blocks.select("seen", "times").mapInArrow(add, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     return counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.uint32)
 
 
