@@ -126,7 +126,34 @@ _VECTORS = """
     GROUP BY vec_id
 """
 
+
+
+def _clusters_sql(rounds: int = 10, k: int = 8) -> str:
+    """Every round of the clustering as tables of its own; a vector's nearest centroid is the least of distance and number in one figure."""
+    steps = ["""
+        kept AS MATERIALIZED (SELECT row_number() OVER () AS key, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x
+          FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""", f"""
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, x AS v FROM kept QUALIFY c < {k})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} AS MATERIALIZED (SELECT key, vec_id, any_value(x) AS x,
+            min(list_sum(list_transform(list_zip(x, v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT * {k} + c) AS code
+          FROM kept CROSS JOIN c{r} GROUP BY key, vec_id)""")
+        if r < rounds:
+            steps.append(f"""
+        c{r + 1} AS MATERIALIZED (SELECT c, list(m ORDER BY j) AS v FROM (SELECT c, j, ((s - ((s % n) + n) % n) // n)::BIGINT AS m
+            FROM (SELECT code % {k} AS c, j, sum(x[j])::BIGINT AS s, count(*) AS n FROM a{r} CROSS JOIN range(1, 65) t(j) GROUP BY 1, 2) q) q GROUP BY c
+          UNION ALL SELECT c, v FROM c{r} WHERE c NOT IN (SELECT code % {k} FROM a{r}))""")
+    return f"""
+        WITH {','.join(steps)}
+        SELECT vec_id, c::INT AS cluster, code // {k} AS distance, sum(code // {k}) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+          sum(code // {k}) OVER ()::BIGINT AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} ON c = code % {k}
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op13_va_file": _clusters_sql(),
     "op6_rotated_bits": f"""
         WITH vectors AS ({_VECTORS}),
         kept AS (SELECT vec_id, v::DOUBLE[] AS v FROM vectors WHERE len(list_filter(v, lambda x: x <> 0)) > 0),
