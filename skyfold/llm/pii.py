@@ -47,29 +47,110 @@ GAZETTEER = {
 #: Letters of context on either side that a proposal keeps.
 CONTEXT = 24
 
+_MATCH = "array<struct<s:int,e:int,value:string,before:string,after:string>>"
 _SPAN = "array<struct<s:int,e:int,kind:int>>"
 _PROPOSAL = "array<struct<s:int,e:int,kind:int,votes:string,features:array<string>>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _before(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each int of an array, ``merge`` (associative, 0 its neutral element) of all before it.
+
+    A fold copies its array at every step.  Here n values are folded in parts of about the
+    cube root of n, so all copies are of n^(4/3) values and not of n^2.
+    """
+
+    def fold(part: Column, start: Column) -> Column:
+        kind = "struct<at:int,out:array<int>>"
+        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")).cast(kind)
+        return F.aggregate(part, first, lambda acc, x: F.struct(merge(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")).cast(kind))["out"]
+
+    def by_parts(whole: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.cbrt(F.size(whole))).cast("int"))
+        last = F.greatest(F.lit(0), F.floor((F.size(whole) - 1) / width).cast("int"))
+        parts = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(whole, k * width + 1, width))
+        sums = lambda parts: F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda a, x: merge(a, x).cast("int")))
+        return _let(parts, lambda parts: F.flatten(F.zip_with(parts, fold(sums(parts), F.lit(0)), fold)))
+
+    return _let(values.cast("array<int>"), by_parts)
+
+
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _most(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _apart(matches: Column, base: Column) -> Column:
+    """The matches that share no character with a span of the base: in one order, none before ends later and none after starts earlier."""
+    end = 2**31 - 1
+    own = lambda x, mine: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(mine).alias("mine"), *((x[c] if mine else F.lit("")).alias(c) for c in ("value", "before", "after")))
+    every = F.array_sort(F.concat(F.transform(base, lambda b: own(b, False)), F.transform(matches, lambda m: own(m, True))))
+
+    def split(every: Column) -> Column:
+        ends = _before(F.transform(every, lambda x: F.when(x["mine"], 0).otherwise(x["e"])), _most)
+        starts = F.reverse(_before(F.reverse(F.transform(every, lambda x: F.when(x["mine"], 0).otherwise(end - x["s"]))), _most))
+        beside = F.zip_with(ends, starts, lambda e, s: F.struct(e.alias("e"), (end - s).alias("s")))
+        return F.filter(F.zip_with(every, beside, lambda x, b: F.when(x["mine"] & (b["e"] <= x["s"]) & (b["s"] >= x["e"]), x)), lambda x: x.isNotNull())
+
+    kept = lambda x: F.struct(*(x[c].alias(c) for c in ("s", "e", "value", "before", "after")))
+    return F.transform(_let(every, split), kept).cast(_MATCH)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Start, end (code points), value and context of each match, in order."""
     gaps = F.split(text, pattern, -1)
     beside = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gaps, lambda v, g: F.struct(F.length(g).alias("gap"), F.length(v).alias("n"), v.alias("value"), F.right(g, F.lit(CONTEXT)).alias("before")))
     between = F.zip_with(beside, F.slice(gaps, 2, F.size(gaps)), lambda c, g: F.struct(*(c[x].alias(x) for x in ("gap", "n", "value", "before")), F.left(g, F.lit(1)).alias("after")))
     cells = F.filter(between, lambda c: c["n"].isNotNull())
-    kind = "struct<s:int,e:int,value:string,before:string,after:string>"
-    walked = F.aggregate(
-        cells,
-        F.struct(F.lit(0).alias("at"), F.lit(None).cast(f"array<{kind}>").alias("out")),
-        lambda acc, c: F.struct(
-            (acc["at"] + c["gap"] + c["n"]).alias("at"),
-            F.concat(
-                F.coalesce(acc["out"], F.array().cast(f"array<{kind}>")),
-                F.array(F.struct((acc["at"] + c["gap"]).alias("s"), (acc["at"] + c["gap"] + c["n"]).alias("e"), c["value"].alias("value"), c["before"].alias("before"), c["after"].alias("after")).cast(kind)),
-            ).alias("out"),
-        ),
-    )["out"]
-    return F.when(text.rlike(pattern), walked)
+    placed = lambda c, at: F.struct((at + c["gap"]).alias("s"), (at + c["gap"] + c["n"]).alias("e"), c["value"].alias("value"), c["before"].alias("before"), c["after"].alias("after"))
+    walked = _let(cells, lambda cells: F.zip_with(cells, _before(F.transform(cells, lambda c: c["gap"] + c["n"]), _add), placed))
+    return F.when(text.rlike(pattern), walked.cast(_MATCH))
+
+
+def _cut(chain: Column) -> Column:
+    """Proposals out of a chain of more digits than any number has, as an array.
+
+    From each group of digits on, the longest run of groups with at most 12 digits and
+    with at most 16 are proposed, where they have 7 and 13 at least.  They may overlap.
+    Groups of the chain beside a run are its context.
+    """
+    groups = lambda c: F.regexp_extract_all(c["value"], F.lit(r"[+(]*+[0-9]++[\x20().-]*+"), F.lit(0))
+    kind = "struct<digits:int,text:string,open:boolean>"
+
+    def run(some: Column, most: int) -> Column:
+        def step(acc: Column, g: Column) -> Column:
+            longer = acc["digits"] + F.length(_digits(g))
+            more = F.struct(longer.alias("digits"), F.concat(acc["text"], g).alias("text"), F.lit(True).alias("open"))
+            stop = F.struct(acc["digits"].alias("digits"), acc["text"].alias("text"), F.lit(False).alias("open"))
+            return F.when(acc["open"] & (longer <= most), more.cast(kind)).otherwise(stop.cast(kind))
+
+        first = F.struct(F.lit(0).alias("digits"), F.lit("").alias("text"), F.lit(True).alias("open")).cast(kind)
+        return F.aggregate(some, first, step)["text"]
+
+    def proposed(c: Column, parts: Column, places: Column) -> Column:
+        def at(place: Column, i: Column) -> Column:
+            def one(text: Column) -> Column:
+                value = F.regexp_replace(text, r"[^0-9]+$", "")
+                start = c["s"] + place
+                before = F.when(i == 0, c["before"]).otherwise(F.coalesce(F.regexp_extract(F.get(parts, i - 1), "[0-9]+$", 0), F.lit("")))
+                beside = F.when(i == 0, before).otherwise(F.lit("0"))
+                after = F.when(start + F.length(value) >= c["e"], c["after"]).otherwise(F.lit("0"))
+                return F.struct(start.alias("s"), (start + F.length(value)).alias("e"), value.alias("value"), beside.alias("before"), after.alias("after"))
+
+            some = F.slice(parts, i + 1, 16)
+            each = F.transform(F.array_distinct(F.array(run(some, 12), run(some, 16))), one)
+            return F.filter(each, lambda m: F.length(_digits(m["value"])).between(7, 16))
+
+        return F.flatten(F.transform(places, at))
+
+    return _let(groups(chain), lambda parts: proposed(chain, parts, _before(F.transform(parts, F.length), _add)))
 
 
 def _digits(value: Column) -> Column:
@@ -145,9 +226,12 @@ def _judged(match: Column, kind: Column, base: bool) -> Column:
     return F.struct(match["s"].alias("s"), match["e"].alias("e"), kind.cast("int").alias("kind"), votes.alias("votes"), features.alias("features"))
 
 
-def proposals(docs: DataFrame) -> DataFrame:
-    """``row``, the spans of the base (``_base``) and all proposals (``_proposed``), in the order of kinds, of ``row`` and ``_text``."""
-    none = F.array().cast("array<struct<s:int,e:int,value:string,before:string,after:string>>")
+def proposals(docs: DataFrame, chains: bool = False) -> DataFrame:
+    """``row``, the spans of the base (``_base``) and all proposals (``_proposed``), in the order of kinds, of ``row`` and ``_text``.
+
+    With ``chains``, numbers in a row that have over 19 digits together give proposals too (see ``_cut``).
+    """
+    none = F.array().cast(_MATCH)
     found = docs
     for kind in KINDS:
         hits = F.filter(_matches(F.col("_text"), BASE[kind]), _keeps(kind))
@@ -155,15 +239,19 @@ def proposals(docs: DataFrame) -> DataFrame:
     low = F.lower("_text")
     spelled = low.contains("at") & low.contains("dot")
     found = found.withColumn("_spelled", F.coalesce(F.when(spelled, _matches(F.col("_text"), WIDE["email"])), none))
-    numbers = F.filter(_matches(F.col("_text"), WIDE["number"]), lambda m: F.length(_digits(m["value"])).between(7, 19))
+    size = lambda m: F.length(_digits(m["value"]))
+    numbers = _matches(F.col("_text"), WIDE["number"])
+    if chains:
+        numbers = F.flatten(F.transform(numbers, lambda m: F.when(size(m) > 19, _cut(m)).when(size(m) >= 7, F.array(m)).otherwise(none)))
+    else:
+        numbers = F.filter(numbers, lambda m: size(m).between(7, 19))
     found = found.withColumn("_number", F.coalesce(numbers, none))
     base = F.concat(*(F.transform(F.col(f"_{k}"), _bare(i)) for i, k in enumerate(KINDS)))
     found = found.withColumn("_base", base.cast(_SPAN))
-    apart = lambda m: ~F.exists("_base", lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"]))
     guess = lambda m: F.when(m["value"].rlike(r"^[0-9]+(\.[0-9]+){3}$"), 1).when(F.length(_digits(m["value"])) >= 13, 2).otherwise(3)
     judged = [F.transform(F.col(f"_{k}"), _judges(i)) for i, k in enumerate(KINDS)]
-    judged.append(F.transform(F.filter("_spelled", apart), lambda m: _judged(m, F.lit(0), False)))
-    judged.append(F.transform(F.filter("_number", apart), lambda m: _judged(m, guess(m), False)))
+    judged.append(F.transform(_apart(F.col("_spelled"), F.col("_base")), lambda m: _judged(m, F.lit(0), False)))
+    judged.append(F.transform(_apart(F.col("_number"), F.col("_base")), lambda m: _judged(m, guess(m), False)))
     found = found.withColumn("_proposed", F.concat(*(j.cast(_PROPOSAL) for j in judged)))
     return found.select("row", "_base", "_proposed")
 
@@ -194,7 +282,7 @@ def fit(found: DataFrame) -> dict[str, float]:
     return weights
 
 
-def spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None, chains: bool = False) -> DataFrame:
     """``row`` (the columns in ``keep``, else all), ``base`` and ``spans``: arrays of start, end (code points, end exclusive) and the number of the kind, in order.
 
     ``spans`` holds the base and the proposals that the classifier takes.  The table with
@@ -203,7 +291,7 @@ def spans(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     looked at; an empty table gives no rows.
     """
     whole = docs.select(tucked(docs.select(*(keep or docs.columns))), F.coalesce(docs[text], F.lit("")).alias("_text"))
-    found = stored(proposals(whole), "proposals")
+    found = stored(proposals(whole, chains), "proposals")
     weights = fit(found)
     taken = F.array().cast(_SPAN)
     if weights:
@@ -222,19 +310,13 @@ def listed(column: str) -> Column:
     return F.array_join(F.transform(F.col(column), lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text", chains: bool = False) -> DataFrame:
     """The documents with each span replaced by its kind in angle brackets; where spans overlap, the first stands for all."""
-    found = spans(docs, text)
+    found = spans(docs, text, chains=chains)
     body = F.coalesce(F.col(f"row.`{text}`"), F.lit(""))
     names = F.array(*map(F.lit, KINDS))
-    kind = "struct<at:int,out:array<string>>"
-    walked = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")).cast(kind),
-        lambda acc, x: F.when(
-            x["s"] >= acc["at"],
-            F.struct(x["e"].alias("at"), F.concat(acc["out"], F.array(F.substring(body, acc["at"] + 1, x["s"] - acc["at"]), F.concat(F.lit("<"), F.get(names, x["kind"]), F.lit(">")))).alias("out")),
-        ).otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))).cast(kind),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(body, acc["at"] + 1, F.length(body))),
-    )
+    piece = lambda x, at: F.when(x["s"] >= at, F.concat(F.substring(body, at + 1, x["s"] - at), F.lit("<"), F.get(names, x["kind"]), F.lit(">")))
+    ends = F.transform("spans", lambda x: x["e"])
+    pieces = F.array_join(F.zip_with("spans", _before(ends, _most), piece), "")
+    walked = F.concat(pieces, F.substring(body, F.array_max(ends) + 1, F.length(body)))
     return untucked(found, docs.columns, **{text: F.when(F.size("spans") > 0, walked).otherwise(F.col(f"row.`{text}`"))})

@@ -56,7 +56,7 @@ def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
-    found = pii.spans(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    found = pii.spans(_table(spark, sf_dir, "documents"), keep=["doc_id"], chains=True)
     counts = [F.size(F.filter("base", pii.is_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return found.select("row.doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
 

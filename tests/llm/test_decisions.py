@@ -82,6 +82,27 @@ def test_spelled_addresses_in_capitals(spark):
     assert own(40) == [("JOE (AT) EXAMPLE (DOT) COM", 0)] and own(41) == [("Joe At Example Dot Com", 0)]
 
 
+def test_numbers_in_a_row(spark):
+    """A chain of more digits than any number has gives proposals; only those of the text's own groups count."""
+    cards, row = "7536784127813050 4845168114407329", "phone 030 123 4567 2026 12 01 10 30 15 22"
+    texts = [cards, row, "1" * 40, "5 " * 3000, "call 030 123 4567 now", "id 4111111111111111 +1 (252) 555-3250 190.137.223.204"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, _text string")
+    found = {r.row: [(texts[r.row][x.s : x.e], x.kind, x.votes) for x in r._proposed] for r in pii.proposals(docs, chains=True).collect()}
+    assert [x[:2] for x in found[0]] == [("7536784127813050", 2), ("4845168114407329", 2)]
+    assert ("030 123 4567", 3, "-++0-") in found[1] and ("4567 2026 12 01 10 30", 2, "-0++-") in found[1]
+    assert all(re.fullmatch(r"[0-9]+( [0-9]+)*", v) and 7 <= len(re.sub("[^0-9]", "", v)) <= 16 for v, _, _ in found[1])
+    assert found[2] == [] and len(found[3]) == 2994 + 2988 and found[4] == [("030 123 4567", 3, "-++0+")]
+    # The base takes the phone number and the address after it as one match of too many digits.
+    assert {k for _, k, v in found[5] if v.startswith("+")} == {1, 2} and ("+1 (252) 555-3250", 3) in [x[:2] for x in found[5]]
+
+
+def test_many_matches_in_one_text(spark):
+    text = " word ".join(f"+1 (252) 555-{k % 9000 + 1000}, a{k}@b.com" for k in range(4000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [(x.s, x.e, x.kind) for x in pii.spans(docs).first().base] == _base(text)
+    assert pii.redacted(docs).first().text == " word ".join(["<phone>, <email>"] * 4000)
+
+
 def test_posteriors_find_the_better_labelers():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.7
