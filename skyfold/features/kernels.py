@@ -207,7 +207,10 @@ def template_shape(t, peak, plateau, slope, rise, fall):
     factor is worked out on the parameters it depends on and no others.
     """
     peak, plateau, slope, rise, fall = (axis[..., None] for axis in np.ix_(peak, plateau, slope, rise, fall))
-    since = t - peak
+    return _joined(t - peak, plateau, slope, rise, fall)
+
+
+def _joined(since, plateau, slope, rise, fall):
     late = since - plateau
     growth = 1.0 / (1.0 + np.exp(-since / rise))
     switch = 1.0 / (1.0 + np.exp(-late / 3.0))
@@ -238,18 +241,19 @@ def template_scores(t, flux, weight, axes):
     return amplitude, offset, chi
 
 
-#: Steps at which the search of the template ends.
+#: Steps at which the search of the template ends: days of the start time, and shares of the other parameters.
 FINE = 1e-4
-#: Start times at which all shapes of the grid are tried.
-SHORTLIST = 100
+#: Steps at which steps along the axes give way to Gauss-Newton steps.
+COARSE = 0.05
 
 
 def template_fit(t, m, e, zero_point, grid, rounds=None):
     """Parameters of the best template: A, t0, gamma, beta, rise, fall, chi, C.
 
-    Without ``rounds`` the start times tried lie no farther apart than the shortest
-    rise wherever there are epochs, and the search ends when all steps are below ``FINE``.
-    With it they are ``grid[0]`` even ones, and the search ends after so many rounds.
+    With ``rounds`` the start times tried are ``grid[0]`` even ones, and each of so many
+    rounds halves the spacing around the best point, within the grid.  Without it all
+    shapes are tried at start times no farther apart than the shortest rise wherever
+    there are epochs, and the search from there may leave the grid on every side.
     """
     nothing = (None,) * 8
     if t.size < 2 or not np.all(e > 0):
@@ -258,50 +262,147 @@ def template_fit(t, m, e, zero_point, grid, rounds=None):
     error = 10.0 ** (-0.4 * (m - e - zero_point)) - flux
     flux = flux - np.percentile(flux, 5)
     t, weight = t - t[0], error**-2.0
-    low = np.array([-50.0, 1.0, 0.0, 1.0, 1.0])
-    high = np.array([max(t[-1], 1.0), 120.0, 1.0, 100.0, 180.0])
+    latest = max(t[-1], 1.0)
     shapes = [np.asarray(axis, dtype=float) for axis in grid[1:]]
-    axes = [np.linspace(-50.0, high[0], grid[0]), *shapes]
-    if rounds is None:
-        axes[0] = _likely_starts(t, flux, weight, shapes, axes[0], high[0])
-    best, turn = None, 0
-    while True:
-        with np.errstate(all="ignore"):
-            amplitude, offset, chi = template_scores(t, flux, weight, axes)
-        if not np.any(np.isfinite(chi)):
+    axes = [np.linspace(-50.0, latest, grid[0]), *shapes]
+    with np.errstate(all="ignore"):
+        if rounds is None:
+            axes[0] = _likely_starts(t, flux, weight, shapes, axes[0], latest)
+        best = _least(t, flux, weight, axes)
+        if best is None:
             return nothing
-        at = int(np.nanargmin(chi))
-        if best is None or chi[at] <= best[6]:
-            place = np.unravel_index(at, [axis.size for axis in axes])
-            point = [float(axis[k]) for axis, k in zip(axes, place)]
-            best = (float(amplitude[at]), *point, float(chi[at]), float(offset[at]))
-        # The next grid has the best point in its middle and half the spacing.
+        return _beyond(t, flux, weight, axes, best) if rounds is None else _within(t, flux, weight, axes, best, rounds)
+
+
+def _least(t, flux, weight, axes):
+    """The point of a grid with the least chi^2 / N, in the order of ``template_fit``; None if there is none."""
+    amplitude, offset, chi = template_scores(t, flux, weight, axes)
+    if not np.any(np.isfinite(chi)):
+        return None
+    at = int(np.nanargmin(chi))
+    place = np.unravel_index(at, [axis.size for axis in axes])
+    point = [float(axis[k]) for axis, k in zip(axes, place)]
+    return (float(amplitude[at]), *point, float(chi[at]), float(offset[at]))
+
+
+def _within(t, flux, weight, axes, best, rounds):
+    """Rounds of half the spacing, inside the grid's own limits."""
+    low, high = np.array([-50.0, 1.0, 0.0, 1.0, 1.0]), np.array([axes[0][-1], 120.0, 1.0, 100.0, 180.0])
+    for _ in range(rounds):
         widths = [np.diff(axis).max() / 2.0 if axis.size > 1 else 0.0 for axis in axes]
-        if turn == rounds or max(widths) < FINE:
-            return best
-        turn += 1
-        axes = [
-            np.unique(np.clip([b - w, b, b + w], lo, hi))
-            for b, w, lo, hi in zip(best[1:6], widths, low, high)
-        ]
+        if max(widths) < FINE:
+            break
+        axes = [np.unique(np.clip([b - w, b, b + w], lo, hi)) for b, w, lo, hi in zip(best[1:6], widths, low, high)]
+        found = _least(t, flux, weight, axes)
+        if found is not None and found[6] <= best[6]:
+            best = found
+    return best
+
+
+def _beyond(t, flux, weight, axes, best):
+    """A search without limits: a step along each axis and back, kept where it pays and halved where it does not.
+
+    The start time goes by days, the durations by factors, the decline stays a share.
+    A gain below a thousandth of chi^2 counts as none (in ``_settled`` 1e-5), so that a shape which no epoch
+    can tell from a longer one ends the search.
+    """
+    straight = _settled(t, flux, weight, best)
+    day = np.diff(axes[0]).max() / 2.0 if axes[0].size > 1 else 1.0
+    share = np.diff(axes[2]).max() / 2.0 if axes[2].size > 1 else 0.0
+    factor = {k: (np.diff(np.log(axes[k])).max() / 2.0 if axes[k].size > 1 else 0.0) for k in (1, 3, 4)}
+    width = np.array([day, factor[1], share, factor[3], factor[4]])
+    side = np.array([-1.0, 0.0, 1.0])
+    while width.max() >= COARSE:
+        point = best[1:6]
+        axes = [p * np.exp(side * w) if k in (1, 3, 4) else p + side * w for k, (p, w) in enumerate(zip(point, width))]
+        axes[2] = np.unique(np.clip(axes[2], 0.0, 1.0))
+        found = _least(t, flux, weight, axes)
+        if found is None or not found[6] < best[6] * (1.0 - 1e-3):
+            width = width / 2.0
+            continue
+        moved = np.array([p != q for p, q in zip(point, found[1:6])])
+        width = np.where(moved, width, width / 2.0)
+        best = found
+    return min(straight, _settled(t, flux, weight, best), key=lambda found: found[6])
+
+
+def _settled(t, flux, weight, best):
+    """Damped Gauss-Newton steps (Marquardt 1963) from a point: durations by their logarithm, amplitude and offset solved for in each.
+
+    It ends when a step that pays is below ``FINE`` or gains less than 1e-5 of chi^2, or none pays however short.
+    """
+    root = np.sqrt(weight)
+    y = flux - (weight @ flux) / weight.sum()
+
+    def misfits(points):
+        shape = _joined(t - points[0], np.exp(points[1]), points[2], np.exp(points[3]), np.exp(points[4]))
+        apart = shape - (shape @ weight / weight.sum())[:, None]
+        spread = (apart * apart) @ weight
+        varied = spread > 1e-6 * ((shape * shape) @ weight)
+        amplitude = np.where(varied, np.maximum(apart @ (weight * y) / np.where(varied, spread, 1.0), 0.0), 0.0)
+        return root * (amplitude[:, None] * apart - y)
+
+    q = np.array(best[1:6])
+    q[[1, 3, 4]] = np.log(q[[1, 3, 4]])
+    left, damping = misfits(q[:, None, None])[0], 1e-3
+    while damping < 1e6:
+        # The decline is a share: at its upper end the difference is taken downwards.
+        steps = np.array([1e-5, 1e-6, -1e-6 if q[2] > 0.5 else 1e-6, 1e-6, 1e-6])
+        slopes = ((misfits((q + np.diag(steps)).T[:, :, None]) - left) / steps[:, None]).T
+        square = slopes.T @ slopes
+        if not np.all(np.isfinite(square)):
+            break
+        scale = np.diag(damping * (np.diag(square) + 1e-12 * np.trace(square) + 1e-300))
+        new = q - np.linalg.lstsq(square + scale, slopes.T @ left, rcond=None)[0]
+        new[2] = min(max(new[2], 0.0), 1.0)
+        found = misfits(new[:, None, None])[0]
+        if not found @ found < left @ left:
+            damping *= 4.0
+            continue
+        short = np.abs(new - q).max() < FINE or found @ found > (left @ left) * (1.0 - 1e-5)
+        q, left, damping = new, found, max(damping / 3.0, 1e-12)
+        if short:
+            break
+    point = _least(t, flux, weight, [np.array([v]) for v in (q[0], np.exp(q[1]), q[2], np.exp(q[3]), np.exp(q[4]))])
+    return point if point is not None and point[6] < best[6] else best
 
 
 def _likely_starts(t, flux, weight, shapes, even, latest):
     """Start times around the one at which the best of all shapes fits, as far apart as the shortest rise.
 
-    A few plain shapes are tried at every start time, all shapes at the ``SHORTLIST`` best.
+    A shape is (u - slope v) g: g depends on the rise, u and v on plateau and fall, so
+    all sums over epochs are matrix products of few factors.
     """
-    step = float(shapes[2].min())
-    ahead = np.concatenate([np.zeros(1), shapes[2], shapes[0]])
+    plateaus, slopes, rises, falls = shapes
+    step = float(rises.min())
+    ahead = np.concatenate([np.zeros(1), rises, plateaus])
     near = np.unique(np.round(np.subtract.outer(t, ahead).ravel() / step)) * step
     starts = np.union1d(near[(near >= -50.0) & (near <= latest)], even)
-
-    def least(starts, axes):
-        chi = [template_scores(t, flux, weight, [starts[part], *axes])[2].reshape(starts[part].size, -1) for part in blocks(starts.size, 64)]
-        return np.nan_to_num(np.concatenate(chi), nan=np.inf).min(axis=1)
-
-    with np.errstate(all="ignore"):
-        plain = [shapes[0][[0, -1]], shapes[1][:2], shapes[2][[0, -1]], shapes[3][[0, -1]]]
-        short = starts[np.argsort(least(starts, plain), kind="stable")[:SHORTLIST]]
-        best = short[int(np.argmin(least(short, shapes)))]
+    share = weight.sum()
+    y = flux - (weight @ flux) / share
+    total = weight @ (y * y)
+
+    def least(starts):
+        since = t - starts[:, None]
+        late = since[:, None] - plateaus[:, None]
+        switch = 1.0 / (1.0 + np.exp(-late / 3.0))
+        tail = np.exp(-np.maximum(late, -50.0)[:, :, None] / falls[:, None]) * switch[:, :, None]
+        u = (1.0 - switch)[:, :, None] + tail
+        v = (since[:, None] / plateaus[:, None] * (1.0 - switch))[:, :, None] + tail
+        u, v = (x.reshape(starts.size, -1, t.size) for x in (u, v))
+        g = 1.0 / (1.0 + np.exp(-since[:, :, None] / rises))
+        w, wy, ww = g * weight[:, None], g * (weight * y)[:, None], g * g * weight[:, None]
+        su, sv, yu, yv = u @ w, v @ w, u @ wy, v @ wy
+        uu, uv, vv = (u * u) @ ww, (u * v) @ ww, (v * v) @ ww
+        chi = np.full(starts.size, np.inf)
+        for slope in slopes:
+            s, sy, ss = su - slope * sv, yu - slope * yv, uu - 2.0 * slope * uv + slope * slope * vv
+            spread = ss - s * s / share
+            gain = np.where(spread > 1e-6 * ss, np.maximum(sy, 0.0) ** 2 / spread, 0.0)
+            chi = np.fmin(chi, (total - gain).min(axis=(1, 2)))
+        return chi
+
+    lot = max(1, 400_000 // (plateaus.size * falls.size * t.size))
+    found = np.concatenate([least(starts[part]) for part in blocks(starts.size, lot)])
+    best = starts[int(np.argmin(np.nan_to_num(found, nan=np.inf)))]
     return np.unique(np.clip(best + step * np.arange(-5, 6), -50.0, latest))

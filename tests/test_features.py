@@ -561,3 +561,31 @@ def test_lags_of_one_night_count():
     m = np.cumsum(np.random.default_rng(24).normal(0, 0.05, 400))
     amplitude, slope = kernels.structure_function(t, m, np.full(400, 1e-4), statistics.LAG_BINS, 6)
     assert amplitude > 0 and 0.2 < slope < 0.8
+
+
+@pytest.mark.parametrize(
+    "shape",
+    [(100.0, 60.0, 0.3, 5.0, 400.0), (100.0, 300.0, 0.3, 5.0, 60.0), (100.0, 60.0, 0.3, 0.2, 60.0)],
+)
+def test_template_leaves_its_first_grid(shape):
+    """Shapes whose durations lie beyond every first trial value."""
+    t = np.arange(0.0, 900.0, 3.0) + 0.37 * np.sin(np.arange(300))
+    flux = 400.0 * kernels.template_shape(t - t[0], *[np.array([v]) for v in shape]).ravel() + 3.0
+    found = kernels.template_fit(t, 16.4 - 2.5 * np.log10(flux), np.full(300, 0.02), 16.4, fits.TEMPLATE_GRID)
+    assert found[6] < 1.0
+
+
+def test_all_start_times_get_all_shapes():
+    """The quick sums against the scores of the whole grid."""
+    rng = np.random.default_rng(5)
+    t = np.sort(rng.uniform(0, 200, 40))
+    flux, weight = rng.normal(0, 1, 40) + 5.0 * (t > 120), rng.uniform(1, 2, 40)
+    shapes = [np.asarray(axis, dtype=float) for axis in fits.TEMPLATE_GRID[1:]]
+    even = np.linspace(-50.0, t[-1], 12)
+    chosen = kernels._likely_starts(t, flux, weight, shapes, even, t[-1])
+    ahead = np.concatenate([np.zeros(1), shapes[2], shapes[0]])
+    near = np.unique(np.round(np.subtract.outer(t, ahead).ravel()))
+    every = np.union1d(near[(near >= -50.0) & (near <= t[-1])], even)
+    with np.errstate(all="ignore"):
+        chi = kernels.template_scores(t, flux, weight, [every, *shapes])[2].reshape(every.size, -1).min(axis=1)
+    assert np.abs(chosen - every[int(np.argmin(chi))]).min() < 1e-9
