@@ -31,6 +31,11 @@ def tucked(docs: DataFrame) -> Column:
     return F.struct(*(docs[f"`{c}`"].alias(c) for c in docs.columns)).alias("row")
 
 
+def valid(text: Column) -> Column:
+    """A text that can be decoded: bytes that are no UTF-8 become U+FFFD, valid texts and null stay."""
+    return F.make_valid_utf8(text)
+
+
 def untucked(found: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     """The columns out of ``row`` again, some of them made anew."""
     return found.select(*((new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in columns))

@@ -14,7 +14,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm import vectors as vec
@@ -24,6 +24,8 @@ from skyfold.llm.common import stored
 BINS = 1024
 #: Scores up to here are exact as double sums.
 EXACT = 1 << 53
+#: Length that vectors stay below.
+LONGEST = float(1 << 31)
 
 
 def _scores(row: dict, query: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,16 +53,25 @@ def _floor(score: np.ndarray, k: int) -> np.ndarray:
     return np.partition(most, groups - k, axis=1)[:, groups - k]
 
 
+def _length() -> Column:
+    return F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+
+
+def fitting(vectors: DataFrame) -> DataFrame:
+    """The vectors shorter than ``LONGEST``: scores of any two of them fit 64 bits, so that one long vector doesn't end a search."""
+    return vectors.where(_length() < LONGEST)
+
+
 def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: for each query its ``k`` highest scores, ties to the smaller id.
 
     Both sides have ``id`` and ``v`` with integer components held as doubles, one row for
     each id; a query is not compared with the row of its own id, and vectors of other
     lengths are no candidates.  A query with fewer candidates gets them all; without
-    queries or vectors there are no rows.  Scores must fit 64 bits.
+    queries or vectors there are no rows.  Scores must fit 64 bits; see ``fitting``.
     """
     queries = stored(queries, "queries")
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    norm = _length()
     sizes = [df.agg(F.max(norm).alias("norm"), F.count(F.lit(1)).alias("n")).first() for df in (vectors, queries)]
     longest = [r["norm"] or 0.0 for r in sizes]
     if not all(map(math.isfinite, longest)) or longest[0] * longest[1] >= 2**62:
@@ -88,7 +99,7 @@ def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(query_ids[cells // bins]), pa.array(cells % bins), pa.array(n)], ["id", "bin", "n"])
 
         asked = vec.blocks(queries.join(state.where("NOT all"), "id"), vec.QUERIES, sizes[1]["n"], ["low"])
-        counts = vec.meet(rows, asked, count, "id long, bin long, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
+        counts = vec.meet(rows, asked, (sizes[0]["n"], sizes[1]["n"]), count, "id long, bin long, n long").groupBy("id", "bin").agg(F.sum("n").alias("n"))
         down = Window.partitionBy("id").orderBy(F.col("bin").desc())
         reached = state.join(counts, "id", "left").withColumn("to", F.col("above") + F.sum("n").over(down))
         # The first bin from the top at which the count reaches k, and the count over it.  Where it never does, in the
@@ -114,6 +125,6 @@ def top(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(query_ids[at[few]]), pa.array(ids[few]), pa.array(value[few])], ["query_id", "vec_id", "score"])
 
     asked = vec.blocks(queries.join(state, "id"), vec.QUERIES, sizes[1]["n"], ["low"])
-    near = vec.meet(rows, asked, keep, "query_id long, vec_id long, score long")
+    near = vec.meet(rows, asked, (sizes[0]["n"], sizes[1]["n"]), keep, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm import wordpieces as wp
-from skyfold.llm.common import stored
+from skyfold.llm.common import stored, valid
 
 #: Documents encoded at once.
 ROWS = 128
@@ -142,7 +142,7 @@ def pieces(docs: DataFrame, path: str, room: int = 2048, end: int = 0, text: str
 
     names = ["doc_id", "piece", "start", "length", "ids", "part", "nth"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
-    source = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text].alias("text"))
+    source = docs.select(docs[id_column].cast("long").alias("doc_id"), valid(docs[text]).alias("text"))
     return stored(source.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary, part int, nth long"), "pieces")
 
 

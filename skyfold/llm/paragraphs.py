@@ -18,11 +18,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyfold.llm.common import Sieve, components, lots, stored, tucked, untucked
+from skyfold.llm.common import Sieve, components, lots, stored, tucked, untucked, valid
 
 WORDS = 5
 LIKE = 0.8
@@ -129,15 +129,17 @@ def _out(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str]]:
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows, the text in the last column never null."""
     for batch in batches:
         for k in range(batch.num_rows):
-            yield batch.column(0)[k].as_py(), batch.column(1)[k].as_py() or ""
+            *own, text = (c[k].as_py() for c in batch.columns)
+            yield *own, text or ""
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names, kinds, rows = ["unit", "raw", "doc", "at", "keys"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], []
-    for doc, text in _bodies(batches):
+    names, kinds, rows = ["unit", "raw", "doc", "own", "at", "keys"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], []
+    for doc, mix, text in _bodies(batches):
         lines, sentences = units(text)
         numbers = _numbers([w for line in lines for w in line.words])
         ends = np.cumsum([len(line.words) for line in lines], dtype=np.int64)
@@ -146,12 +148,12 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = iter(bands(_rolled(numbers), starts[long], ends[long] - WORDS + 1).tolist() if long.any() else ())
         for line, own, first, last, whole in zip(lines, sentences, starts.tolist(), ends.tolist(), long.tolist(), strict=True):
             # Fewer words than a shingle: only equal ones count, and only as whole paragraphs.
-            rows.append((_unit(numbers[first:last]), raw_hash(line.raw) if whole else None, doc, 2 * line.start, next(keys) if whole else []))
+            rows.append((_unit(numbers[first:last]), raw_hash(line.raw) if whole else None, doc, mix, 2 * line.start, next(keys) if whole else []))
             if whole and len(own) > 1:
                 for s in own:
                     n = len(s.words)
                     if n >= WORDS:
-                        rows.append((_unit(numbers[first : first + n]), None, doc, 2 * s.start + 1, []))
+                        rows.append((_unit(numbers[first : first + n]), None, doc, mix, 2 * s.start + 1, []))
                     first += n
         if len(rows) >= OUT:
             yield _out(rows, names, kinds)
@@ -239,23 +241,30 @@ def near(found: DataFrame, source: DataFrame, parts: Callable[[str], list[str]]
     return dealt.mapInArrow(_compared, "a long, b long")
 
 
+def _own(docs: DataFrame, text: str) -> Column:
+    return F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("own")
+
+
 def repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """``doc`` and ``lost``, the units of it that stand in the corpus before, for each document that has any.
+    """``doc``, ``own`` and ``lost``, the units of it that stand in the corpus before, for each document that has any.
 
+    A document is told apart by its id and the hash of its text, so that many rows
+    without an id, or with one and the same, are as many documents and never one group.
     A unit is its place (twice its first character, and one more for a sentence) and its
-    hash.  The order of the corpus is that of document ids, null first, then that of places.
+    hash.  The order of the corpus is that of document ids, null first, then that of
+    the texts' hashes, then that of places.
     """
-    source = docs.select(docs[id_column].cast("long").alias("doc"), docs[text].alias("text"))
-    found = stored(source.mapInArrow(_occurrences, "unit long, raw long, doc long, at int, keys array<long>"), "units")
-    linked = components(near(found, source))
-    first = found.groupBy("unit").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
+    source = docs.select(docs[id_column].cast("long").alias("doc"), _own(docs, text), valid(docs[text]).alias("text"))
+    found = stored(source.mapInArrow(_occurrences, "unit long, raw long, doc long, own long, at int, keys array<long>"), "units")
+    linked = components(near(found, source.select("doc", "text")))
+    first = found.groupBy("unit").agg(F.min(F.struct("doc", "own", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
     placed = first.join(linked.withColumnRenamed("node", "unit"), "unit", "left").withColumn("cluster", F.coalesce("component", "unit"))
     # Only a unit that is linked or occurs again can lose an occurrence.
     placed = stored(placed.where("n > 1 OR component IS NOT NULL").select("unit", "cluster", "first"), "clusters")
     heads = placed.groupBy("cluster").agg(F.min("first").alias("head"))
     judged = placed.select("unit", "cluster").join(heads, "cluster").select("unit", "head")
-    again = found.select("unit", "doc", "at").join(judged, "unit").where(~F.struct("doc", "at").eqNullSafe(F.col("head")))
-    return again.groupBy("doc").agg(F.collect_set(F.struct("at", "unit")).alias("lost"))
+    again = found.select("unit", "doc", "own", "at").join(judged, "unit").where(~F.struct("doc", "own", "at").eqNullSafe(F.col("head")))
+    return again.groupBy("doc", "own").agg(F.collect_set(F.struct("at", "unit")).alias("lost"))
 
 
 def without(text: str, lost: set[tuple[int, int]]) -> str:
@@ -287,17 +296,18 @@ def without(text: str, lost: set[tuple[int, int]]) -> str:
 def cleaned(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The documents, all columns, less every unit that stands in the corpus before; ``text`` is what is left.
 
-    Null texts stay null and empty ones empty.  Rows that share an id are one document:
-    a unit that has the same place in several of them counts once and stays in each.  A
+    Null texts stay null and empty ones empty.  Rows that share an id, or
+    have none, are documents of their own if their texts differ; rows that share both
+    are one, and stay alike.  A
     sentence inside a paragraph that goes as a near copy counts as an occurrence.  An
     empty table stays empty.  Documents that lose nothing are not shuffled.
     """
-    lost = stored(repeats(docs, text, id_column), "repeats").withColumnRenamed("doc", "met")
-    sieve = Sieve(lost.select("met"))
+    lost = stored(repeats(docs, text, id_column), "repeats").withColumnsRenamed({"doc": "met", "own": "same"})
+    sieve = Sieve(lost.select("same"))
 
     @F.pandas_udf("boolean")
-    def may_lose(doc: pd.Series) -> pd.Series:
-        return pd.Series(sieve.may_hold(doc.to_numpy(np.int64)))
+    def may_lose(own: pd.Series) -> pd.Series:
+        return pd.Series(sieve.may_hold(own.to_numpy(np.int64)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lots(batches):
@@ -307,8 +317,8 @@ def cleaned(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
                     bodies[k] = without(bodies[k], {(x["at"], x["unit"]) for x in found})
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.string())], ["row", "body"])
 
-    whole = docs.select(tucked(docs), docs[id_column].cast("long").alias("doc"), docs[text].alias("body"))
-    whole = whole.withColumn("asked", F.col("doc").isNull() | may_lose(F.coalesce("doc", F.lit(0).cast("long"))))
-    met = whole.where("asked").join(lost, F.col("doc").eqNullSafe(F.col("met")), "left").select("row", "body", "lost")
+    whole = docs.select(tucked(docs), docs[id_column].cast("long").alias("doc"), _own(docs, text), valid(docs[text]).alias("body"))
+    whole = whole.withColumn("asked", may_lose("own"))
+    met = whole.where("asked").join(lost, (F.col("own") == F.col("same")) & F.col("doc").eqNullSafe(F.col("met")), "left").select("row", "body", "lost")
     done = met.mapInArrow(cut, T.StructType([whole.schema["row"], whole.schema["body"]]))
     return untucked(done.unionByName(whole.where("NOT asked").select("row", "body")), docs.columns, **{text: F.col("body")})

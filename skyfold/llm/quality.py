@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyfold.llm import weak
-from skyfold.llm.common import lots, stored, tucked, untucked
+from skyfold.llm.common import lots, stored, tucked, untucked, valid
 
 #: Labelers: the share each looks at, from which it votes against, and below which it votes for.
 LABELERS = (
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]:
             found = [votes(shares(t, _shape(t))) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["key", "votes"])
 
-    body = F.coalesce(docs[text], F.lit(""))
+    body = valid(F.coalesce(docs[text], F.lit("")))
     keyed = docs.select(F.xxhash64(body).alias("key"), body.alias("text"))
     voted = stored(keyed.mapInArrow(vote, "key long, votes string"), "votes")
     counts = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -200,7 +200,7 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text")
                 out.append(1 / (1 + np.exp(-np.clip(float(weight[slots] @ values) + offset, -30, 30))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["row", "score"])
 
-    whole = docs.select(tucked(docs), docs[text].alias("text"))
+    whole = docs.select(tucked(docs), valid(docs[text]).alias("text"))
     return whole.mapInArrow(run, T.StructType([whole.schema["row"], T.StructField("score", T.DoubleType())]))
 
 

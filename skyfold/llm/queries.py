@@ -68,9 +68,10 @@ def op6_rotated_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Twenty highest integer inner products of every twentieth vector."""
+    """Twenty highest integer inner products of every twentieth vector; vectors whose scores need not fit a long take no part."""
     found = vectors.single(vectors.usable(_table(spark, sf_dir, "embeddings")))
     whole = found.withColumn("v", F.transform("v", lambda x: F.floor(x * 64).cast("double")))
+    whole = histogram_topk.fitting(whole)
     return histogram_topk.top(whole, whole.where("id % 20 = 0"), 20)
 
 

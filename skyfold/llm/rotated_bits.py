@@ -125,6 +125,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, width: float = WIDTH
         few = np.arange(len(at)) - np.searchsorted(at, at) < k
         return pa.RecordBatch.from_arrays([pa.array(query_ids[at[few]]), pa.array(ids[few]), pa.array(distance[few])], ["query_id", "vec_id", "score"])
 
-    near = vec.meet(stored(index(vectors), "codes"), vec.blocks(queries, vec.QUERIES, queries.count()), search, "query_id long, vec_id long, score double")
+    sizes = vectors.count(), queries.count()
+    near = vec.meet(stored(index(vectors), "codes"), vec.blocks(queries, vec.QUERIES, sizes[1]), sizes, search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

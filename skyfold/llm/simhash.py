@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import components, stored, tucked, untucked
+from skyfold.llm.common import components, stored, tucked, untucked, valid
 
 #: Fingerprints of a posting that one task holds twice at most; longer postings are cut into blocks.
 BLOCK = 2048
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", id_column:
             found = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(1)), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
 
-    return docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text].alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(docs[id_column].cast("long").alias("doc_id"), valid(docs[text]).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def _forest(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm import wordpieces as wp
-from skyfold.llm.common import stored
+from skyfold.llm.common import stored, valid
 from skyfold.workspace import shared_folder
 
 #: Ids after which a block ends with the document at hand, and texts encoded together.
@@ -97,7 +97,7 @@ def _gathered(docs: DataFrame, path: str, end: int, text: str, id_column: str) -
         if len(total) or own:
             yield block(last=True)
 
-    source = docs.select(docs[id_column].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text")).withColumn("mixed", F.xxhash64("text"))
+    source = docs.select(docs[id_column].cast("long").alias("doc_id"), valid(F.coalesce(docs[text], F.lit(""))).alias("text")).withColumn("mixed", F.xxhash64("text"))
     ordered = source.repartitionByRange("doc_id", "mixed").sortWithinPartitions("doc_id", "mixed", "text").select("doc_id", "text")
     return ordered.mapInArrow(run, "file int, first long, docs array<long>, sizes array<long>, ids binary, seen array<long>, times array<long>")
 

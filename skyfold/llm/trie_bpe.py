@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from skyfold.llm import wordpieces as wp
+from skyfold.llm.common import valid
 
 #: Texts whose ids and decoded text are held at once.
 ROWS = 128
@@ -177,6 +178,6 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", id_column:
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array([decode(path, x) for x in ids])], names)
 
     names = ["_id", "ids", "decoded"]
-    source = docs.select(docs[id_column].alias("_id"), docs[text].alias("_text"))
+    source = docs.select(docs[id_column].alias("_id"), valid(docs[text]).alias("_text"))
     kind = source.schema["_id"].dataType.simpleString()
     return source.mapInArrow(run, f"_id {kind}, ids array<int>, decoded string").withColumnRenamed("_id", id_column)

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Vectors in a block of rows, and in a block of queries.
 ROWS, QUERIES = 4096, 1024
-#: Groups of row blocks that a query block is sent to; each pair of a query block and a row block meets in one of them.
-STRIPES = 12
+#: Cells of the grid on which blocks meet, at least, and pairs of vectors in one of them, about.
+CELLS, PAIRS = 12, 1 << 30
 
 Blocks = tuple[np.ndarray, np.ndarray]
 
@@ -59,16 +60,32 @@ def unblocked(row: dict) -> Blocks:
     return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["data"], np.float64).reshape(-1, row["dim"])
 
 
-def meet(rows: DataFrame, queries: DataFrame, run: Callable[[dict, dict], pa.RecordBatch | None], schema: str) -> DataFrame:
+def _each(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+
+def grid(n: int, m: int) -> tuple[int, int]:
+    """Stripes of ``n`` rows and of ``m`` queries, whose cells hold about ``PAIRS`` pairs each.
+
+    Rows are copied to every stripe of queries and queries to every stripe of rows; this
+    ratio makes the copies fewest.
+    """
+    cells = max(CELLS, -(-n * m // PAIRS))
+    across = min(cells, max(1, round(math.sqrt(cells * n / max(m, 1)))))
+    return across, -(-cells // across)
+
+
+def meet(rows: DataFrame, queries: DataFrame, sizes: tuple[int, int], run: Callable[[dict, dict], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``run`` on each pair of a block of queries and a block of rows with one dimension.
 
-    Query blocks are copied to every stripe and row blocks are dealt to one each, so
-    the pairs are found by a join on the stripe that any task may hold a part of.
+    Blocks of both sides are dealt to the stripes of a grid that grows with the ``sizes`` (of rows and of queries),
+    and meet by a join on its cells, each pair in one.
     """
+    across, down = grid(*sizes)
     names = [f"r_{c}" for c in rows.columns] + [f"q_{c}" for c in queries.columns]
-    left = rows.select(*(F.col(c).alias(f"r_{c}") for c in rows.columns), F.pmod(F.xxhash64("ids"), F.lit(STRIPES)).alias("stripe"), F.col("dim").alias("d"))
-    right = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(STRIPES - 1).cast("long"))).alias("stripe"), F.col("dim").alias("d"))
-    pairs = left.join(right, ["stripe", "d"]).select(*names)
+    left = rows.select(*(F.col(c).alias(f"r_{c}") for c in rows.columns), F.pmod(F.xxhash64("ids"), F.lit(across)).alias("r"), _each(down).alias("c"), F.col("dim").alias("d"))
+    right = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns), _each(across).alias("r"), F.pmod(F.xxhash64("ids"), F.lit(down)).alias("c"), F.col("dim").alias("d"))
+    pairs = left.join(right, ["r", "c", "d"]).select(*names)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -173,6 +173,30 @@ def test_paragraphs_on_odd_documents(clashing, none):
     assert paragraphs.cleaned(none).count() == 0
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    """A third of all rows has no id, and many have the same: each keeps or loses by its own text."""
+    first, second = (" ".join(f"{w}{k}" for k in range(12)) for w in "ab")
+    own = [" ".join(f"own{d}x{k}" for k in range(8)) for d in range(40)]
+    rows = [(None, f"{t}\n{first}") for t in own[:20]] + [(7, f"{t}\n{second}") for t in own[20:]] + [(9, f"{first}\n{second}")]
+    kept = [(r.doc_id, r.text) for r in paragraphs.cleaned(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()]
+    for k, t in enumerate(own):
+        assert sum(t in text and doc == (None if k < 20 else 7) for doc, text in kept) == 1
+    assert [sum(p in text for _, text in kept) for p in (first, second)] == [1, 1] and (9, "") in kept
+
+
+def test_bytes_that_are_no_utf8_are_replaced(spark):
+    """Every operator that reads characters takes them as U+FFFD, so that no row ends a job."""
+    import corpus_pipeline
+
+    broken = spark.sql("select id as doc_id, cast(concat(x'61ff62', cast(repeat(' abc def', 12) as binary)) as string) as text, 0 as n_chars from range(3)")
+    clean = broken.select("doc_id", F.make_valid_utf8("text").alias("text"), "n_chars")
+    for run in (simhash.groups, copies.first_of_alike, paragraphs.cleaned):
+        a, b = (sorted(r[0] for r in run(d).collect()) for d in (broken, clean))
+        assert a == b and a
+    kept = corpus_pipeline.keep_good(spark, broken, "")
+    assert kept.count() in (0, 3)
+
+
 def test_a_passage_inside_a_paragraph_goes():
     text = "Start of it all here. " + PROSE + " The end of it all comes."
     lines, sentences = paragraphs.units(text)

@@ -111,3 +111,11 @@ def test_packed_odd_documents(odd, none, library):
     assert (found.groupby("sequence_id")["length"].cumsum() - found["length"] == found["offset"]).all()
     assert found.groupby("sequence_id")["length"].sum().max() <= 64
     assert packing.place(packing.pieces(none, WORD_BPE)).count() == 0
+
+
+def test_bytes_that_are_no_utf8_are_replaced(spark):
+    broken = spark.sql("select id as doc_id, cast(concat(x'61ff62', cast(' abc def' as binary)) as string) as text from range(2)")
+    want = wp.load(WORD_BPE).encode("a\ufffdb abc def", add_special_tokens=False).ids
+    assert [list(r.ids) for r in trie_bpe.encode_documents(broken, WORD_BPE).collect()] == [want, want]
+    assert [r.n_tokens for r in token_files.round_trip(broken, WORD_BPE).collect()] == [len(want) + 1] * 2
+    assert [r.length for r in packing.pieces(broken, WORD_BPE).collect()] == [len(want) + 1] * 2

@@ -98,3 +98,26 @@ def test_recall_over_blocks(spark, monkeypatch):
 def test_rotation_keeps_lengths():
     x = np.random.default_rng(0).standard_normal((5, 64))
     assert np.allclose(np.linalg.norm(x @ rotated_bits.rotation(64), axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_a_long_vector_does_not_end_a_search(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(6)] + [(9, [1e300, 1.0])]
+    fit = histogram_topk.fitting(spark.createDataFrame(rows, "id long, v array<double>"))
+    got = sorted(map(tuple, histogram_topk.top(fit, fit.where("id IN (0, 9)"), 2).collect()))
+    assert got == [(0, 1, 1, 1), (0, 2, 2, 1)]
+
+
+def test_the_grid_grows_with_both_sides(spark, monkeypatch):
+    """Every pair of blocks meets once, in cells that hold about as many pairs whatever the size."""
+    assert vec.grid(2000, 20) == (12, 1) and vec.grid(0, 0)[1] >= 1
+    across, down = vec.grid(10**9, 10**7)
+    assert 0.9 <= across * down * vec.PAIRS / 10**16 <= 1.1 and across > down > 1
+    monkeypatch.setattr(vec, "PAIRS", 8)
+    monkeypatch.setattr(vec, "ROWS", 3)
+    monkeypatch.setattr(vec, "QUERIES", 2)
+    df = spark.createDataFrame([(i, [float(i * 7 % 13), float(i % 5)]) for i in range(40)], "id long, v array<double>")
+    assert vec.grid(40, 20)[1] > 1
+    got = sorted(map(tuple, histogram_topk.top(df, df.where("id % 2 = 0"), 5).collect()))
+    whole = {i: [i * 7 % 13, i % 5] for i in range(40)}
+    want = _best(whole, range(0, 40, 2), lambda a, b: -sum(x * y for x, y in zip(a, b, strict=True)), 5)
+    assert got == [(q, n, i, -s) for q, n, i, s in want]
