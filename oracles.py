@@ -618,6 +618,8 @@ def build() -> dict[str, str]:
             with epochs as ({EPOCHS}), c as (select objectid as "_id", count(*) as nepochs from epochs group by objectid)
             select "_id", nepochs, count(*) filter ("_id" % 3 = 0) over () as part, count(*) filter ("_id" % 3 <> 0) over () as rest,
               cast(0 as bigint) as again, count(*) over () as anew from c""",
+        "insert_documents": f"""
+            with epochs as ({EPOCHS}) select objectid as "_id", count(*) as nepochs, count(*) over () as inserted from epochs group by objectid""",
         "features_incremental": f"""
             with {kept_sql(20)}, base as (select objectid, count(*) as nepochs, {r(f'max({at[0]})', 1)} as gal_b, {r(f'max({at[1]})', 1)} as gal_l
               from kept group by objectid)
@@ -646,6 +648,9 @@ def build() -> dict[str, str]:
               {r('w1mpro_pm_2')} as w1mpro_pm, {r('w2mpro_pm_2')} as w2mpro_pm from ({infrared_pairs(1.5)}) p""",
         "healpix_index": healpix_sql(12),
         "xmatch_all": f"select {pair_columns} from ({infrared_pairs(1.5)}) p",
+        "xmatch_stored": " union all ".join(
+            f"select cast({x} as double) as radius, {pair_columns} from ({infrared_pairs(x)}) p" for x in (1.0, 1.5, 2.0)
+        ),
         "xmatch_nearest": f"select {pair_columns} from ({nearest_sql(infrared_pairs(1.5), 'source_id_2')}) p",
         "xmatch_labels": f"""
             select objectid, filterid, source_id, source_cat, source_class, source_flag, {r('ra')} as objra,

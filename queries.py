@@ -14,10 +14,10 @@ from skyfold.features.sky import galactic_family, with_galactic
 from skyfold.functions import curves, text
 from skyfold.operators import incremental, joins, layout, publish
 from skyfold.operators.preprocess import Preprocessor
-from skyfold.operators.xmatch import nearest_one, nearest_with_ties, with_healpix, xmatch, xmatch_nearest
+from skyfold.operators.xmatch import StoredCatalogue, nearest_one, nearest_with_ties, with_healpix, xmatch, xmatch_nearest
 from skyfold.plans import jobs
 from skyfold.schema import LIGHTCURVE_SCHEMA, conform
-from skyfold.sources import listing, manifest
+from skyfold.sources import documents, listing, manifest
 from skyfold.sources.lightcurves import explode_epochs, objects, read_lightcurves
 from skyfold.streaming.incremental import conform_new_files, preprocess_new_files
 from skyfold.workspace import checkpointed, shared_folder
@@ -209,6 +209,18 @@ def publish_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(spark.read.parquet(path), "_id")
 
 
+@query
+def insert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents inserted in batches through the data source, half of them in each of two jobs, and read back."""
+    path = shared_folder(spark, "document-store")
+    documents.register(spark)
+    table = publish.feature_documents(_kept_counts(fx.lightcurves(spark, sf_dir)))
+    for mode, part in (("overwrite", "_id >= 0"), ("overwrite", "_id % 2 = 0"), ("append", "_id % 2 <> 0")):
+        table.where(part).write.format("documents").mode(mode).option("batch_size", 1000).save(path)
+    rows = sum(one["rows"] for one in documents.lists(path))
+    return documents.read(spark, path).select("_id", "nepochs", F.lit(rows).cast("long").alias("inserted"))
+
+
 @query
 def publish_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a store holds after a part, the whole and the whole anew have been published to it, and the counts returned."""
@@ -354,6 +366,16 @@ def xmatch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("objectid", "filterid", F.col("source_id_2"), r6("distance", 9).alias("distance"))
 
 
+@query
+def xmatch_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three matches, each of another radius, against one catalogue that is stored by cell."""
+    stored = StoredCatalogue(fx.infrared(spark, sf_dir).select("source_id", "ra", "dec"), 2.0 * ARCSEC, buckets=16)
+    objects_ = fx.sky(spark, sf_dir)
+    found = [stored.xmatch(objects_, r * ARCSEC).withColumn("radius", F.lit(r)) for r in (1.0, 1.5, 2.0)]
+    pairs = found[0].unionByName(found[1]).unionByName(found[2])
+    return pairs.select("radius", "objectid", "filterid", "source_id_2", r6("distance", 9).alias("distance"))
+
+
 @query
 def xmatch_nearest_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     matches = xmatch_nearest(fx.sky(spark, sf_dir), fx.infrared(spark, sf_dir), 1.5 * ARCSEC, "source_id")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from skyfold.functions import sphere
 from skyfold.schema import require_columns
-from skyfold.workspace import checkpointed
+from skyfold.workspace import bucketed, checkpointed
 
 _WORK = ("_zone", "_cell")
 
@@ -122,6 +122,53 @@ def xmatch(
     return pairs.filter(band).withColumn("distance", apart).filter(F.col("distance") <= radius).drop(*_WORK)
 
 
+def with_cells(df: DataFrame, radius: float, touched: bool, cell: float | None = None, parts: int = 1, ra: str = "ra", dec: str = "dec") -> DataFrame:
+    """Rows with ``_key``, the cell they lie in, or one row for each cell they touch.
+
+    With ``parts`` a cell has as many keys: a row that touches it gets all of them, one
+    that lies in it gets one of them by a hash of all its columns.
+    """
+    height = default_cell(radius) if cell is None else cell
+    zoned = _with_touched_cells(usable(df, ra, dec), ra, dec, radius, height) if touched else _with_own_cell(usable(df, ra, dec), ra, dec, height)
+    own = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))) if touched else F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int")
+    # Zones and cells of the least height take 25 and 26 bits.
+    return zoned.withColumn("_part", own).withColumn("_key", (F.shiftleft("_zone", 26) + F.col("_cell")) * parts + F.col("_part")).drop(*_WORK, "_part")
+
+
+class StoredCatalogue:
+    """A catalogue written once by cell, for many matches of up to ``radius`` degrees.
+
+    The table is bucketed and sorted by cell: a match sends and sorts the objects only.
+    Where a third of all objects lies in one cell, ``parts`` keeps as many copies of the
+    catalogue and spreads the objects of each cell over them, as a stored table
+    is not split while a job runs.  Catalogue rows without a usable position are left out.
+    """
+
+    def __init__(self, catalogue: DataFrame, radius: float, buckets: int, parts: int = 1, suffix: str = "_2"):
+        require_columns(catalogue, ("ra", "dec"))
+        if not 0 < radius <= 90:
+            raise ValueError("the radius must lie between 0 and 90 degrees")
+        if buckets < 1 or parts < 1:
+            raise ValueError("at least one bucket and one part")
+        self.radius, self.parts, self.suffix = radius, parts, suffix
+        self.table = bucketed(with_cells(catalogue, radius, True, parts=parts), "_key", buckets, "catalogue-by-cell")
+
+    def xmatch(self, objects: DataFrame, radius: float | None = None) -> DataFrame:
+        """All pairs within ``radius`` degrees, as ``xmatch`` gives them."""
+        require_columns(objects, ("ra", "dec"))
+        reach = self.radius if radius is None else radius
+        if not 0 < reach <= self.radius:
+            raise ValueError("the radius must not pass that of the stored catalogue")
+        renamed = self.table.withColumnsRenamed({c: f"{c}{self.suffix}" for c in self.table.columns if c != "_key"})
+        # The height of the cells follows the stored radius, whatever the radius of the match. A merge of sorted
+        # buckets is asked for: the objects' side would else be sent whole wherever it looks small.
+        pairs = with_cells(objects, self.radius, False, parts=self.parts).hint("merge").join(renamed, "_key")
+        ra2, dec2 = f"ra{self.suffix}", f"dec{self.suffix}"
+        band = F.abs(F.col("dec").cast("double") - F.col(dec2).cast("double")) <= reach * (1.0 + 1e-9) + 1e-12
+        apart = sphere.distance(F.col("ra"), F.col("dec"), F.col(ra2), F.col(dec2))
+        return pairs.filter(band).withColumn("distance", apart).filter(F.col("distance") <= reach).drop("_key")
+
+
 def nearest_one(
     matches: DataFrame, keys: tuple[str, ...] = ("objectid", "filterid"), tiebreak: tuple[str, ...] = ()
 ) -> DataFrame:

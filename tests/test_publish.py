@@ -7,6 +7,7 @@ from tests_data import HMJD, MAG, MAGERR
 
 from skyfold.operators import publish
 from skyfold.schema import conform
+from skyfold.sources import documents as store
 
 
 def test_document_of_the_documented_curve(documented):
@@ -73,3 +74,39 @@ def test_band_limits_of_published_curves(documented):
     short = documented.withColumn("magerr", F.transform("magerr", lambda e, i: F.when(i < 4, e)))
     assert publish.lightcurve_documents(short).count() == 0
     assert publish.lightcurve_documents(short.withColumn("filterid", F.lit(3))).count() == 1
+
+
+def test_a_store_shows_what_has_been_committed(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store.register(spark)
+    ids = lambda: sorted(r._id for r in store.read(spark, path, documents(spark).schema).collect())
+    save = lambda df, mode="append": df.write.format("documents").mode(mode).option("batch_size", 4).save(path)
+    assert ids() == []
+    save(documents(spark, *range(25)).repartition(3))
+    assert ids() == list(range(25)) and [one["rows"] for one in store.lists(path)] == [25]
+    # A job that breaks after some rows have been staged leaves nothing.
+    broken = documents(spark, *range(100, 140)).repartition(2).where("if(_id = 139, raise_error('lost'), true)")
+    with pytest.raises(Exception):
+        save(broken)
+    assert ids() == list(range(25))
+    save(documents(spark, 30))
+    assert ids() == [*range(25), 30]
+    save(documents(spark, 7, 8), "overwrite")
+    save(documents(spark).where("false"))
+    assert ids() == [7, 8] and len(store.lists(path)) == 2
+
+
+def test_a_task_that_runs_twice_inserts_once(spark, tmp_path):
+    """Two attempts of one task stage a file each; the one whose message arrives counts."""
+    import pyarrow as pa
+
+    path = str(tmp_path / "store")
+    batches = [pa.record_batch({"_id": pa.array(range(n, n + 3), pa.int64())}) for n in (0, 3, 6)]
+    writer = store.DocumentWriter(path, False, 4)
+    lost, kept, other = writer.write(iter(batches[:1])), writer.write(iter(batches)), writer.write(iter([]))
+    assert lost.rows == 3 and (other.file, other.rows) == (None, 0)
+    writer.commit([kept, None, other])
+    assert sorted(r._id for r in store.read(spark, path).collect()) == list(range(9))
+    assert [pa.parquet.ParquetFile(f"{path}/{kept.file}").metadata.row_group(k).num_rows for k in range(3)] == [4, 4, 1]
+    writer.abort([lost])
+    assert sorted(r._id for r in store.read(spark, path).collect()) == list(range(9))

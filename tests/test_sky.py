@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyfold.features.sky import with_galactic
 from skyfold.functions import sphere
-from skyfold.operators.xmatch import nearest_one, nearest_with_ties, with_healpix, xmatch, xmatch_nearest
+from skyfold.operators.xmatch import StoredCatalogue, nearest_one, nearest_with_ties, with_healpix, xmatch, xmatch_nearest
 
 
 def places(spark, rows, key):
@@ -227,3 +227,23 @@ def test_either_side_may_be_spread(spark):
     a = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform((0, -90), (360, 90), (300, 2)))], "id long, ra double, dec double")
     pairs = [sorted((r.id, r.id_2) for r in xmatch(a, a, 5.0, spread=side).collect()) for side in ("catalogue", "objects")]
     assert pairs[0] == pairs[1] and len(pairs[0]) > 300
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_stored_catalogue_serves_many_matches(spark, parts):
+    """Each radius gives the pairs of a match of its own, and only objects are sent; a third of them is in one place."""
+    rng = np.random.default_rng(5)
+    a = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform((359.99, 10), (360, 10.01), (60, 2)))] + [(100 + i, 359.995, 10.005) for i in range(30)]
+    b = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform((359.99, 10), (360, 10.01), (90, 2)))] + [(200, 0.0001, 10.005), (201, None, 1.0), (202, 5.0, -999.0)]
+    objects, catalogue = spark.createDataFrame(a, "a long, ra double, dec double"), spark.createDataFrame(b, "b long, ra double, dec double")
+    stored = StoredCatalogue(catalogue, 0.002, 4, parts)
+    for radius in (0.0005, 0.001, 0.002):
+        found = stored.xmatch(objects, radius)
+        want = xmatch(objects, catalogue, radius)
+        assert found.columns == want.columns
+        pairs = sorted((r.a, r.b_2, r.distance) for r in found.collect())
+        assert pairs and pairs == sorted((r.a, r.b_2, r.distance) for r in want.collect())
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("Exchange ") == 1 and "SortMergeJoin" in plan
+    with pytest.raises(ValueError):
+        stored.xmatch(objects, 0.003)
