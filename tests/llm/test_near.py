@@ -268,3 +268,15 @@ def test_texts_under_one_id_are_told_apart(spark):
 def test_bytes_that_are_no_text_are_bytes(spark):
     docs = spark.sql("select id as doc_id, cast(concat(x'61ff62', cast(repeat('abc def ', 40) as binary)) as string) as text from range(2)")
     assert [(r.n_bytes, len(r.kept)) for r in suffixes.cleaned(docs).collect()] == [(323, 0), (323, 0)]
+
+
+def test_the_pipeline_links_fingerprints_too(spark):
+    """Two texts of a repeated passage: their fingerprints link, their sets of five words are less than 0.8 alike."""
+    import corpus_pipeline
+
+    passage = "the river ran dry that one year " * 60
+    rows = [(4, passage + "and nobody kept a record of it at all"), (9, passage + "others say that it never had before then"), (11, PROSE)]
+    assert (simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[1][1])).bit_count() <= simhash.BITS
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in copies.first_of_alike(docs).collect()) == [4, 9, 11]
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_first_copies(spark, docs, "").collect()) == [4, 11]
