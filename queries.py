@@ -687,13 +687,14 @@ def template_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def periodogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = period.periodogram(kept(spark, sf_dir, FEATURE_LIMIT))
-    return rounded(table, ("objectid",), ("freq", "power"), 4)
+    # So many rows that the decimals behind F.round would take most of the time.
+    return table.select("objectid", *((F.rint(F.col(c) * 1e4) / 1e4 + F.lit(0.0)).alias(c) for c in ("freq", "power")))
 
 
 @query
 def topk_power(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = period.with_periodogram(kept(spark, sf_dir, FEATURE_LIMIT))
-    top = F.posexplode(period.top_powers("_per")).alias("place", "power")
+    table = period.with_top_powers(kept(spark, sf_dir, FEATURE_LIMIT))
+    top = F.posexplode("_top").alias("place", "power")
     rows = table.select("objectid", top)
     return rows.select("objectid", F.col("place").cast("long").alias("place"), r6("power").alias("power"))
 

@@ -8,8 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyfold.features import harmonics, kernels, long_curves
 from skyfold.features.registry import FeatureFamily
@@ -80,10 +82,41 @@ def with_periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> Data
 
 
 def periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> DataFrame:
-    """The periodogram in long form: one row per curve and frequency."""
-    table = with_periodogram(df, grid).filter(F.col("_per").isNotNull())
-    rows = F.explode(F.arrays_zip(F.col("_freq").alias("freq"), F.col("_per").alias("power")))
-    return table.select("objectid", rows.alias("_row")).select("objectid", "_row.freq", "_row.power")
+    """The periodogram in long form: one row per curve and frequency.
+
+    A task makes the rows as columns, a curve at a time: arrays of ``with_periodogram`` would be zipped and
+    exploded element by element.
+    """
+    start, step, count = grid.start, grid.step, grid.count
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        freqs = pa.array(start + step * np.arange(count))
+        for batch in batches:
+            for k, curve in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)):
+                power = kernels.spectrum(*(np.array(x, dtype=float) for x in curve), start, step, count)
+                if power is not None:
+                    ids = pa.repeat(batch.column(0)[k], count)
+                    # A power that is not a number stays one, as in the array.
+                    yield pa.RecordBatch.from_arrays([ids, freqs, pa.array(power)], ["objectid", "freq", "power"])
+
+    table = with_curve(df).where("_t is not null and _m is not null and _e is not null").select("objectid", "_t", "_m", "_e")
+    schema = T.StructType([df.schema["objectid"], T.StructField("freq", T.DoubleType()), T.StructField("power", T.DoubleType())])
+    return table.mapInArrow(run, schema)
+
+
+def with_top_powers(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID, count: int = TOP) -> DataFrame:
+    """Add ``_top``: the largest powers of each curve in falling order. The rest of the periodogram stays in the task."""
+    start, step, size = grid.start, grid.step, grid.count
+
+    @F.pandas_udf("array<double>")
+    def largest(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.Series:
+        def top(t, m, e):
+            power = kernels.spectrum(t, m, e, start, step, size)
+            return None if power is None else kernels.largest(power, count)
+
+        return pd.Series([top(*curve) for curve in zip(times, mags, errors)], dtype=object)
+
+    return with_curve(df).withColumn("_top", largest("_t", "_m", "_e"))
 
 
 def top_powers(powers: str, count: int = TOP) -> Column:

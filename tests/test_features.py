@@ -589,3 +589,21 @@ def test_all_start_times_get_all_shapes():
     with np.errstate(all="ignore"):
         chi = kernels.template_scores(t, flux, weight, [every, *shapes])[2].reshape(every.size, -1).min(axis=1)
     assert np.abs(chosen - every[int(np.argmin(chi))]).min() < 1e-9
+
+
+def test_periodogram_rows_are_made_as_columns(spark, documented):
+    """The rows hold the array's values, and neither whole arrays nor their pairs are made in the plan."""
+    from pyspark.sql import functions as F
+
+    from skyfold.features import period
+
+    grid = period.FrequencyGrid(0.01, 2.0, 0.01)
+    usable = documented.unionByName(documented.withColumn("objectid", F.lit(5).cast("long")).withColumn("magerr", F.transform("magerr", lambda x: x - x)))
+    rows = period.periodogram(usable, grid)
+    assert "Generate" not in rows._jdf.queryExecution().executedPlan().toString()
+    whole = period.with_periodogram(documented, grid).select("objectid", "_freq", "_per").first()
+    assert sorted(rows.collect()) == [(whole.objectid, f, p) for f, p in zip(whole._freq, whole._per, strict=True)]
+    plan = period.with_top_powers(documented, grid, 7)
+    assert "_per" not in plan.columns
+    assert plan.first()._top == sorted(whole._per, reverse=True)[:7]
+    assert period.with_top_powers(usable, grid).where("objectid = 5").first()._top is None
