@@ -115,7 +115,9 @@ def xmatch(
         left, right = _with_own_cell(left, ra, dec, height), _with_touched_cells(right, ra2, dec2, radius, height)
     else:
         left, right = _with_touched_cells(left, ra, dec, radius, height), _with_own_cell(right, ra2, dec2, height)
-    pairs = left.join(right, list(_WORK))
+    # Neither side is sent whole: files and cells say little of the size of a catalogue, as its rows are packed
+    # and each is copied to the cells it touches, and a table sent whole goes through the driver.
+    pairs = left.join(right.hint("merge"), list(_WORK))
     # The cheap comparison goes first and spares most of the trigonometry.
     band = F.abs(F.col(dec).cast("double") - F.col(dec2).cast("double")) <= radius * (1.0 + 1e-9) + 1e-12
     apart = sphere.distance(F.col(ra), F.col(dec), F.col(ra2), F.col(dec2))

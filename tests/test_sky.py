@@ -247,3 +247,21 @@ def test_a_stored_catalogue_serves_many_matches(spark, parts):
         assert plan.count("Exchange ") == 1 and "SortMergeJoin" in plan
     with pytest.raises(ValueError):
         stored.xmatch(objects, 0.003)
+
+
+def test_neither_side_of_a_match_is_sent_whole(spark):
+    """Small tables too: the sizes that Spark goes by are those of packed files."""
+    from skyfold.operators import joins
+    from skyfold.operators.xmatch import xmatch, xmatch_nearest
+
+    objects = spark.createDataFrame([(1, 1, 10.0, 10.0), (2, 1, 20.0, 20.0)], "objectid long, filterid long, ra double, dec double")
+    catalogue = spark.createDataFrame([(7, 10.0, 10.0), (8, 20.0, 20.0001)], "source_id long, ra double, dec double")
+    one = xmatch_nearest(objects, catalogue, 0.001, "source_id").drop("ra_2", "dec_2")
+    other = one.withColumnRenamed("source_id_2", "obj_id_2")
+    features = spark.createDataFrame([(1, 1, 3.0), (5, 2, 4.0)], "objectid long, filterid long, Mean double")
+    table = joins.training_set(features, one, other)
+    assert sorted((r.objectid, r.source_id, r.obj_id) for r in table.collect() if r.source_id) == [(1, 7, 7), (2, 8, 8)]
+    assert table.count() == 3
+    for df in (xmatch(objects, catalogue, 0.001), one, table):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
