@@ -37,11 +37,12 @@ def join_outer(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = KEYS)
     execution can split a crowded key of the left side in these two joins, which
     it cannot do in a full join.  The second one reads only the keys of the left
     side, so that side should be a stored table rather than a long computation.
+    Neither side is sent whole through the driver, however small its files.
     """
     require_columns(left, keys)
     require_columns(right, keys)
-    partnered = left.join(right, list(keys), "left")
-    alone = right.join(left.select(*keys), list(keys), "left_anti")
+    partnered = left.join(right.hint("merge"), list(keys), "left")
+    alone = right.join(left.select(*keys).hint("merge"), list(keys), "left_anti")
     return partnered.unionByName(alone, allowMissingColumns=True)
 
 
@@ -59,5 +60,5 @@ def training_set(features: DataFrame, first: DataFrame, second: DataFrame) -> Da
     that this left behind.  The wide feature table is then shuffled once instead
     of four times.
     """
-    matches = matched_payload(first).join(matched_payload(second), list(KEYS), "full")
+    matches = matched_payload(first).join(matched_payload(second).hint("merge"), list(KEYS), "full")
     return join_outer(features, matches)
