@@ -126,13 +126,19 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(listed, "filterid", "left").select("filterid", "objects", F.coalesce("listed", F.lit(False)).alias("listed"))
 
 
+def write_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A file for each page, written by as many tasks as shuffles have: a file costs far more than its bytes, which splits go by."""
+    stored = fx.derived(spark, sf_dir, fx.files_sql(), "pages").select("page_id", "content")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Text files by page: the line break at the end of each is part of the file.
+    stored.repartition(parts, "page_id").write.partitionBy("page_id").option("lineSep", "\n").text(path)
+
+
 @query
 def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to files of their own and checked by reading them back, half of them in chunks."""
     path = shared_folder(spark, "pages")
-    stored = fx.derived(spark, sf_dir, fx.files_sql(), "pages").select("page_id", "content")
-    # Text files by page: the line break at the end of each is part of the file.
-    stored.write.partitionBy("page_id").option("lineSep", "\n").text(path)
+    write_pages(spark, sf_dir, path)
     found = manifest.read_checksums(spark, path, largest=3000, chunk=1000)
     return found.select(F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long").alias("page_id"), "found")
 

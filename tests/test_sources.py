@@ -127,3 +127,12 @@ def test_new_rows_are_new_and_single(spark):
     stored = spark.createDataFrame([(2, "old")], "_id long, name string")
     assert sorted((r._id, r.name) for r in new_rows(batch, stored, order=("name",)).collect()) == [(1, "a"), (3, "d")]
     assert sorted(r._id for r in new_rows(batch, stored).collect()) == [1, 3]
+
+
+def test_pages_are_written_by_many_tasks(spark, tmp_path):
+    import queries
+
+    queries.write_pages(spark, "/root/testdata/sf0.001", str(tmp_path / "pages"))
+    files = [f.name for f in (tmp_path / "pages").rglob("part-*")]
+    assert len(files) == spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
+    assert len({name.split("-")[1] for name in files}) > 1
