@@ -54,7 +54,7 @@ def with_template_fit(
 
     @F.pandas_udf(_struct(TEMPLATE))
     def fit(times: pd.Series, mags: pd.Series, errors: pd.Series) -> pd.DataFrame:
-        rows = [kernels.template_fit(t, m, e, zero_point, grid, rounds) for t, m, e in zip(times, mags, errors)]
+        rows = kernels.template_fits(list(zip(times, mags, errors)), zero_point, grid, rounds)
         return pd.DataFrame(rows, columns=list(TEMPLATE), dtype=float)
 
     return _unpack(with_curve(df).withColumn("_template", fit("_t", "_m", "_e")), "_template", TEMPLATE)

@@ -575,6 +575,24 @@ def test_template_leaves_its_first_grid(shape):
     assert found[6] < 1.0
 
 
+def test_templates_of_many_curves_are_searched_together(monkeypatch):
+    """Each curve ends where it ends alone, and the shapes of curves of as many epochs are worked out at once."""
+    curves = [noise(n, seed, span=40.0) for seed, n in enumerate([25, 31, 25, 25, 1, 31, *[25] * 20])]
+    curves.append((curves[0][0], curves[0][1], -curves[0][2]))
+    calls, shape = [0], kernels._joined
+
+    def counted(*args):
+        calls[0] += 1
+        return shape(*args)
+
+    monkeypatch.setattr(kernels, "_joined", counted)
+    alone = [kernels.template_fit(*curve, 16.4, fits.TEMPLATE_GRID) for curve in curves]
+    one_by_one, calls[0] = calls[0], 0
+    assert kernels.template_fits(curves, 16.4, fits.TEMPLATE_GRID) == alone
+    assert 3 * calls[0] < one_by_one
+    assert alone[4] == alone[-1] == (None,) * 8
+
+
 def test_all_start_times_get_all_shapes():
     """The quick sums against the scores of the whole grid."""
     rng = np.random.default_rng(5)
