@@ -127,15 +127,16 @@ def encoder(path: str) -> Encoder:
 def _known(path: str) -> wp.Known:
     own, added = encoder(path), wp.special(path)
 
-    def of_words(new: list[str]) -> dict[str, tuple[bytes, str]]:
-        letters = {w: wp.byte_letters(w) for w in new if w not in added}
+    def of_words(new: list[str]) -> dict[str, bytes]:
+        letters = {w: w if wp.is_word(w) else wp.byte_letters(w) for w in new if w not in added}
         tokens = own.encode(letters.values())
-        out = {w: (wp.packed([added[w]]), w) for w in new if w in added}
+        out = {w: wp.packed([added[w]]) for w in new if w in added}
         for word, x in letters.items():
-            out[word] = wp.packed([own.ids[t] for t in tokens[x]]), " ".join(tokens[x])
+            out[word] = b"".join([one[t] for t in tokens[x]])
         return out
 
-    return wp.Known(path, of_words, lambda parts: (b"".join(p[0] for p in parts), " ".join(p[1] for p in parts)))
+    one = {t: wp.packed([i]) for t, i in own.ids.items()}
+    return wp.Known(path, of_words)
 
 
 @functools.cache
@@ -152,7 +153,7 @@ def encode(path: str, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         found = [wp.chunks(path, t) for t in lot]
         known.add(found)
         for own in found:
-            yield np.frombuffer(b"".join([known[x][0] for x in own]), "<u4")
+            yield np.frombuffer(b"".join(map(known.__getitem__, own)), "<u4")
 
 
 def decode(path: str, ids: np.ndarray) -> str:

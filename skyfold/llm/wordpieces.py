@@ -117,54 +117,73 @@ def _library_split(path: str, text: str) -> list[str]:
 
 
 class Known(dict):
-    """What is known of each chunk seen so far, made from what is known of its words when a chunk is first met.
+    """The packed ids of each chunk seen so far, made from those of its words when a chunk is first met.
 
-    ``of_words`` gets new words and returns a value for each; ``joined`` puts the
-    values of a chunk's words together.
+    ``of_words`` gets new words and returns the packed ids of each.
     """
 
-    def __init__(self, path: str, of_words: Callable[[list[str]], dict], joined: Callable[[list], object]):
+    def __init__(self, path: str, of_words: Callable[[list[str]], dict[str, bytes]]):
         super().__init__()
-        self.path, self.of_words, self.joined, self.words = path, of_words, joined, {}
+        self.path, self.of_words, self.words = path, of_words, {}
 
     def add(self, found: Iterable[list[str]]) -> None:
         """Make sure that all these chunks are known."""
-        new = {x for x in set().union(*found) if x not in self}
+        every = set().union(*found)
+        new = {x for x in every if x not in self}
         if len(self) + len(new) > KEPT_WORDS:
             self.clear()
-            new = set().union(*found)
+            new = every
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-        own = {x: words(self.path, x) for x in new}
-        if unknown := {x for x in itertools.chain.from_iterable(own.values()) if x not in self.words}:
+        own = {x: [x] if is_word(x) else words(self.path, x) for x in new}
+        if unknown := set().union(*own.values()).difference(self.words):
             self.words |= self.of_words(sorted(unknown))
+        known = self.words.__getitem__
         for chunk, parts in own.items():
-            self[chunk] = self.joined([self.words[w] for w in parts])
+            self[chunk] = known(chunk) if len(parts) == 1 and parts[0] == chunk else b"".join(map(known, parts))
+
+
+def is_word(chunk: str) -> bool:
+    """Whether a chunk is Latin letters alone, so that it is one word and its own byte letters; False says nothing."""
+    return chunk.isascii() and chunk.isalpha()
 
 
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Ids(dict):
-    """The packed ids of a chunk by the library's model, worked out when it is first met."""
+class _Words(dict):
+    """The packed ids of a word by the library's model, worked out when it is first met."""
 
     def __init__(self, path: str):
         super().__init__()
-        self.path, self.model, self.added, self.words = path, load(path).model, special(path), {}
-
-    def _of_word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= KEPT_WORDS:
-                self.words.clear()
-            ids = self.words[word] = packed([self.added[word]] if word in self.added else [x.id for x in self.model.tokenize(byte_letters(word))])
+        self.tokenize, self.added = load(path).model.tokenize, special(path)
+        self.one = [packed([i]) for i in range(load(path).get_vocab_size())]
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        if word in self.added:
+            ids = packed([self.added[word]])
+        else:
+            one = self.one
+            ids = b"".join([one[x.id] for x in self.tokenize(word if is_word(word) else byte_letters(word))])
+        self[word] = ids
         return ids
 
+
+class _Ids(dict):
+    """The packed ids of a chunk, joined from those of its words when it is first met."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.path, self.words = path, _Words(path)
+
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= KEPT_WORDS:
             self.clear()
-        ids = self[chunk] = b"".join(map(self._of_word, words(self.path, chunk)))
+        own = self.words
+        ids = self[chunk] = own[chunk] if is_word(chunk) else b"".join([own[w] for w in words(self.path, chunk)])
         return ids
 
 

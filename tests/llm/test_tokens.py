@@ -119,3 +119,21 @@ def test_bytes_that_are_no_utf8_are_replaced(spark):
     assert [list(r.ids) for r in trie_bpe.encode_documents(broken, WORD_BPE).collect()] == [want, want]
     assert [r.n_tokens for r in token_files.round_trip(broken, WORD_BPE).collect()] == [len(want) + 1] * 2
     assert [r.length for r in packing.pieces(broken, WORD_BPE).collect()] == [len(want) + 1] * 2
+
+
+def test_letters_alone_are_one_word_without_a_search(monkeypatch):
+    """Only chunks with other signs are split by the pattern; ids are the library's in any case."""
+    split, words = [], wp.words
+
+    def counted(path, chunk):
+        split.append(chunk)
+        return words(path, chunk)
+
+    monkeypatch.setattr(wp, "words", counted)
+    texts = ["Quixotically plain zyzzyvas", "quixotically, it's plain 42 qx7 naïve", "<|endoftext|> plain"]
+    known = [wp.load(WORD_BPE).encode(t, add_special_tokens=False).ids for t in texts]
+    for way, caches in ((wp, wp._library), (trie_bpe, trie_bpe._known)):
+        caches.cache_clear()
+        split.clear()
+        assert [x.tolist() for x in way.encode(WORD_BPE, texts)] == known
+        assert sorted(split) == sorted({"quixotically,", "it's", "42", "qx7", "naïve", "<|endoftext|>"})
