@@ -40,12 +40,18 @@ _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
     ranks = ranks.astype("<u4")
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    size = np.ones(len(ranks), np.uint8)
+    for most in (0xFF, 0xFFFF, 0xFFFFFF):
+        size += ranks > most
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     codes[: len(ranks)] = size - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    used = np.arange(4) < size[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    control = codes[::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    start = np.cumsum(size, dtype=np.int64) - size
+    data = np.empty(int(size.sum(dtype=np.int64)), np.uint8)
+    for k, own in enumerate(ranks.view(np.uint8).reshape(-1, 4).T):
+        longer = np.flatnonzero(size > k)
+        data[start[longer] + k] = own[longer]
+    return control.tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
