@@ -52,6 +52,13 @@ def _special_pattern(path: str) -> re.Pattern | None:
     return re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
 
 
+@functools.cache
+def _lowered_mark(path: str) -> re.Pattern | None:
+    """Finds what is a special token once it is lower-cased: a text that only then has one must not be taken to have it."""
+    marks = _special_pattern(path)
+    return marks and re.compile(marks.pattern, re.IGNORECASE)
+
+
 @functools.cache
 def _quick(path: str) -> bool:
     import json
@@ -87,10 +94,10 @@ def chunks(path: str, text: str | None) -> list[str]:
     """
     if not text:
         return []
+    if is_plain(path, text):
+        return text.lower().split()
     marks = _special_pattern(path)
     if marks is None or not marks.search(text):
-        if _quick(path) and _PLAIN.fullmatch(text):
-            return text.lower().split()
         return _library_split(path, text)
     out = []
     for k, piece in enumerate(marks.split(text)):
@@ -101,6 +108,12 @@ def chunks(path: str, text: str | None) -> list[str]:
     return out
 
 
+def is_plain(path: str, text: str) -> bool:
+    """Whether a text has plain letters only and nothing like a special token, so that it may be cut at white space."""
+    marks = _lowered_mark(path)
+    return bool(_quick(path) and _PLAIN.fullmatch(text) and not (marks and marks.search(text)))
+
+
 def words(path: str, chunk: str) -> list[str]:
     """The words of a chunk."""
     if chunk not in special(path) and _quick(path) and _PLAIN.fullmatch(chunk):

@@ -137,3 +137,10 @@ def test_letters_alone_are_one_word_without_a_search(monkeypatch):
         split.clear()
         assert [x.tolist() for x in way.encode(WORD_BPE, texts)] == known
         assert sorted(split) == sorted({"quixotically,", "it's", "42", "qx7", "naïve", "<|endoftext|>"})
+
+
+def test_special_tokens_in_capitals_are_plain_text(library):
+    texts = ["a <|ENDOFTEXT|> b", "<|EndOfText|>", "<|STARTOFTEXT|><|endoftext|>"]
+    known = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in wp.encode(WORD_BPE, texts)] == known
+    assert [x.tolist() for x in trie_bpe.encode(WORD_BPE, texts)] == known
