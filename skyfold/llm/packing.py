@@ -11,6 +11,7 @@ by its length and its rank among the pieces of that length.
 
 from __future__ import annotations
 
+import itertools
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
@@ -22,9 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm import wordpieces as wp
-from skyfold.llm.common import stored, valid
+from skyfold.llm.common import lots, stored, valid
 
-#: Documents encoded at once.
+#: Documents taken out of a batch and written at once.
 ROWS = 128
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]
@@ -129,10 +130,10 @@ def pieces(docs: DataFrame, path: str, room: int = 2048, end: int = 0, text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                lot = batch.slice(at, ROWS)
+            texts = itertools.chain.from_iterable(part.column(1).to_pylist() for part in lots([batch], ROWS))
+            for some in itertools.batched(zip(batch.column(0).to_pylist(), wp.encode(path, texts, end), strict=True), ROWS):
                 rows = []
-                for doc, ids in zip(lot.column(0).to_pylist(), wp.encode(path, lot.column(1).to_pylist(), end), strict=True):
+                for doc, ids in some:
                     for k in range(0, len(ids), room):
                         own = ids[k : k + room]
                         rows.append((doc, k // room, k, len(own), own.tobytes(), part, seen[len(own)]))

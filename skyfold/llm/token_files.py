@@ -12,6 +12,7 @@ its place in it.  Beside the blocks stands a folder ``ids`` with the id of each
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +22,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfold.llm import wordpieces as wp
-from skyfold.llm.common import stored, valid
+from skyfold.llm.common import lots, stored, valid
 from skyfold.workspace import shared_folder
 
-#: Ids after which a block ends with the document at hand, and texts encoded together.
+#: Ids after which a block ends with the document at hand, and texts that are taken out of a batch together.
 BLOCK_IDS = 1 << 18
 ROWS = 128
 
@@ -91,15 +92,14 @@ def _gathered(docs: DataFrame, path: str, end: int, text: str, id_column: str) -
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, [*_KINDS, _KINDS[2], _KINDS[2]], strict=True)], ["file", "first", "docs", "sizes", "ids", "seen", "times"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                for doc, ids in zip(part.column(0).to_pylist(), wp.encode(path, part.column(1).to_pylist(), end), strict=True):
-                    names.append(doc)
-                    own.append(ids)
-                    size += len(ids)
-                    if size >= BLOCK_IDS:
-                        yield block()
-                        first, size, names, own = first + size, 0, [], []
+            texts = itertools.chain.from_iterable(part.column(1).to_pylist() for part in lots([batch], ROWS))
+            for doc, ids in zip(batch.column(0).to_pylist(), wp.encode(path, texts, end), strict=True):
+                names.append(doc)
+                own.append(ids)
+                size += len(ids)
+                if size >= BLOCK_IDS:
+                    yield block()
+                    first, size, names, own = first + size, 0, [], []
         if len(total) or own:
             yield block(last=True)
 

@@ -1,8 +1,9 @@
 """Texts as the words that a tokenizer file's normaliser and splitter make of them, and their ids.
 
 The tokenizers library splits and encodes; what is added here is that a word is
-encoded once per worker process however often it occurs, and a quick way to split
-texts in Latin letters, for which the classes of the splitting pattern are known.
+encoded once for many texts however often it occurs, a quick way to split
+texts in Latin letters, for which the classes of the splitting pattern are known, and
+a compiled encoder for the words of a file whose ids follow the order of its merges.
 """
 
 from __future__ import annotations
@@ -15,12 +16,19 @@ import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import tiktoken
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
-#: Words whose encodings a worker keeps before it starts anew: a bound on its memory, not on the words.
+#: Words whose encodings by the trie a worker keeps before it starts anew: a bound on its memory, not on the words.
 KEPT_WORDS = 600_000
-#: Texts that are looked up together.
+#: Texts that the trie looks up together, and letters of texts that the library's model gets together.
 LOT = 32
+LETTERS = 1 << 23
+#: Letters of the longest chunk that goes to the compiled encoder.
+LONGEST = 100
 #: The splitting pattern of the public file, which the quick way stands for.
 KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -28,7 +36,8 @@ _RANGE = [chr(c) for c in (9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x180)) i
 _LETTERS = "".join(re.escape(c) for c in _RANGE if unicodedata.category(c)[0] == "L")
 _NUMBERS = "".join(re.escape(c) for c in _RANGE if unicodedata.category(c)[0] == "N")
 _PLAIN = re.compile("[" + "".join(map(re.escape, _RANGE)) + "]*")
-_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+#: The known pattern with its ways in another order: no two of the first three begin with the same sign.
+_WORD = re.compile(rf"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
 
 
 @functools.cache
@@ -116,7 +125,8 @@ def is_plain(path: str, text: str) -> bool:
 
 def words(path: str, chunk: str) -> list[str]:
     """The words of a chunk."""
-    if chunk not in special(path) and _quick(path) and _PLAIN.fullmatch(chunk):
+    shown = chunk.isascii() and chunk.isprintable()
+    if (shown or _PLAIN.fullmatch(chunk)) and _quick(path) and chunk not in special(path):
         return _WORD.findall(chunk)
     return [chunk]
 
@@ -165,47 +175,102 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _Words(dict):
-    """The packed ids of a word by the library's model, worked out when it is first met."""
-
-    def __init__(self, path: str):
-        super().__init__()
-        self.tokenize, self.added = load(path).model.tokenize, special(path)
-        self.one = [packed([i]) for i in range(load(path).get_vocab_size())]
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        if word in self.added:
-            ids = packed([self.added[word]])
-        else:
-            one = self.one
-            ids = b"".join([one[x.id] for x in self.tokenize(word if is_word(word) else byte_letters(word))])
-        self[word] = ids
-        return ids
+@functools.cache
+def _compiled(path: str) -> tuple[tiktoken.Encoding, np.ndarray] | None:
+    """A compiled encoder of words with a space behind each, and which ids end a word; none where the file's ids don't follow its merges.
 
+    No word has a space, so that it can stand for the mark of a word's end.  That the last
+    letter takes the mark comes before all merges, as in the file.
+    """
+    import json
 
-class _Ids(dict):
-    """The packed ids of a chunk, joined from those of its words when it is first met."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    mark, added, tokenize = model.get("end_of_word_suffix"), special(path), load(path).model.tokenize
+    if not _quick(path) or model["type"] != "BPE" or not mark or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges")):
+        return None
+    own = {w: i for w, i in model["vocab"].items() if w not in added}
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    in_order = {own.get(x) for x in BYTE_OF_LETTER} == set(range(256)) and {own.get(x + mark) for x in BYTE_OF_LETTER} == set(range(256, 512))
+    if not in_order or [own.get(w) for w in merged] != list(range(512, len(own))):
+        return None
+    # Where each token is what its own letters give, no token can be met by other ways than the file's merges.
+    inside = BPE(vocab=model["vocab"], merges=[tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]).tokenize
+    if any([x.id for x in (tokenize(w.removesuffix(mark)) if w.endswith(mark) else inside(w))] != [own[w]] for w in merged):
+        return None
+    ranks = {bytes(BYTE_OF_LETTER[c] for c in w.removesuffix(mark)) + b" " * w.endswith(mark): i for w, i in own.items()}
+    closing = np.zeros(len(own), bool)
+    closing[[i for w, i in own.items() if w.endswith(mark)]] = True
+    return tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={}), closing
+
+
+class _Library:
+    """The ids of texts by a file's model, those of each chunk worked out once for all texts that are given together."""
 
     def __init__(self, path: str):
-        super().__init__()
-        self.path, self.words = path, _Words(path)
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        own = self.words
-        ids = self[chunk] = own[chunk] if is_word(chunk) else b"".join([own[w] for w in words(self.path, chunk)])
-        return ids
-
-
-_library = functools.cache(_Ids)
+        self.path, self.tokenize, self.added, self.compiled = path, load(path).model.tokenize, special(path), _compiled(path)
+
+    def encode(self, texts: list[str], tail: bytes) -> Iterator[np.ndarray]:
+        """The ids of each text with ``tail`` behind them."""
+        plain = np.array([is_plain(self.path, t) for t in texts], bool)
+        split = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(list(itertools.compress(texts, plain)), pa.large_string())))
+        others = [chunks(self.path, t) for t in itertools.compress(texts, ~plain)]
+        # Texts in plain letters come first, the others behind them.
+        ends = np.cumsum([*pc.list_value_length(split).to_pylist(), *map(len, others)], dtype=np.int64)
+        met = pa.concat_arrays([split.flatten(), pa.array(list(itertools.chain.from_iterable(others)), pa.large_string())]).dictionary_encode()
+        del split, others
+        ids, starts = self._of(met.dictionary.to_numpy(zero_copy_only=False).tolist())
+        data = pa.py_buffer(ids.tobytes() + tail)
+        each = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts * 4, data.size)), data])
+        _, offsets, data = each.take(pa.array(np.insert(met.indices.to_numpy(), ends, len(starts) - 1))).buffers()
+        stops = np.frombuffer(offsets, np.int64)[ends + np.arange(1, len(ends) + 1)] // 4
+        ids = np.frombuffer(data or b"", "<u4", int(stops[-1]))
+        place = np.empty(len(texts), np.int64)
+        place[np.argsort(~plain, kind="stable")] = np.arange(len(texts))
+        for start, stop in zip(np.append(0, stops)[place].tolist(), stops[place].tolist(), strict=True):
+            yield ids[start:stop]
+
+    def _of(self, met: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks one behind the other, and where those of each start, and the end."""
+        # The compiled encoder's time grows with the square of a word's length.
+        slow = [k for k, c in enumerate(met) if len(c) > LONGEST or c in self.added or not self.compiled]
+        own = [[c] if is_word(c) else words(self.path, c) for c in met]
+        alone = [[i for w in own[k] for i in self._by_model(w)] for k in slow]
+        for k in slow:
+            own[k] = []
+        ids, starts = np.zeros(0, "<u4"), np.zeros(len(met) + 1, np.int64)
+        if self.compiled:
+            encoding, closing = self.compiled
+            ids = encoding.encode_to_numpy(" ".join([*itertools.chain.from_iterable(own), ""]), disallowed_special=()).astype("<u4", copy=False)
+            starts = np.append(0, np.flatnonzero(closing[ids]) + 1)[np.cumsum([0, *map(len, own)])]
+        if slow:
+            sizes = np.zeros(len(starts), np.int64)
+            sizes[np.array(slow) + 1] = [len(x) for x in alone]
+            ids = np.insert(ids, np.repeat(starts[slow], sizes[np.array(slow) + 1]), np.fromiter(itertools.chain.from_iterable(alone), "<u4"))
+            starts = starts + np.cumsum(sizes)
+        return ids, starts
+
+    def _by_model(self, word: str) -> list[int]:
+        return [self.added[word]] if word in self.added else [x.id for x in self.tokenize(word if is_word(word) else byte_letters(word))]
+
+
+_library = functools.cache(_Library)
+
+
+def _together(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    lot, size = [], 0
+    for text in texts:
+        lot.append(text or "")
+        size += len(lot[-1])
+        if size >= LETTERS:
+            yield lot
+            lot, size = [], 0
+    if lot:
+        yield lot
 
 
 def encode(path: str, texts: Iterable[str | None], end: int | None = None) -> Iterator[np.ndarray]:
     """The ids of each text by the library's model, with ``end`` behind them where one is given."""
-    known = _library(path)
     tail = b"" if end is None else packed([end])
-    for text in texts:
-        yield np.frombuffer(b"".join(map(known.__getitem__, chunks(path, text))) + tail, "<u4")
+    for lot in _together(texts):
+        yield from _library(path).encode(lot, tail)

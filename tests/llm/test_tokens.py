@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter
@@ -144,3 +145,40 @@ def test_special_tokens_in_capitals_are_plain_text(library):
     known = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert [x.tolist() for x in wp.encode(WORD_BPE, texts)] == known
     assert [x.tolist() for x in trie_bpe.encode(WORD_BPE, texts)] == known
+
+
+def test_chunks_are_encoded_once_for_many_texts(monkeypatch, library):
+    """Rare words go to a compiled encoder together; ids are the library's whatever the lot, the length of a word or its letters."""
+    rng = random.Random(2)
+    rare = ["".join(rng.choice("abeéiñosßtŸŉ") for _ in range(rng.choice([3, 12, 99, 100, 101, 300]))) + rng.choice(["", ".", ",&&&", "'s"]) for _ in range(400)]
+    texts = [" ".join(rng.choices(rare, k=30)) for _ in range(60)] + ["", None, " \n", "中文 Σίσυφος ΟΔΟΣ", "x" * 5000, "".join(wp._RANGE), " ".join(wp._RANGE), "a<|endoftext|>b"]
+    rng.shuffle(texts)
+    known = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    asked, by_model = [], wp._Library._by_model
+    monkeypatch.setattr(wp._Library, "_by_model", lambda self, word: asked.append(word) or by_model(self, word))
+    for letters in (1, 1000, 1 << 23):
+        monkeypatch.setattr(wp, "LETTERS", letters)
+        asked.clear()
+        assert [x.tolist() for x in wp.encode(WORD_BPE, texts)] == known
+        assert [x.tolist() for x in wp.encode(WORD_BPE, texts, 7)] == [[*x, 7] for x in known]
+    assert set(asked) <= {w for c in rare if len(c) > wp.LONGEST for w in wp.words(WORD_BPE, c.lower())} | {"x" * 5000, "".join(wp._RANGE), "<|endoftext|>"} | set(wp.words(WORD_BPE, "".join(wp._RANGE).lower()))
+    monkeypatch.setattr(wp._library(WORD_BPE), "compiled", None)
+    assert [x.tolist() for x in wp.encode(WORD_BPE, texts)] == known
+
+
+def test_compiled_encoder_is_only_for_files_in_order_of_merges(tmp_path):
+    """Without the merge that the file makes a token by, the compiled encoder would still make it."""
+    with open(WORD_BPE, encoding="utf-8") as file:
+        parts = json.load(file)
+    assert wp._compiled(WORD_BPE)
+    merges = parts["model"]["merges"]
+    k = next(k for k, m in enumerate(merges) if len("".join(m)) == 3 and "</w>" not in "".join(m))
+    a, b = merges[k] if isinstance(merges[k], list) else merges[k].split(" ")
+    word = a + b
+    other = [word[:1], word[1:]] if len(a) == 2 else [word[:2], word[2:]]
+    parts["model"]["merges"] = [*merges[:k], other if isinstance(merges[k], list) else " ".join(other), *merges[k + 1 :]]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(parts), encoding="utf-8")
+    assert wp._compiled(str(path)) is None
+    texts = [word, f"{word}s the {word}ing", "river"]
+    assert [x.tolist() for x in wp.encode(str(path), texts)] == [wp.load(str(path)).encode(t, add_special_tokens=False).ids for t in texts]
