@@ -26,9 +26,9 @@ def lots(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Reco
             yield batch.slice(at, rows)
 
 
-def tucked(docs: DataFrame) -> Column:
-    """All columns as one struct, ``row``, so that no name of theirs meets a name of an operator's own."""
-    return F.struct(*(docs[f"`{c}`"].alias(c) for c in docs.columns)).alias("row")
+def tucked(docs: DataFrame, but: str | None = None) -> Column:
+    """All columns, ``but`` one, as one struct, ``row``, so that no name of theirs meets a name of an operator's own."""
+    return F.struct(*(docs[f"`{c}`"].alias(c) for c in docs.columns if c != but)).alias("row")
 
 
 def valid(text: Column) -> Column:

@@ -11,12 +11,14 @@ clusters: of each the first unit in the corpus stays, the others go.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +37,17 @@ BLOCK = 512
 KEPT_WORDS = 1 << 18
 #: Rows of output held at once.
 OUT = 1 << 15
+#: Bytes of the texts that are cut into words together.
+LETTERS = 1 << 21
 
 _MULTIPLIERS = np.random.default_rng(4).integers(1, 2**62, ROWS * MOST_BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: A mark that ends a sentence, and the white space behind it.
 _END = re.compile(r"[.!?]\s+")
+_MARKS = np.frombuffer(b".!?", np.uint8)
+#: White space beyond ASCII, none of it above U+3000, and in ASCII.
+_WIDE = re.compile("[" + "".join(chr(c) for c in range(0x80, 0x3001) if chr(c).isspace()) + "]")
+_BLANK = bytes(c for c in range(0x80) if chr(c).isspace())
+_IS_BLANK = bytes(c in _BLANK for c in range(256))
 
 
 class Unit:
@@ -94,9 +103,13 @@ def _hash(words: list[str]) -> int:
     return _unit(_numbers(words))
 
 
+def _raw(part: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(part, 2) - (1 << 63)
+
+
 def raw_hash(part: str) -> int:
     """The hash of a stretch of text as it stands, which needs no words."""
-    return xxhash.xxh3_64_intdigest(part.encode("utf-8", "surrogatepass"), 2) - (1 << 63)
+    return _raw(part.encode("utf-8", "surrogatepass"))
 
 
 def _rolled(numbers: np.ndarray) -> np.ndarray:
@@ -129,37 +142,95 @@ def _out(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows, the text in the last column never null."""
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, so many at a time that their texts, in the last column, have about ``LETTERS`` bytes."""
     for batch in batches:
-        for k in range(batch.num_rows):
-            *own, text = (c[k].as_py() for c in batch.columns)
-            yield *own, text or ""
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+        lot = np.cumsum(sizes, dtype=np.int64) // LETTERS
+        cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), batch.num_rows]
+        for first, last in zip(cuts, cuts[1:], strict=False):
+            if last > first:
+                yield batch.slice(first, last - first)
+
+
+def _edges(text: str) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The text as UTF-8, each white space one byte of it, and where its words start and end there."""
+    data = (text if text.isascii() else _WIDE.sub(" ", text)).encode("utf-8", "surrogatepass")
+    turns = np.flatnonzero(np.diff(np.frombuffer(data.translate(_IS_BLANK), np.bool_), prepend=True, append=True))
+    return data, turns[::2], turns[1::2]
+
+
+def _numbered(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of all words, those of ``_numbers``; each distinct word is hashed once."""
+    offsets = np.append(0, np.cumsum(ends - starts)).astype(np.int32)
+    letters = pa.py_buffer(data.translate(None, _BLANK))
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), letters]).dictionary_encode()
+    each = np.fromiter(map(xxhash.xxh64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+    return each[words.indices.to_numpy()]
+
+
+def _places(data: bytes, at: np.ndarray) -> np.ndarray:
+    """The characters before each of these bytes."""
+    if data.isascii():
+        return at
+    inner = np.frombuffer(data, np.int8) < -64
+    return at - np.append(0, np.cumsum(inner))[at]
+
+
+def _units(numbers: np.ndarray, firsts: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+    """``_unit`` of each stretch of words."""
+    whole = memoryview(numbers).cast("B")
+    pairs = zip((8 * firsts).tolist(), (8 * lasts).tolist(), strict=True)
+    found = np.fromiter((xxhash.xxh64_intdigest(whole[a:b], 1) for a, b in pairs), np.uint64, len(firsts))
+    return (found ^ np.uint64(1 << 63)).view(np.int64)
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names, kinds, rows = ["unit", "raw", "doc", "own", "at", "keys"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())], []
-    for doc, mix, text in _bodies(batches):
-        lines, sentences = units(text)
-        numbers = _numbers([w for line in lines for w in line.words])
-        ends = np.cumsum([len(line.words) for line in lines], dtype=np.int64)
-        starts = np.append(0, ends)[:-1] if len(lines) else ends
-        long = ends - starts >= WORDS
-        keys = iter(bands(_rolled(numbers), starts[long], ends[long] - WORDS + 1).tolist() if long.any() else ())
-        for line, own, first, last, whole in zip(lines, sentences, starts.tolist(), ends.tolist(), long.tolist(), strict=True):
-            # Fewer words than a shingle: only equal ones count, and only as whole paragraphs.
-            rows.append((_unit(numbers[first:last]), raw_hash(line.raw) if whole else None, doc, mix, 2 * line.start, next(keys) if whole else []))
-            if whole and len(own) > 1:
-                for s in own:
-                    n = len(s.words)
-                    if n >= WORDS:
-                        rows.append((_unit(numbers[first : first + n]), None, doc, mix, 2 * s.start + 1, []))
-                    first += n
-        if len(rows) >= OUT:
-            yield _out(rows, names, kinds)
-            rows = []
-    if rows:
-        yield _out(rows, names, kinds)
+    """The units of ``units``, of many texts at once: all are cut into words together."""
+    names = ["unit", "raw", "doc", "own", "at", "keys"]
+    for batch in _stretches(batches):
+        texts = [text or "" for text in batch.column(2).to_pylist()]
+        joined = "\n".join(texts)
+        data, starts, ends = _edges(joined)
+        if not len(starts):
+            continue
+        numbers = _numbered(*_edges(joined.lower()))
+        letters = np.frombuffer(data, np.uint8)
+        line = np.searchsorted(np.flatnonzero(letters == ord("\n")), starts)
+        opens = np.append(True, line[1:] != line[:-1])
+        firsts = np.flatnonzero(opens)
+        lasts = np.append(firsts[1:], len(starts))
+        # A sentence starts a line or follows a word with a mark at its end.
+        heads = np.flatnonzero(opens | np.append(True, np.isin(letters[ends[:-1] - 1], _MARKS)))
+        tails = np.append(heads[1:], len(starts))
+        of = np.searchsorted(firsts, heads, "right") - 1
+        own = (tails - heads >= WORDS) & (np.bincount(of)[of] > 1)
+        heads, tails = heads[own], tails[own]
+        # Fewer words than a shingle: only equal ones count, and only as whole paragraphs.
+        whole = lasts - firsts >= WORDS
+        keys = bands(_rolled(numbers), firsts[whole], lasts[whole] - WORDS + 1) if whole.any() else np.zeros((0, BANDS), np.int64)
+        raws = joined.encode("utf-8", "surrogatepass").split(b"\n")
+        raw = np.zeros(len(firsts) + len(heads), np.int64)
+        raw[: len(firsts)][whole] = [_raw(raws[k]) for k in line[firsts[whole]].tolist()]
+        judged = np.append(whole, np.zeros(len(heads), bool))
+        bases = np.append(0, np.cumsum([len(text) + 1 for text in texts]))
+        places = _places(data, starts[np.append(firsts, heads)])
+        doc = np.searchsorted(bases, places, "right") - 1
+        at = 2 * (places - bases[doc])
+        at[len(firsts) :] += 1
+        rows = pa.array(doc)
+        edges = np.append(0, np.cumsum(judged * BANDS)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.append(_units(numbers, firsts, lasts), _units(numbers, heads, tails))),
+                pa.array(raw, mask=~judged),
+                batch.column(0).take(rows),
+                batch.column(1).take(rows),
+                pa.array(at.astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array(edges), pa.array(keys.ravel())),
+            ],
+            names,
+        )
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +264,10 @@ def _forest(members: dict[int, np.ndarray]) -> list[tuple[int, int]]:
                 theirs = members[other]
                 small, large = sorted((len(mine), len(theirs)))
                 if small >= LIKE * large:
-                    both = len(np.intersect1d(mine, theirs, assume_unique=True))
+                    # Each is a set in order: what stands twice in a row is in both.
+                    all_of = np.concatenate((mine, theirs))
+                    all_of.sort(kind="stable")
+                    both = np.count_nonzero(all_of[1:] == all_of[:-1])
                     if both >= LIKE * (small + large - both) - 1e-9:
                         links.append((one, other))
                         reached.append(other)
@@ -219,18 +293,18 @@ def near(found: DataFrame, source: DataFrame, parts: Callable[[str], list[str]]
     sieve = Sieve(met.select("raw"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for _, text in _bodies(batches):
-            own = parts(text)
-            for k in np.flatnonzero(sieve.may_hold(np.array([raw_hash(part) for part in own], np.int64))):
-                words = own[k].lower().split()
-                if len(words) >= WORDS:
-                    rows.append((_hash(words), shingles(words).tobytes()))
-            if len(rows) >= 1024:
-                yield _out(rows, ["unit", "found"], [pa.int64(), pa.binary()])
-                rows = []
-        if rows:
-            yield _out(rows, ["unit", "found"], [pa.int64(), pa.binary()])
+        for batch in _stretches(batches):
+            own = [part for text in batch.column(1).to_pylist() for part in parts(text or "")]
+            asked = np.flatnonzero(sieve.may_hold(np.fromiter(map(raw_hash, own), np.int64, len(own))))
+            bodies = [own[k].lower() for k in asked.tolist()]
+            data, starts, ends = _edges("\n".join(bodies))
+            numbers = _numbered(data, starts, ends)
+            edges = np.searchsorted(_places(data, starts), np.append(0, np.cumsum([len(body) + 1 for body in bodies])))
+            whole = np.diff(edges) >= WORDS
+            if whole.any():
+                firsts, lasts, rolled = edges[:-1][whole], edges[1:][whole], _rolled(numbers)
+                found = [np.unique(rolled[a:b]).tobytes() for a, b in zip(firsts.tolist(), (lasts - WORDS + 1).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(_units(numbers, firsts, lasts)), pa.array(found, pa.binary())], ["unit", "found"])
 
     # Copies of a paragraph have the same set: one is kept before they are sent.
     known = source.mapInArrow(sets, "unit long, found binary").groupBy("unit").agg(F.min("found").alias("found"))
@@ -272,18 +346,23 @@ def without(text: str, lost: set[tuple[int, int]]) -> str:
 
     A sentence that is too short to be judged goes if those on both sides go.
     """
-    lines, sentences = units(text)
     places = {at for at, _ in lost}
+    inner = sorted(at >> 1 for at in places if at & 1)
     gone: list[tuple[int, int]] = []
-    for line, own in zip(lines, sentences, strict=True):
-        if 2 * line.start in places and (2 * line.start, _hash(line.words)) in lost:
-            gone.append((line.start, line.end))
-            continue
-        out = [2 * s.start + 1 in places and (2 * s.start + 1, _hash(s.words)) in lost for s in own]
-        for k, s in enumerate(own):
-            between = len(s.words) < WORDS and 0 < k < len(own) - 1 and out[k - 1] and out[k + 1]
-            if out[k] or between:
-                gone.append((s.start, s.end))
+    at = 0
+    # Only paragraphs that are named, or hold a sentence that is, are split into words.
+    for raw in text.split("\n"):
+        start, after = at + len(raw) - len(raw.lstrip()), at + len(raw)
+        if start < after and 2 * start in places and (2 * start, _hash(raw.lower().split())) in lost:
+            gone.append((start, at + len(raw.rstrip())))
+        elif bisect.bisect_left(inner, start) < bisect.bisect_left(inner, after):
+            for own in units(raw)[1]:
+                out = [2 * (at + s.start) + 1 in places and (2 * (at + s.start) + 1, _hash(s.words)) in lost for s in own]
+                for k, s in enumerate(own):
+                    between = len(s.words) < WORDS and 0 < k < len(own) - 1 and out[k - 1] and out[k + 1]
+                    if out[k] or between:
+                        gone.append((at + s.start, at + s.end))
+        at = after + 1
     kept, at = [], 0
     for start, end in gone:
         kept.append(text[at:start])
@@ -312,12 +391,18 @@ def cleaned(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lots(batches):
             bodies = batch.column(1).to_pylist()
-            for k, found in enumerate(batch.column(2).to_pylist()):
-                if found and bodies[k]:
-                    bodies[k] = without(bodies[k], {(x["at"], x["unit"]) for x in found})
+            found = batch.column(2)
+            # The lists' edges within all their values; a null list has none.
+            edges = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)))
+            values = found.flatten()
+            pairs = list(zip(values.field("at").to_pylist(), values.field("unit").to_pylist(), strict=True))
+            for k in np.flatnonzero(np.diff(edges)).tolist():
+                if bodies[k]:
+                    bodies[k] = without(bodies[k], set(pairs[edges[k] : edges[k + 1]]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.string())], ["row", "body"])
 
-    whole = docs.select(tucked(docs), docs[id_column].cast("long").alias("doc"), _own(docs, text), valid(docs[text]).alias("body"))
+    # The text itself goes on as ``body`` alone.
+    whole = docs.select(tucked(docs, text), docs[id_column].cast("long").alias("doc"), _own(docs, text), valid(docs[text]).alias("body"))
     whole = whole.withColumn("asked", may_lose("own"))
     met = whole.where("asked").join(lost, (F.col("own") == F.col("same")) & F.col("doc").eqNullSafe(F.col("met")), "left").select("row", "body", "lost")
     done = met.mapInArrow(cut, T.StructType([whole.schema["row"], whole.schema["body"]]))

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -204,6 +205,49 @@ def test_a_passage_inside_a_paragraph_goes():
     assert paragraphs.without(text, gone) == "Start of it all here. The end of it all comes."
 
 
+def test_texts_are_cut_into_words_together(monkeypatch):
+    """Units made from many texts at once are those of each text alone, at the same characters."""
+    odd = [
+        *("", None, "\n\n \n", "one", PROSE),
+        "\u0130\u0130 one two three four five. Six seven EIGHT nine ten eleven! Twelve a b c d e? f",
+        " \u3000\u0391\u03a3 \u03a3\u0391\u03a3. \u039f\u03a3\x1c\u03a3 a b c d e.\x85A b c d e f g! \n\n  .  \nx. y. z. w. v. u\r\nK \u212aelvin a. B c d e f g h.  ",
+        "\n a b c d e f. g h i j k l?!  m n o p q r\n\U0001f600 \u65e5\u672c. g h i j k\u2003l m",
+    ] * 20
+    calls, made = [], paragraphs.bands
+    monkeypatch.setattr(paragraphs, "bands", lambda *a: calls.append(1) or made(*a))
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *range(1, len(odd))], pa.int64()), pa.array(range(len(odd))), pa.array(odd)], ["doc", "own", "text"])
+    found = {(r["unit"], r["raw"], r["doc"], r["own"], r["at"], tuple(r["keys"])) for b in paragraphs._occurrences(iter([batch])) for r in b.to_pylist()}
+    assert len(calls) == 1
+    known = set()
+    for k, text in enumerate(odd):
+        lines, sentences = paragraphs.units(text or "")
+        for line, own in zip(lines, sentences, strict=True):
+            whole = len(line.words) >= paragraphs.WORDS
+            rolled = paragraphs._rolled(paragraphs._numbers(line.words)) if whole else None
+            keys = tuple(made(rolled, np.array([0]), np.array([len(rolled)]))[0].tolist()) if whole else ()
+            known.add((paragraphs._hash(line.words), paragraphs.raw_hash(line.raw) if whole else None, k or None, k, 2 * line.start, keys))
+            known |= {(paragraphs._hash(s.words), None, k or None, k, 2 * s.start + 1, ()) for s in own if len(own) > 1 and len(s.words) >= paragraphs.WORDS}
+    assert found == known
+
+
+def test_stretches_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(paragraphs, "LETTERS", 10)
+    texts = ["x" * 25, None, "", "abc", "abcdefghij", "ab"] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["k", "text"])
+    parts = list(paragraphs._stretches(iter([batch, batch.slice(0, 0)])))
+    assert [k for p in parts for k in p.column(0).to_pylist()] == list(range(len(texts))) and len(parts) > 3
+
+
+def test_only_paragraphs_that_lose_something_are_cut_into_sentences(monkeypatch):
+    text = "A b c d e f. G h i j k l.\n" + PROSE + "\nA last one of it."
+    lines, sentences = paragraphs.units(text)
+    seen, cut = [], paragraphs.units
+    monkeypatch.setattr(paragraphs, "units", lambda t: seen.append(t) or cut(t))
+    gone = {(2 * lines[1].start, paragraphs._hash(lines[1].words)), (2 * sentences[0][1].start + 1, paragraphs._hash(sentences[0][1].words))}
+    assert paragraphs.without(text, gone) == "A b c d e f. \nA last one of it."
+    assert seen == ["A b c d e f. G h i j k l."]
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for _ in range(600):
