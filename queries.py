@@ -692,9 +692,8 @@ def template_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def periodogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = period.periodogram(kept(spark, sf_dir, FEATURE_LIMIT))
-    # So many rows that the decimals behind F.round would take most of the time.
-    return table.select("objectid", *((F.rint(F.col(c) * 1e4) / 1e4 + F.lit(0.0)).alias(c) for c in ("freq", "power")))
+    # So many rows that rounding them in the plan would take much of the time.
+    return period.periodogram(kept(spark, sf_dir, FEATURE_LIMIT), decimals=4)
 
 
 @query

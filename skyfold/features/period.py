@@ -81,29 +81,105 @@ def with_periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> Data
     )
 
 
-def periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> DataFrame:
-    """The periodogram in long form: one row per curve and frequency.
+# Of the rows of a periodogram: powers that are ordered together, frequencies of a curve that stay together, rows handed on at once,
+# powers a task holds back (16 bytes each, about twice that while they are sorted), and values well within the 2^17 doubles
+# that a Parquet file's dictionary of a column has room for.
+LOT = 1_000_000
+STRETCH = 32
+ROWS = 20_000
+HELD = 8_000_000
+DICTIONARY = 125_000
 
-    A task makes the rows as columns, a curve at a time: arrays of ``with_periodogram`` would be zipped and
+
+def periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID, decimals: int | None = None) -> DataFrame:
+    """The periodogram in long form: one row per curve and frequency, rounded to ``decimals`` if given.
+
+    A task makes the rows as columns, some curves at a time: arrays of ``with_periodogram`` would be zipped and
     exploded element by element.
+
+    There are thousands of rows a curve, so their order is one that is small when stored.  Curve by curve, the first page of a
+    Parquet file has every frequency once and hardly a power twice; the writer gives up its dictionaries there, and a row
+    takes 10 bytes.  The same frequencies of many curves together, lowest powers ahead, keep both.  Rounded powers have few
+    values as long as they are low: those beyond the dictionary's room wait in the task and follow sorted.
     """
     start, step, count = grid.start, grid.step, grid.count
+    lot, places = max(1, LOT // count), -(-count // STRETCH)
+    room = math.inf if decimals is None else DICTIONARY / 10.0**decimals
+
+    def cut(values: np.ndarray) -> np.ndarray:
+        return values if decimals is None else np.rint(values * 10.0**decimals) / 10.0**decimals + 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freqs = pa.array(start + step * np.arange(count))
-        for batch in batches:
-            for k, curve in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)):
-                power = kernels.spectrum(*(np.array(x, dtype=float) for x in curve), start, step, count)
-                if power is not None:
-                    ids = pa.repeat(batch.column(0)[k], count)
-                    # A power that is not a number stays one, as in the array.
-                    yield pa.RecordBatch.from_arrays([ids, freqs, pa.array(power)], ["objectid", "freq", "power"])
+        freqs = cut(start + step * np.arange(count))
+        ids: list[pa.Array] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def rows(ids: pa.Array, at: np.ndarray, powers: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for part in kernels.blocks(at.size, ROWS):
+                curve, place = np.divmod(at[part], count)
+                # A power that is not a number stays one, as in the array.
+                columns = [ids.take(pa.array(curve)), pa.array(freqs[place]), pa.array(powers[part])]
+                yield pa.RecordBatch.from_arrays(columns, ["objectid", "freq", "power"])
+
+        def waiting() -> Iterator[pa.RecordBatch]:
+            if held:
+                names, (at, powers) = pa.concat_arrays(ids), (np.concatenate(x) for x in zip(*held, strict=True))
+                held.clear()
+                order = np.argsort(powers)
+                for part in kernels.blocks(order.size, ROWS):
+                    yield from rows(names, at[order[part]], powers[order[part]])
+            ids.clear()
+
+        for names, powers in _spectra(batches, start, step, count, lot):
+            powers = cut(powers)
+            whole = np.full((len(powers), places * STRETCH), -np.inf)
+            whole[:, :count] = powers
+            whole = whole.reshape(len(powers), places, STRETCH)
+            top = whole.max(axis=2)
+            fits = top <= room
+            lowest = fits & (top <= np.quantile(top[fits], 1 / 16)) if fits.any() else fits
+            for chosen in (lowest, fits & ~lowest):
+                first, curve = np.nonzero(chosen.T)
+                place = first[:, None] * STRETCH + np.arange(STRETCH)
+                there = place < count
+                yield from rows(names, (curve[:, None] * count + place)[there], whole[curve, first][there])
+            mixed, fit = np.repeat(~fits, STRETCH, axis=1)[:, :count], powers <= room
+            for chosen, later in ((mixed & fit, False), (mixed & ~fit, True)):
+                place, curve = np.nonzero(chosen.T)
+                at, found = curve * count + place, powers[curve, place]
+                if later:
+                    held.append((at + sum(map(len, ids)) * count, found))
+                else:
+                    yield from rows(names, at, found)
+            ids.append(names)
+            if sum(x.size for _, x in held) > HELD:
+                yield from waiting()
+        yield from waiting()
 
     table = with_curve(df).where("_t is not null and _m is not null and _e is not null").select("objectid", "_t", "_m", "_e")
     schema = T.StructType([df.schema["objectid"], T.StructField("freq", T.DoubleType()), T.StructField("power", T.DoubleType())])
     return table.mapInArrow(run, schema)
 
 
+def _spectra(
+    batches: Iterator[pa.RecordBatch], start: float, step: float, count: int, lot: int
+) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The ids and powers of ``lot`` curves at a time, without those that have no spectrum."""
+    ids: list[pa.Scalar] = []
+    powers: list[np.ndarray] = []
+    for batch in batches:
+        for k, curve in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)):
+            power = kernels.spectrum(*(np.array(x, dtype=float) for x in curve), start, step, count)
+            if power is not None:
+                ids.append(batch.column(0)[k])
+                powers.append(power)
+            if len(powers) == lot:
+                yield pa.array(ids, ids[0].type), np.array(powers)
+                ids, powers = [], []
+    if powers:
+        yield pa.array(ids, ids[0].type), np.array(powers)
+
+
 def with_top_powers(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID, count: int = TOP) -> DataFrame:
     """Add ``_top``: the largest powers of each curve in falling order. The rest of the periodogram stays in the task."""
     start, step, size = grid.start, grid.step, grid.count

@@ -625,3 +625,23 @@ def test_periodogram_rows_are_made_as_columns(spark, documented):
     assert "_per" not in plan.columns
     assert plan.first()._top == sorted(whole._per, reverse=True)[:7]
     assert period.with_top_powers(usable, grid).where("objectid = 5").first()._top is None
+
+
+def test_periodogram_rows_are_small_when_stored(spark, tmp_path, monkeypatch):
+    """Frequencies and low powers keep their dictionaries in a file, and every row is there, held back or not."""
+    # Noise has low powers only, a sinusoid high ones; the last curve has no spectrum, one has no id.
+    curves = [sinusoid(40, 0.9)] + [noise(30, seed) for seed in range(14)] + [noise(2)]
+    table_ = table(spark, *curves).withColumn("objectid", F.when(F.col("objectid") != 5, F.col("objectid"))).coalesce(1)
+    grid = period.STANDARD_GRID
+    whole = period.with_periodogram(table_, grid).where("_per is not null").selectExpr("objectid", "explode(arrays_zip(_freq, _per)) as x")
+    whole = sorted(whole.select(F.coalesce("objectid", F.lit(-1)), *[F.rint(F.col(f"x.{c}") * 1e4) / 1e4 + F.lit(0.0) for c in ("_freq", "_per")]).collect())
+    assert len(whole) == 15 * grid.count
+    monkeypatch.setattr(period, "LOT", 4 * grid.count)
+    for most in (1000, period.HELD):
+        monkeypatch.setattr(period, "HELD", most)
+        path = str(tmp_path / f"rows{most}")
+        period.periodogram(table_, grid, decimals=4).write.parquet(path)
+        stored = spark.read.parquet(path)
+        assert sorted(stored.select(F.coalesce("objectid", F.lit(-1)), "freq", "power").collect()) == whole
+    size = sum(f.stat().st_size for f in (tmp_path / f"rows{period.HELD}").glob("part-*"))
+    assert size / len(whole) < 6
