@@ -128,10 +128,8 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     """A file for each page, written by as many tasks as shuffles have: a file costs far more than its bytes, which splits go by."""
-    stored = fx.derived(spark, sf_dir, fx.files_sql(), "pages").select("page_id", "content")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Text files by page: the line break at the end of each is part of the file.
-    stored.repartition(parts, "page_id").write.partitionBy("page_id").option("lineSep", "\n").text(path)
+    stored = fx.derived(spark, sf_dir, fx.files_sql(), "pages")
+    layout.write_texts(stored, path, "page_id", "content", int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @query
@@ -140,7 +138,7 @@ def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "pages")
     write_pages(spark, sf_dir, path)
     found = manifest.read_checksums(spark, path, largest=3000, chunk=1000)
-    return found.select(F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long").alias("page_id"), "found")
+    return found.select(F.regexp_extract("path", "page_id=([0-9]+)[/.]", 1).cast("long").alias("page_id"), "found")
 
 
 @query

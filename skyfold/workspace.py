@@ -45,6 +45,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/skyfold-{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
+def local_folder(spark: SparkSession, path: str) -> str | None:
+    """What the machine's own file system calls a folder that Spark finds there, None for one in another store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(place).toUri()
+    return full.getPath() if full.getScheme() == "file" else None
+
+
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, empty where nothing has been written to ``path`` yet."""
     try:

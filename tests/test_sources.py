@@ -136,3 +136,34 @@ def test_pages_are_written_by_many_tasks(spark, tmp_path):
     files = [f.name for f in (tmp_path / "pages").rglob("part-*")]
     assert len(files) == spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
     assert len({name.split("-")[1] for name in files}) > 1
+
+
+def test_pages_share_folders(spark, tmp_path):
+    """A folder for each task and not for each page, and the pages' bytes as they are, of pages that come twice together."""
+    from skyfold.operators import layout
+
+    rows = [(1, b"one"), (2, b"t\xff"), (3, None), (1, b"uno"), (None, b"x"), *[(n, b"%d" % n) for n in range(10, 60)]]
+    texts = spark.createDataFrame(rows, "page_id long, raw binary").selectExpr("page_id", "cast(raw as string) as content")
+    root = tmp_path / "pages"
+    layout.write_texts(texts, str(root), "page_id", "content", 4)
+    files = {f.name.split("page_id=")[1]: f.read_bytes() for f in root.rglob("part-*")}
+    assert {files[f"{n}.txt"] for n in (2, 3, 10)} == {b"t\xff\n", b"\n", b"10\n"} and files["__HIVE_DEFAULT_PARTITION__.txt"] == b"x\n"
+    assert sorted(files["1.txt"].split()) == [b"one", b"uno"] and len(files) == 54
+    assert len([f for f in root.iterdir()]) <= 4 and not [f for f in root.rglob(".*")]
+    with pytest.raises(FileExistsError):
+        layout.write_texts(texts, str(root), "page_id", "content", 4)
+    found = manifest.read_checksums(spark, str(root), largest=2, chunk=2)
+    assert "binaryFile" not in found._jdf.queryExecution().toString() and "BinaryFile" not in found._jdf.queryExecution().toString()
+    assert {r.path.split("page_id=")[1]: r.found for r in found.collect()} == {name: hashlib.md5(text).hexdigest() for name, text in files.items()}
+
+
+def test_tasks_find_the_files_that_spark_finds(spark, tmp_path, monkeypatch):
+    names = "a b c/d/e/f _h/i .j/k _l=1/m _metadata1/n _o .p q._COPYING_ r=1/_s t/u%20v".split()
+    for i, name in enumerate([*names, "w x/y z", "c/empty"]):
+        file = tmp_path / "in" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(b"" if name == "c/empty" else b"%d" % i * 5)
+    ours = {(r.path, r.found) for r in manifest.read_checksums(spark, str(tmp_path / "in"), largest=5, chunk=3).collect()}
+    monkeypatch.setattr(manifest, "local_folder", lambda *_: None)
+    assert ours == {(r.path, r.found) for r in manifest.read_checksums(spark, str(tmp_path / "in")).collect()}
+    assert len(ours) == 7
