@@ -87,7 +87,7 @@ def with_periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID) -> Data
 LOT = 1_000_000
 STRETCH = 32
 ROWS = 20_000
-HELD = 8_000_000
+HELD = 6_000_000
 DICTIONARY = 125_000
 
 
@@ -112,7 +112,7 @@ def periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID, decimals: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freqs = cut(start + step * np.arange(count))
         ids: list[pa.Array] = []
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: tuple[list[np.ndarray], list[np.ndarray]] = [], []
 
         def rows(ids: pa.Array, at: np.ndarray, powers: np.ndarray) -> Iterator[pa.RecordBatch]:
             for part in kernels.blocks(at.size, ROWS):
@@ -122,9 +122,12 @@ def periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID, decimals: in
                 yield pa.RecordBatch.from_arrays(columns, ["objectid", "freq", "power"])
 
         def waiting() -> Iterator[pa.RecordBatch]:
-            if held:
-                names, (at, powers) = pa.concat_arrays(ids), (np.concatenate(x) for x in zip(*held, strict=True))
-                held.clear()
+            if ids:
+                names, both = pa.concat_arrays(ids), []
+                for some in held:
+                    both.append(np.concatenate(some))
+                    some.clear()
+                at, powers = both
                 order = np.argsort(powers)
                 for part in kernels.blocks(order.size, ROWS):
                     yield from rows(names, at[order[part]], powers[order[part]])
@@ -148,11 +151,12 @@ def periodogram(df: DataFrame, grid: FrequencyGrid = STANDARD_GRID, decimals: in
                 place, curve = np.nonzero(chosen.T)
                 at, found = curve * count + place, powers[curve, place]
                 if later:
-                    held.append((at + sum(map(len, ids)) * count, found))
+                    held[0].append(at + sum(map(len, ids)) * count)
+                    held[1].append(found)
                 else:
                     yield from rows(names, at, found)
             ids.append(names)
-            if sum(x.size for _, x in held) > HELD:
+            if sum(x.size for x in held[1]) > HELD:
                 yield from waiting()
         yield from waiting()
 
